@@ -365,3 +365,122 @@ def fk_orphans(spark, sf_dir):
 def table_counts(spark, sf_dir):
     """Row counts of sensors and readings."""
     return reports.table_counts(tables.sensors(spark, sf_dir), tables.sensor_data(spark, sf_dir))
+
+
+# ------------------------------------- step 5: continuous aggregates, layout
+
+from datetime import timedelta  # noqa: E402
+
+from tempora.operators import layout  # noqa: E402
+from tempora.plans import cagg  # noqa: E402
+from tempora.session import scratch_path  # noqa: E402
+
+_FIRST_PASS_LAG = timedelta(hours=2)
+_LATE_SQL = "CAST(props->>'k' AS INTEGER) < 10"
+_STAT_COLS = ("bucket_time, sensor_id, reading_count, avg_temperature, min_temperature, "
+              "max_temperature, stddev_temperature")
+
+
+def _scenario(spark, sf_dir, mapper, name, keep=None):
+    """Materialise an aggregate from the rows visible two hours before the
+    last event (late rows held back), then refresh it under its policy at
+    the last event time with every row present."""
+    ev = tables.events(spark, sf_dir)
+    t = as_of(spark, sf_dir)
+    first = ev.filter((F.col("ts") <= timefns.ntz_literal(t - _FIRST_PASS_LAG))
+                      & ~tables.late_arrival(ev))
+    agg = cagg.define(name, scratch_path(spark, "cagg", name))
+    agg.create(mapper(first))
+    agg.refresh(mapper(ev), t)
+    return agg.read(spark)
+
+
+def _scenario_sql(p1: str, p2: str, col: str, lo: str | None, hi: str) -> str:
+    inside = f"{col} < ({hi})" + (f" AND {col} >= ({lo})" if lo else "")
+    return f"""
+WITH p1 AS ({p1}), p2 AS ({p2})
+SELECT * FROM p2 WHERE {inside}
+UNION ALL SELECT * FROM p1 WHERE NOT ({inside})"""
+
+
+def _ceil_sql(width: str, t: str) -> str:
+    b = f"time_bucket(INTERVAL '{width}', {t})"
+    return f"CASE WHEN {b} = {t} THEN {t} ELSE {b} + INTERVAL '{width}' END"
+
+
+_VISIBLE = f"ts <= {AS_OF} - INTERVAL 2 HOUR AND NOT ({_LATE_SQL})"
+
+from tempora.functions import timefns  # noqa: E402
+
+
+@register("cagg_full", _stats_sql("10 minutes"))
+def cagg_full(spark, sf_dir):
+    """K8: sensor_temp_10min materialised WITH DATA, read back."""
+    agg = cagg.define("sensor_temp_10min", scratch_path(spark, "cagg", "full"))
+    agg.create(tables.stat_readings(spark, sf_dir))
+    return r6(agg.read(spark).select(*_STAT_COLS.split(", ")), "avg_temperature",
+              "stddev_temperature")
+
+
+@register("cagg_incremental", _scenario_sql(
+    _stats_sql("10 minutes").replace("FROM events", f"FROM events WHERE {_VISIBLE}"),
+    _stats_sql("10 minutes"), "bucket_time",
+    _ceil_sql("10 minutes", f"{AS_OF} - INTERVAL 3 HOUR"),
+    f"time_bucket(INTERVAL '10 minutes', {AS_OF} - INTERVAL 10 MINUTE)"))
+def cagg_incremental(spark, sf_dir):
+    """sensor_temp_10min refreshed under (3 h, 10 min): late rows
+    count only inside the window."""
+    df = _scenario(spark, sf_dir, tables.stat_readings_of, "sensor_temp_10min")
+    return r6(df.select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+@register("cagg_incremental_candle", _scenario_sql(
+    _candle_sql("1 hour").replace("FROM events", f"FROM events WHERE {_VISIBLE}"),
+    _candle_sql("1 hour"), "bucket",
+    _ceil_sql("1 hour", f"{AS_OF} - INTERVAL 3 HOUR"),
+    f"time_bucket(INTERVAL '1 hour', {AS_OF} - INTERVAL 1 HOUR)"))
+def cagg_incremental_candle(spark, sf_dir):
+    """one_hour_candle refreshed under (3 h, 1 h)."""
+    df = _scenario(spark, sf_dir, tables.stocks_of, "one_hour_candle")
+    return df.select("bucket", "symbol", "open", "high", "low", "close", "day_volume")
+
+
+def _kwh_hi_sql():
+    t = f"(({AS_OF} - INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin'"
+    return (f"CAST((date_trunc('day', {t}) AT TIME ZONE 'Europe/Berlin') AT TIME ZONE 'UTC' "
+            "AS TIMESTAMP)")
+
+
+@register("cagg_incremental_kwh", _scenario_sql(
+    _kwh_sql("day").replace("WHERE event_type = 'view'", f"WHERE event_type = 'view' AND {_VISIBLE}"),
+    _kwh_sql("day"), "time", None, _kwh_hi_sql()))
+def cagg_incremental_kwh(spark, sf_dir):
+    """kwh_day_by_day refreshed under (unbounded, 1 h) on Berlin days."""
+    df = _scenario(spark, sf_dir, lambda ev: tables.metrics_of_type_of(ev, 5), "kwh_day_by_day")
+    return df.select("time", "value")
+
+
+@register("chunk_write_readback", f"""
+SELECT time, sensor_id, temperature FROM ({_READINGS}) r
+WHERE time >= {AS_OF} - INTERVAL 7 DAY""")
+def chunk_write_readback(spark, sf_dir):
+    """K5/K6: write readings as a 7-day-chunked table segmented by sensor,
+    read back a week with chunk pruning."""
+    path = scratch_path(spark, "hypertable", "sensor_data")
+    layout.write_hypertable(tables.sensor_data(spark, sf_dir), path, "time", "sensor_id")
+    t = as_of(spark, sf_dir)
+    return layout.read_hypertable(spark, path, "time", lo=t - timedelta(days=7))
+
+
+@register("compact_check", f"SELECT time, sensor_id, temperature FROM ({_READINGS}) r")
+def compact_check(spark, sf_dir):
+    """K7: two appends (on-time, then late rows), then compaction of chunks
+    older than two days; the table keeps every row."""
+    ev = tables.events(spark, sf_dir)
+    path = scratch_path(spark, "hypertable", "compact")
+    late = tables.late_arrival(ev)
+    layout.write_hypertable(tables.sensor_data_of(ev.filter(~late | late.isNull())), path, "time",
+                            "sensor_id")
+    layout.write_hypertable(tables.sensor_data_of(ev.filter(late)), path, "time", "sensor_id")
+    layout.compact(spark, path, "time", "sensor_id", as_of(spark, sf_dir), "2 days")
+    return spark.read.parquet(path).drop("chunk")

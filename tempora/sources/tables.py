@@ -61,27 +61,40 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics_of_type(spark: SparkSession, sf_dir: str, type_id: int) -> DataFrame:
     """metrics WHERE type_id = n, with the predicate stated on the stored
     column so it is pushed into the Parquet scan."""
+    return metrics_of_type_of(events(spark, sf_dir), type_id)
+
+
+def metrics_of_type_of(ev: DataFrame, type_id: int) -> DataFrame:
     name = next(k for k, v in TYPE_IDS.items() if v == type_id)
-    ev = events(spark, sf_dir).filter(F.col("event_type") == name)
+    ev = ev.filter(F.col("event_type") == name)
     return ev.select(F.col("ts").alias("created"), F.lit(type_id).cast("int").alias("type_id"),
                      F.col("value"))
 
 
 def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
+    return stocks_of(events(spark, sf_dir))
+
+
+def stocks_of(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ts").alias("time"), F.col("event_type").alias("symbol"),
                      F.col("value").alias("price"),
                      F.col("event_id").cast("decimal(38,10)").alias("day_volume"))
 
 
 def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
+    return sensor_data_of(events(spark, sf_dir))
+
+
+def sensor_data_of(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ts").alias("time"), F.col("user_id").cast("int").alias("sensor_id"),
                      F.col("value").alias("temperature"))
 
 
 def stat_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
+    return stat_readings_of(events(spark, sf_dir))
+
+
+def stat_readings_of(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ts").alias("time"),
                      (F.col("user_id") % 5).cast("int").alias("sensor_id"),
                      (F.col("value") / F.lit(25.0)).alias("temperature"))
@@ -120,3 +133,8 @@ def latest_time(df: DataFrame, col: str) -> datetime:
     the repeatable stand-in for NOW() used by tests and the registry.
     """
     return df.agg(F.max(col).alias("m")).first()["m"]
+
+
+def late_arrival(ev: DataFrame):
+    """Rows treated as arriving late in refresh scenarios: props.k < 10."""
+    return F.get_json_object(ev["props"], "$.k").cast("int") < 10
