@@ -484,3 +484,152 @@ def compact_check(spark, sf_dir):
     layout.write_hypertable(tables.sensor_data_of(ev.filter(late)), path, "time", "sensor_id")
     layout.compact(spark, path, "time", "sensor_id", as_of(spark, sf_dir), "2 days")
     return spark.read.parquet(path).drop("chunk")
+
+
+# ------------------------------------------------------- step 6: IoT ingest
+
+from tempora import schemas  # noqa: E402
+from tempora.operators import dims  # noqa: E402
+from tempora.sources import messages  # noqa: E402
+from tempora.streaming import iot  # noqa: E402
+from tempora.streaming import ticks as tick_ingest  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    return iot.parse(messages.iot_envelopes(tables.events(spark, sf_dir)))
+
+
+def _empty_sensors(spark):
+    return spark.createDataFrame([], schemas.SENSORS)
+
+
+_DEV_SQL = "CASE WHEN user_id % 37 = 0 THEN 'unknown' ELSE printf('device-%03d', user_id) END"
+_TEMPS_ROWS = f"""
+SELECT date_trunc('second', min(ts) OVER (PARTITION BY event_id // 4, user_id)) AS time,
+       min(event_id) OVER (PARTITION BY event_id // 4, user_id) AS seq,
+       {_DEV_SQL} AS device_id,
+       printf('28-%08x-%d', user_id % 40, event_id % 4) AS sensor_sn, value
+FROM events WHERE event_type IN ('click', 'purchase', 'view')"""
+_FLAT = f"SELECT time, seq, device_id, sensor_sn, value AS temperature FROM ({_TEMPS_ROWS}) t WHERE value <= 450"
+_DIM = f"""
+SELECT CAST(row_number() OVER (ORDER BY time, seq, sensor_sn) AS INTEGER) AS id, sensor_sn,
+       device_id, 'temperature' AS type, 'unknown' AS location
+FROM (SELECT *, row_number() OVER (PARTITION BY sensor_sn ORDER BY time, seq, device_id) AS rn
+      FROM ({_FLAT}) f) x WHERE rn = 1"""
+
+
+@register("iot_flatten", f"SELECT time, device_id, sensor_sn, temperature FROM ({_FLAT}) f")
+def iot_flatten(spark, sf_dir):
+    """Temps messages → one reading per sensor entry."""
+    return iot.readings(_parsed(spark, sf_dir)).select("time", "device_id", "sensor_sn",
+                                                       "temperature")
+
+
+@register("sensor_register", _DIM)
+def sensor_register(spark, sf_dir):
+    """Sensors registered from every reading; first device wins, ids
+    dense in order of first sighting."""
+    return dims.register_sensors(_empty_sensors(spark), iot.readings(_parsed(spark, sf_dir)))
+
+
+@register("iot_readings", f"""
+SELECT f.time, d.id AS sensor_id, f.temperature
+FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
+def iot_readings(spark, sf_dir):
+    """Readings with the registered sensor ids (sensor_data rows)."""
+    r = iot.readings(_parsed(spark, sf_dir))
+    dim = dims.register_sensors(_empty_sensors(spark), r)
+    return dims.resolve(r, dim).select("time", "sensor_id", "temperature")
+
+
+_STATUS_JSON = ("printf('{\"eventCategory\":\"%s\",\"messageCounter\":%d,\"gitVersion\":\"v1.%d\","
+                "\"version\":\"1.%d\",\"stableVersion\":\"1.0\",\"numTempSensors\":%d,"
+                "\"numFlowSensors\":%d,\"isCameraEnabled\":%s,\"cpu_usage\":%d}', event_type, k, k, "
+                "k, k % 4, k % 2, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, k)")
+
+
+@register("iot_status", f"""
+SELECT date_trunc('second', ts) AS time, {_DEV_SQL} AS device_id, event_type AS event_category,
+       CAST(k AS INTEGER) AS message_counter, printf('v1.%d', k) AS git_version,
+       printf('1.%d', k) AS git_current_version, '1.0' AS git_stable_version,
+       CAST(k % 4 AS INTEGER) AS num_temp_sensors, CAST(k % 2 AS INTEGER) AS num_flow_sensors,
+       k % 2 = 0 AS is_camera_enabled, {_STATUS_JSON} AS status_data
+FROM (SELECT *, CAST(props->>'k' AS INTEGER) AS k FROM events WHERE event_type = 'signup') s
+WHERE k < 95""")
+def iot_status(spark, sf_dir):
+    """Validated status messages → device_status rows."""
+    return iot.device_status(_parsed(spark, sf_dir))
+
+
+@register("iot_quarantine", f"""
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN event_type = 'error' AND CAST(props->>'k' AS INTEGER) % 2 = 0 THEN 'invalid_json'
+              WHEN event_type = 'error' THEN 'unknown_format'
+              WHEN event_type = 'signup' AND CAST(props->>'k' AS INTEGER) >= 95
+                   THEN 'bad_type:messageCounter'
+              WHEN event_type IN ('click', 'purchase', 'view') AND value > 450 THEN 'bad_temperature'
+         END AS reason
+  FROM events) q
+WHERE reason IS NOT NULL GROUP BY reason""")
+def iot_quarantine(spark, sf_dir):
+    """Rejected messages and entries counted by reason."""
+    return iot.quarantine(_parsed(spark, sf_dir)).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+_MESSAGES = """
+SELECT user_id, min(event_id) AS seq, min(ts) AS ts FROM events
+WHERE event_type IN ('click', 'purchase', 'view') GROUP BY event_id // 4, user_id
+UNION ALL
+SELECT user_id, event_id AS seq, ts FROM events WHERE event_type IN ('signup', 'error')"""
+
+
+@register("stream_progress", f"""
+SELECT partition, seq * 10 AS offset, seq AS sequence_number,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp
+FROM (SELECT CAST(user_id % 4 AS VARCHAR) AS partition, max(seq) AS seq, arg_max(ts, seq) AS ts
+      FROM ({_MESSAGES}) m GROUP BY 1) p""")
+def stream_progress(spark, sf_dir):
+    """Last offset, sequence number and time per partition."""
+    return iot.progress(messages.iot_envelopes(tables.events(spark, sf_dir)))
+
+
+@register("partition_props", f"""
+SELECT CAST(user_id % 4 AS VARCHAR) AS partition, min(seq) AS beginning_sequence_number,
+       max(seq) AS last_enqueued_sequence_number, count(*) AS messages
+FROM ({_MESSAGES}) m GROUP BY 1""")
+def partition_props(spark, sf_dir):
+    """Per-partition sequence range and message count."""
+    return iot.partition_properties(messages.iot_envelopes(tables.events(spark, sf_dir)))
+
+
+# ------------------------------------------------ step 7: ticks, CSV load
+
+@register("tick_filter", """
+SELECT date_trunc('second', ts) AS time, event_type AS symbol, value AS price,
+       CASE WHEN event_type = 'signup' THEN NULL
+            ELSE CAST(event_id AS DECIMAL(38,10)) END AS day_volume
+FROM events""")
+def tick_filter(spark, sf_dir):
+    """Price frames kept, control frames dropped, mapped onto
+    (time, symbol, price, day_volume)."""
+    frames = messages.tick_frames(tables.events(spark, sf_dir))
+    return tick_ingest.price_rows(tick_ingest.parse_frames(frames))
+
+
+@register("csv_load", """
+SELECT ts AS created, CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2
+       WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS INTEGER) AS type_id,
+       value
+FROM events""")
+def csv_load(spark, sf_dir):
+    """Metrics exported as gzip CSV with a header, loaded once into a
+    typed table (a second load is skipped by the guard)."""
+    from tempora.sources import csv as csv_source
+
+    base = scratch_path(spark, "csv")
+    csv_source.write_csv(tables.metrics(spark, sf_dir), f"{base}/metrics_csv")
+    csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
+    csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
+    return spark.read.parquet(f"{base}/metrics").withColumn(
+        "created", F.col("created").cast("timestamp_ntz"))
