@@ -104,27 +104,31 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
     return _routed(s5)
 
 
-_ENTRY = "struct<kind: string, sensor_sn: string, raw_value: string>"
-
-
 def _routed(parsed: DataFrame) -> DataFrame:
     """Expand each message into its routed rows with ``inline``: one row per
     sensor entry of a temps message, else one row whose ``kind`` is the
-    route.  Downstream filters on ``kind`` stay above this generator, so
-    the message is parsed once however many outputs use it."""
-    temps = F.try_variant_get(F.col("_v"), "$.temps", "map<string,string>")
+    route; a status row carries the status object as ``payload``.
+    Downstream filters reference these generated columns, so they stay
+    above the generator and the message is parsed once however many
+    outputs use it."""
+    v = F.col("_v")
+    temps = F.try_variant_get(v, "$.temps", "map<string,string>")
     with_map = parsed.select("*", temps.alias("_temps"))
-    entries = F.transform(F.map_entries("_temps"), lambda e: F.struct(
-        F.lit("temps").alias("kind"), e["key"].alias("sensor_sn"), e["value"].alias("raw_value")))
-    single = F.array(F.struct(F.col("route").alias("kind"),
-                              F.lit(None).cast("string").alias("sensor_sn"),
-                              F.lit(None).cast("string").alias("raw_value")))
-    empty = F.array(F.struct(F.lit("empty_temps").alias("kind"),
-                             F.lit(None).cast("string").alias("sensor_sn"),
-                             F.lit(None).cast("string").alias("raw_value")))
-    rows = (F.when((F.col("route") == "temps") & (F.size("_temps") > 0), entries)
-            .when(F.col("route") == "temps", empty)
-            .otherwise(single))
+    no_text = F.lit(None).cast("string")
+    no_payload = F.lit(None).cast("variant")
+
+    def row(kind, sn=no_text, value=no_text, payload=no_payload):
+        return F.struct(kind.alias("kind"), sn.alias("sensor_sn"), value.alias("raw_value"),
+                        payload.alias("payload"))
+
+    entries = F.transform(F.map_entries("_temps"),
+                          lambda e: row(F.lit("temps"), e["key"], e["value"]))
+    route = F.col("route")
+    rows = (F.when((route == "temps") & (F.size("_temps") > 0), entries)
+            .when(route == "temps", F.array(row(F.lit("empty_temps"))))
+            .when(route == "status",
+                  F.array(row(route, payload=F.try_variant_get(v, "$.status", "variant"))))
+            .otherwise(F.array(row(route))))
     keep = [c for c in with_map.columns if c != "_temps"]
     return with_map.select(*keep, F.inline(rows))
 
@@ -171,15 +175,15 @@ def _status_frame(parsed: DataFrame) -> DataFrame:
     the reason is a CASE over those columns.
     """
     s = parsed.filter(F.col("kind") == "status")
-    v = F.col("_v")
+    v = F.col("payload")
     fields = list(STRING_LIMITS) + INTEGER_FIELDS + BOOLEAN_FIELDS
-    typed = s.select("*", _type(v, "$.status").alias("_st_t"),
-                     *[_type(v, f"$.status.{f}").alias(f"_t_{f}") for f in fields])
+    typed = s.select("*", F.schema_of_variant(v).alias("_st_t"),
+                     *[_type(v, f"$.{f}").alias(f"_t_{f}") for f in fields])
     sized = typed.select(
         "*",
-        *[F.length(F.try_variant_get(v, f"$.status.{f}", "string")).alias(f"_len_{f}")
+        *[F.length(F.try_variant_get(v, f"$.{f}", "string")).alias(f"_len_{f}")
           for f in STRING_LIMITS],
-        *[F.try_variant_get(v, f"$.status.{f}", "bigint").alias(f"_int_{f}")
+        *[F.try_variant_get(v, f"$.{f}", "bigint").alias(f"_int_{f}")
           for f in INTEGER_FIELDS])
     st = F.col("_st_t")
     empty = st.isNull() | ~st.startswith("OBJECT") | (st == "OBJECT<>")
@@ -203,7 +207,7 @@ def _status_frame(parsed: DataFrame) -> DataFrame:
 def device_status(parsed: DataFrame) -> DataFrame:
     """Accepted status messages in the device_status column order."""
     s = _status_frame(parsed).filter(F.col("_reason").isNull())
-    v = F.col("_v")
+    v = F.col("payload")
     cols = [F.col("time"), F.col("device_id")]
     for f, c in STATUS_COLUMNS.items():
         if f in STRING_LIMITS:
@@ -212,7 +216,7 @@ def device_status(parsed: DataFrame) -> DataFrame:
             typ = "int"
         else:
             typ = "boolean"
-        cols.append(F.try_variant_get(v, f"$.status.{f}", typ).alias(c))
+        cols.append(F.try_variant_get(v, f"$.{f}", typ).alias(c))
     # The whole object, unknown keys included, as the original JSON text.
     cols.append(F.get_json_object("body", "$.status").alias("status_data"))
     return s.select(*cols)
