@@ -101,7 +101,7 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
              .when(F.array_contains("_keys", "status"), F.lit("status"))
              .otherwise(F.lit("unknown_format")))
     s5 = s4.select("*", route.alias("route")).drop("_ut_t", "_epoch")
-    return _routed(s5)
+    return _routed(_with_status_checks(s5))
 
 
 def _routed(parsed: DataFrame) -> DataFrame:
@@ -127,9 +127,10 @@ def _routed(parsed: DataFrame) -> DataFrame:
     rows = (F.when((route == "temps") & (F.size("_temps") > 0), entries)
             .when(route == "temps", F.array(row(F.lit("empty_temps"))))
             .when(route == "status",
-                  F.array(row(route, payload=F.try_variant_get(v, "$.status", "variant"))))
+                  F.array(row(F.coalesce(F.col("_status_reason"), route),
+                              payload=F.try_variant_get(v, "$.status", "variant"))))
             .otherwise(F.array(row(route))))
-    keep = [c for c in with_map.columns if c != "_temps"]
+    keep = [c for c in with_map.columns if c not in ("_temps", "_status_reason")]
     return with_map.select(*keep, F.inline(rows))
 
 
@@ -168,22 +169,24 @@ def _present(t: Column) -> Column:
     return t.isNotNull() & (t != "VOID")
 
 
-def _status_frame(parsed: DataFrame) -> DataFrame:
-    """Status messages with their rejection reason (NULL = accepted).
+def _with_status_checks(parsed: DataFrame) -> DataFrame:
+    """Add ``_status_reason`` (NULL = accepted) for status messages.
 
-    The JSON type of every checked field is computed once as a column, and
-    the reason is a CASE over those columns.
+    Computed per message below the routing generator, in staged
+    projections: the JSON type of every checked field is one column, the
+    reason a CASE over those columns - so each field is inspected once.
     """
-    s = parsed.filter(F.col("kind") == "status")
-    v = F.col("payload")
+    is_status = F.col("route") == "status"
+    v = F.col("_v")
     fields = list(STRING_LIMITS) + INTEGER_FIELDS + BOOLEAN_FIELDS
-    typed = s.select("*", F.schema_of_variant(v).alias("_st_t"),
-                     *[_type(v, f"$.{f}").alias(f"_t_{f}") for f in fields])
+    typed = parsed.select(
+        "*", F.when(is_status, _type(v, "$.status")).alias("_st_t"),
+        *[F.when(is_status, _type(v, f"$.status.{f}")).alias(f"_t_{f}") for f in fields])
     sized = typed.select(
         "*",
-        *[F.length(F.try_variant_get(v, f"$.{f}", "string")).alias(f"_len_{f}")
-          for f in STRING_LIMITS],
-        *[F.try_variant_get(v, f"$.{f}", "bigint").alias(f"_int_{f}")
+        *[F.when(is_status, F.length(F.try_variant_get(v, f"$.status.{f}", "string")))
+          .alias(f"_len_{f}") for f in STRING_LIMITS],
+        *[F.when(is_status, F.try_variant_get(v, f"$.status.{f}", "bigint")).alias(f"_int_{f}")
           for f in INTEGER_FIELDS])
     st = F.col("_st_t")
     empty = st.isNull() | ~st.startswith("OBJECT") | (st == "OBJECT<>")
@@ -201,12 +204,12 @@ def _status_frame(parsed: DataFrame) -> DataFrame:
         ft = F.col(f"_t_{f}")
         reason = reason.when(_present(ft) & (ft != "BOOLEAN"), F.lit(f"bad_type:{f}"))
     helper = [c for c in sized.columns if c.startswith(("_t_", "_len_", "_int_"))] + ["_st_t"]
-    return sized.select("*", reason.alias("_reason")).drop(*helper)
+    return sized.select("*", F.when(is_status, reason).alias("_status_reason")).drop(*helper)
 
 
 def device_status(parsed: DataFrame) -> DataFrame:
     """Accepted status messages in the device_status column order."""
-    s = _status_frame(parsed).filter(F.col("_reason").isNull())
+    s = parsed.filter(F.col("kind") == "status")
     v = F.col("payload")
     cols = [F.col("time"), F.col("device_id")]
     for f, c in STATUS_COLUMNS.items():
@@ -226,14 +229,10 @@ def device_status(parsed: DataFrame) -> DataFrame:
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Every rejected message or sensor entry, with its reason."""
-    msg = parsed.filter(
-        F.col("kind").isin("invalid_json", "bad_time", "unknown_format", "empty_temps")).select(
+    msg = parsed.filter(~F.col("kind").isin("temps", "status")).select(
         "partition", "offset", "seq", "device_id", F.col("kind").alias("reason"),
         F.lit(None).cast("string").alias("sensor_sn"), "body")
-    st = _status_frame(parsed).filter(F.col("_reason").isNotNull()).select(
-        "partition", "offset", "seq", "device_id", F.col("_reason").alias("reason"),
-        F.lit(None).cast("string").alias("sensor_sn"), "body")
-    return msg.unionByName(st).unionByName(_temps_rejects(parsed))
+    return msg.unionByName(_temps_rejects(parsed))
 
 
 # -- progress (W8, S6) -----------------------------------------------------------
