@@ -35,8 +35,19 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 TYPE_IDS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 
 
+_RELATIONS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's relation, resolved once per session: file listing and
+    Parquet footer schema are read on first use, later queries reuse them
+    (the DataFrame is lazy - no rows are cached)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
