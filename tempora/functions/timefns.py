@@ -156,3 +156,13 @@ def bucket_floor(t: datetime, width) -> datetime:
 def bucket_ceil(t: datetime, width) -> datetime:
     f = bucket_floor(t, width)
     return f if f == t else f + parse_width(width)
+
+
+def earliest_time_for_bucket(lo: datetime, width, inclusive: bool) -> datetime:
+    """Smallest time whose bucket satisfies ``bucket >= lo`` (inclusive) or
+    ``bucket > lo``: the implied raw-time bound of a bucket predicate, which
+    can be pushed into the scan where the bucket predicate cannot."""
+    first = bucket_ceil(lo, width)
+    if not inclusive and first == lo:
+        first = first + parse_width(width)
+    return first

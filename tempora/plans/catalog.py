@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempora.functions import timefns
 from tempora.plans import reports
 from tempora.session import ensure_utc
 from tempora.sources import tables
@@ -128,8 +129,9 @@ def candle_1h_symbol(spark, sf_dir):
                            f"AND bucket >= {AS_OF} - INTERVAL 2 HOUR ORDER BY bucket")
 def candle_recent(spark, sf_dir):
     """The last two hours of one symbol's 10-minute candles."""
-    return reports.recent_candles(candle_10min(spark, sf_dir), SYMBOL_10MIN,
-                                  as_of(spark, sf_dir), "2 hours")
+    t = as_of(spark, sf_dir)
+    raw = reports.candles(tables.stocks(spark, sf_dir), "10 minutes", since=_since(t, "2 hours"))
+    return reports.recent_candles(raw, SYMBOL_10MIN, t, "2 hours")
 
 
 @register("candle_recent_1h", f"SELECT * FROM ({_candle_sql('1 hour')}) c "
@@ -137,14 +139,19 @@ def candle_recent(spark, sf_dir):
                               f"AND bucket >= {AS_OF} - INTERVAL 5 HOUR ORDER BY bucket")
 def candle_recent_1h(spark, sf_dir):
     """The last five hours of one symbol's hourly candles."""
-    return reports.recent_candles(candle_1h(spark, sf_dir), SYMBOL_1H,
-                                  as_of(spark, sf_dir), "5 hours")
+    t = as_of(spark, sf_dir)
+    raw = reports.candles(tables.stocks(spark, sf_dir), "1 hour", since=_since(t, "5 hours"))
+    return reports.recent_candles(raw, SYMBOL_1H, t, "5 hours")
 
 
 # ------------------------------------------------- step 2: sensor statistics
 
-def _stats(spark, sf_dir, width):
-    return reports.sensor_temp(tables.stat_readings(spark, sf_dir), width)
+def _stats(spark, sf_dir, width, after=None):
+    return reports.sensor_temp(tables.stat_readings(spark, sf_dir), width, after)
+
+
+def _since(t, span):
+    return t - timefns.parse_width(span)
 
 
 @register("sensor_temp_10min", _stats_sql("10 minutes"))
@@ -167,7 +174,8 @@ def sensor_temp_1h(spark, sf_dir):
                               "ORDER BY bucket_time DESC, sensor_id")
 def agg_recent_10min(spark, sf_dir):
     """The last day of 10-minute aggregates."""
-    df = reports.recent_aggregates(_stats(spark, sf_dir, "10 minutes"), as_of(spark, sf_dir))
+    t = as_of(spark, sf_dir)
+    df = reports.recent_aggregates(_stats(spark, sf_dir, "10 minutes", _since(t, "1 day")), t)
     return r6(df, "avg_temperature", "stddev_temperature")
 
 
@@ -178,7 +186,8 @@ WHERE bucket_time > {AS_OF} - INTERVAL 30 DAY AND sensor_id = {SENSOR}
 ORDER BY bucket_time DESC""")
 def agg_1h_one_sensor(spark, sf_dir):
     """30 days of one sensor's hourly aggregates."""
-    df = reports.sensor_history(_stats(spark, sf_dir, "1 hour"), SENSOR, as_of(spark, sf_dir))
+    t = as_of(spark, sf_dir)
+    df = reports.sensor_history(_stats(spark, sf_dir, "1 hour", _since(t, "30 days")), SENSOR, t)
     return r6(df, "avg_temperature")
 
 
@@ -191,7 +200,8 @@ FROM ({_stats_sql('10 minutes')}) s
 WHERE bucket_time > {AS_OF} - INTERVAL 1 DAY ORDER BY stddev_temperature DESC""")
 def stability_class(spark, sf_dir):
     """Variability label per 10-minute bucket of the last day."""
-    df = reports.stability_class(_stats(spark, sf_dir, "10 minutes"), as_of(spark, sf_dir))
+    t = as_of(spark, sf_dir)
+    df = reports.stability_class(_stats(spark, sf_dir, "10 minutes", _since(t, "1 day")), t)
     return r6(df, "avg_temperature", "stddev_temperature")
 
 
@@ -410,8 +420,6 @@ def _ceil_sql(width: str, t: str) -> str:
 
 _VISIBLE = f"ts <= {AS_OF} - INTERVAL 2 HOUR AND NOT ({_LATE_SQL})"
 
-from tempora.functions import timefns  # noqa: E402
-
 
 @register("cagg_full", _stats_sql("10 minutes"))
 def cagg_full(spark, sf_dir):

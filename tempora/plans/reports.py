@@ -49,7 +49,12 @@ def kwh_hour_profile(per_hour: DataFrame, tz: str = BERLIN, label_tz: str | None
 
 # -- market ticks (R5-R8) ---------------------------------------------------
 
-def candles(ticks: DataFrame, width) -> DataFrame:
+def candles(ticks: DataFrame, width, since=None) -> DataFrame:
+    """OHLCV candles; ``since`` (a bucket bound, inclusive) restricts the
+    raw rows read to those that can fall into such buckets."""
+    if since is not None:
+        first = timefns.earliest_time_for_bucket(timefns.as_of_dt(since), width, inclusive=True)
+        ticks = ticks.filter(F.col("time") >= timefns.ntz_literal(first))
     return timeseries.candles(ticks, width)
 
 
@@ -79,8 +84,16 @@ def price_pivot(ticks: DataFrame, symbols: Sequence[str]) -> DataFrame:
 
 # -- IoT statistics (R9, R15-R18) -------------------------------------------
 
-def sensor_temp(readings: DataFrame, width) -> DataFrame:
-    """reading_count/avg/min/max/stddev per bucket and sensor."""
+def sensor_temp(readings: DataFrame, width, after=None) -> DataFrame:
+    """reading_count/avg/min/max/stddev per bucket and sensor.
+
+    ``after`` (a bucket bound, exclusive) restricts the raw rows read to
+    those whose bucket can be later than it - the scan-level form of the
+    reports' ``bucket_time > NOW() - interval``.
+    """
+    if after is not None:
+        first = timefns.earliest_time_for_bucket(timefns.as_of_dt(after), width, inclusive=False)
+        readings = readings.filter(F.col("time") >= timefns.ntz_literal(first))
     return timeseries.sensor_stats(readings, width)
 
 
