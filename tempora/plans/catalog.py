@@ -269,6 +269,7 @@ _SENSORS = ("SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS sensor_sn, "
             "c_mktsegment AS location FROM customer")
 _STATUS = ("SELECT ts AS time, CAST(user_id AS VARCHAR) AS device_id, event_type AS event_category, "
            "CAST(event_id AS INTEGER) AS message_counter, CAST(NULL AS VARCHAR) AS git_version, "
+           "CAST(NULL AS VARCHAR) AS git_current_version, CAST(NULL AS VARCHAR) AS git_stable_version, "
            "CAST(NULL AS INTEGER) AS num_temp_sensors, CAST(NULL AS INTEGER) AS num_flow_sensors, "
            "CAST(NULL AS BOOLEAN) AS is_camera_enabled, props AS status_data FROM events")
 
@@ -641,3 +642,115 @@ def csv_load(spark, sf_dir):
     csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
     return spark.read.parquet(f"{base}/metrics").withColumn(
         "created", F.col("created").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------ constraint checks (K9)
+
+from tempora.operators import quality  # noqa: E402
+
+
+def _table_constraints(spark, sf_dir):
+    sensors = tables.sensors(spark, sf_dir)
+    lim = schemas.VARCHAR_LIMITS
+    return [
+        (sensors, quality.Constraints("sensors", not_null=["id", "sensor_sn"],
+                                      max_length=lim["sensors"], unique=["sensor_sn"])),
+        (tables.sensor_data(spark, sf_dir), quality.Constraints(
+            "sensor_data", not_null=["time", "sensor_id"],
+            foreign_keys=[("sensor_id", sensors, "id")])),
+        (tables.device_status(spark, sf_dir), quality.Constraints(
+            "device_status", not_null=["time", "device_id"],
+            max_length={k: v for k, v in lim["device_status"].items()})),
+        (tables.metrics(spark, sf_dir), quality.Constraints(
+            "metrics", not_null=["created", "type_id", "value"], default_now=["created"])),
+    ]
+
+
+def _count_sql(table: str, check: str, cond: str, source: str) -> str:
+    return (f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM ({source}) s")
+
+
+_MET = ("SELECT ts AS created, CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 "
+        "WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS type_id, value "
+        "FROM events")
+_CONSTRAINT_SQL = " UNION ALL ".join([
+    _count_sql("sensors", "not_null:id", "id IS NULL", _SENSORS),
+    _count_sql("sensors", "not_null:sensor_sn", "sensor_sn IS NULL", _SENSORS),
+    *[_count_sql("sensors", f"too_long:{c}", f"length({c}) > {n}", _SENSORS)
+      for c, n in schemas.VARCHAR_LIMITS["sensors"].items()],
+    f"SELECT 'sensors', 'unique:sensor_sn', CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) "
+    f"AS BIGINT) FROM (SELECT sensor_sn, count(*) AS n FROM ({_SENSORS}) s "
+    f"WHERE sensor_sn IS NOT NULL GROUP BY 1) u",
+    _count_sql("sensor_data", "not_null:time", "time IS NULL", _READINGS),
+    _count_sql("sensor_data", "not_null:sensor_id", "sensor_id IS NULL", _READINGS),
+    f"SELECT 'sensor_data', 'fk:sensor_id', CAST(count(*) AS BIGINT) FROM ({_READINGS}) r "
+    f"WHERE sensor_id IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM ({_SENSORS}) s WHERE s.id = r.sensor_id)",
+    _count_sql("device_status", "not_null:time", "time IS NULL", _STATUS),
+    _count_sql("device_status", "not_null:device_id", "device_id IS NULL", _STATUS),
+    *[_count_sql("device_status", f"too_long:{c}", f"length({c}) > {n}", _STATUS)
+      for c, n in schemas.VARCHAR_LIMITS["device_status"].items()],
+    _count_sql("metrics", "not_null:created", "created IS NULL", _MET),
+    _count_sql("metrics", "not_null:type_id", "type_id IS NULL", _MET),
+    _count_sql("metrics", "not_null:value", "value IS NULL", _MET),
+])
+
+
+@register("constraint_report", _CONSTRAINT_SQL)
+def constraint_report(spark, sf_dir):
+    """K9: NOT NULL / varchar(n) / UNIQUE / FK violation counts per table."""
+    out = None
+    for df, c in _table_constraints(spark, sf_dir):
+        v = quality.violations(df, c)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("readings_fk_split", f"""
+SELECT r.time, r.sensor_id, r.temperature FROM ({STAT}) r
+WHERE EXISTS (SELECT 1 FROM ({_SENSORS}) s WHERE s.id = r.sensor_id)""")
+def readings_fk_split(spark, sf_dir):
+    """K9/J4 on ingest: readings split into accepted and quarantined by the
+    sensor foreign key; the accepted part is returned."""
+    c = quality.Constraints("sensor_data", not_null=["time", "sensor_id"],
+                            foreign_keys=[("sensor_id", tables.sensors(spark, sf_dir), "id")])
+    accepted, _ = quality.split(tables.stat_readings(spark, sf_dir), c)
+    return accepted
+
+
+# ------------------------------------------------ step 8: medians, sketches (A10)
+
+from tempora.operators import calendar as cal_ops  # noqa: E402
+
+
+@register("kwh_weekday_median_sketch", f"""
+WITH per_day AS ({_kwh_sql('day')}),
+daily AS (SELECT strftime(time, '%a') AS day, value FROM per_day WHERE {_F7}),
+pct AS (SELECT day, quantile_disc(value, 0.5) AS value FROM daily GROUP BY 1)
+SELECT d.day, d.ordinal, pd.value
+FROM unnest(['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat']) WITH ORDINALITY AS d(day, ordinal)
+LEFT JOIN pct pd ON lower(pd.day) = lower(d.day)""")
+def kwh_weekday_median_sketch(spark, sf_dir):
+    """A10 via a KLL sketch per weekday (exact below k=200 items per group,
+    so the discrete median is the oracle)."""
+    return reports.kwh_weekday_median(_kwh_day(spark, sf_dir), method="sketch")
+
+
+@register("kwh_hour_profile_approx", f"""
+WITH per_hour AS ({_kwh_sql('hour')}),
+hourly AS (SELECT CAST(hour(time) AS INTEGER) AS hour, value FROM per_hour WHERE {_F7})
+SELECT hour, quantile_disc(value, 0.5) AS median, max(value) AS maximum
+FROM hourly GROUP BY 1 ORDER BY 1""")
+def kwh_hour_profile_approx(spark, sf_dir):
+    """A10 via percentile_approx (exact at this group size)."""
+    return reports.kwh_hour_profile(_kwh_hour(spark, sf_dir), method="approx")
+
+
+@register("percentile_sketch")
+def percentile_sketch(spark, sf_dir):
+    """A10 two-step: a KLL sketch per (hour, sensor) - what a continuous
+    aggregate would store - merged per sensor and day, median read from the
+    merged sketch.  Approximate on large groups: rows-only check (the rank
+    error is tested against the exact median in tests)."""
+    return reports.daily_median_from_hourly_sketches(tables.stat_readings(spark, sf_dir))

@@ -229,3 +229,23 @@ def kwh_sketch_median(per_day: DataFrame, tz: str = BERLIN) -> DataFrame:
     return calendar.weekday_median(per_day, tz, method="sketch")
 
 
+
+
+def hourly_sketches(readings: DataFrame) -> DataFrame:
+    """percentile_agg per (hour, sensor): a mergeable KLL sketch column."""
+    from tempora.functions import aggs
+
+    return readings.filter(F.col("temperature").isNotNull()).groupBy(
+        timefns.time_bucket("time", "1 hour").alias("bucket_time"), F.col("sensor_id")).agg(
+        aggs.kll_sketch("temperature").alias("sketch"))
+
+
+def daily_median_from_hourly_sketches(readings: DataFrame) -> DataFrame:
+    """approx_percentile(0.5, rollup(sketch)) per (day, sensor)."""
+    from tempora.functions import aggs
+
+    hourly = hourly_sketches(readings)
+    daily = hourly.groupBy(timefns.time_bucket("bucket_time", "1 day").alias("day"),
+                           F.col("sensor_id")).agg(aggs.kll_merge("sketch").alias("sketch"))
+    return daily.select("day", "sensor_id", aggs.kll_median("sketch").alias("median_temperature"),
+                        F.kll_sketch_get_n_double("sketch").alias("readings"))

@@ -10,13 +10,21 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
+# Approximate by design (mergeable sketch): checked for rows here and
+# against the exact median in test_timefns.
+ROWS_ONLY = {"percentile_sketch"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - ROWS_ONLY == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
+    if name in ROWS_ONLY:
+        assert df.count() > 0
+        return
     r = compare(df, ORACLE[name], SF_SMALL)
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
