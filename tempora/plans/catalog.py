@@ -754,3 +754,43 @@ def percentile_sketch(spark, sf_dir):
     merged sketch.  Approximate on large groups: rows-only check (the rank
     error is tested against the exact median in tests)."""
     return reports.daily_median_from_hourly_sketches(tables.stat_readings(spark, sf_dir))
+
+
+# ------------------------------------------------ streaming runners
+
+from tempora.streaming import ingest  # noqa: E402
+
+
+@register("cagg_stream_10min", f"""
+SELECT * FROM ({_stats_sql('10 minutes')}) s
+WHERE bucket_time + INTERVAL 10 MINUTE <= {AS_OF} - INTERVAL 3 HOUR""")
+def cagg_stream_10min(spark, sf_dir):
+    """sensor_temp_10min as a Structured Streaming window aggregate
+    (watermark = the policy's 3 h start offset, append mode): the windows
+    closed by the watermark are emitted, exactly as the batch aggregate."""
+    base = scratch_path(spark, "stream", "cagg")
+    rows = tables.stat_readings(spark, sf_dir)
+    rows.write.parquet(f"{base}/landing")
+    agg = cagg.define("sensor_temp_10min", f"{base}/out")
+    src = spark.readStream.schema(rows.schema).parquet(f"{base}/landing")
+    q = agg.stream(src, f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(agg.path).drop("bucket_date")
+    return r6(out.select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+@register("iot_ingest_stream", f"""
+SELECT f.time, d.id AS sensor_id, f.temperature
+FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
+def iot_ingest_stream(spark, sf_dir):
+    """The ingestion job on a landed envelope stream
+    (foreachBatch: sensor registration, readings, status, quarantine,
+    progress); returns the sensor_data table it wrote."""
+    base = scratch_path(spark, "stream", "iot")
+    env = messages.iot_envelopes(tables.events(spark, sf_dir))
+    env.write.parquet(f"{base}/landing")
+    src = spark.readStream.schema(env.schema).parquet(f"{base}/landing")
+    out = ingest.IngestTables(f"{base}/tables")
+    q = ingest.start(spark, src, out, f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return out.read(spark, "sensor_data").select("time", "sensor_id", "temperature")
