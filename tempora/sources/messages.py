@@ -120,12 +120,40 @@ def start_options(ignore_past, has_checkpoint: bool) -> dict:
 
 
 def read_envelopes(spark: SparkSession, path: str, fmt: str = "json",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """A landed envelope stream (files), declared schema."""
+                   max_files_per_trigger: int | None = None, ignore_past=None,
+                   has_checkpoint: bool = False, started_at=None) -> DataFrame:
+    """A landed envelope stream (files), declared schema.
+
+    S5 on a file source: 'true' keeps only messages enqueued at or after
+    ``started_at``; otherwise every unseen file is read, and resuming is the
+    checkpoint location of the query.
+    """
     r = spark.readStream.format(fmt).schema(ENVELOPE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+    df = r.load(path)
+    opts = start_options(ignore_past, has_checkpoint)
+    if opts["startingOffsets"] == "latest" and started_at is not None:
+        df = df.filter(F.col("enqueued") >= F.lit(started_at))
+    return df
+
+
+def read_envelopes_kafka(spark: SparkSession, servers: str, topic: str, ignore_past=None,
+                         has_checkpoint: bool = False,
+                         max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S4/S5 on Kafka (needs the spark-sql-kafka connector on the classpath):
+    value → body, key → device id bytes, partition/offset/timestamp mapped;
+    the start policy becomes ``startingOffsets``."""
+    opts = start_options(ignore_past, has_checkpoint)
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", opts["startingOffsets"]))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    k = r.load()
+    return k.select(F.col("value").cast("string").alias("body"), F.col("key").alias("device_id_raw"),
+                    F.col("partition").cast("string").alias("partition"),
+                    F.col("offset").alias("offset"), F.col("offset").alias("seq"),
+                    F.col("timestamp").alias("enqueued"))
 
 
 def read_ticks(spark: SparkSession, path: str, symbols=None) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tempora import schemas
@@ -50,10 +50,51 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
      .parquet(f"{path}/batch_id={batch_id}"))
 
 
+# Progress write interval in minutes and its fallback.
+DEFAULT_PROGRESS_MINUTES = 30.0
+
+
+def progress_interval_seconds(minutes) -> float:
+    """W8 setting: minutes as text or number, fractions allowed; a missing,
+    unparsable or non-positive value falls back to 30 minutes."""
+    try:
+        m = float(minutes)
+    except (TypeError, ValueError):
+        m = DEFAULT_PROGRESS_MINUTES
+    if not m > 0:
+        m = DEFAULT_PROGRESS_MINUTES
+    return m * 60.0
+
+
+def counted_parse(envelope: DataFrame) -> tuple[DataFrame, Observation, Observation]:
+    """Parse a micro-batch with its counters attached.  Spark gathers
+    them while the rows flow (observed metrics), in the same pass that fills
+    the persisted parse - no extra scan."""
+    messages = Observation("messages")
+    observed = envelope.observe(messages, F.count(F.lit(1)).alias("messages"))
+    parsed = iot.parse(observed).persist()
+    kinds = Observation("kinds")
+    kind = F.col("kind")
+    parsed.observe(
+        kinds,
+        F.sum(F.when(kind == "temps", 1).otherwise(0)).alias("sensor_entries"),
+        F.sum(F.when(kind == "status", 1).otherwise(0)).alias("status_messages"),
+        F.sum(F.when(~kind.isin("temps", "status"), 1).otherwise(0)).alias("rejected"),
+    ).write.format("noop").mode("overwrite").save()
+    return parsed, messages, kinds
+
+
 def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> None:
     spark = envelope.sparkSession
-    parsed = iot.parse(envelope).persist()
+    parsed, messages, kinds = counted_parse(envelope)
     try:
+        counters = {**messages.get, **kinds.get}
+        spark.createDataFrame(
+            [(batch_id, counters["messages"], counters["sensor_entries"] or 0,
+              counters["status_messages"] or 0, counters["rejected"] or 0)],
+            "batch_id long, messages long, sensor_entries long, status_messages long, "
+            "rejected long").write.mode("overwrite").parquet(
+            f"{tables.path('ingest_counters')}/batch={batch_id}")
         new_readings = iot.readings(parsed)
         dim = dims.register_sensors(tables.sensors(spark), new_readings)
         dim = dim.checkpoint(eager=True)  # read and rewritten across batches

@@ -188,3 +188,24 @@ def test_start_position_policy(value, expected):
     o = start_options(value, has_checkpoint=True)
     assert (o["startingOffsets"], o["resume"]) == expected
     assert start_options("false", has_checkpoint=False)["resume"] is False
+
+
+def test_progress_interval_setting():
+    from tempora.streaming.ingest import progress_interval_seconds
+
+    assert progress_interval_seconds("0.5") == 30
+    assert progress_interval_seconds(None) == 1800
+    assert progress_interval_seconds("abc") == 1800
+    assert progress_interval_seconds("-1") == 1800
+
+
+def test_file_source_latest_skips_past(spark, workdir):
+    from tempora.sources.messages import read_envelopes
+
+    rows = [("{}", b"d", "0", 1, 1, datetime(2024, 1, 1)), ("{}", b"d", "0", 2, 2, datetime(2024, 1, 3))]
+    spark.createDataFrame(rows, ENVELOPE).write.parquet(f"{workdir}/env")
+    df = read_envelopes(spark, f"{workdir}/env", fmt="parquet", ignore_past="TRUE",
+                        started_at=datetime(2024, 1, 2))
+    q = df.writeStream.format("memory").queryName("latest_only").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [r["seq"] for r in spark.table("latest_only").collect()] == [2]

@@ -41,6 +41,10 @@ def test_iot_ingest_stream_exactly_once(spark, workdir):
     assert prog == {r["partition"]: r["m"] for r in env.groupBy("partition").agg(
         F.max("seq").alias("m")).collect()}
 
+    counters = tbl.read(spark, "ingest_counters")
+    assert counters.count() == 2                     # one row per micro-batch
+    assert counters.agg(F.sum("messages")).first()[0] == env.count()
+
     # a restart over the same checkpoint re-delivers nothing
     q2 = ingest.start(spark, src, tbl, ck, trigger={"availableNow": True})
     q2.awaitTermination(300)
