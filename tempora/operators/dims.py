@@ -36,11 +36,11 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], start, id_col: str = "id
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
-              .withColumn("_pid", F.spark_partition_id())
-              # Pin the partition assignment: a recomputed range shuffle may
-              # sample different bounds.
-              .checkpoint(eager=True))
+    # Materialise the keys first: the range bounds are then sampled from
+    # fixed data (a recomputed partition lands on the same bounds, so every
+    # key keeps its partition), and the upstream plan runs once.
+    base = df.checkpoint(eager=True)
+    ranged = base.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -546,7 +546,8 @@ SELECT f.time, d.id AS sensor_id, f.temperature
 FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
 def iot_readings(spark, sf_dir):
     """Readings with the registered sensor ids (sensor_data rows)."""
-    r = iot.readings(_parsed(spark, sf_dir))
+    # Used by both the registration and the id lookup: parse once.
+    r = iot.readings(_parsed(spark, sf_dir)).checkpoint(eager=True)
     dim = dims.register_sensors(_empty_sensors(spark), r)
     return dims.resolve(r, dim).select("time", "sensor_id", "temperature")
 
