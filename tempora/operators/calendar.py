@@ -33,14 +33,26 @@ def weekday_calendar(spark: SparkSession) -> DataFrame:
         F.col("day"), (F.col("pos") + 1).cast("bigint").alias("ordinal"))
 
 
+def trailing_year(time_col: str, as_of):
+    """The evident intent of the reference's predicate: the year before
+    ``as_of``."""
+    return timefns.trailing(time_col, as_of, "365 days")
+
+
+def _window(time_col: str, tz: str, as_of):
+    return within_year_of_month(time_col, tz) if as_of is None else trailing_year(time_col, as_of)
+
+
 def weekday_median(per_day: DataFrame, tz: str = "Europe/Berlin", label_tz: str | None = None,
                    time_col: str = "time", value_col: str = "value",
-                   method: str = "exact") -> DataFrame:
+                   method: str = "exact", as_of=None) -> DataFrame:
     """Median of daily values per weekday; all seven weekdays are returned,
     NULL where there is no data.  Labels use ``label_tz`` (default: the
-    UTC session, as the reference computes them)."""
+    UTC session, as the reference computes them).  Rows are kept by the
+    reference's predicate as written, or - given ``as_of`` - by the
+    trailing year."""
     spark = per_day.sparkSession
-    rows = per_day.filter(within_year_of_month(time_col, tz))
+    rows = per_day.filter(_window(time_col, tz, as_of))
     label_time = timefns.at_time_zone(time_col, label_tz) if label_tz else F.col(time_col)
     daily = rows.select(timefns.weekday_abbrev(label_time).alias("day"), F.col(value_col))
     pct = daily.groupBy("day").agg(_median(value_col, method).alias("value"))
@@ -53,9 +65,9 @@ def weekday_median(per_day: DataFrame, tz: str = "Europe/Berlin", label_tz: str
 
 def hour_profile(per_hour: DataFrame, tz: str = "Europe/Berlin", label_tz: str | None = None,
                  time_col: str = "time", value_col: str = "value", method: str = "exact",
-                 as_interval: bool = False) -> DataFrame:
+                 as_interval: bool = False, as_of=None) -> DataFrame:
     """Median and maximum of hourly values per hour of day."""
-    rows = per_hour.filter(within_year_of_month(time_col, tz))
+    rows = per_hour.filter(_window(time_col, tz, as_of))
     label_time = timefns.at_time_zone(time_col, label_tz) if label_tz else F.col(time_col)
     hour = (timefns.hour_interval(label_time) if as_interval
             else timefns.hour_of_day(label_time))

@@ -795,3 +795,53 @@ def iot_ingest_stream(spark, sf_dir):
     q = ingest.start(spark, src, out, f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
     return out.read(spark, "sensor_data").select("time", "sensor_id", "temperature")
+
+
+# ------------------------------------------- the remaining refresh policies
+
+@register("cagg_incremental_30min", _scenario_sql(
+    _stats_sql("30 minutes").replace("FROM events", f"FROM events WHERE {_VISIBLE}"),
+    _stats_sql("30 minutes"), "bucket_time",
+    _ceil_sql("30 minutes", f"{AS_OF} - INTERVAL 12 HOUR"),
+    f"time_bucket(INTERVAL '30 minutes', {AS_OF} - INTERVAL 30 MINUTE)"))
+def cagg_incremental_30min(spark, sf_dir):
+    """sensor_temp_30min refreshed under (12 h, 30 min)."""
+    df = _scenario(spark, sf_dir, tables.stat_readings_of, "sensor_temp_30min")
+    return r6(df.select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+@register("cagg_incremental_1h", _scenario_sql(
+    _stats_sql("1 hour").replace("FROM events", f"FROM events WHERE {_VISIBLE}"),
+    _stats_sql("1 hour"), "bucket_time",
+    _ceil_sql("1 hour", f"{AS_OF} - INTERVAL 2 DAY"),
+    f"time_bucket(INTERVAL '1 hour', {AS_OF} - INTERVAL 1 HOUR)"))
+def cagg_incremental_1h(spark, sf_dir):
+    """sensor_temp_1h refreshed under (2 days, 1 h)."""
+    df = _scenario(spark, sf_dir, tables.stat_readings_of, "sensor_temp_1h")
+    return r6(df.select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+@register("cagg_incremental_candle_10min", _scenario_sql(
+    _candle_sql("10 minutes").replace("FROM events", f"FROM events WHERE {_VISIBLE}"),
+    _candle_sql("10 minutes"), "bucket",
+    _ceil_sql("10 minutes", f"{AS_OF} - INTERVAL 30 MINUTE"),
+    f"time_bucket(INTERVAL '10 minutes', {AS_OF} - INTERVAL 10 MINUTE)"))
+def cagg_incremental_candle_10min(spark, sf_dir):
+    """ten_min_candle refreshed under (30 min, 10 min)."""
+    df = _scenario(spark, sf_dir, tables.stocks_of, "ten_min_candle")
+    return df.select("bucket", "symbol", "open", "high", "low", "close", "day_volume")
+
+
+def _kwh_hour_hi_sql():
+    t = f"(({AS_OF} - INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin'"
+    return (f"CAST((date_trunc('hour', {t}) AT TIME ZONE 'Europe/Berlin') AT TIME ZONE 'UTC' "
+            "AS TIMESTAMP)")
+
+
+@register("cagg_incremental_kwh_hour", _scenario_sql(
+    _kwh_sql("hour").replace("WHERE event_type = 'view'", f"WHERE event_type = 'view' AND {_VISIBLE}"),
+    _kwh_sql("hour"), "time", None, _kwh_hour_hi_sql()))
+def cagg_incremental_kwh_hour(spark, sf_dir):
+    """kwh_hour_by_hour refreshed under (unbounded, 1 h) on Berlin hours."""
+    df = _scenario(spark, sf_dir, lambda ev: tables.metrics_of_type_of(ev, 5), "kwh_hour_by_hour")
+    return df.select("time", "value")

@@ -124,3 +124,34 @@ def latest_progress(spark: SparkSession, tables: IngestTables) -> DataFrame:
     p = tables.read(spark, "stream_progress")
     last = F.max_by(F.struct("offset", "sequence_number", "timestamp"), F.col("sequence_number"))
     return p.groupBy("partition").agg(last.alias("l")).select("partition", "l.*")
+
+
+# -- progress records: list / get / delete (W8, X19) ---------------------------
+
+# Fixed value: the name prefix of a partition's progress record.
+CHECKPOINT_PREFIX = "checkpoint-"
+_RECORD = "offset long, sequence_number long, timestamp string"
+
+
+def records_from_named(named: DataFrame, name_col: str = "name",
+                       payload_col: str = "payload") -> DataFrame:
+    """Progress records kept as named JSON documents (``checkpoint-<id>``):
+    names without the prefix are ignored, the rest parsed per partition."""
+    rows = named.filter(F.col(name_col).startswith(CHECKPOINT_PREFIX))
+    rec = F.from_json(F.col(payload_col), _RECORD)
+    return rows.select(
+        F.regexp_replace(F.col(name_col), "^" + CHECKPOINT_PREFIX, "").alias("partition"),
+        rec.alias("r")).select("partition", "r.*")
+
+
+def get_progress(spark: SparkSession, tables: IngestTables, partition: str) -> DataFrame:
+    return latest_progress(spark, tables).filter(F.col("partition") == partition)
+
+
+def delete_progress(spark: SparkSession, tables: IngestTables, partition: str) -> None:
+    """Drop every stored record of one partition (read, filter, checkpoint,
+    rewrite - the table is small: one row per partition per batch)."""
+    p = tables.read(spark, "stream_progress")
+    kept = p.filter(F.col("partition") != partition).checkpoint(eager=True)
+    (kept.write.mode("overwrite").partitionBy("batch_id")
+     .parquet(tables.path("stream_progress")))

@@ -209,3 +209,30 @@ def test_file_source_latest_skips_past(spark, workdir):
     q = df.writeStream.format("memory").queryName("latest_only").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["seq"] for r in spark.table("latest_only").collect()] == [2]
+
+
+def test_progress_records_by_name(spark):
+    from tempora.streaming.ingest import records_from_named
+
+    named = spark.createDataFrame([
+        ("checkpoint-0", '{"offset": 100, "sequence_number": 1, "timestamp": "2024-01-01T00:00:00"}'),
+        ("checkpoint-1", '{"offset": 200, "sequence_number": 2, "timestamp": "2024-01-01T00:00:01"}'),
+        ("other-data", '{"offset": 9}')], "name string, payload string")
+    got = sorted((r["partition"], r["offset"], r["sequence_number"])
+                 for r in records_from_named(named).collect())
+    assert got == [("0", 100, 1), ("1", 200, 2)]
+
+
+def test_trailing_year_window(spark):
+    from pyspark.sql import functions as F
+
+    from tempora.operators import calendar
+
+    df = spark.createDataFrame([("2022-01-01 00:00:00", 1.0), ("2024-01-07 00:00:00", 2.0)],
+                               "time string, value double").withColumn(
+        "time", F.col("time").cast("timestamp_ntz"))
+    as_written = {r["day"]: r["value"] for r in calendar.weekday_median(df).collect()}
+    trailing = {r["day"]: r["value"] for r in calendar.weekday_median(
+        df, as_of=datetime(2024, 1, 8)).collect()}
+    assert as_written["Sat"] == 1.0 and as_written["Sun"] == 2.0   # predicate keeps every row
+    assert trailing["Sat"] is None and trailing["Sun"] == 2.0

@@ -50,6 +50,10 @@ def test_iot_ingest_stream_exactly_once(spark, workdir):
     q2.awaitTermination(300)
     assert tbl.read(spark, "sensor_data").count() == expect_readings
 
+    ingest.delete_progress(spark, tbl, "0")
+    assert ingest.get_progress(spark, tbl, "0").count() == 0
+    assert ingest.get_progress(spark, tbl, "1").count() == 1
+
 
 def test_tick_stream_keeps_price_frames(spark, workdir):
     ev = tables.events(spark, SF_SMALL)
