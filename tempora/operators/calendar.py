@@ -57,9 +57,9 @@ def weekday_median(per_day: DataFrame, tz: str = "Europe/Berlin", label_tz: str
     daily = rows.select(timefns.weekday_abbrev(label_time).alias("day"), F.col(value_col))
     pct = daily.groupBy("day").agg(_median(value_col, method).alias("value"))
     cal = weekday_calendar(spark)
-    # Seven calendar rows against at most seven aggregate rows: both sides
-    # have a fixed size bound, so the join is planned as a broadcast.
-    return (cal.join(pct, F.lower(pct["day"]) == F.lower(cal["day"]), "left")
+    # Seven calendar rows against at most seven aggregate rows (one per
+    # weekday label): a fixed size bound, so the aggregate is broadcast.
+    return (cal.join(F.broadcast(pct), F.lower(pct["day"]) == F.lower(cal["day"]), "left")
             .select(cal["day"], cal["ordinal"], pct["value"]))
 
 

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.session import checkpointed
+
 # Fixed values the reference writes for a new sensor.
 NEW_SENSOR_TYPE = "temperature"
 NEW_SENSOR_LOCATION = "unknown"
@@ -39,7 +41,7 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], start, id_col: str = "id
     # Materialise the keys first: the range bounds are then sampled from
     # fixed data (a recomputed partition lands on the same bounds, so every
     # key keeps its partition), and the upstream plan runs once.
-    base = df.checkpoint(eager=True)
+    base = checkpointed(df)
     ranged = base.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))

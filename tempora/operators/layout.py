@@ -15,12 +15,13 @@ many tasks by time instead of landing in one.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions import timefns
+from tempora.session import checkpointed, list_dirs
 
 DEFAULT_CHUNK = "7 days"
 
@@ -86,13 +87,16 @@ def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | Non
     """
     cutoff = as_of - timefns.parse_width(older_than)
     width = timefns.parse_width(chunk_interval)
-    old = spark.read.parquet(path).filter(
-        F.col("chunk") <= F.lit((timefns.bucket_floor(cutoff, width) - width).date()))
-    chunks = [r["chunk"] for r in old.select("chunk").distinct().collect()]  # one per interval
+    last_old = (timefns.bucket_floor(cutoff, width) - width).date()
+    # Chunk keys come from the directory listing - no rows are read.
+    chunks = sorted(d for d in (date.fromisoformat(n.split("=", 1)[1])
+                                for n in list_dirs(spark, path) if n.startswith("chunk="))
+                    if d <= last_old)
     if not chunks:
         return []
+    old = spark.read.parquet(path).filter(F.col("chunk") <= F.lit(last_old))
     rows = old.drop("chunk")
-    staged = clustered(rows, time_col, segment_by, chunk_interval).checkpoint(eager=True)
+    staged = checkpointed(clustered(rows, time_col, segment_by, chunk_interval))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").partitionBy("chunk").parquet(path))
-    return sorted(chunks)
+    return chunks

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions import aggs, timefns
+from tempora.session import checkpointed, delete_path
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,7 @@ class ContinuousAggregate:
         kept = spark.read.parquet(self.path).filter(touched & ~in_window)
         merged = kept.unionByName(fresh.select(*kept.columns))
         # The table is both read and overwritten: cut the lineage first.
-        staged = self._clustered(merged).checkpoint(eager=True)
+        staged = checkpointed(self._clustered(merged))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
         self._clear_emptied(spark, staged, first_day, last_day)
@@ -145,19 +146,14 @@ class ContinuousAggregate:
         stale = had - now
         if not stale:
             return
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for d in stale:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/bucket_date={d.isoformat()}")
-            p.getFileSystem(conf).delete(p, True)
+            delete_path(spark, f"{self.path}/bucket_date={d.isoformat()}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("bucket_date")
 
     def drop(self, spark: SparkSession) -> None:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete_path(spark, self.path)
 
     # -- streaming runner --------------------------------------------------
     def stream_frame(self, raw_stream: DataFrame) -> DataFrame:

@@ -384,7 +384,7 @@ from datetime import timedelta  # noqa: E402
 
 from tempora.operators import layout  # noqa: E402
 from tempora.plans import cagg  # noqa: E402
-from tempora.session import scratch_path  # noqa: E402
+from tempora.session import checkpointed, scratch_path  # noqa: E402
 
 _FIRST_PASS_LAG = timedelta(hours=2)
 _LATE_SQL = "CAST(props->>'k' AS INTEGER) < 10"
@@ -547,7 +547,7 @@ FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
 def iot_readings(spark, sf_dir):
     """Readings with the registered sensor ids (sensor_data rows)."""
     # Used by both the registration and the id lookup: parse once.
-    r = iot.readings(_parsed(spark, sf_dir)).checkpoint(eager=True)
+    r = checkpointed(iot.readings(_parsed(spark, sf_dir)))
     dim = dims.register_sensors(_empty_sensors(spark), r)
     return dims.resolve(r, dim).select("time", "sensor_id", "temperature")
 

@@ -73,6 +73,33 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def checkpointed(df):
+    """Reliable checkpoint into the shared folder (cuts lineage; survives
+    executor loss, unlike a local checkpoint)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of ``path`` for listing and deleting directories."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-directories of ``path`` (empty if it is missing)."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared folder, unique to this call."""
     import uuid
@@ -95,4 +122,4 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "exists", "local_path",
-           "DEFAULT_CONF"]
+           "checkpointed", "hadoop_fs", "delete_path", "list_dirs", "DEFAULT_CONF"]

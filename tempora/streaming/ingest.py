@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tempora import schemas
-from tempora.operators import dims
+from tempora.operators import dims, layout
+from tempora.session import checkpointed, delete_path, list_dirs
 from tempora.streaming import iot
 
 
 @dataclass
 class IngestTables:
     root: str
+    keep_snapshots: int = 2
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -35,21 +37,42 @@ class IngestTables:
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
+    def snapshot_ids(self, spark: SparkSession) -> list[int]:
+        """Committed dimension snapshots, from the directory listing (no
+        data is read to find the latest)."""
+        names = list_dirs(spark, self.path("sensors"))
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+
     def sensors(self, spark: SparkSession) -> DataFrame:
         """Latest committed dimension snapshot (empty before the first)."""
-        try:
-            snap = spark.read.parquet(self.path("sensors"))
-        except Exception:  # noqa: BLE001 - no snapshot yet
+        ids = self.snapshot_ids(spark)
+        if not ids:
             return spark.createDataFrame([], schemas.SENSORS)
-        latest = snap.agg(F.max("batch_id")).scalar()
-        return snap.filter(F.col("batch_id") == latest).drop("batch_id")
+        return spark.read.parquet(f"{self.path('sensors')}/batch_id={ids[-1]}")
+
+    def prune_snapshots(self, spark: SparkSession) -> None:
+        for old in self.snapshot_ids(spark)[:-self.keep_snapshots]:
+            delete_path(spark, f"{self.path('sensors')}/batch_id={old}")
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
+    """Overwrite this batch's own directory: a replayed batch replaces its
+    output instead of adding to it."""
     (df.write.mode("overwrite").option("compression", "zstd")
      .parquet(f"{path}/batch_id={batch_id}"))
 
 
+def _write_chunked(df: DataFrame, path: str, batch_id: int, time_col: str = "time") -> None:
+    """Time-chunked fact table: ``chunk=<date>/batch_id=<n>``.  Dynamic
+    partition overwrite replaces exactly this batch's (chunk, batch)
+    directories on replay, and time predicates prune whole chunks."""
+    out = df.withColumn("chunk", layout.chunk_of(time_col)).withColumn(
+        "batch_id", F.lit(batch_id).cast("long"))
+    (out.repartitionByRange("chunk", time_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").partitionBy("chunk", "batch_id").parquet(path))
+
+
 # Progress write interval in minutes and its fallback.
 DEFAULT_PROGRESS_MINUTES = 30.0
 
@@ -97,14 +120,15 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> N
             f"{tables.path('ingest_counters')}/batch={batch_id}")
         new_readings = iot.readings(parsed)
         dim = dims.register_sensors(tables.sensors(spark), new_readings)
-        dim = dim.checkpoint(eager=True)  # read and rewritten across batches
+        dim = checkpointed(dim)  # read and rewritten across batches
         _write(dim, tables.path("sensors"), batch_id)
         resolved = dims.resolve(new_readings, dim)
-        _write(resolved.select("time", "sensor_id", "temperature"),
-               tables.path("sensor_data"), batch_id)
-        _write(iot.device_status(parsed), tables.path("device_status"), batch_id)
+        _write_chunked(resolved.select("time", "sensor_id", "temperature"),
+                       tables.path("sensor_data"), batch_id)
+        _write_chunked(iot.device_status(parsed), tables.path("device_status"), batch_id)
         _write(iot.quarantine(parsed), tables.path("quarantine"), batch_id)
         _write(iot.progress(envelope), tables.path("stream_progress"), batch_id)
+        tables.prune_snapshots(spark)
     finally:
         parsed.unpersist()
 
@@ -152,6 +176,6 @@ def delete_progress(spark: SparkSession, tables: IngestTables, partition: str) -
     """Drop every stored record of one partition (read, filter, checkpoint,
     rewrite - the table is small: one row per partition per batch)."""
     p = tables.read(spark, "stream_progress")
-    kept = p.filter(F.col("partition") != partition).checkpoint(eager=True)
+    kept = checkpointed(p.filter(F.col("partition") != partition))
     (kept.write.mode("overwrite").partitionBy("batch_id")
      .parquet(tables.path("stream_progress")))
