@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once their RDD is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
