@@ -853,3 +853,21 @@ def cagg_incremental_kwh_hour(spark, sf_dir):
     """kwh_hour_by_hour refreshed under (unbounded, 1 h) on Berlin hours."""
     df = _scenario(spark, sf_dir, lambda ev: tables.metrics_of_type_of(ev, 5), "kwh_hour_by_hour")
     return df.select("time", "value")
+
+
+@register("tick_stream", """
+SELECT date_trunc('second', ts) AS time, event_type AS symbol, value AS price,
+       CASE WHEN event_type = 'signup' THEN NULL
+            ELSE CAST(event_id AS DECIMAL(38,10)) END AS day_volume
+FROM events""")
+def tick_stream(spark, sf_dir):
+    """S3/K1/F8: tick frames landed as text files, ingested by the streaming
+    job into a day-chunked Parquet table (file sink, exactly once)."""
+    base = scratch_path(spark, "stream", "ticks")
+    frames = messages.tick_frames(tables.events(spark, sf_dir))
+    frames.select(F.col("frame").alias("value")).write.text(f"{base}/landing")
+    src = messages.read_ticks(spark, f"{base}/landing")
+    q = tick_ingest.start(src, f"{base}/stocks", f"{base}/checkpoint",
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/stocks").drop("chunk")
