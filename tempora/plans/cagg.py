@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions import aggs, timefns
+from tempora.operators import layout
 from tempora.session import checkpointed, delete_path
 
 
@@ -77,6 +78,7 @@ class ContinuousAggregate:
     where: Callable[[], Column] | None = None
     bucket_name: str = "bucket"
     out_columns: list[str] = field(default_factory=list)
+    raw_chunk_interval: str = layout.DEFAULT_CHUNK  # when the raw table is chunked
 
     # -- the declared query ------------------------------------------------
     def compute(self, raw: DataFrame, lo: datetime | None = None,
@@ -88,6 +90,9 @@ class ContinuousAggregate:
             rows = rows.filter(F.col(self.time_col) >= timefns.ntz_literal(lo))
         if hi is not None:
             rows = rows.filter(F.col(self.time_col) < timefns.ntz_literal(hi))
+        if "chunk" in raw.columns and (lo is not None or hi is not None):
+            # a chunked raw table: skip whole chunk directories as well
+            rows = rows.filter(layout.chunk_range_filter(lo, hi, self.raw_chunk_interval))
         b = timefns.bucket(self.time_col, self.width, self.tz).alias(self.bucket_name)
         out = rows.groupBy(b, *[F.col(k) for k in self.keys]).agg(*self.measures())
         return out.withColumn("bucket_date", F.to_date(F.col(self.bucket_name)))

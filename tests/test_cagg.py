@@ -71,3 +71,18 @@ def test_policy_windows_of_all_seven_aggregates():
     # Berlin days: the last local midnight before t - 1 h is 23:00 UTC
     assert got["kwh_day_by_day"] == (None, datetime(2024, 1, 9, 23, 0))
     assert got["kwh_hour_by_hour"] == (None, datetime(2024, 1, 10, 11, 0))
+
+
+def test_refresh_on_a_chunked_raw_table_prunes_chunks(spark, workdir):
+    from tempora.operators import layout
+
+    raw = _readings(spark, _base(48))
+    layout.write_hypertable(raw, f"{workdir}/raw", "time", "sensor_id", chunk_interval="1 day")
+    table = spark.read.parquet(f"{workdir}/raw")
+    a = cagg.define("sensor_temp_10min", f"{workdir}/chunked")
+    a.raw_chunk_interval = "1 day"
+    lo, hi = a.window(datetime(2024, 1, 11, 12))
+    pruned = a.compute(table, lo, hi)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(chunk" in plan
+    assert _as_set(pruned) == _as_set(a.compute(raw, lo, hi))
