@@ -156,13 +156,6 @@ def readings(parsed: DataFrame) -> DataFrame:
                     "partition", "seq"))
 
 
-def _temps_rejects(parsed: DataFrame) -> DataFrame:
-    e = temps_entries(parsed).withColumn("_reason", _entry_reason())
-    return e.filter(F.col("_reason").isNotNull()).select(
-        "partition", "offset", "seq", "device_id", F.col("_reason").alias("reason"),
-        "sensor_sn", "body")
-
-
 # -- status ------------------------------------------------------------------
 
 def _present(t: Column) -> Column:
@@ -228,11 +221,15 @@ def device_status(parsed: DataFrame) -> DataFrame:
 # -- quarantine ----------------------------------------------------------------
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    """Every rejected message or sensor entry, with its reason."""
-    msg = parsed.filter(~F.col("kind").isin("temps", "status")).select(
-        "partition", "offset", "seq", "device_id", F.col("kind").alias("reason"),
-        F.lit(None).cast("string").alias("sensor_sn"), "body")
-    return msg.unionByName(_temps_rejects(parsed))
+    """Every rejected message or sensor entry, with its reason - one pass
+    over the routed rows: a temps entry carries its entry-level reason, a
+    rejected message its route/validation reason as ``kind``."""
+    kind = F.col("kind")
+    reason = (F.when(kind == "temps", _entry_reason())
+              .when(kind != "status", kind))
+    return (parsed.select("partition", "offset", "seq", "device_id", reason.alias("reason"),
+                          "sensor_sn", "body")
+            .filter(F.col("reason").isNotNull()))
 
 
 # -- progress (W8, S6) -----------------------------------------------------------
