@@ -48,7 +48,7 @@ _AS_OF: dict = {}
 def as_of(spark: SparkSession, sf_dir: str):
     """Latest event time of the given tables (read once per session and
     folder: the registered inputs are immutable)."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (tables.session_key(spark), sf_dir)
     if key not in _AS_OF:
         _AS_OF[key] = tables.latest_time(tables.events(spark, sf_dir), "ts")
     return _AS_OF[key]

@@ -38,12 +38,17 @@ TYPE_IDS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 _RELATIONS: dict = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session (a restarted context gets a new app id)."""
+    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table's relation, resolved once per session: file listing and
     Parquet footer schema are read on first use, later queries reuse them
     (the DataFrame is lazy - no rows are cached)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     df = _RELATIONS.get(key)
     if df is None:
         df = _RELATIONS[key] = spark.read.parquet(path)
