@@ -109,6 +109,8 @@ def counted_parse(envelope: DataFrame) -> tuple[DataFrame, Observation, Observat
 
 def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> None:
     spark = envelope.sparkSession
+    if envelope.isEmpty():  # an empty batch writes nothing and records no progress
+        return
     parsed, messages, kinds = counted_parse(envelope)
     try:
         counters = {**messages.get, **kinds.get}

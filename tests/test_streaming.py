@@ -82,3 +82,25 @@ def test_streaming_cagg_matches_batch_for_closed_windows(spark, workdir):
     assert got.count() > 0
     key = ["bucket_time", "sensor_id", "reading_count", "min_temperature", "max_temperature"]
     assert sorted(got.select(*key).collect()) == sorted(batch.select(*key).collect())
+
+
+def test_batch_of_five_and_empty_batch(spark, workdir):
+    import json
+    from datetime import datetime
+
+    from tempora.schemas import ENVELOPE
+
+    rows = [(json.dumps({"unix_time": 1700000000 + i, "temps": {f"sensor-{i}": 20.0 + i}}),
+             f"device-{i}".encode(), "0", 100 + i, 1 + i, datetime(2023, 11, 14)) for i in range(5)]
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    ingest.process_batch(tbl, spark.createDataFrame([], ENVELOPE), 0)
+    assert ingest.list_dirs(spark, tbl.root) == []          # nothing written for an empty batch
+    ingest.process_batch(tbl, spark.createDataFrame(rows, ENVELOPE), 1)
+    got = sorted((r["sensor_id"], r["temperature"]) for r in tbl.read(spark, "sensor_data").collect())
+    assert got == [(i + 1, 20.0 + i) for i in range(5)]
+    assert [(r["partition"], r["sequence_number"]) for r in
+            ingest.latest_progress(spark, tbl).collect()] == [("0", 5)]
+    assert tbl.read(spark, "ingest_counters").first()["messages"] == 5
+    # replaying the same batch id replaces its output
+    ingest.process_batch(tbl, spark.createDataFrame(rows, ENVELOPE), 1)
+    assert tbl.read(spark, "sensor_data").count() == 5
