@@ -730,9 +730,6 @@ def readings_fk_split(spark, sf_dir):
 
 # ------------------------------------------------ step 8: medians, sketches (A10)
 
-from tempora.operators import calendar as cal_ops  # noqa: E402
-
-
 @register("kwh_weekday_median_sketch", f"""
 WITH per_day AS ({_kwh_sql('day')}),
 daily AS (SELECT strftime(time, '%a') AS day, value FROM per_day WHERE {_F7}),

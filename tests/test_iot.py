@@ -21,7 +21,6 @@ def env(spark, bodies, device=b"device-001"):
 
 
 def parse(spark, bodies, **kw):
-    from pyspark.sql import functions as F
     from tempora.functions import timefns
 
     return iot.parse(env(spark, bodies, **kw), now=timefns.ntz_literal(NOW))
