@@ -25,6 +25,16 @@ from tempora.session import checkpointed, list_dirs
 
 DEFAULT_CHUNK = "7 days"
 
+# The reference's compression settings per table - segment-by
+# column, order-by column (descending) and the age after which a chunk is
+# compressed.
+COMPRESSION = {
+    "metrics": ("type_id", "created", "7 days"),
+    "stocks_real_time": ("symbol", "time", "1 day"),
+    "sensor_data": ("sensor_id", "time", "2 days"),
+    "device_status": ("device_id", "time", "2 days"),
+}
+
 
 def chunk_of(ts, chunk_interval=DEFAULT_CHUNK):
     """Chunk key: the date on which the row's chunk starts."""
@@ -100,3 +110,10 @@ def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | Non
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").partitionBy("chunk").parquet(path))
     return chunks
+
+
+def compact_table(spark: SparkSession, table: str, path: str, as_of: datetime,
+                  chunk_interval=DEFAULT_CHUNK) -> list:
+    """K7 with the reference's per-table policy (segment, order, age)."""
+    segment_by, time_col, older_than = COMPRESSION[table]
+    return compact(spark, path, time_col, segment_by, as_of, older_than, chunk_interval)

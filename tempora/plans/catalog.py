@@ -499,7 +499,7 @@ def compact_check(spark, sf_dir):
     layout.write_hypertable(tables.sensor_data_of(ev.filter(~late | late.isNull())), path, "time",
                             "sensor_id")
     layout.write_hypertable(tables.sensor_data_of(ev.filter(late)), path, "time", "sensor_id")
-    layout.compact(spark, path, "time", "sensor_id", as_of(spark, sf_dir), "2 days")
+    layout.compact_table(spark, "sensor_data", path, as_of(spark, sf_dir))
     return spark.read.parquet(path).drop("chunk")
 
 

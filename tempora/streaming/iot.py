@@ -240,10 +240,16 @@ def progress(envelope: DataFrame) -> DataFrame:
     g = envelope.groupBy("partition").agg(last.alias("_l"))
     return g.select("partition", F.col("_l.offset").alias("offset"),
                     F.col("_l.seq").alias("sequence_number"),
-                    F.date_format(F.col("_l.enqueued").cast("timestamp_ntz"),
+                    F.date_format(_utc_wall_clock(F.col("_l.enqueued")),
                                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
 
 
+def _utc_wall_clock(ts: Column) -> Column:
+    """An instant (TIMESTAMP) as UTC wall-clock time, whatever the session
+    time zone."""
+    return F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def partition_properties(envelope: DataFrame) -> DataFrame:
     """Per partition, first and last sequence number and message count."""
     return envelope.groupBy("partition").agg(
