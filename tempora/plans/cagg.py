@@ -135,22 +135,60 @@ class ContinuousAggregate:
         staged = checkpointed(self._clustered(merged))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
-        self._clear_emptied(spark, staged, first_day, last_day)
+        self._clear_emptied(spark, staged, touched)
         return lo, hi
 
-    def _clear_emptied(self, spark: SparkSession, staged: DataFrame, first_day, last_day) -> None:
-        """A touched date whose buckets all vanished is not rewritten by a
-        dynamic overwrite; remove its directory explicitly."""
+    def refresh_changed(self, raw: DataFrame, changed: DataFrame,
+                        as_of: datetime) -> tuple[datetime | None, datetime]:
+        """Refresh driven by invalidation: recompute only the buckets inside
+        the policy window that received rows since the last refresh
+        (``changed`` - e.g. the ingest's newest ``batch_id`` partitions).
+
+        Equivalent to ``refresh`` when every other bucket's rows are
+        unchanged, but its cost follows the new data, not the history - the
+        point for policies whose window is unbounded.
+        """
+        spark = raw.sparkSession
+        lo, hi = self.window(as_of)
+        if lo is not None and lo >= hi:
+            return lo, hi
+        rows = changed if self.where is None else changed.filter(self.where())
+        t = F.col(self.time_col)
+        rows = rows.filter(t < timefns.ntz_literal(hi))
+        if lo is not None:
+            rows = rows.filter(t >= timefns.ntz_literal(lo))
+        b = timefns.bucket(self.time_col, self.width, self.tz)
+        # Invalidated buckets: at most one row per bucket of the window.
+        inval = checkpointed(rows.select(b.alias("_b")).distinct())
+        bounds = inval.agg(F.min("_b").alias("lo"), F.max("_b").alias("hi"),
+                           F.collect_set(F.to_date("_b")).alias("days")).first()
+        if bounds["lo"] is None:
+            return lo, hi
+        # Read raw rows only from the invalidated span (pushed into the scan),
+        # then keep those whose bucket was invalidated.
+        span_hi = bounds["hi"] + timefns.parse_width(self.width) + timedelta(hours=3)
+        cand = raw.filter((t >= timefns.ntz_literal(bounds["lo"] - timedelta(hours=3)))
+                          & (t < timefns.ntz_literal(span_hi)))
+        cand = cand.withColumn("_b", b).join(F.broadcast(inval), "_b", "left_semi").drop("_b")
+        fresh = self.compute(cand)
+        days = sorted(bounds["days"])
+        old = spark.read.parquet(self.path).filter(F.col("bucket_date").isin(days))
+        kept = old.join(F.broadcast(inval), old[self.bucket_name] == inval["_b"], "left_anti")
+        merged = kept.unionByName(fresh.select(*kept.columns))
+        staged = checkpointed(self._clustered(merged))
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
+        self._clear_emptied(spark, staged, F.col("bucket_date").isin(days))
+        return lo, hi
+
+    def _clear_emptied(self, spark: SparkSession, staged: DataFrame, rewritten) -> None:
+        """A rewritten date whose buckets all vanished is not replaced by a
+        dynamic overwrite; remove its directory explicitly.  ``rewritten`` is
+        the predicate on ``bucket_date`` of the dates this refresh owns."""
         table = spark.read.parquet(self.path)
-        cond = F.col("bucket_date") <= F.lit(last_day)
-        if first_day is not None:
-            cond = cond & (F.col("bucket_date") >= F.lit(first_day))
-        had = {r[0] for r in table.filter(cond).select("bucket_date").distinct().collect()}
+        had = {r[0] for r in table.filter(rewritten).select("bucket_date").distinct().collect()}
         now = {r[0] for r in staged.select("bucket_date").distinct().collect()}
-        stale = had - now
-        if not stale:
-            return
-        for d in stale:
+        for d in had - now:
             delete_path(spark, f"{self.path}/bucket_date={d.isoformat()}")
 
     def read(self, spark: SparkSession) -> DataFrame:

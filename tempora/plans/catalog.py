@@ -868,3 +868,18 @@ def tick_stream(spark, sf_dir):
                           trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(f"{base}/stocks").drop("chunk")
+
+
+@register("cagg_invalidation_kwh", ORACLE["cagg_incremental_kwh"])
+def cagg_invalidation_kwh(spark, sf_dir):
+    """W2 for an unbounded policy, driven by invalidation: after the first
+    pass, only the buckets that received rows since (late rows and the last
+    two hours) are recomputed - the same result as refreshing all history."""
+    ev = tables.events(spark, sf_dir)
+    t = as_of(spark, sf_dir)
+    visible = (F.col("ts") <= timefns.ntz_literal(t - _FIRST_PASS_LAG)) & ~tables.late_arrival(ev)
+    agg = cagg.define("kwh_day_by_day", scratch_path(spark, "cagg", "invalidation"))
+    mapper = lambda e: tables.metrics_of_type_of(e, 5)
+    agg.create(mapper(ev.filter(visible)))
+    agg.refresh_changed(mapper(ev), mapper(ev.filter(~visible)), t)
+    return agg.read(spark).select("time", "value")

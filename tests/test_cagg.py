@@ -86,3 +86,26 @@ def test_refresh_on_a_chunked_raw_table_prunes_chunks(spark, workdir):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(chunk" in plan
     assert _as_set(pruned) == _as_set(a.compute(raw, lo, hi))
+
+
+def test_invalidation_refresh_equals_window_refresh(spark, workdir):
+    raw = _readings(spark, _base(48))
+    late = _readings(spark, [(datetime(2024, 1, 10, 1, 1), 0, 99.0),
+                             (datetime(2024, 1, 11, 20, 3), 1, -5.0)])
+    for name in ["sensor_temp_1h", "kwh_day_by_day"]:
+        a = cagg.define(name, f"{workdir}/{name}_a")
+        b = cagg.define(name, f"{workdir}/{name}_b")
+        src = raw
+        if name.startswith("kwh"):   # counter rows of type 5, Berlin days
+            src = raw.select(F.col("time").alias("created"), F.lit(5).alias("type_id"),
+                             F.col("temperature").alias("value"))
+            late_rows = late.select(F.col("time").alias("created"), F.lit(5).alias("type_id"),
+                                    F.col("temperature").alias("value"))
+        else:
+            late_rows = late
+        a.create(src)
+        b.create(src)
+        now = datetime(2024, 1, 12, 0, 30)
+        a.refresh(src.unionByName(late_rows), now)
+        b.refresh_changed(src.unionByName(late_rows), late_rows, now)
+        assert _as_set(a.read(spark)) == _as_set(b.read(spark)), name
