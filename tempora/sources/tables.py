@@ -40,7 +40,10 @@ _RELATIONS: dict = {}
 
 def session_key(spark: SparkSession) -> tuple:
     """Identity of a live session (a restarted context gets a new app id)."""
-    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+    try:
+        return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+    except Exception:  # noqa: BLE001 - a session without a local context
+        return ("session", id(spark))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
