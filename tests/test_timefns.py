@@ -106,3 +106,15 @@ def test_merged_hourly_sketches_close_to_exact_median(spark):
     assert all(r["readings"] == r["n"] for r in j)
     # the sketch answers with a stored value (a discrete median) close to the interpolated one
     assert all(abs(r["median_temperature"] - r["exact"]) < 3 for r in j)
+
+
+def test_label_zone_option(spark):
+    from tempora.operators import calendar
+
+    # a Berlin-day bucket starting 2024-01-06 23:00 UTC is Sunday 7 Jan locally
+    df = spark.createDataFrame([("2024-01-06 23:00:00", 5.0)], "time string, value double").withColumn(
+        "time", F.col("time").cast("timestamp_ntz"))
+    utc = {r["day"]: r["value"] for r in calendar.weekday_median(df).collect()}
+    local = {r["day"]: r["value"] for r in calendar.weekday_median(df, label_tz="Europe/Berlin").collect()}
+    assert utc["Sat"] == 5.0 and utc["Sun"] is None          # as the reference labels it
+    assert local["Sun"] == 5.0 and local["Sat"] is None
