@@ -1,4 +1,4 @@
-"""Time-chunked Parquet tables ("hypertables"), their column layout, and
+"""Time-chunked Parquet tables ("chunked tables"), their column layout, and
 age-based compaction.
 
 * K5: rows are written under ``chunk=<date>`` directories, one per fixed time
@@ -62,7 +62,7 @@ def clustered(df: DataFrame, time_col: str, segment_by: str | None,
     return ranged.sortWithinPartitions(*order)
 
 
-def write_hypertable(df: DataFrame, path: str, time_col: str, segment_by: str | None = None,
+def write_chunked(df: DataFrame, path: str, time_col: str, segment_by: str | None = None,
                      chunk_interval=DEFAULT_CHUNK, mode: str = "append",
                      max_records_per_file: int = 5_000_000) -> None:
     """Append (or overwrite) rows into a chunked table at ``path``."""
@@ -74,7 +74,7 @@ def write_hypertable(df: DataFrame, path: str, time_col: str, segment_by: str |
      .parquet(path))
 
 
-def read_hypertable(spark: SparkSession, path: str, time_col: str, lo: datetime | None = None,
+def read_chunked(spark: SparkSession, path: str, time_col: str, lo: datetime | None = None,
                     hi: datetime | None = None, chunk_interval=DEFAULT_CHUNK,
                     keep_chunk: bool = False) -> DataFrame:
     """Rows with lo <= time < hi, pruned to the chunks that can hold them."""

@@ -483,10 +483,10 @@ WHERE time >= {AS_OF} - INTERVAL 7 DAY""")
 def chunk_write_readback(spark, sf_dir):
     """K5/K6: write readings as a 7-day-chunked table segmented by sensor,
     read back a week with chunk pruning."""
-    path = scratch_path(spark, "hypertable", "sensor_data")
-    layout.write_hypertable(tables.sensor_data(spark, sf_dir), path, "time", "sensor_id")
+    path = scratch_path(spark, "chunked", "sensor_data")
+    layout.write_chunked(tables.sensor_data(spark, sf_dir), path, "time", "sensor_id")
     t = as_of(spark, sf_dir)
-    return layout.read_hypertable(spark, path, "time", lo=t - timedelta(days=7))
+    return layout.read_chunked(spark, path, "time", lo=t - timedelta(days=7))
 
 
 @register("compact_check", f"SELECT time, sensor_id, temperature FROM ({_READINGS}) r")
@@ -494,11 +494,11 @@ def compact_check(spark, sf_dir):
     """K7: two appends (on-time, then late rows), then compaction of chunks
     older than two days; the table keeps every row."""
     ev = tables.events(spark, sf_dir)
-    path = scratch_path(spark, "hypertable", "compact")
+    path = scratch_path(spark, "chunked", "compact")
     late = tables.late_arrival(ev)
-    layout.write_hypertable(tables.sensor_data_of(ev.filter(~late | late.isNull())), path, "time",
+    layout.write_chunked(tables.sensor_data_of(ev.filter(~late | late.isNull())), path, "time",
                             "sensor_id")
-    layout.write_hypertable(tables.sensor_data_of(ev.filter(late)), path, "time", "sensor_id")
+    layout.write_chunked(tables.sensor_data_of(ev.filter(late)), path, "time", "sensor_id")
     layout.compact_table(spark, "sensor_data", path, as_of(spark, sf_dir))
     return spark.read.parquet(path).drop("chunk")
 

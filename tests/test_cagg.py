@@ -77,7 +77,7 @@ def test_refresh_on_a_chunked_raw_table_prunes_chunks(spark, workdir):
     from tempora.operators import layout
 
     raw = _readings(spark, _base(48))
-    layout.write_hypertable(raw, f"{workdir}/raw", "time", "sensor_id", chunk_interval="1 day")
+    layout.write_chunked(raw, f"{workdir}/raw", "time", "sensor_id", chunk_interval="1 day")
     table = spark.read.parquet(f"{workdir}/raw")
     a = cagg.define("sensor_temp_10min", f"{workdir}/chunked")
     a.raw_chunk_interval = "1 day"

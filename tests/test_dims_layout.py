@@ -49,13 +49,13 @@ def test_orphans(spark):
     assert [r[0] for r in dims.orphans(fact, dim, "sensor_id", "id").collect()] == [2]
 
 
-def test_hypertable_pruning_and_compaction(spark, workdir):
+def test_chunked_table_pruning_and_compaction(spark, workdir):
     rows = [(datetime(2024, 1, d, h), d % 3, float(d * 100 + h)) for d in range(1, 29) for h in (0, 12)]
     df = spark.createDataFrame(rows, "time timestamp_ntz, sensor_id int, temperature double")
     path = f"{workdir}/ht"
-    layout.write_hypertable(df, path, "time", "sensor_id")
-    layout.write_hypertable(df.limit(3), path, "time", "sensor_id")  # a second append
-    part = layout.read_hypertable(spark, path, "time", lo=datetime(2024, 1, 22))
+    layout.write_chunked(df, path, "time", "sensor_id")
+    layout.write_chunked(df.limit(3), path, "time", "sensor_id")  # a second append
+    part = layout.read_chunked(spark, path, "time", lo=datetime(2024, 1, 22))
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(chunk" in plan
     assert part.count() == 14
