@@ -62,8 +62,8 @@ def first_sightings(sightings: DataFrame, key: str = "sensor_sn", attr: str = "d
         F.min(order).alias("_first"))
 
 
-def register_sensors(dim: DataFrame, sightings: DataFrame) -> DataFrame:
-    """New dimension = existing rows unchanged ∪ unseen serials with new ids.
+def new_sensors(dim: DataFrame, sightings: DataFrame) -> DataFrame:
+    """Rows to add to the dimension: unseen serials with their new ids.
 
     ``dim``: (id, sensor_sn, device_id, type, location);
     ``sightings``: (sensor_sn, device_id, time, seq).
@@ -74,9 +74,14 @@ def register_sensors(dim: DataFrame, sightings: DataFrame) -> DataFrame:
     ordered = new.select("sensor_sn", "device_id", F.col("_first.time").alias("_t"),
                          F.col("_first.seq").alias("_s"))
     numbered = with_dense_ids(ordered, ["_t", "_s", "sensor_sn"], start)
-    added = numbered.select("id", "sensor_sn", "device_id",
-                            F.lit(NEW_SENSOR_TYPE).alias("type"),
-                            F.lit(NEW_SENSOR_LOCATION).alias("location"))
+    return numbered.select("id", "sensor_sn", "device_id",
+                           F.lit(NEW_SENSOR_TYPE).alias("type"),
+                           F.lit(NEW_SENSOR_LOCATION).alias("location"))
+
+
+def register_sensors(dim: DataFrame, sightings: DataFrame) -> DataFrame:
+    """New dimension = existing rows unchanged ∪ unseen serials with new ids."""
+    added = new_sensors(dim, sightings)
     return dim.select("id", "sensor_sn", "device_id", "type", "location").unionByName(added)
 
 

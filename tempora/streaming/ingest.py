@@ -121,9 +121,13 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> N
             "rejected long").write.mode("overwrite").parquet(
             f"{tables.path('ingest_counters')}/batch={batch_id}")
         new_readings = iot.readings(parsed)
-        dim = dims.register_sensors(tables.sensors(spark), new_readings)
-        dim = checkpointed(dim)  # read and rewritten across batches
-        _write(dim, tables.path("sensors"), batch_id)
+        current = tables.sensors(spark)
+        added = dims.new_sensors(current, new_readings)   # ids already materialised
+        if added.isEmpty():
+            dim = current            # nothing new: keep the committed snapshot
+        else:
+            dim = checkpointed(current.unionByName(added))  # read and rewritten across batches
+            _write(dim, tables.path("sensors"), batch_id)
         resolved = dims.resolve(new_readings, dim)
         _write_chunked(resolved.select("time", "sensor_id", "temperature"),
                        tables.path("sensor_data"), batch_id)
