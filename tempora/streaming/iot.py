@@ -87,20 +87,27 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
     """
     now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
     s1 = envelope.select("*", F.try_parse_json("body").alias("_v"),
-                         F.json_object_keys("body").alias("_keys"),
                          device_id(F.col("device_id_raw")).alias("device_id"))
+    # Key presence from the parsed value (a key holding JSON null is present:
+    # variant null, not SQL NULL); the body is parsed once.
+    v = F.col("_v")
+    # valid JSON whose first non-blank character is '{' is an object
+    s1 = s1.select("*", F.col("body").rlike(r"^\s*\{").alias("_is_obj"),
+                   _sub(v, "$.temps").isNotNull().alias("_has_temps"),
+                   _sub(v, "$.status").isNotNull().alias("_has_status"))
     s2 = s1.select("*", _type(F.col("_v"), "$.unix_time").alias("_ut_t"))
     s3 = s2.select("*", _epoch_from(F.col("_ut_t"), F.col("_v")).alias("_epoch"))
     epoch = F.col("_epoch")
     time = (F.when(epoch == 0, now)
             .when(epoch.between(*_EPOCH_RANGE), timefns.from_epoch_seconds(epoch)))
     s4 = s3.select("*", time.alias("time"))
-    route = (F.when(F.col("_keys").isNull(), F.lit("invalid_json"))
+    route = (F.when(F.col("_v").isNull() | ~F.col("_is_obj"), F.lit("invalid_json"))
              .when(F.col("time").isNull(), F.lit("bad_time"))
-             .when(F.array_contains("_keys", "temps"), F.lit("temps"))
-             .when(F.array_contains("_keys", "status"), F.lit("status"))
+             .when(F.col("_has_temps"), F.lit("temps"))
+             .when(F.col("_has_status"), F.lit("status"))
              .otherwise(F.lit("unknown_format")))
-    s5 = s4.select("*", route.alias("route")).drop("_ut_t", "_epoch")
+    s5 = s4.select("*", route.alias("route")).drop(
+        "_ut_t", "_epoch", "_is_obj", "_has_temps", "_has_status")
     return _routed(_with_status_checks(s5))
 
 

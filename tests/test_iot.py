@@ -235,3 +235,12 @@ def test_trailing_year_window(spark):
         df, as_of=datetime(2024, 1, 8)).collect()}
     assert as_written["Sat"] == 1.0 and as_written["Sun"] == 2.0   # predicate keeps every row
     assert trailing["Sat"] is None and trailing["Sun"] == 2.0
+
+
+@pytest.mark.parametrize("body", ["[1, 2]", "123", '"text"', "null", '  {"temps": {"a": 1.0}} '])
+def test_only_json_objects_are_routed(spark, body):
+    p = parse(spark, [body])
+    expect_reading = body.strip().startswith("{")
+    assert iot.readings(p).count() == (1 if expect_reading else 0)
+    if not expect_reading:
+        assert [r["reason"] for r in iot.quarantine(p).collect()] == ["invalid_json"]
