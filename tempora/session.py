@@ -115,12 +115,9 @@ def local_path(path: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable table (any file system)."""
-    try:
-        spark.read.format("parquet").load(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path / not a table
-        return False
+    """True when ``path`` exists (any Hadoop file system)."""
+    fs, p = hadoop_fs(spark, path)
+    return bool(fs.exists(p))
 
 
 __all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "exists", "local_path",
