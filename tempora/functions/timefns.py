@@ -132,6 +132,19 @@ def from_epoch_seconds(secs) -> Column:
     return F.timestamp_add("SECOND", _col(secs), ntz_literal("1970-01-01 00:00:00"))
 
 
+def ntz_to_instant(ts) -> Column:
+    """UTC wall-clock (TIMESTAMP_NTZ) → TIMESTAMP instant, independent of the
+    session time zone (a plain cast would apply the session offset)."""
+    micros = F.timestamp_diff("MICROSECOND", ntz_literal("1970-01-01 00:00:00"), as_ntz(ts))
+    return F.timestamp_micros(micros)
+
+
+def instant_to_ntz(ts) -> Column:
+    """TIMESTAMP instant → UTC wall-clock TIMESTAMP_NTZ, session-independent."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)),
+                           ntz_literal("1970-01-01 00:00:00"))
+
+
 def trailing(ts, as_of, span, inclusive: bool = False) -> Column:
     """``ts > as_of - span`` (``>=`` when inclusive), as_of a datetime/str."""
     lo = ntz_literal(as_of_dt(as_of) - parse_width(span))

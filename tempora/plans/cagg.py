@@ -206,13 +206,13 @@ class ContinuousAggregate:
             rows = rows.filter(self.where())
         if self.tz:
             # Watermark and window on local wall-clock time, then back to UTC.
-            rows = rows.withColumn("_evt", timefns.at_time_zone(t, self.tz).cast("timestamp"))
+            rows = rows.withColumn("_evt", timefns.ntz_to_instant(timefns.at_time_zone(t, self.tz)))
         else:
-            rows = rows.withColumn("_evt", t.cast("timestamp"))
+            rows = rows.withColumn("_evt", timefns.ntz_to_instant(t))
         rows = rows.withWatermark("_evt", self.policy.watermark)
         agg = rows.groupBy(F.window("_evt", f"{timefns._micros(self.width) // 1_000_000} seconds"),
                            *[F.col(k) for k in self.keys]).agg(*self.measures())
-        start = F.col("window.start").cast("timestamp_ntz")
+        start = timefns.instant_to_ntz(F.col("window.start"))
         if self.tz:
             start = timefns.from_local(start, self.tz)
         return agg.select(start.alias(self.bucket_name),

@@ -104,3 +104,27 @@ def test_batch_of_five_and_empty_batch(spark, workdir):
     # replaying the same batch id replaces its output
     ingest.process_batch(tbl, spark.createDataFrame(rows, ENVELOPE), 1)
     assert tbl.read(spark, "sensor_data").count() == 5
+
+
+def test_streaming_berlin_days_any_session_zone(spark, workdir):
+    """kwh_day_by_day as a stream: local-day windows, closed by the
+    watermark, equal the batch buckets - also with a non-UTC session."""
+    from datetime import datetime
+
+    rows = [(datetime(2024, 1, d, h, 30), 5, float(d * 100 + h)) for d in range(1, 8)
+            for h in (0, 5, 22, 23)]
+    df = spark.createDataFrame(rows, "created timestamp_ntz, type_id int, value double")
+    df.write.parquet(f"{workdir}/raw")
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        agg = cagg.define("kwh_day_by_day", f"{workdir}/out")
+        src = spark.readStream.schema(df.schema).parquet(f"{workdir}/raw")
+        q = agg.stream(src, f"{workdir}/ck", trigger={"availableNow": True})
+        q.awaitTermination(300)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+    got = {r["time"]: r["value"] for r in spark.read.parquet(agg.path).collect()}
+    batch = {r["time"]: r["value"] for r in agg.compute(df).collect()}
+    assert got and all(batch[k] == v for k, v in got.items())
+    assert min(got) == datetime(2023, 12, 31, 23, 0)   # Berlin midnight of 1 Jan in UTC
