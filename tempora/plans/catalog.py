@@ -663,7 +663,7 @@ def csv_load(spark, sf_dir):
     csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
     csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
     return spark.read.parquet(f"{base}/metrics").withColumn(
-        "created", F.col("created").cast("timestamp_ntz"))
+        "created", timefns.instant_to_ntz("created"))
 
 
 # ------------------------------------------------ constraint checks (K9)

@@ -80,7 +80,7 @@ def iot_envelopes(ev: DataFrame) -> DataFrame:
         "body", _device(F.col("user_id")).alias("device_id_raw"),
         (F.col("user_id") % 4).cast("string").alias("partition"),
         (F.col("seq") * 10).alias("offset"), "seq",
-        F.col("ts").cast("timestamp").alias("enqueued"))
+        timefns.ntz_to_instant("ts").alias("enqueued"))
 
 
 def tick_frames(ev: DataFrame) -> DataFrame:

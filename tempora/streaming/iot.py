@@ -85,7 +85,7 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
     field test, and each projection stays small enough for whole-stage
     code generation.
     """
-    now = now if now is not None else F.current_timestamp().cast("timestamp_ntz")
+    now = now if now is not None else timefns.instant_to_ntz(F.current_timestamp())
     s1 = envelope.select("*", F.try_parse_json("body").alias("_v"),
                          device_id(F.col("device_id_raw")).alias("device_id"))
     # Key presence from the parsed value (a key holding JSON null is present:
@@ -254,7 +254,7 @@ def progress(envelope: DataFrame) -> DataFrame:
 def _utc_wall_clock(ts: Column) -> Column:
     """An instant (TIMESTAMP) as UTC wall-clock time, whatever the session
     time zone."""
-    return F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz"))
+    return timefns.instant_to_ntz(ts)
 
 
 def partition_properties(envelope: DataFrame) -> DataFrame:
