@@ -224,13 +224,6 @@ def table_counts(sensors: DataFrame, readings: DataFrame) -> DataFrame:
         "sensors", n_readings.alias("readings"))
 
 
-def kwh_sketch_median(per_day: DataFrame, tz: str = BERLIN) -> DataFrame:
-    """A10 with a mergeable sketch: KLL per weekday, quantile at 0.5."""
-    return calendar.weekday_median(per_day, tz, method="sketch")
-
-
-
-
 def hourly_sketches(readings: DataFrame) -> DataFrame:
     """percentile_agg per (hour, sensor): a mergeable KLL sketch column."""
     from tempora.functions import aggs

@@ -244,3 +244,13 @@ def test_only_json_objects_are_routed(spark, body):
     assert iot.readings(p).count() == (1 if expect_reading else 0)
     if not expect_reading:
         assert [r["reason"] for r in iot.quarantine(p).collect()] == ["invalid_json"]
+
+
+def test_epoch_of_forms(spark):
+    from pyspark.sql import functions as F
+
+    bodies = ['{"unix_time": 1700000000}', '{"unix_time": "  42 "}', '{"unix_time": 7.9}',
+              '{"unix_time": true}', '{}', '{"unix_time": "1.5"}', '{"unix_time": null}']
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = [r[0] for r in df.select(iot.epoch_of(F.try_parse_json("body"))).collect()]
+    assert got == [1700000000, 42, 7, 1, 0, None, None]
