@@ -191,8 +191,14 @@ class ContinuousAggregate:
         for d in had - now:
             delete_path(spark, f"{self.path}/bucket_date={d.isoformat()}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("bucket_date")
+    def read(self, spark: SparkSession, after: datetime | None = None) -> DataFrame:
+        """The materialised rows; ``after`` keeps buckets later than it and
+        prunes the ``bucket_date`` partitions that cannot hold them."""
+        df = spark.read.parquet(self.path)
+        if after is not None:
+            df = df.filter((F.col("bucket_date") >= F.lit(after.date()))
+                           & (F.col(self.bucket_name) > timefns.ntz_literal(after)))
+        return df.drop("bucket_date")
 
     def drop(self, spark: SparkSession) -> None:
         delete_path(spark, self.path)

@@ -26,6 +26,7 @@ def executed(spark, name):
     ("status_latest_10", "TakeOrderedAndProject(limit=10"),
     ("candle_10min", "partial_min_by"),
     ("sensor_temp_10min", "partial_avg"),
+    ("agg_recent_10min_materialized", "PartitionFilters: [isnotnull(bucket_date), (bucket_date >="),
 ])
 def test_plan_property(spark, name, needle):
     assert needle in executed(spark, name)
