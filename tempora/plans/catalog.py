@@ -907,3 +907,23 @@ def agg_recent_10min_materialized(spark, sf_dir):
     agg.create(tables.stat_readings(spark, sf_dir))
     df = reports.recent_aggregates(agg.read(spark, after=_since(t, "1 day")), t)
     return r6(df.select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+@register("agg_1h_one_sensor_materialized", ORACLE["agg_1h_one_sensor"])
+def agg_1h_one_sensor_materialized(spark, sf_dir):
+    """R16 against the materialised hourly aggregate (30-day partition range)."""
+    t = as_of(spark, sf_dir)
+    agg = cagg.define("sensor_temp_1h", scratch_path(spark, "cagg", "materialized_1h"))
+    agg.create(tables.stat_readings(spark, sf_dir))
+    df = reports.sensor_history(agg.read(spark, after=_since(t, "30 days")), SENSOR, t)
+    return r6(df, "avg_temperature")
+
+
+@register("stability_class_materialized", ORACLE["stability_class"])
+def stability_class_materialized(spark, sf_dir):
+    """R17 against the materialised 10-minute aggregate (last day's partitions)."""
+    t = as_of(spark, sf_dir)
+    agg = cagg.define("sensor_temp_10min", scratch_path(spark, "cagg", "materialized_stab"))
+    agg.create(tables.stat_readings(spark, sf_dir))
+    df = reports.stability_class(agg.read(spark, after=_since(t, "1 day")), t)
+    return r6(df, "avg_temperature", "stddev_temperature")
