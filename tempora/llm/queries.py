@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, mixing
+from tempora.llm import exact_dedup, mixing, sharding
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_sharding": sharding.op4_sharding,
     "op9_mixing": mixing.op9_mixing,
 }
 
