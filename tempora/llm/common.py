@@ -129,7 +129,7 @@ def signed(x: np.ndarray) -> pa.Array:
 #: The white space of the contracts, as bytes: x20 and x09 to x0D.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -148,19 +148,19 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hashes(values: np.ndarray, base: int = _BASE) -> np.ndarray:
+def prefix_hashes(values: np.ndarray, base: int = BASE) -> np.ndarray:
     """S[i] = sum over j < i of values[j] * base**j, modulo 2**64."""
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values.astype(np.uint64) * powers(base, len(values)), out=out[1:])
     return out
 
 
-def inverse(base: int = _BASE) -> int:
+def inverse(base: int = BASE) -> int:
     return pow(base, -1, 1 << 64)
 
 
 def slice_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray,
-                 base: int = _BASE) -> np.ndarray:
+                 base: int = BASE) -> np.ndarray:
     """Polynomial hashes of values[start:end], the same wherever the slice stands."""
     n = len(prefix)
     return (prefix[end] - prefix[start]) * powers(inverse(base), n)[start]

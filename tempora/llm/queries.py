@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, mixing, sharding
+from tempora.llm import exact_dedup, mixing, pii, sentencepiece, sharding
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op7_pii": pii.op7_pii,
+    "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
 }
 
