@@ -139,10 +139,9 @@ def powers(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length() if n > 1 else 1)
         p = np.ones(size, np.uint64)
-        k, step = 1, np.uint64(base % (1 << 64))
+        k = 1
         while k < size:  # doubling: p[k:2k] = p[:k] * base**k
-            p[k:2 * k] = p[:k] * step
-            step = step * step
+            p[k:2 * k] = p[:k] * np.uint64(pow(base, k, 1 << 64))
             k *= 2
         _POWERS[base] = have = p
     return have[:n]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, mixing, pii, sentencepiece, sharding
+from tempora.llm import exact_dedup, mixing, pii, sentencepiece, sharding, toxicity
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
