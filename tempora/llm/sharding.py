@@ -76,6 +76,8 @@ class Runs:
         least = max(largest, -(-total // shards))
         low = self.smallest(shards, True, least, total)
         high = self.smallest(shards, False, low, total)
+        if low == high:  # enough with runs kept whole, and nothing smaller is
+            return np.empty(0, np.int64)
         first, last = self.passed(low, shards, False), self.passed(high, shards, True)
         hit = np.zeros(len(self.single), bool)
         for a, b in zip(first, last):
