@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, mixing, pii, sentencepiece, sharding, toxicity
+from tempora.llm import embedding_dedup, exact_dedup, mixing, pii, sentencepiece, sharding, toxicity
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
     "op7_pii": pii.op7_pii,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
@@ -15,4 +16,5 @@ QUERIES = {
 
 ORACLE = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op5_embedding_dedup": embedding_dedup.OP5_SQL,
 }
