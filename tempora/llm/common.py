@@ -186,6 +186,41 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64(h + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+# --- groups ---------------------------------------------------------------------------------
+
+def blocks_of(rows: DataFrame, keys: list[str], member: str, size: int) -> DataFrame:
+    """Deal groups as pairs of blocks: adds ``i, j`` (the pair) and ``block``; drops lone members.
+
+    A group of up to ``size`` rows is the one pair (0, 0).  Larger ones are cut by hash into blocks of
+    about ``size``, and a member goes to every pair that has its block."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("members")).filter("members > 1")
+    with_size = rows.join(sizes, keys)
+    with_size = with_size.withColumn("blocks", F.ceil(F.col("members") / size).cast("int"))
+    with_size = with_size.withColumn(
+        "block", F.pmod(F.xxhash64(F.lit(5), member), F.col("blocks").cast("long")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return with_size.select("*", other).select(
+        *rows.columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
+def first_common(lists: pa.Array, now: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For members left x right with lists of group ids: True where ``now`` is the least id that both
+    have (it is in all the lists).  A pair that meets in several groups counts in that one only."""
+    owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    ids = lists.flatten().to_numpy()
+    below = ids < now
+    out = np.ones((len(left), len(right)), bool)
+    if below.any():
+        names, at = np.unique(ids[below], return_inverse=True)
+        owner = owner[below]
+        for a in range(0, len(names), 2048):  # a bounded table at a time
+            some = (at >= a) & (at < a + 2048)
+            has = np.zeros((len(lists), min(2048, len(names) - a)), np.float32)
+            has[owner[some], at[some] - a] = 1
+            out &= has[left] @ has[right].T == 0
+    return out
+
+
 # --- graph ------------------------------------------------------------------------------------
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

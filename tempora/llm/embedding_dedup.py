@@ -30,8 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import (components, group_starts, list_array, spanning_edges, whole_groups,
-                                written)
+from tempora.llm.common import (blocks_of, components, first_common, group_starts, list_array,
+                                spanning_edges, whole_groups, written)
 
 THRESHOLD, BLOCKS, CODES, FILTERS, SPREAD, BLOCK, SEED = 0.93, 3, 6, 48, 64, 512, 11
 
@@ -185,16 +185,7 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
         near &= np.arange(len(left))[:, None] < np.arange(len(right))
     if not near.any():
         return n[:0], n[:0], []
-    # a pair that shares a smaller filter is counted there
-    lists = table.column("codes").chunk(0)
-    owner = np.repeat(np.arange(len(n)), np.diff(lists.offsets.to_numpy()))
-    codes = lists.flatten().to_numpy()
-    below = codes < code
-    if below.any():
-        names, at = np.unique(codes[below], return_inverse=True)
-        has = np.zeros((len(n), len(names)), np.float32)
-        has[owner[below], at] = 1
-        near &= has[left] @ has[right].T == 0
+    near &= first_common(table.column("codes").chunk(0), code, left, right)
     a, b = np.nonzero(near)
     if not len(a):
         return n[:0], n[:0], []
@@ -205,21 +196,6 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
     return n[hit], links[hit], [(int(n[p]), int(n[q])) for p, q in tree]
 
 
-def blocks_of(rows: DataFrame, keys: list[str], member: str, size: int) -> DataFrame:
-    """Deal groups as pairs of blocks: adds ``i, j`` (the pair) and ``block``; drops lone members.
-
-    A group of up to ``size`` rows is the one pair (0, 0).  Larger ones are cut by hash into blocks of
-    about ``size``, and a member goes to every pair that has its block."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("members")).filter("members > 1")
-    with_size = rows.join(sizes, keys)
-    with_size = with_size.withColumn("blocks", F.ceil(F.col("members") / size).cast("int"))
-    with_size = with_size.withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(5), member), F.col("blocks").cast("long")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    return with_size.select("*", other).select(
-        *rows.columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-
-
 def links(vectors: DataFrame, words: int, threshold: float = THRESHOLD, filters: int = FILTERS,
           block: int = BLOCK) -> DataFrame:
     """``a, b, links`` of all groups of ``vectors(n, label, copies, vector)``: with ``b`` null, numbers
