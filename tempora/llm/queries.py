@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tempora.llm import embedding_dedup, exact_dedup, mixing, pii, sentencepiece, sharding, toxicity
+from tempora.llm import embedding_dedup, exact_dedup, jaccard_join, mixing, pii, sentencepiece, sharding, toxicity
 
 QUERIES = {
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_jaccard_join": jaccard_join.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_embedding_dedup": embedding_dedup.OP5_SQL,
 }
