@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tempora.llm import embedding_dedup, exact_dedup, jaccard_join, mixing, pii, sentencepiece, sharding, toxicity
+from tempora.llm import (embedding_dedup, exact_dedup, jaccard_join, mixing, pii, sentencepiece,
+                         sharding, substring_dedup, suffix_dedup, toxicity)
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_pii": pii.op7_pii,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
