@@ -9,27 +9,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tempora.llm import exact_dedup, jaccard_join, mixing, sentencepiece, toxicity
 from tempora.llm.common import written
-from tempora.llm.exact_dedup import DigestIndex, deduplicated
-from tempora.llm.mixing import mixed
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from ``labels`` and the documents at hand."""
+    return toxicity.accepted(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, that with the largest doc_id."""
-    return deduplicated(docs, DigestIndex.create(spark))
+    """Of equal texts the document with the largest doc_id stays."""
+    return exact_dedup.deduplicated(docs, exact_dedup.DigestIndex.create(spark))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more that with the smallest doc_id stays."""
+    return jaccard_join.deduplicated(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix of sources takes it."""
-    return mixed(docs)
+    """Every document as often as the mix of sources takes it, none to two times."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_tokens`` of every document, repeats included."""
+    return sentencepiece.encode(docs)
 
 
 STAGES = [
+    ("toxicity", toxic),
     ("exact_dedup", exact),
+    ("jaccard_join", near),
     ("mixing", mix),
+    ("sentencepiece", tokens),
 ]
 
-#: The model and the random choices in the stages have no SQL form; tests hold them to brute force.
+#: A trained model, a random join and a random mix have no SQL form; tests/llm holds the stages to brute force.
 ORACLE_SQL = None
 
 
