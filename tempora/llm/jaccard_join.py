@@ -5,10 +5,11 @@ pairs (coordinate, min-hash) are its tokens.  In every one of ``RUNS`` runs, set
 root: a node picks one or two coordinates at random (seeded by its path, 1 / THRESHOLD of them on
 average) and sends each set to the child named by its token there.  Two sets of similarity at the
 threshold share one child of each shared node on average, dissimilar ones soon none.  After ``DEPTH``
-levels the buckets of up to ``BUCKET`` sets are compared by brute force; larger ones are split
-``DEPTH`` levels further, down to ``DEEPEST``; what is still larger there holds sets that are alike,
-and is dealt as pairs of blocks to as many tasks.  A pair at the threshold is missed by all twelve
-runs with a chance under 1 in 10,000 where its buckets are small, one at 0.9 never in practice.
+levels the buckets of up to ``BUCKET`` sets are compared by brute force.  A larger one whose sets are
+alike (their mean similarity is ``ALIKE`` or more) gains nothing from splits; it is dealt as pairs of
+blocks to as many tasks.  Other large ones are split ``DEPTH`` levels further, down to ``DEEPEST``.  A
+pair at the threshold is missed by all twelve runs with a chance under 1 in 10,000, and of 1 in 600 if
+all its buckets had to be split once more; above the threshold both chances fall quickly.
 
 Within a bucket, pairs whose min-hashes agree in far fewer coordinates than the threshold are left
 out, and only sets that have a partner go on, with their shingles, to the exact comparison.  A pair
@@ -35,6 +36,7 @@ from tempora.llm.common import (blocks_of, byte_slices, components, documents, f
 
 SHINGLE, THRESHOLD = 5, 0.8
 COORDINATES, RUNS, DEPTH, DEEPEST, BUCKET = 128, 12, 4, 12, 512
+PROBES, ALIKE = 8, 0.4
 #: Below this share of equal min-hashes a pair isn't compared: 4.5 standard deviations under 0.8.
 HOPE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / COORDINATES) ** 0.5
 
@@ -152,22 +154,44 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("c").take(pa.array(row)), signed(path)], names=["c", "path"])
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first ``PROBES`` tokens of every set of a bucket."""
+    for batch in batches:
+        sketch = _sketch(batch.column("sketch"))[:, :PROBES].astype(np.int64)
+        token = sketch + (np.arange(PROBES, dtype=np.int64) << 32)
+        path = batch.column("path").take(pa.array(np.repeat(np.arange(batch.num_rows), PROBES)))
+        yield pa.RecordBatch.from_arrays([path, pa.array(token.ravel())], names=["path", "token"])
+
+
+def dense(large: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The paths of buckets whose sets are alike, by the mean similarity of all their pairs: the chance
+    that two members have a token in common, from counts of the tokens."""
+    counts = (large.join(sketch, "c").select("path", "sketch").mapInArrow(_tokens, "path long, token long")
+              .groupBy("path", "token").agg(F.count("*").cast("double").alias("n")))
+    return (counts.groupBy("path").agg((F.sum(F.col("n") * F.col("n")) * PROBES / F.sum("n") ** 2).alias("j"))
+            .filter(F.col("j") >= ALIKE).select("path"))
+
+
 def buckets(classes: DataFrame, size: int = BUCKET) -> DataFrame:
     """``path, c`` of the buckets in which the recursion ends."""
     sketch = classes.select("c", "sketch")
     rows = written(sketch.mapInArrow(_paths, "c long, path long"), "jaccard")
     done = None
+
+    def end(part: DataFrame) -> DataFrame:
+        part = part.select("path", "c")
+        return part if done is None else done.unionAll(part)
+
     for depth in range(DEPTH, DEEPEST + 1, DEPTH):
-        many = rows.groupBy("path").agg(F.count("*").alias("many"))
-        if depth == DEEPEST:
-            small = rows.join(many.filter("many > 1"), "path").select("path", "c")
-            return small if done is None else done.unionAll(small)
-        counted = written(rows.join(many.filter("many > 1"), "path"), "jaccard")
-        small = counted.filter(F.col("many") <= size).select("path", "c")
-        done = small if done is None else done.unionAll(small)
-        large = counted.filter(F.col("many") > size).select("path", "c")
-        if not large.limit(1).count():
-            return done
+        many = rows.groupBy("path").agg(F.count("*").alias("many")).filter("many > 1")
+        counted = written(rows.join(written(many, "jaccard"), "path"), "jaccard")
+        large = counted.filter(F.col("many") > size)
+        if depth == DEEPEST or not large.limit(1).count():
+            return end(counted)
+        done = end(counted.filter(F.col("many") <= size))
+        alike = written(dense(large, sketch), "jaccard")
+        done = end(large.join(alike, "path", "left_semi"))
+        large = large.join(alike, "path", "left_anti")
         rows = written(large.join(sketch, "c").select("c", "sketch", "path")
                        .mapInArrow(_paths, "c long, path long"), "jaccard")
     return done
