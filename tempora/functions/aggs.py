@@ -18,7 +18,11 @@ def _col(c) -> Column:
 
 
 def _order(time, tiebreak=None) -> Column:
-    return F.struct(_col(time), _col(tiebreak)) if tiebreak is not None else _col(time)
+    """Sort key: the time, or (time, tie-break columns) with NULL times left out."""
+    if tiebreak is None:
+        return _col(time)
+    ties = tiebreak if isinstance(tiebreak, (list, tuple)) else [tiebreak]
+    return F.when(_col(time).isNotNull(), F.struct(_col(time), *[_col(t) for t in ties]))
 
 
 def first_at(value, time, tiebreak=None) -> Column:

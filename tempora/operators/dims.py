@@ -38,11 +38,13 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], start, id_col: str = "id
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Materialise the keys first: the range bounds are then sampled from
-    # fixed data (a recomputed partition lands on the same bounds, so every
-    # key keeps its partition), and the upstream plan runs once.
-    base = checkpointed(df)
-    ranged = base.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    # Range bounds are sampled per exchange, and two plans over the same keys
+    # may hold two exchanges with different bounds.  So the partition number
+    # is materialised with the rows, and counts and row numbers both come
+    # from that one table.  (The keys are materialised before, so that the
+    # sampling pass doesn't run the upstream plan again.)
+    ranged = checkpointed(checkpointed(df).repartitionByRange(n, *order)
+                          .withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

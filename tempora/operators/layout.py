@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions import timefns
-from tempora.session import checkpointed, list_dirs
+from tempora.session import checkpointed, hadoop_fs, list_dirs, read_text, write_text
 
 DEFAULT_CHUNK = "7 days"
 
@@ -41,6 +41,22 @@ def chunk_of(ts, chunk_interval=DEFAULT_CHUNK):
     return F.to_date(timefns.time_bucket(ts, chunk_interval))
 
 
+def remember_interval(spark: SparkSession, path: str, chunk_interval) -> None:
+    """Keep the chunk interval with the table (readers skip files with a leading underscore)."""
+    seconds = int(timefns.parse_width(chunk_interval).total_seconds())
+    known = known_interval(spark, path)
+    if known is not None and known != seconds:
+        raise ValueError(f"{path} is chunked by {known} s, not {seconds} s")
+    if known is None:
+        write_text(spark, f"{path}/_chunk_interval", str(seconds))
+
+
+def known_interval(spark: SparkSession, path: str) -> int | None:
+    """Chunk interval of a table in seconds, None where the table doesn't tell."""
+    text = read_text(spark, f"{path}/_chunk_interval")
+    return int(text) if text else None
+
+
 def chunk_range_filter(lo: datetime | None, hi: datetime | None, chunk_interval=DEFAULT_CHUNK):
     """Partition predicate implied by lo <= ts < hi (Spark does not derive it
     through the bucket expression, so state it)."""
@@ -66,20 +82,25 @@ def write_chunked(df: DataFrame, path: str, time_col: str, segment_by: str | Non
                      chunk_interval=DEFAULT_CHUNK, mode: str = "append",
                      max_records_per_file: int = 5_000_000) -> None:
     """Append (or overwrite) rows into a chunked table at ``path``."""
+    remember_interval(df.sparkSession, path, chunk_interval) if mode == "append" else None
     (clustered(df, time_col, segment_by, chunk_interval)
      .write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .option("compression", "zstd")
      .partitionBy("chunk")
      .parquet(path))
+    if mode != "append":
+        remember_interval(df.sparkSession, path, chunk_interval)
 
 
 def read_chunked(spark: SparkSession, path: str, time_col: str, lo: datetime | None = None,
-                    hi: datetime | None = None, chunk_interval=DEFAULT_CHUNK,
-                    keep_chunk: bool = False) -> DataFrame:
-    """Rows with lo <= time < hi, pruned to the chunks that can hold them."""
+                    hi: datetime | None = None, keep_chunk: bool = False) -> DataFrame:
+    """Rows with lo <= time < hi, pruned to the chunks that can hold them -
+    by the interval kept with the table; where none is, by time alone."""
     df = spark.read.parquet(path)
-    df = df.filter(chunk_range_filter(lo, hi, chunk_interval))
+    seconds = known_interval(spark, path)
+    if seconds is not None:
+        df = df.filter(chunk_range_filter(lo, hi, f"{seconds} seconds"))
     if lo is not None:
         df = df.filter(F.col(time_col) >= timefns.ntz_literal(lo))
     if hi is not None:
@@ -87,13 +108,23 @@ def read_chunked(spark: SparkSession, path: str, time_col: str, lo: datetime | N
     return df if keep_chunk else df.drop("chunk")
 
 
+def _data_files(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = hadoop_fs(spark, folder)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if not st.getPath().getName().startswith(("_", ".")))
+
+
 def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | None,
             as_of: datetime, older_than, chunk_interval=DEFAULT_CHUNK) -> list:
     """Rewrite every chunk that ended more than ``older_than`` before
-    ``as_of`` with the segment/order layout (K7).  Returns the chunk keys.
+    ``as_of`` with the segment/order layout (K7), unless it is unchanged
+    since its last compaction: each compacted chunk keeps the list of its
+    files beside them.  Returns the chunks rewritten.
 
     The rewritten rows are checkpointed to the shared folder before the
-    chunks they were read from are overwritten.
+    chunks they were read from are overwritten.  Tables with directories
+    below the chunks (the ingest's batches) are refused: their readers and
+    replays go by those directories.
     """
     cutoff = as_of - timefns.parse_width(older_than)
     width = timefns.parse_width(chunk_interval)
@@ -102,13 +133,20 @@ def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | Non
     chunks = sorted(d for d in (date.fromisoformat(n.split("=", 1)[1])
                                 for n in list_dirs(spark, path) if n.startswith("chunk="))
                     if d <= last_old)
+    nested = [d for d in chunks if list_dirs(spark, f"{path}/chunk={d.isoformat()}")]
+    if nested:
+        raise ValueError(f"{path} has directories below its chunks; it can't be compacted in place")
+    chunks = [d for d in chunks if read_text(spark, f"{path}/chunk={d.isoformat()}/_compacted")
+              != "\n".join(_data_files(spark, f"{path}/chunk={d.isoformat()}"))]
     if not chunks:
         return []
-    old = spark.read.parquet(path).filter(F.col("chunk") <= F.lit(last_old))
-    rows = old.drop("chunk")
+    parts = [f"{path}/chunk={d.isoformat()}" for d in chunks]
+    rows = spark.read.option("basePath", path).parquet(*parts).drop("chunk")
     staged = checkpointed(clustered(rows, time_col, segment_by, chunk_interval))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").partitionBy("chunk").parquet(path))
+    for folder in parts:
+        write_text(spark, f"{folder}/_compacted", "\n".join(_data_files(spark, folder)))
     return chunks
 
 

@@ -26,7 +26,8 @@ def candles(ticks: DataFrame, width, time_col: str = "time", symbol_col: str = "
             price_col: str = "price", volume_col: str | None = "day_volume") -> DataFrame:
     """OHLC(V) candles per (bucket, symbol)."""
     return bucket_agg(ticks, time_col, width, [symbol_col],
-                      aggs.ohlc(price_col, time_col, volume_col), bucket_name="bucket")
+                      aggs.ohlc(price_col, time_col, volume_col,
+                                [c for c in (volume_col, price_col) if c]), bucket_name="bucket")
 
 
 def sensor_stats(readings: DataFrame, width, time_col: str = "time",
@@ -43,7 +44,7 @@ def counter_deltas(metrics: DataFrame, width, tz: str | None = None, time_col: s
     """Per-bucket consumption of a cumulative counter: last - first, to the
     cent (half-even)."""
     return bucket_agg(metrics, time_col, width, [],
-                      [aggs.counter_delta(value_col, time_col).alias("value")],
+                      [aggs.counter_delta(value_col, time_col, value_col).alias("value")],
                       tz=tz, bucket_name=out_time)
 
 

@@ -10,7 +10,8 @@ Two runners share one spec:
   overwrite).  Rows older than the window never change; the newest bucket
   is held back - the late-data rule of the reference.
 * streaming: ``stream`` runs the same aggregate as a Structured Streaming
-  ``window`` aggregation with the watermark at ``start_offset``.
+  ``window`` aggregation with the watermark at ``start_offset``, merged
+  into the same table.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions import aggs, timefns
 from tempora.operators import layout
-from tempora.session import checkpointed, delete_path
+from tempora.session import checkpointed, delete_path, exists
 
 
 @dataclass(frozen=True)
@@ -45,8 +46,10 @@ class RefreshPolicy:
 
     @property
     def watermark(self) -> str:
-        delay = self.start_offset if self.start_offset is not None else self.end_offset
-        return f"{int(delay.total_seconds())} seconds"
+        if self.start_offset is None:
+            raise ValueError("an unbounded policy keeps every late row; no watermark can: "
+                             "run it by run_policy, or stream it with an explicit lateness")
+        return f"{int(self.start_offset.total_seconds())} seconds"
 
 
 def _floor(t: datetime, width, tz: str | None) -> datetime:
@@ -77,7 +80,7 @@ class ContinuousAggregate:
     tz: str | None = None
     where: Callable[[], Column] | None = None
     bucket_name: str = "bucket"
-    raw_chunk_interval: str = layout.DEFAULT_CHUNK  # when the raw table is chunked
+    raw_chunk_interval: str | None = None  # where known (layout.known_interval), prunes its chunks
 
     # -- the declared query ------------------------------------------------
     def compute(self, raw: DataFrame, lo: datetime | None = None,
@@ -89,8 +92,8 @@ class ContinuousAggregate:
             rows = rows.filter(F.col(self.time_col) >= timefns.ntz_literal(lo))
         if hi is not None:
             rows = rows.filter(F.col(self.time_col) < timefns.ntz_literal(hi))
-        if "chunk" in raw.columns and (lo is not None or hi is not None):
-            # a chunked raw table: skip whole chunk directories as well
+        if self.raw_chunk_interval and "chunk" in raw.columns and (lo is not None or hi is not None):
+            # a raw table whose interval is known: skip whole chunk directories as well
             rows = rows.filter(layout.chunk_range_filter(lo, hi, self.raw_chunk_interval))
         b = timefns.bucket(self.time_col, self.width, self.tz).alias(self.bucket_name)
         out = rows.groupBy(b, *[F.col(k) for k in self.keys]).agg(*self.measures())
@@ -129,13 +132,10 @@ class ContinuousAggregate:
         in_window = b < timefns.ntz_literal(hi)
         if lo is not None:
             in_window = in_window & (b >= timefns.ntz_literal(lo))
-        kept = spark.read.parquet(self.path).filter(touched & ~in_window)
-        merged = kept.unionByName(fresh.select(*kept.columns))
-        # The table is both read and overwritten: cut the lineage first.
-        staged = checkpointed(self._clustered(merged))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
-        self._clear_emptied(spark, staged, touched)
+        table = spark.read.parquet(self.path).filter(touched)
+        days = checkpointed(table.select("bucket_date").distinct())
+        kept = table.filter(~in_window)
+        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), days)
         return lo, hi
 
     def refresh_changed(self, raw: DataFrame, changed: DataFrame,
@@ -160,36 +160,48 @@ class ContinuousAggregate:
         b = timefns.bucket(self.time_col, self.width, self.tz)
         # Invalidated buckets: at most one row per bucket of the window.
         inval = checkpointed(rows.select(b.alias("_b")).distinct())
-        bounds = inval.agg(F.min("_b").alias("lo"), F.max("_b").alias("hi"),
-                           F.collect_set(F.to_date("_b")).alias("days")).first()
+        bounds = inval.agg(F.min("_b").alias("lo"), F.max("_b").alias("hi")).first()
         if bounds["lo"] is None:
             return lo, hi
         # Read raw rows only from the invalidated span (pushed into the scan),
-        # then keep those whose bucket was invalidated.
+        # then keep those whose bucket was invalidated.  The engine broadcasts
+        # the buckets if their measured size allows.
         span_hi = bounds["hi"] + timefns.parse_width(self.width) + timedelta(hours=3)
         cand = raw.filter((t >= timefns.ntz_literal(bounds["lo"] - timedelta(hours=3)))
                           & (t < timefns.ntz_literal(span_hi)))
-        cand = cand.withColumn("_b", b).join(F.broadcast(inval), "_b", "left_semi").drop("_b")
-        fresh = self.compute(cand)
-        days = sorted(bounds["days"])
-        old = spark.read.parquet(self.path).filter(F.col("bucket_date").isin(days))
-        kept = old.join(F.broadcast(inval), old[self.bucket_name] == inval["_b"], "left_anti")
-        merged = kept.unionByName(fresh.select(*kept.columns))
-        staged = checkpointed(self._clustered(merged))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
-        self._clear_emptied(spark, staged, F.col("bucket_date").isin(days))
+        cand = cand.withColumn("_b", b).join(inval, "_b", "left_semi").drop("_b")
+        self._replace(spark, self.compute(cand), inval.withColumnRenamed("_b", self.bucket_name),
+                      [self.bucket_name])
         return lo, hi
 
-    def _clear_emptied(self, spark: SparkSession, staged: DataFrame, rewritten) -> None:
-        """A rewritten date whose buckets all vanished is not replaced by a
-        dynamic overwrite; remove its directory explicitly.  ``rewritten`` is
-        the predicate on ``bucket_date`` of the dates this refresh owns."""
-        table = spark.read.parquet(self.path)
-        had = {r[0] for r in table.filter(rewritten).select("bucket_date").distinct().collect()}
-        now = {r[0] for r in staged.select("bucket_date").distinct().collect()}
-        for d in had - now:
-            delete_path(spark, f"{self.path}/bucket_date={d.isoformat()}")
+    def run_policy(self, raw: DataFrame, changed: DataFrame,
+                   as_of: datetime) -> tuple[datetime | None, datetime]:
+        """What the schedule runs: a bounded window is recomputed, an
+        unbounded one only where rows have changed."""
+        if self.policy.start_offset is None:
+            return self.refresh_changed(raw, changed, as_of)
+        return self.refresh(raw, as_of)
+
+    def _replace(self, spark: SparkSession, fresh: DataFrame, gone: DataFrame,
+                 keys: list[str]) -> None:
+        """Replace the rows whose ``keys`` are in ``gone`` by ``fresh``, and
+        rewrite only the dates of either.  Dates and buckets stay DataFrames;
+        the dates prune the scan of the table by its partitions."""
+        days = checkpointed(gone.select(F.to_date(self.bucket_name).alias("bucket_date")).distinct())
+        old = spark.read.parquet(self.path).join(days, "bucket_date", "left_semi")
+        kept = old.join(gone.select(*keys), keys, "left_anti")
+        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), days)
+
+    def _overwrite_dates(self, spark: SparkSession, rows: DataFrame, days: DataFrame) -> None:
+        # The table is both read and overwritten: cut the lineage first.
+        staged = checkpointed(self._clustered(rows))
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
+        # A rewritten date whose buckets all vanished is not replaced by a
+        # dynamic overwrite; remove those (rare) directories one by one.
+        emptied = days.join(staged.select("bucket_date").distinct(), "bucket_date", "left_anti")
+        for d in emptied.toLocalIterator():
+            delete_path(spark, f"{self.path}/bucket_date={d[0].isoformat()}")
 
     def read(self, spark: SparkSession, after: datetime | None = None) -> DataFrame:
         """The materialised rows; ``after`` keeps buckets later than it and
@@ -204,8 +216,11 @@ class ContinuousAggregate:
         delete_path(spark, self.path)
 
     # -- streaming runner --------------------------------------------------
-    def stream_frame(self, raw_stream: DataFrame) -> DataFrame:
-        """The windowed streaming aggregate (watermark = start_offset)."""
+    def stream_frame(self, raw_stream: DataFrame, lateness=None) -> DataFrame:
+        """The windowed streaming aggregate.  Rows later than the watermark -
+        ``lateness``, else the policy's start offset - no longer count."""
+        delay = (self.policy.watermark if lateness is None
+                 else f"{int(timefns.parse_width(lateness).total_seconds())} seconds")
         t = F.col(self.time_col)
         rows = raw_stream
         if self.where is not None:
@@ -215,7 +230,7 @@ class ContinuousAggregate:
             rows = rows.withColumn("_evt", timefns.ntz_to_instant(timefns.at_time_zone(t, self.tz)))
         else:
             rows = rows.withColumn("_evt", timefns.ntz_to_instant(t))
-        rows = rows.withWatermark("_evt", self.policy.watermark)
+        rows = rows.withWatermark("_evt", delay)
         agg = rows.groupBy(F.window("_evt", f"{timefns._micros(self.width) // 1_000_000} seconds"),
                            *[F.col(k) for k in self.keys]).agg(*self.measures())
         start = timefns.instant_to_ntz(F.col("window.start"))
@@ -224,15 +239,28 @@ class ContinuousAggregate:
         return agg.select(start.alias(self.bucket_name),
                           *[c for c in agg.columns if c != "window"])
 
+    def merge(self, fresh: DataFrame) -> None:
+        """Put rows of the aggregate into its table, replacing those with the
+        same bucket and keys: repeating a merge changes nothing."""
+        spark = fresh.sparkSession
+        if fresh.isEmpty():
+            return
+        rows = checkpointed(fresh.withColumn("bucket_date", F.to_date(F.col(self.bucket_name))))
+        if not exists(spark, self.path):
+            self._clustered(rows).write.option("compression", "zstd").partitionBy(
+                "bucket_date").parquet(self.path)
+            return
+        self._replace(spark, rows, rows, [self.bucket_name, *self.keys])
+
     def stream(self, raw_stream: DataFrame, checkpoint: str, output_mode: str = "append",
-               trigger: dict | None = None):
-        """Start the streaming runner writing Parquet to ``path``."""
-        writer = (self.stream_frame(raw_stream)
-                  .withColumn("bucket_date", F.to_date(F.col(self.bucket_name)))
-                  .writeStream.outputMode(output_mode).format("parquet")
-                  .option("checkpointLocation", checkpoint).partitionBy("bucket_date"))
-        writer = writer.trigger(**(trigger or {"processingTime": self.policy.trigger}))
-        return writer.start(self.path)
+               trigger: dict | None = None, lateness=None):
+        """Start the streaming runner.  It merges into the same table that
+        ``create`` writes and ``refresh`` rewrites; a replayed micro-batch
+        replaces its own rows.  Mode ``update`` also shows open windows."""
+        writer = (self.stream_frame(raw_stream, lateness).writeStream.outputMode(output_mode)
+                  .foreachBatch(lambda df, _: self.merge(df))
+                  .option("checkpointLocation", checkpoint))
+        return writer.trigger(**(trigger or {"processingTime": self.policy.trigger})).start()
 
 
 # -- the reference's seven aggregates, declared -----------------------------
@@ -258,7 +286,7 @@ def sensor_temp(name: str, width: str, path: str) -> ContinuousAggregate:
 def candle(name: str, width: str, path: str) -> ContinuousAggregate:
     return ContinuousAggregate(
         name=name, time_col="time", width=width, keys=["symbol"],
-        measures=lambda: aggs.ohlc("price", "time", "day_volume"), policy=POLICIES[name],
+        measures=lambda: aggs.ohlc("price", "time", "day_volume", ["day_volume", "price"]), policy=POLICIES[name],
         path=path, bucket_name="bucket")
 
 
@@ -266,7 +294,7 @@ def kwh(name: str, width: str, path: str, type_id: int = 5,
         tz: str = "Europe/Berlin") -> ContinuousAggregate:
     return ContinuousAggregate(
         name=name, time_col="created", width=width, keys=[],
-        measures=lambda: [aggs.counter_delta("value", "created").alias("value")],
+        measures=lambda: [aggs.counter_delta("value", "created", "value").alias("value")],
         policy=POLICIES[name], path=path, tz=tz,
         where=lambda: F.col("type_id") == type_id, bucket_name="time")
 

@@ -242,3 +242,23 @@ def daily_median_from_hourly_sketches(readings: DataFrame) -> DataFrame:
                            F.col("sensor_id")).agg(aggs.kll_merge("sketch").alias("sketch"))
     return daily.select("day", "sensor_id", aggs.kll_median("sketch").alias("median_temperature"),
                         F.kll_sketch_get_n_double("sketch").alias("readings"))
+
+
+def median_rank_check(readings: DataFrame, error: float = 0.017) -> DataFrame:
+    """Per day: number of readings, and whether the median read from the
+    merged hourly sketches has a rank within ``error`` of the middle."""
+    from tempora.functions import aggs
+
+    day = timefns.time_bucket("bucket_time", "1 day").alias("day")
+    medians = hourly_sketches(readings).groupBy(day).agg(aggs.kll_merge("sketch").alias("sketch")).select(
+        "day", aggs.kll_median("sketch").alias("median"))
+    rows = readings.filter(F.col("temperature").isNotNull()).select(
+        timefns.time_bucket("time", "1 day").alias("day"), "temperature")
+    ranks = rows.join(medians, "day").groupBy("day").agg(
+        F.count(F.lit(1)).alias("readings"),
+        F.sum((F.col("temperature") < F.col("median")).cast("long")).alias("below"),
+        F.sum((F.col("temperature") <= F.col("median")).cast("long")).alias("upto"))
+    slack = F.col("readings") * error + 1
+    middle = F.col("readings") / 2
+    return ranks.select("day", "readings", ((F.col("below") <= middle + slack)
+                                            & (F.col("upto") >= middle - slack)).alias("within"))

@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tempora-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
@@ -94,6 +96,28 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (any Hadoop file system), replacing what is there."""
+    fs, p = hadoop_fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if there is none."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it is missing)."""
     fs, p = hadoop_fs(spark, path)
@@ -121,4 +145,5 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "exists", "local_path",
-           "checkpointed", "hadoop_fs", "delete_path", "list_dirs", "DEFAULT_CONF"]
+           "checkpointed", "hadoop_fs", "delete_path", "list_dirs", "read_text", "write_text",
+           "DEFAULT_CONF"]

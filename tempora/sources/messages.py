@@ -7,8 +7,9 @@ their volume grows with it:
 
 * temps messages: ``click``/``purchase``/``view`` events, grouped by
   (event_id div 4, user_id), i.e. at most four sensor entries per message;
-  sensor serial ``28-<user_id % 40 in hex>-<event_id % 4>`` (so one serial
-  is reported by several devices and the first one wins), values above 450
+  sensor serial ``28-<event_id div 32 in hex>-<event_id % 4>`` (so one serial
+  is reported by several devices and the first one wins, and the sensors
+  grow with the table), values above 450
   sent as the text "n/a", and every tenth block sends unix_time as text;
 * status messages: ``signup`` events; ``messageCounter`` is sent as text
   (a type error) when props.k >= 95;
@@ -43,7 +44,7 @@ def _device(user_id):
 def iot_envelopes(ev: DataFrame) -> DataFrame:
     """Device-message envelopes derived from ``events`` (see module doc)."""
     temps = ev.filter(F.col("event_type").isin(*TEMPS_TYPES))
-    sn = F.format_string("28-%08x-%d", F.col("user_id") % 40, F.col("event_id") % 4)
+    sn = F.format_string("28-%08x-%d", F.floor(F.col("event_id") / 32), F.col("event_id") % 4)
     val = F.when(F.col("value") > 450, F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
     entry = F.format_string('"%s": %s', sn, val)
     blocks = temps.groupBy((F.col("event_id") / 4).cast("bigint").alias("block"), "user_id").agg(

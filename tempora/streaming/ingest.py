@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tempora import schemas
 from tempora.operators import dims, layout
-from tempora.session import checkpointed, delete_path, list_dirs
+from tempora.session import checkpointed, delete_path, exists, list_dirs
 from tempora.streaming import iot
 
 
@@ -41,11 +41,15 @@ class IngestTables:
         """Committed dimension snapshots, from the directory listing (no
         data is read to find the latest)."""
         names = list_dirs(spark, self.path("sensors"))
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
-
-    def sensors(self, spark: SparkSession) -> DataFrame:
-        """Latest committed dimension snapshot (empty before the first)."""
-        ids = self.snapshot_ids(spark)
+        # a crash in the middle of a write leaves a folder without _SUCCESS
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")
+                      and exists(spark, f"{self.path('sensors')}/{n}/_SUCCESS"))
+
+    def sensors(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Latest committed dimension snapshot (empty before the first);
+        with ``before`` the latest of an earlier batch, so that a replayed
+        batch starts from what it started from the first time."""
+        ids = [i for i in self.snapshot_ids(spark) if before is None or i < before]
         if not ids:
             return spark.createDataFrame([], schemas.SENSORS)
         return spark.read.parquet(f"{self.path('sensors')}/batch_id={ids[-1]}")
@@ -121,12 +125,12 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> N
             "rejected long").write.mode("overwrite").parquet(
             f"{tables.path('ingest_counters')}/batch={batch_id}")
         new_readings = iot.readings(parsed)
-        current = tables.sensors(spark)
-        added = dims.new_sensors(current, new_readings)   # ids already materialised
+        current = tables.sensors(spark, before=batch_id)
+        added = checkpointed(dims.new_sensors(current, new_readings))
         if added.isEmpty():
             dim = current            # nothing new: keep the committed snapshot
         else:
-            dim = checkpointed(current.unionByName(added))  # read and rewritten across batches
+            dim = checkpointed(current.unionByName(added))  # read again after its write
             _write(dim, tables.path("sensors"), batch_id)
         resolved = dims.resolve(new_readings, dim)
         _write_chunked(resolved.select("time", "sensor_id", "temperature"),

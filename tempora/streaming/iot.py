@@ -85,7 +85,10 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
     field test, and each projection stays small enough for whole-stage
     code generation.
     """
-    now = now if now is not None else timefns.instant_to_ntz(F.current_timestamp())
+    # A message without a time gets the time it was enqueued, which a replay
+    # of its batch finds again - not the time of the run.
+    now = now if now is not None else timefns.instant_to_ntz(
+        F.coalesce(F.col("enqueued").cast("timestamp"), F.current_timestamp()))
     s1 = envelope.select("*", F.try_parse_json("body").alias("_v"),
                          device_id(F.col("device_id_raw")).alias("device_id"))
     # Key presence from the parsed value (a key holding JSON null is present:
@@ -151,7 +154,14 @@ def temps_entries(parsed: DataFrame) -> DataFrame:
 def _entry_reason() -> Column:
     return (F.when(F.length("device_id") > DEVICE_ID_LIMIT, F.lit("too_long:device_id"))
             .when(F.length("sensor_sn") > SENSOR_SN_LIMIT, F.lit("too_long:sensor_sn"))
-            .when(F.col("raw_value").try_cast("double").isNull(), F.lit("bad_temperature")))
+            .when(_number(F.col("raw_value")).isNull(), F.lit("bad_temperature")))
+
+
+def _number(text: Column) -> Column:
+    """Text as a number: decimal digits with point and exponent, inf or nan -
+    not Java's suffixes and hexadecimal forms that a bare cast takes."""
+    plain = text.rlike(r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$")
+    return F.when(plain, F.trim(text).try_cast("double"))
 
 
 def readings(parsed: DataFrame) -> DataFrame:
@@ -159,7 +169,7 @@ def readings(parsed: DataFrame) -> DataFrame:
     e = temps_entries(parsed).withColumn("_reason", _entry_reason())
     return (e.filter(F.col("_reason").isNull())
             .select("time", "device_id", "sensor_sn",
-                    F.col("raw_value").try_cast("double").alias("temperature"),
+                    _number(F.col("raw_value")).alias("temperature"),
                     "partition", "seq"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.functions import timefns
+from tempora.operators import layout
 from tempora.schemas import TICK_EVENT
 
 
@@ -27,10 +28,13 @@ def price_rows(ticks: DataFrame) -> DataFrame:
                     "symbol", "price", "day_volume"))
 
 
-def start(ticks_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+def start(ticks_stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+          chunk_interval=layout.DEFAULT_CHUNK):
     """Append price rows to a Parquet table, exactly once per micro-batch
-    (the file sink's own log), chunked by day."""
-    rows = price_rows(ticks_stream).withColumn("chunk", F.to_date("time"))
+    (the file sink's own log), chunked like every other table; the interval
+    is kept with the table."""
+    layout.remember_interval(ticks_stream.sparkSession, path, chunk_interval)
+    rows = price_rows(ticks_stream).withColumn("chunk", layout.chunk_of("time", chunk_interval))
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("chunk"))
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))

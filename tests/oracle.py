@@ -61,6 +61,9 @@ def compare(spark_df, sql: str, sf_dir: str) -> dict:
            "spark_types": [f.dataType.simpleString() for f in spark_df.schema.fields],
            "oracle_types": d_types}
     out["exact"] = out["columns_match"] and _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+    by = [d_cols.index(c) for c in s_cols] if out["columns_match"] else []
+    out["ordered"] = out["columns_match"] and [tuple(map(_canon, r)) for r in s_rows] == [
+        tuple(_canon(r[i]) for i in by) for r in d_rows]
     out["approx"] = out["columns_match"] and _rows(s_cols, s_rows, 6) == _rows(d_cols, d_rows, 6)
     if not out["approx"] and out["columns_match"]:
         a, b = _rows(s_cols, s_rows, 6), _rows(d_cols, d_rows, 6)

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tempora.plans import cagg
@@ -109,3 +110,31 @@ def test_invalidation_refresh_equals_window_refresh(spark, workdir):
         a.refresh(src.unionByName(late_rows), now)
         b.refresh_changed(src.unionByName(late_rows), late_rows, now)
         assert _as_set(a.read(spark)) == _as_set(b.read(spark)), name
+
+
+def test_equal_times_are_ordered_by_volume_and_price(spark):
+    from tempora.plans import reports
+
+    t = datetime(2024, 1, 1)
+    rows = [(t, "A", float(p), v) for p in range(40) for v in (None, 3, 7)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, symbol string, price double, day_volume long")
+    got = {tuple(reports.candles(df.repartition(n), "1 hour").first()[2:]) for n in (1, 3, 8)}
+    assert got == {(0.0, 39.0, 0.0, 39.0, 7)}
+
+
+def test_streaming_needs_a_bound_for_unbounded_policies(spark):
+    agg = cagg.define("kwh_day_by_day", "/nowhere")
+    with pytest.raises(ValueError, match="unbounded"):
+        agg.policy.watermark
+
+
+def test_a_merge_repeated_changes_nothing(spark, workdir):
+    agg = cagg.define("sensor_temp_10min", f"{workdir}/merged")
+    rows = agg.compute(_readings(spark, _base(5))).drop("bucket_date")
+    agg.merge(rows.limit(0))
+    agg.merge(rows)
+    want = _as_set(agg.read(spark))
+    agg.merge(rows)
+    assert _as_set(agg.read(spark)) == want and len(want) == agg.read(spark).count()
+    agg.refresh(_readings(spark, _base(5)), datetime(2024, 1, 10, 4))  # the same table
+    assert _as_set(agg.read(spark)) == want

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tempora.operators import dims, layout
@@ -35,6 +36,26 @@ def test_dense_ids_over_many_partitions(spark):
     assert {r["t"]: r["id"] for r in rows}[1] == 101
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_many_new_serials_get_distinct_dense_ids(spark, workdir, reuse):
+    n = 300_000
+    empty = spark.createDataFrame([], SENSORS)
+    seen = spark.range(n).select(
+        F.format_string("sn-%07d", "id").alias("sensor_sn"),
+        F.format_string("device-%03d", F.col("id") % 500).alias("device_id"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") % 9999).cast("timestamp_ntz").alias("time"),
+        F.col("id").alias("seq"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        dims.register_sensors(empty, seen).write.parquet(f"{workdir}/sensors")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    got = spark.read.parquet(f"{workdir}/sensors").agg(
+        F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id"), F.countDistinct("device_id")).first()
+    assert tuple(got) == (n, n, 1, n, 500)
+
+
 def test_first_registration_into_empty_dimension(spark):
     empty = spark.createDataFrame([], SENSORS)
     seen = _sightings(spark, [("b", "d1", "2024-01-01 00:00:05", 7), ("a", "d2", "2024-01-01 00:00:05", 7),
@@ -62,3 +83,34 @@ def test_chunked_table_pruning_and_compaction(spark, workdir):
     chunks = layout.compact(spark, path, "time", "sensor_id", datetime(2024, 1, 29), "2 days")
     assert len(chunks) >= 3
     assert spark.read.parquet(path).count() == len(rows) + 3
+    # nothing to do the second time; a late append makes its chunk dirty again
+    assert layout.compact(spark, path, "time", "sensor_id", datetime(2024, 1, 29), "2 days") == []
+    layout.write_chunked(df.filter("time < timestamp'2024-01-02'"), path, "time", "sensor_id")
+    again = layout.compact(spark, path, "time", "sensor_id", datetime(2024, 1, 29), "2 days")
+    assert again == chunks[:1]
+    assert spark.read.parquet(path).count() == len(rows) + 5
+
+
+def test_daily_chunks_are_pruned_by_their_own_interval(spark, workdir):
+    rows = [(datetime(2024, 1, d, 5), d, 1.0) for d in range(1, 29)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, sensor_id int, temperature double")
+    layout.write_chunked(df, f"{workdir}/daily", "time", "sensor_id", chunk_interval="1 day")
+    assert layout.known_interval(spark, f"{workdir}/daily") == 86400
+    got = layout.read_chunked(spark, f"{workdir}/daily", "time", datetime(2024, 1, 9), datetime(2024, 1, 14))
+    assert got.count() == 5
+    with pytest.raises(ValueError):
+        layout.write_chunked(df, f"{workdir}/daily", "time", "sensor_id", chunk_interval="7 days")
+    # a table that doesn't tell its interval is read by time alone
+    df.withColumn("chunk", F.to_date("time")).write.partitionBy("chunk").parquet(f"{workdir}/plain")
+    got = layout.read_chunked(spark, f"{workdir}/plain", "time", datetime(2024, 1, 9), datetime(2024, 1, 14))
+    assert got.count() == 5
+
+
+def test_tables_with_batches_below_chunks_are_not_compacted_in_place(spark, workdir):
+    df = spark.createDataFrame([(datetime(2024, 1, 1), 1, 1.0)],
+                               "time timestamp_ntz, sensor_id int, temperature double")
+    (df.withColumn("chunk", F.to_date("time")).withColumn("batch_id", F.lit(0))
+     .write.partitionBy("chunk", "batch_id").parquet(f"{workdir}/sensor_data"))
+    with pytest.raises(ValueError, match="below its chunks"):
+        layout.compact_table(spark, "sensor_data", f"{workdir}/sensor_data", datetime(2024, 6, 1))
+    assert spark.read.parquet(f"{workdir}/sensor_data").count() == 1

@@ -47,8 +47,14 @@ def test_aggregate_runs_before_the_dimension_join(spark):
 def test_no_broadcast_hint_on_growing_sides(spark):
     import inspect
 
-    from tempora.plans import reports
+    from tempora.operators import dims
+    from tempora.plans import cagg, reports
     from tempora.streaming import ingest, iot
 
-    for mod in (reports, iot, ingest):
+    for mod in (reports, iot, ingest, cagg):
         assert "F.broadcast(" not in inspect.getsource(mod)
+    for mod in (cagg, dims):
+        source = inspect.getsource(mod)
+        assert ".collect()" not in source and "collect_set" not in source and "isin(days" not in source
+    # one row per range partition, a fixed number
+    assert inspect.getsource(dims).count("F.broadcast(") == 1
