@@ -152,7 +152,7 @@ def decoded(vectors: DataFrame, words: int, filters: int = FILTERS) -> DataFrame
                 same = batch.filter(pa.array(size == dim))
                 if dim not in books:
                     books[dim] = [ProductCode(dim, words, filters, seed=SEED + k) for k in range(CODES)]
-                step = max(1, (1 << 22) // words)
+                step = max(1, min(1000, (1 << 20) // words))
                 for a in range(0, same.num_rows, step):
                     part = same.slice(a, step)
                     row, code = decode_all(books[dim], _unit(_stack(part.column("vector"), dim)))
