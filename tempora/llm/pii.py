@@ -41,7 +41,7 @@ _CANDIDATE = re.compile(r"""
   | (?P<date>(?<![\w./-])(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4})(?![\w/-]|\.[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
   | (?P<phone>(?<![\w+])(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?!\w))
-  | (?P<abroad>(?<![\w+])\+(?!1[\x20.(-])[1-9][0-9]{0,2}(?:[\x20-]?\(?[0-9]{1,4}\)?){2,6}(?![\w]|\.[0-9]))
+  | (?P<abroad>(?<![\w+])\+(?!1[\x20.(-])[1-9][0-9]{0,2}(?:[\x20-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}(?![\w]|\.[0-9]))
   | (?P<card>(?<![\w.-])[3-6][0-9]{3}(?:[\x20-]?[0-9]{1,6}){2,4}(?![\w-]|\.[0-9]))
 """, re.VERBOSE | re.ASCII)
 

@@ -1,0 +1,84 @@
+import re
+
+import pytest
+from conftest import EDGES
+
+from tempora.llm.pii import feistel, luhn, op7_pii, pseudonym, pseudonymise, pseudonymised
+
+KEY = b"one"
+VALUES = [("email", "jo.Do-42@mail8.example.com"), ("iban", "GB82WEST12345698765432"),
+          ("iban", "DE89 3704 0044 0532 0130 00"), ("ipv4", "70.123.182.155"), ("ipv4", "8.8.8.8"),
+          ("date", "1987-03-21"), ("date", "3/4/1999"), ("date", "21.03.1987"), ("date", "25/12/2001"),
+          ("date", "2000-02-29"), ("ssn", "123-45-6789"), ("phone", "+1 (988) 555-2485"),
+          ("phone", "415-555-0100"), ("phone", "+49 30 1234567"), ("card", "4041894974608795"),
+          ("card", "4111 1111 1111 1111"), ("card", "3782-822463-10005")]
+
+
+@pytest.mark.parametrize("kind,value", VALUES)
+def test_values_keep_their_format_and_come_back(kind, value):
+    text = f"see {value}, or ({value})."
+    new, found = pseudonymised(text, KEY)
+    assert [(text[a:b], k) for a, b, k in found] == [(value, kind)] * 2
+    a, b = found[0][0], len(new) - (len(text) - found[0][1])
+    assert len(new) == len(text) and new != text and b > a
+    shown = new[found[0][0]:found[0][1]]
+    assert new == text.replace(value, shown)  # equal values, equal pseudonyms
+    keep = re.sub(r"[0-9A-Za-z]", "0", value) if kind != "email" else value.split("@")[1]
+    assert (re.sub(r"[0-9A-Za-z]", "0", shown) if kind != "email" else shown.split("@")[1]) == keep
+    again, kinds = pseudonymised(new, KEY)  # a pseudonym is a valid value of its kind
+    assert [k for *_, k in kinds] == [kind] * 2 and again != new
+    assert pseudonymised(new, KEY, back=True)[0] == text
+    assert pseudonymised(text, b"two")[0] != new
+
+
+@pytest.mark.parametrize("text", [
+    "1.0.", "version 3.2.1", "300.1.2.3", "1.2.3.4.5", "2021-02-30", "4111111111111112", "000-12-3456",
+    "123-456", "GB83WEST12345698765432", "a@b", "@home", "x 2024 y", "(5)", "12/34/2020", "1234567890123456789012",
+    "0641917ea4e9feb9cda83477b57ac2654884f485", "", "no values at all"])
+def test_other_numbers_stay(text):
+    assert pseudonymised(text, KEY) == (text, [])
+
+
+def test_neighbours_are_told_apart():
+    text = "+1 (269) 555-3296 4524132264652876 10.0.0.1 DE89 3704 0044 0532 0130 00 AND MORE"
+    _, found = pseudonymised(text, KEY)
+    assert [k for *_, k in found] == ["phone", "card", "ipv4", "iban"]
+    assert text[slice(*found[-1][:2])] == "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize("left,right", [(10, 10), (1, 10), (7, 13), (26, 100)])
+def test_the_network_is_a_permutation(left, right):
+    got = [feistel(v, left, right, KEY, b"t") for v in range(left * right)]
+    assert sorted(got) == list(range(left * right))
+    assert [feistel(v, left, right, KEY, b"t", back=True) for v in got] == list(range(left * right))
+
+
+def test_short_dates_are_a_bijection():
+    days = [f"{m}/{d}/2001" for m in range(1, 10) for d in range(1, 10)]
+    got = [pseudonym("date", d, KEY) for d in days]
+    assert len(set(got)) == len(days) and all(re.fullmatch(r"\d/\d/\d{4}", g) for g in got)
+
+
+def test_rows(spark, docs):
+    rows = [*EDGES, (20, "mail jo.42@mail8.example.com"), (21, None), (22, "é jo.42@mail8.example.com")]
+    out = pseudonymise(docs(rows, "spans n_found id"), KEY).collect()
+    assert len(out) == len(rows)
+    by = {r.doc_id: r for r in out if r.doc_id is not None}
+    for i, t in EDGES:
+        if i is not None:
+            assert by[i].text == t and by[i].n_found == 0 and by[i].spans == []
+    assert by[21].text is None and by[20].text.split()[-1] == by[22].text.split()[-1]
+    assert by[22].spans[0].start == 2 and by[22].spans[0].kind == "email"
+    assert pseudonymise(docs(rows).limit(0)).count() == 0
+
+
+def test_query_finds_what_stands_there(spark):
+    sf = "/root/testdata/sf0.01"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kinds = {"email": r"\w+\.\d+@mail\d+\.example\.com", "phone": r"\+1 \(\d{3}\) 555-\d{4}", "card": r"\b\d{16}\b",
+             "ipv4": r"(?<![\d.])\d+\.\d+\.\d+\.\d+(?![\d.]*\d)"}
+    for r in op7_pii(spark, sf).collect():
+        got = sorted((s.start, s.end) for s in r.spans)
+        want = sorted(m.span() for k, p in kinds.items() for m in re.finditer(p, text[r.doc_id])
+                      if (k != "card" or luhn(m[0])) and (k != "phone" or m[0][4] >= "2" and m[0][5:7] != "11"))
+        assert got == want and len(r.text) == len(text[r.doc_id])
