@@ -75,6 +75,9 @@ class Runs:
         total = int(self.before[-1])
         least = max(largest, -(-total // shards))
         low = self.smallest(shards, True, least, total)
+        wide = np.flatnonzero(~self.single & (np.diff(self.before) > low))
+        if len(wide):  # no shard can hold these whole, so they must be split before anything else
+            return wide
         high = self.smallest(shards, False, low, total)
         if low == high:  # enough with runs kept whole, and nothing smaller is
             return np.empty(0, np.int64)
@@ -113,7 +116,9 @@ def _split(groups: DataFrame, runs: Runs | None, picked: np.ndarray, n: int, pie
         spans = [(0, n)]
     else:
         spans = [(int(runs.at[i]), int(runs.at[i + 1])) for i in picked]
-        width = max(1, -(-sum(b - a for a, b in spans) // max(1, pieces - len(spans))))
+        # narrower than the longest of them, so that every round splits something
+        width = max(1, min(-(-sum(b - a for a, b in spans) // max(1, pieces - len(spans))),
+                           max(b - a for a, b in spans) // 2))
         of = groups.sparkSession.createDataFrame(
             [(i, a, b) for i, (a, b) in enumerate(_merged(spans))], "r int, a long, b long")
         # at most PIECES rows: a bounded side
