@@ -8,9 +8,9 @@ age-based compaction.
   min/max statistics that make segment and time predicates selective.
 * K7: chunks older than a cut-off are rewritten once into that layout.
 
-Writers range-partition on (chunk, segment, time) rather than hash on
-(chunk, segment): a segment holding a third of all rows is then split across
-many tasks by time instead of landing in one.
+Writers rebalance on the chunk and sort within their partitions: a chunk or
+segment holding a third of all rows is split across tasks by its measured
+size instead of landing in one.
 """
 
 from __future__ import annotations
@@ -71,11 +71,12 @@ def chunk_range_filter(lo: datetime | None, hi: datetime | None, chunk_interval=
 def clustered(df: DataFrame, time_col: str, segment_by: str | None,
               chunk_interval=DEFAULT_CHUNK, partitions: int | None = None) -> DataFrame:
     out = df.withColumn("chunk", chunk_of(time_col, chunk_interval))
-    keys = ["chunk"] + ([segment_by] if segment_by else []) + [time_col]
-    ranged = (out.repartitionByRange(partitions, *keys) if partitions
-              else out.repartitionByRange(*keys))
+    # A rebalance on the chunk reads the input once (range partitioning reads
+    # it again for its sample), and the engine splits a large chunk by size.
+    dealt = (out.hint("rebalance", partitions, F.col("chunk")) if partitions
+             else out.hint("rebalance", F.col("chunk")))
     order = ["chunk"] + ([F.col(segment_by)] if segment_by else []) + [F.col(time_col).desc()]
-    return ranged.sortWithinPartitions(*order)
+    return dealt.sortWithinPartitions(*order)
 
 
 def write_chunked(df: DataFrame, path: str, time_col: str, segment_by: str | None = None,

@@ -369,8 +369,8 @@ def price_series(spark, sf_dir):
     + f" FROM ({TICKS}) t GROUP BY time")
 def price_pivot(spark, sf_dir):
     """One price column per symbol."""
-    df = reports.price_pivot(tables.stocks(spark, sf_dir), SYMBOLS)
-    return r6(df, *[f"price {s}" for s in SYMBOLS])
+    df = reports.price_pivot(tables.stocks(spark, sf_dir))
+    return r6(df, *[c for c in df.columns if c != "time"])
 
 
 @register("fk_orphans", f"""
@@ -803,13 +803,8 @@ def cagg_stream_10min(spark, sf_dir):
     return r6(agg.read(spark).select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
 
 
-@register("iot_ingest_stream", f"""
-SELECT f.time, d.id AS sensor_id, f.temperature
-FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
-def iot_ingest_stream(spark, sf_dir):
-    """The ingestion job on a landed envelope stream
-    (foreachBatch: sensor registration, readings, status, quarantine,
-    progress); returns the sensor_data table it wrote."""
+def _ingested(spark, sf_dir) -> ingest.IngestTables:
+    """The tables that the ingestion job makes of a landed stream."""
     base = scratch_path(spark, "stream", "iot")
     env = messages.iot_envelopes(tables.events(spark, sf_dir))
     env.write.parquet(f"{base}/landing")
@@ -817,6 +812,17 @@ def iot_ingest_stream(spark, sf_dir):
     out = ingest.IngestTables(f"{base}/tables")
     q = ingest.start(spark, src, out, f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
+    return out
+
+
+@register("iot_ingest_stream", f"""
+SELECT f.time, d.id AS sensor_id, f.temperature
+FROM ({_FLAT}) f JOIN ({_DIM}) d ON f.sensor_sn = d.sensor_sn""")
+def iot_ingest_stream(spark, sf_dir):
+    """The ingestion job on a landed envelope stream
+    (foreachBatch: sensor registration, readings, status, quarantine,
+    progress); returns the sensor_data table it wrote."""
+    out = _ingested(spark, sf_dir)
     return out.read(spark, "sensor_data").select("time", "sensor_id", "temperature")
 
 
@@ -1004,3 +1010,61 @@ def cagg_stream_then_refresh(spark, sf_dir):
     agg.stream(src, f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
     agg.refresh(tables.stat_readings(spark, sf_dir), as_of(spark, sf_dir))
     return r6(agg.read(spark).select(*_STAT_COLS.split(", ")), "avg_temperature", "stddev_temperature")
+
+
+# ------------------------------------- counters, progress records, start position
+
+@register("ingest_counters", f"""
+SELECT (SELECT count(*) FROM ({_MESSAGES}) m) AS messages,
+       (SELECT count(*) FROM events WHERE event_type IN ('click', 'purchase', 'view')) AS sensor_entries,
+       (SELECT count(*) FROM events WHERE event_type = 'signup' AND CAST(props->>'k' AS INTEGER) < 95)
+         AS status_messages,
+       (SELECT count(*) FROM events WHERE event_type = 'error'
+          OR event_type = 'signup' AND CAST(props->>'k' AS INTEGER) >= 95) AS rejected""")
+def ingest_counters(spark, sf_dir):
+    """The ingestion job's counters, added up over its batches."""
+    c = _ingested(spark, sf_dir).read(spark, "ingest_counters")
+    return c.agg(*[F.sum(x).alias(x) for x in ("messages", "sensor_entries", "status_messages", "rejected")])
+
+
+@register("progress_records", f"SELECT * FROM ({ORACLE['stream_progress']}) p WHERE partition <> '3'")
+def progress_records(spark, sf_dir):
+    """Stored progress records listed after one partition's were deleted."""
+    out = _ingested(spark, sf_dir)
+    ingest.delete_progress(spark, out, "3")
+    return ingest.latest_progress(spark, out)
+
+
+@register("start_position", f"""
+SELECT seq AS sequence_number, CAST(user_id % 4 AS VARCHAR) AS partition FROM ({_MESSAGES}) m
+WHERE ts >= {AS_OF} - INTERVAL 7 DAY""")
+def start_position(spark, sf_dir):
+    """A stream told to leave the past out reads messages from its start on."""
+    base = scratch_path(spark, "stream", "position")
+    env = messages.iot_envelopes(tables.events(spark, sf_dir))
+    env.write.parquet(f"{base}/landing")
+    since = as_of(spark, sf_dir) - timedelta(days=7)
+    src = messages.read_envelopes(spark, f"{base}/landing", fmt="parquet", ignore_past="True",
+                                  started_at=since)
+    q = (src.select(F.col("seq").alias("sequence_number"), "partition").writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("fk_orphans_found", f"SELECT * FROM ({_READINGS}) r WHERE sensor_id % 7 = 3")
+def fk_orphans_found(spark, sf_dir):
+    """J4 against a dimension that lacks every seventh sensor."""
+    lacking = tables.sensors(spark, sf_dir).filter("id % 7 <> 3")
+    return reports.fk_orphans(tables.sensor_data(spark, sf_dir), lacking)
+
+
+@register("default_now", f"""
+SELECT coalesce(created, {AS_OF}) AS created, type_id, value
+FROM (SELECT CASE WHEN type_id = 2 THEN NULL ELSE created END AS created, type_id, value FROM ({_MET}) m) x""")
+def default_now(spark, sf_dir):
+    """K9: a missing time gets the time of the load (here that of the last event)."""
+    rows = tables.metrics(spark, sf_dir).withColumn(
+        "created", F.when(F.col("type_id") != 2, F.col("created")))
+    c = quality.Constraints("metrics", default_now=["created"])
+    return quality.apply_defaults(rows, c, timefns.ntz_literal(as_of(spark, sf_dir)))

@@ -77,8 +77,16 @@ def price_series(ticks: DataFrame) -> DataFrame:
         F.col("time").asc_nulls_last())
 
 
-def price_pivot(ticks: DataFrame, symbols: Sequence[str]) -> DataFrame:
-    """R8 as the dashboard shows it: one price column per symbol."""
+def price_pivot(ticks: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:
+    """R8 as the dashboard shows it: one price column per symbol - of the
+    ``symbols`` asked for, else of all there are (Spark refuses more columns
+    than ``spark.sql.pivotMaxValues``)."""
+    if symbols is None:
+        limit = int(ticks.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = ticks.select("symbol").distinct().orderBy("symbol").limit(limit + 1).collect()
+        if len(found) > limit:
+            raise ValueError(f"more than {limit} symbols: name those to show")
+        symbols = [r[0] for r in found if r[0] is not None]
     return timeseries.pivot_series(ticks, "time", "symbol", "price", symbols, "price")
 
 

@@ -30,8 +30,8 @@ def load_once(spark: SparkSession, csv_path: str, table_path: str, schema,
     if exists(spark, table_path) and not spark.read.parquet(table_path).limit(1).isEmpty():
         return False
     rows = read_csv(spark, csv_path, schema, header)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartition(n).write.mode("append").option("compression", "zstd").parquet(table_path)
+    # even parts of the advisory size, however large the load
+    rows.hint("rebalance").write.mode("append").option("compression", "zstd").parquet(table_path)
     return True
 
 

@@ -72,7 +72,7 @@ def _write_chunked(df: DataFrame, path: str, batch_id: int, time_col: str = "tim
     directories on replay, and time predicates prune whole chunks."""
     out = df.withColumn("chunk", layout.chunk_of(time_col)).withColumn(
         "batch_id", F.lit(batch_id).cast("long"))
-    (out.repartitionByRange("chunk", time_col)
+    (out.hint("rebalance", F.col("chunk")).sortWithinPartitions("chunk", time_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").partitionBy("chunk", "batch_id").parquet(path))
 
@@ -113,7 +113,10 @@ def counted_parse(envelope: DataFrame) -> tuple[DataFrame, Observation, Observat
 
 def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> None:
     spark = envelope.sparkSession
+    # the micro-batch is read for the parse and for its progress: keep it
+    envelope = envelope.persist()
     if envelope.isEmpty():  # an empty batch writes nothing and records no progress
+        envelope.unpersist()
         return
     parsed, messages, kinds = counted_parse(envelope)
     try:
@@ -141,6 +144,7 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int) -> N
         tables.prune_snapshots(spark)
     finally:
         parsed.unpersist()
+        envelope.unpersist()
 
 
 def start(spark: SparkSession, envelopes: DataFrame, tables: IngestTables, checkpoint: str,
@@ -154,8 +158,14 @@ def start(spark: SparkSession, envelopes: DataFrame, tables: IngestTables, check
 
 
 def latest_progress(spark: SparkSession, tables: IngestTables) -> DataFrame:
-    """W8 list/get: the newest record per partition over all batches."""
+    """W8 list/get: the newest record per partition over all batches, but
+    for those at or before a deletion."""
     p = tables.read(spark, "stream_progress")
+    if exists(spark, tables.path("progress_deleted")):
+        gone = tables.read(spark, "progress_deleted").groupBy("partition").agg(
+            F.max("sequence_number").alias("upto"))
+        p = p.join(gone, "partition", "left").filter(
+            F.col("upto").isNull() | (F.col("sequence_number") > F.col("upto"))).drop("upto")
     last = F.max_by(F.struct("offset", "sequence_number", "timestamp"), F.col("sequence_number"))
     return p.groupBy("partition").agg(last.alias("l")).select("partition", "l.*")
 
@@ -183,9 +193,11 @@ def get_progress(spark: SparkSession, tables: IngestTables, partition: str) -> D
 
 
 def delete_progress(spark: SparkSession, tables: IngestTables, partition: str) -> None:
-    """Drop every stored record of one partition (read, filter, checkpoint,
-    rewrite - the table is small: one row per partition per batch)."""
-    p = tables.read(spark, "stream_progress")
-    kept = checkpointed(p.filter(F.col("partition") != partition))
-    (kept.write.mode("overwrite").partitionBy("batch_id")
-     .parquet(tables.path("stream_progress")))
+    """Drop every record of one partition that is stored so far: a mark is
+    appended that readers go by; the table, to which the stream may be
+    writing, stays as it is."""
+    mark = (tables.read(spark, "stream_progress").filter(F.col("partition") == partition)
+            .agg(F.max("sequence_number").alias("sequence_number"))
+            .filter("sequence_number IS NOT NULL")
+            .select(F.lit(partition).alias("partition"), "sequence_number"))
+    mark.write.mode("append").parquet(tables.path("progress_deleted"))
