@@ -221,6 +221,39 @@ def first_common(lists: pa.Array, now: int, left: np.ndarray, right: np.ndarray)
     return out
 
 
+def pairs_within(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows i < j of the same group, for groups [starts, ends) of a few rows each."""
+    size = ends - starts
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for s in np.unique(size[size > 1]).tolist():
+        a, b = np.triu_indices(s, 1)
+        at = starts[size == s][:, None]
+        left.append((at + a).ravel())
+        right.append((at + b).ravel())
+    return np.concatenate(left), np.concatenate(right)
+
+
+def first_common_pairs(lists: pa.Array, now: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``first_common`` for single pairs of rows: both ascending lists are walked side by side until
+    they meet or reach ``now``, for all pairs at once."""
+    ids, start = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    start = start - start[0]
+    a, b = start[i], start[j]
+    out = np.ones(len(i), bool)
+    live = np.arange(len(i))
+    while len(live):
+        x, y = ids[a[live]], ids[b[live]]
+        less = np.minimum(x, y) < now[live]  # ``now`` itself is in both lists
+        out[live[(x == y) & less]] = False
+        on = less & (x != y)
+        step = live[on & (x < y)]
+        a[step] += 1
+        step = live[on & (y < x)]
+        b[step] += 1
+        live = live[on]
+    return out
+
+
 # --- graph ------------------------------------------------------------------------------------
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

@@ -30,10 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import (blocks_of, components, first_common, group_starts, list_array,
-                                spanning_edges, whole_groups, written)
+from tempora.llm.common import (blocks_of, components, first_common, first_common_pairs, group_starts,
+                                list_array, pairs_within, spanning_edges, whole_groups, written)
 
-THRESHOLD, BLOCKS, CODES, FILTERS, SPREAD, BLOCK, SEED = 0.93, 3, 6, 48, 64, 512, 11
+THRESHOLD, BLOCKS, CODES, FILTERS, SPREAD, BLOCK, SMALL, SEED = 0.93, 3, 6, 48, 64, 512, 32, 11
 
 
 class ProductCode:
@@ -140,7 +140,7 @@ def _stack(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def decoded(vectors: DataFrame, words: int, filters: int = FILTERS) -> DataFrame:
+def decoded(vectors: DataFrame, words: int, filters: int = FILTERS, codes: int = CODES) -> DataFrame:
     """``n, label, copies, dim, vector, codes`` of the vectors that can link: ``codes`` are the filters
     that the vector exceeds, ascending."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +151,7 @@ def decoded(vectors: DataFrame, words: int, filters: int = FILTERS) -> DataFrame
             for dim in np.unique(size).tolist():
                 same = batch.filter(pa.array(size == dim))
                 if dim not in books:
-                    books[dim] = [ProductCode(dim, words, filters, seed=SEED + k) for k in range(CODES)]
+                    books[dim] = [ProductCode(dim, words, filters, seed=SEED + k) for k in range(codes)]
                 step = max(1, min(1000, (1 << 20) // words))
                 for a in range(0, same.num_rows, step):
                     part = same.slice(a, step)
@@ -196,11 +196,37 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
     return n[hit], links[hit], [(int(n[p]), int(n[q])) for p, q in tree]
 
 
+def _compare_small(table: pa.Table, starts: np.ndarray, ends: np.ndarray, threshold: float
+                   ) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """``_compare`` for many small groups at once."""
+    n, copies = table.column("n").to_numpy(), table.column("copies").to_numpy()
+    dims, codes = table.column("dim").to_numpy(), table.column("code").to_numpy()
+    vectors, lists = table.column("vector").chunk(0), table.column("codes").chunk(0)
+    left, right = [], []
+    for dim in np.unique(dims[starts]).tolist():
+        of = np.flatnonzero(dims == dim)
+        x = _unit(_stack(vectors if len(of) == table.num_rows else vectors.take(pa.array(of)), dim))
+        place = np.zeros(table.num_rows, np.int64)
+        place[of] = np.arange(len(of))
+        i, j = pairs_within(starts[dims[starts] == dim], ends[dims[starts] == dim])
+        for a in range(0, len(i), 1 << 15):
+            p, q = i[a:a + (1 << 15)], j[a:a + (1 << 15)]
+            near = np.einsum("ij,ij->i", x[place[p]], x[place[q]]) >= threshold
+            left.append(p[near])
+            right.append(q[near])
+    i, j = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (left, right))
+    first = first_common_pairs(lists, codes[i], i, j)
+    i, j = i[first], j[first]
+    many = (np.bincount(i, copies[j], len(n)) + np.bincount(j, copies[i], len(n))).astype(np.int64)
+    hit = np.flatnonzero(many)
+    return n[hit], many[hit], [(int(n[p]), int(n[q])) for p, q in spanning_edges(len(n), i, j)]
+
+
 def links(vectors: DataFrame, words: int, threshold: float = THRESHOLD, filters: int = FILTERS,
-          block: int = BLOCK) -> DataFrame:
+          block: int = BLOCK, codes: int = CODES) -> DataFrame:
     """``a, b, links`` of all groups of ``vectors(n, label, copies, vector)``: with ``b`` null, numbers
     of linked vectors to be added up by ``a``; else spanning edges."""
-    caps = written(decoded(vectors, words, filters), "caps")
+    caps = written(decoded(vectors, words, filters, codes), "caps")
     keys = ["label", "dim", "code"]
     light = caps.select("label", "dim", F.explode("codes").alias("code"), "n")
     dealt = written(blocks_of(light, keys, "n", block), "caps")
@@ -211,17 +237,19 @@ def links(vectors: DataFrame, words: int, threshold: float = THRESHOLD, filters:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, group, 4096):
-            starts = [*group_starts(table, group).tolist(), table.num_rows]
-            node, count, a, b = [], [], [], []
-            for s, e in zip(starts, starts[1:]):
+            starts = group_starts(table, group)
+            ends = np.append(starts[1:], table.num_rows)
+            small = (ends - starts <= SMALL) & (table.column("i").to_numpy() == table.column("j").to_numpy())[starts]
+            ids, many, tree = _compare_small(table, starts[small], ends[small], threshold)
+            node, count, a, b = [ids], [many], [p for p, _ in tree], [q for _, q in tree]
+            for s, e in zip(starts[~small].tolist(), ends[~small].tolist()):
                 if e - s > 1:
                     ids, many, tree = _compare(table.slice(s, e - s).combine_chunks(), threshold)
                     node.append(ids)
                     count.append(many)
                     a += [p for p, _ in tree]
                     b += [q for _, q in tree]
-            node = np.concatenate(node) if node else np.empty(0, np.int64)
-            count = np.concatenate(count) if count else np.empty(0, np.int64)
+            node, count = np.concatenate(node), np.concatenate(count)
             yield pa.RecordBatch.from_pydict({
                 "a": pa.array(np.concatenate([node, np.array(a, np.int64)]), pa.int64()),
                 "b": pa.array(np.concatenate([np.zeros(len(node), np.int64), np.array(b, np.int64)]), pa.int64(),
@@ -249,7 +277,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     size = first.count()
     words = max(16, int(np.ceil((SPREAD * max(size, 1)) ** (1 / BLOCKS))))
     vectors = first.withColumnRenamed("first", "n")
-    found = links(vectors, words, threshold)
+    # more books of more words pass fewer of the pairs at the threshold: a code more each time the
+    # table grows fourfold makes up for it
+    found = links(vectors, words, threshold, codes=CODES + int(np.log2(max(1, size / 50_000)) / 2))
     alone = (first.filter("copies > 1").mapInArrow(_only_usable, first.schema)
              .select("first", (F.col("copies") - 1).alias("links")))
     count = (found.filter("b IS NULL").select(F.col("a").alias("first"), "links").unionAll(alone)

@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import (blocks_of, byte_slices, components, documents, first_common, fresh_name,
-                                group_starts, list_array, mix64, signed, spanning_edges, utf8,
-                                whole_groups, word_hashes, words, written)
+from tempora.llm.common import (blocks_of, byte_slices, components, documents, first_common, first_common_pairs,
+                                fresh_name, group_starts, list_array, mix64, pairs_within, signed,
+                                spanning_edges, utf8, whole_groups, word_hashes, words, written)
 
 SHINGLE, THRESHOLD = 5, 0.8
 COORDINATES, RUNS, DEPTH, DEEPEST, BUCKET = 128, 12, 4, 12, 512
-PROBES, ALIKE = 8, 0.4
+PROBES, ALIKE, SMALL = 8, 0.4, 32
 #: Below this share of equal min-hashes a pair isn't compared: 4.5 standard deviations under 0.8.
 HOPE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / COORDINATES) ** 0.5
 
@@ -278,26 +278,37 @@ def _linked(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
 _GROUP = ["path", "i", "j"]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    for table in whole_groups(batches, _GROUP, rows):
-        starts = [*group_starts(table, _GROUP).tolist(), table.num_rows]
-        for s, e in zip(starts, starts[1:]):
-            if e - s > 1:
-                yield table.slice(s, e - s).combine_chunks()
+def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, whether small) of the groups of a table."""
+    starts = group_starts(table, _GROUP)
+    ends = np.append(starts[1:], table.num_rows)
+    same = (table.column("i").to_numpy() == table.column("j").to_numpy())[starts]
+    return starts, ends, (ends - starts <= SMALL) & same
+
+
+def _hopeful_small(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``_hopeful`` for many small groups at once."""
+    i, j = pairs_within(starts, ends)
+    sketch = _sketch(table.column("sketch").chunk(0)).astype(np.uint8)
+    need = int(HOPE * COORDINATES)
+    near = np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 14):
+        part = slice(a, a + (1 << 14))
+        near[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1, dtype=np.uint8) >= need
+    i, j = i[near], j[near]
+    first = first_common_pairs(table.column("paths").chunk(0), table.column("path").to_numpy()[i], i, j)
+    return np.union1d(i[first], j[first])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [*_GROUP, "block", "c"]
-    held: list[pa.Table] = []
-    for table in _groups(batches, 8192):
-        hit = _hopeful(table)
-        if len(hit):
-            held.append(table.select(names).take(pa.array(hit)))
-        if len(held) >= 1000:
-            yield from pa.concat_tables(held).combine_chunks().to_batches()
-            held = []
-    if held:
-        yield from pa.concat_tables(held).combine_chunks().to_batches()
+    for table in whole_groups(batches, _GROUP, 8192):
+        starts, ends, small = _groups(table)
+        hit = [_hopeful_small(table, starts[small], ends[small])]
+        for s, e in zip(starts[~small].tolist(), ends[~small].tolist()):
+            if e - s > 1:
+                hit.append(s + _hopeful(table.slice(s, e - s).combine_chunks()))
+        rows = table.select([*_GROUP, "block", "c"]).take(pa.array(np.sort(np.concatenate(hit))))
+        yield from rows.combine_chunks().to_batches()
 
 
 def links(classes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -315,9 +326,12 @@ def links(classes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
     sets = written(sets.dropDuplicates(["c"]).join(paths, "c"), "jaccard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 1024):
-            node, count, tree = _linked(table, threshold)
-            if len(node):
+        for whole in whole_groups(batches, _GROUP, 1024):
+            starts, ends, _ = _groups(whole)
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                node, count, tree = _linked(whole.slice(s, e - s).combine_chunks(), threshold)
+                if not len(node):
+                    continue
                 a = np.concatenate([node, np.array([p for p, _ in tree], np.int64)])
                 b = np.concatenate([np.zeros(len(node), np.int64), np.array([q for _, q in tree], np.int64)])
                 yield pa.RecordBatch.from_pydict({

@@ -123,7 +123,7 @@ def test_vectors_equal_brute_force(spark):
 
 
 def test_blocks_of_a_large_filter(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup.links, "__defaults__", (0.93, 48, 16))
+    monkeypatch.setattr(embedding_dedup.links, "__defaults__", (0.93, 48, 16, 6))
     rng = np.random.default_rng(1)
     x = rng.normal(size=16) + rng.normal(size=(90, 16)) * 0.1
     df = spark.createDataFrame([(i, [float(v) for v in x[i]], 1) for i in range(90)],
