@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-Input of each word: an embedding of the word (hashed) and the mean embedding of its character
-trigrams.  A text is cut into all windows of ``WINDOW`` words, ``STRIDE`` apart, so that neighbours
+Input of each word: an embedding of the word (hashed) and the mean embedding of its runs of
+three characters.  A text is cut into all windows of ``WINDOW`` words, ``STRIDE`` apart, so that neighbours
 overlap and every word stands in the middle of one; each window goes through a forward and a
 backward gated recurrent layer, attention weighs the states, and a logistic unit scores the pooled
 state.  A text scores as its worst window does.
@@ -9,8 +9,8 @@ state.  A text scores as its worst window does.
 The network is trained on the driver on at most ``PER_CLASS`` labelled texts of each class, of
 ``TRAIN_BYTES`` bytes at most (the bounds of the sample; a text for training is used whole), taken
 by hash of the id among the rows whose crc32 is not left for the test.  First coordinate of a word's
-embedding at the start: how far its document counts differ between the classes of that sample.  Each
-step of the training takes the worst window of every text of a batch.
+embedding at the start: how far its document counts differ between the classes of that sample; words
+in fewer than ``SELDOM`` of its texts share one embedding and differ by their characters only.  Each step of the training takes the worst window of every text of a batch.
 
 Defined results: a text without words scores 0, null texts too; a null id counts as empty text in the
 crc32; repeated rows get equal scores; contradicting labels of one id count as toxic; without a
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.llm.common import (BASE, byte_slices, documents, inverse, mix64, powers, prefix_hashes,
-                                utf8)
+                                scratch, utf8, written)
 
 WINDOW, STRIDE = 48, 24
-PER_CLASS, TRAIN_BYTES = 3000, 16_384
+PER_CLASS, TRAIN_BYTES, SELDOM = 3000, 16_384, 4
 WORDS, WORD_DIM, GRAMS, GRAM_DIM, HIDDEN, ATTENTION = 1 << 15, 10, 1 << 13, 6, 8, 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,7 +45,7 @@ def held_out(id_col: Column) -> Column:
 
 
 class Text:
-    """Words of a batch of texts: distinct words, their trigrams, and the windows."""
+    """Words of a batch of texts: distinct words, their character runs, and the windows."""
 
     def __init__(self, texts: pa.Array):
         data, offsets = utf8(texts)
@@ -63,18 +63,16 @@ class Text:
         h = mix64((prefix[end] - prefix[start]) * back[start])
         self.keys, example, of = np.unique(h, return_index=True, return_inverse=True)
         self.n_words = len(start)
-        # trigrams of the distinct words, with a mark at both ends
+        # runs of three characters of the distinct words, with a mark at both ends
         s, size = start[example], end[example] - start[example]
-        n = size + 2
-        at = np.concatenate([[0], np.cumsum(n)])
+        at = np.concatenate([[0], np.cumsum(size + 2)])
         padded = np.zeros(at[-1] + 2, np.uint64)
-        inner = np.repeat(at[:-1] + 1 - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        source = np.repeat(s - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        padded[inner + np.arange(size.sum())] = data[source].astype(np.uint64) + np.uint64(1)
-        gram = (padded[:-2] << np.uint64(20)) + (padded[1:-1] << np.uint64(10)) + padded[2:]
-        keep = np.ones(len(gram), bool)
-        keep[at[1:] - 1] = keep[at[1:] - 2] = False  # a word of n marks has n - 2 trigrams
-        self.gram = (mix64(gram[keep]) % np.uint64(GRAMS)).astype(np.int64)
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        padded[np.repeat(at[:-1] + 1, size) + step] = data[np.repeat(s, size) + step].astype(np.uint64) + np.uint64(1)
+        gram = (padded[:-2] << np.uint64(18)) + (padded[1:-1] << np.uint64(9)) + padded[2:]
+        inner = np.ones(len(gram), bool)
+        inner[at[1:] - 1] = inner[at[1:] - 2] = False  # these run into the next word
+        self.gram = (mix64(gram[inner]) % np.uint64(GRAMS)).astype(np.int64)
         self.gram_at = np.concatenate([[0], np.cumsum(size)])
         # windows: places in the sequence of words, -1 beyond the end of the text
         per = np.bincount(np.searchsorted(offsets, start, "right") - 1, minlength=len(texts))
@@ -88,7 +86,8 @@ class Text:
 
     @property
     def bucket(self) -> np.ndarray:
-        return (self.keys % np.uint64(WORDS)).astype(np.int64)
+        """Rows of the word table; row 0 is for words that the training met too seldom."""
+        return 1 + (self.keys % np.uint64(WORDS - 1)).astype(np.int64)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -108,18 +107,22 @@ class Network:
         self.p = {"words": normal(WORDS, WORD_DIM, scale=0.05), "grams": normal(GRAMS, GRAM_DIM, scale=0.1),
                   "A": normal(2 * HIDDEN, ATTENTION, scale=0.3), "v": normal(ATTENTION, scale=0.3),
                   "o": normal(2 * HIDDEN, scale=0.3), "c": np.zeros(1, np.float32)}
+        self.known = np.ones(WORDS, bool)
         for side in "fb":
             self.p["W" + side] = normal(d, 3 * HIDDEN, scale=0.3)
             self.p["U" + side] = normal(HIDDEN, 3 * HIDDEN, scale=0.3)
             self.p["b" + side] = np.zeros(3 * HIDDEN, np.float32)
 
+    def row(self, t: Text) -> np.ndarray:
+        return np.where(self.known[t.bucket], t.bucket, 0)
+
     def inputs(self, t: Text) -> np.ndarray:
         """The vector of each distinct word of ``t``."""
         if not len(t.keys):
             return np.zeros((1, WORD_DIM + GRAM_DIM), np.float32)
         grams = np.add.reduceat(self.p["grams"][t.gram], t.gram_at[:-1], axis=0)
         grams /= np.diff(t.gram_at)[:, None]
-        return np.concatenate([self.p["words"][t.bucket], grams], axis=1)
+        return np.concatenate([self.p["words"][self.row(t)], grams], axis=1)
 
     def _layer(self, side: str, gates: np.ndarray, live: np.ndarray, keep: list | None) -> np.ndarray:
         """States (steps, windows, HIDDEN) for the input gates (words, 3 HIDDEN) picked by ``live``."""
@@ -188,7 +191,7 @@ class Network:
             g["W" + side], g["b" + side], g["U" + side] = inputs.T @ d_gates, d_gates.sum(axis=0), d_u
             d_in += d_gates @ self.p["W" + side].T
         g["words"] = np.zeros_like(self.p["words"])
-        np.add.at(g["words"], t.bucket, d_in[:, :WORD_DIM])
+        np.add.at(g["words"], self.row(t), d_in[:, :WORD_DIM])
         g["grams"] = np.zeros_like(self.p["grams"])
         size = np.diff(t.gram_at)
         np.add.at(g["grams"], t.gram, np.repeat(d_in[:, WORD_DIM:] / size[:, None], size, axis=0))
@@ -196,19 +199,25 @@ class Network:
 
 
 def train(texts: list[str], toxic: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.01,
-          seed: int = 7) -> Network:
-    """Fit a network to whole texts with 0/1 labels: logistic loss of the worst window, Adam."""
+          seed: int = 7, steps: int = 250) -> Network:
+    """Fit a network to whole texts with 0/1 labels: logistic loss of the worst window, Adam; ``epochs``
+    passes, or more on few texts, for about ``steps`` steps."""
     net, rng = Network(seed), np.random.default_rng(seed)
-    everything = Text(pa.array(texts, pa.string()))
-    # in how many texts of each class a bucket of words occurs
-    bucket, owner = everything.bucket[everything.word[everything.live]], everything.owner
-    doc = np.repeat(owner, everything.live.sum(axis=1))
-    pair = np.unique(doc.astype(np.int64) * WORDS + bucket)
+    epochs = max(epochs, -(-steps * batch // len(texts)))
+    # in how many texts of each class a row of the word table occurs
+    found = []
+    for a in range(0, len(texts), 256):
+        t = Text(pa.array(texts[a:a + 256], pa.string()))
+        if len(t.owner):
+            doc = np.repeat(t.owner, t.live.sum(axis=1)) + a
+            found.append(np.unique(doc * WORDS + t.bucket[t.word[t.live]]))
+    pair = np.concatenate(found) if found else np.empty(0, np.int64)
     label = toxic[pair // WORDS]
     ones = np.bincount(pair[label == 1] % WORDS, minlength=WORDS) + 0.5
     zeros = np.bincount(pair[label == 0] % WORDS, minlength=WORDS) + 0.5
+    net.known = ones + zeros >= SELDOM + 1
     odds = np.log(ones / (toxic.sum() + 1)) - np.log(zeros / ((1 - toxic).sum() + 1))
-    net.p["words"][:, 0] = np.clip(odds / np.sqrt(1 / ones + 1 / zeros) / 4, -2, 2)
+    net.p["words"][:, 0] = net.known * np.clip(odds / np.sqrt(1 / ones + 1 / zeros) / 4, -2, 2)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for epoch in range(epochs):
@@ -252,12 +261,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     """At most ``per_class`` texts of each class that aren't held out, by hash of the id."""
     known = (labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    pool = docs.select("doc_id", "text").filter(F.octet_length("text").between(1, max_bytes)).join(known, "doc_id")
-    by_hash = [F.xxhash64("doc_id"), F.xxhash64("text")]
+    size = F.octet_length("text")
+    pool = docs.select("doc_id", size.alias("size")).filter(size.between(1, max_bytes)).join(known, "doc_id")
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     texts, toxic = [], []
     for label in (0, 1):
-        got = pool.filter(F.col("toxic") == label).orderBy(*by_hash).limit(per_class).collect()
-        texts += [r.text for r in got]
+        with scratch(docs.sparkSession):
+            picked = written(pool.filter(F.col("toxic") == label).select("doc_id").distinct()
+                             .orderBy(*by_hash).limit(per_class), "toxicity")
+            # at most per_class ids: a bounded side, and a bounded number of texts for the driver
+            got = (docs.filter(size.between(1, max_bytes)).join(F.broadcast(picked), "doc_id")
+                   .groupBy("doc_id").agg(F.min("text").alias("text")).select("text").collect())
+        texts += sorted(r.text for r in got)
         toxic += [label] * len(got)
     return texts, np.array(toxic, np.int64)
 
@@ -282,6 +297,16 @@ def scored(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_co
     return rows.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, net: Network | None, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``limit``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, text_col, 2 << 20):
+            score = score_texts(batch.column(text_col), net) if net else np.zeros(batch.num_rows)
+            yield batch.filter(pa.array(score < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     net = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
