@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tempora.llm import exact_dedup, jaccard_join, mixing, sentencepiece, toxicity
-from tempora.llm.common import written
+from tempora.llm.common import scratch, written
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "pipeline", name)
+    with scratch(spark):
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), "pipeline", name, outer=name == STAGES[-2][0])
     return STAGES[-1][1](spark, docs, sf_dir)

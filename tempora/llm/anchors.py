@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.llm.common import (BASE, binary_array, byte_slices, inverse, mix64, powers, prefix_hashes,
-                                signed, utf8, whole_groups, written)
+                                scratch, signed, utf8, whole_groups, written)
 
 GROUP = 4096
 _BITS = 10  # of each of the two lengths in ``loc``
@@ -203,6 +203,10 @@ def covered(lists: pa.Array, offsets: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    runs = written(runs, "spans").select(F.col("id").alias("oid"), F.col("th").alias("oth"), "runs")
+def with_runs(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutter, match: Matcher
+              ) -> DataFrame:
+    """``rows`` with the ``runs`` of tokens that ``repeated`` finds (null: none)."""
+    with scratch(rows.sparkSession):
+        runs = written(repeated(rows, window, gram, tokens, cut, match), "spans", outer=True)
+    runs = runs.select(F.col("id").alias("oid"), F.col("th").alias("oth"), "runs")
     return rows.join(runs, _same("", "o"), "left").select("id", "th", "text", "runs")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.session import scratch_path
+from tempora.session import delete_path, scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,11 +27,32 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def written(df: DataFrame, *parts: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
+_OPEN = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` within are deleted at the end, but for those written with ``outer``."""
+    scopes = _OPEN.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            delete_path(spark, path)
+
+
+def written(df: DataFrame, *parts: str, outer: bool = False) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts the lineage and survives lost executors.
+
+    It lives as long as the innermost ``scratch``; with ``outer`` as long as the one around that, and
+    without one it stays."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", *parts)
     df.write.parquet(path)
+    scopes = _OPEN.__dict__.get("scopes", [])
+    if len(scopes) > outer:
+        scopes[-1 - outer].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -275,17 +298,19 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
             moved = moved.unionAll(low.select("a", F.col("m").alias("b")))
         return moved.filter("a <> b").distinct()
 
-    links = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"),
-                                                  F.least("a", "b").alias("b")).distinct(), "cc")
-    mark = None
-    for _ in range(rounds):
-        links = written(star(star(links, True), False), "cc")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
-            break
-        mark = tuple(now)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    with scratch(edges.sparkSession):
+        links = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"),
+                                                      F.least("a", "b").alias("b")).distinct(), "cc")
+        mark = None
+        for _ in range(rounds):
+            links = written(star(star(links, True), False), "cc")
+            now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if tuple(now) == mark:
+                break
+            mark = tuple(now)
+        else:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        links = written(links, "cc", outer=True)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
@@ -308,6 +333,3 @@ def spanning_edges(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]
         label = new
     own = np.flatnonzero(label != np.arange(n))
     return list(zip(own.tolist(), label[own].tolist()))
-
-
-Kernel = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.common import (blocks_of, components, first_common, first_common_pairs, group_starts,
-                                list_array, pairs_within, spanning_edges, whole_groups, written)
+                                list_array, pairs_within, scratch, spanning_edges, whole_groups,
+                                written)
 
 THRESHOLD, BLOCKS, CODES, FILTERS, SPREAD, BLOCK, SMALL, SEED = 0.93, 3, 6, 48, 64, 512, 32, 11
 
@@ -263,36 +264,39 @@ def links(vectors: DataFrame, words: int, threshold: float = THRESHOLD, filters:
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """``<id_col>, n_links, component_id, kept`` for every row."""
-    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
-                        F.col(vector_col).alias("vector"))
-    # rows are numbered in order of the id, so the smallest number has the smallest id
-    rows = written(rows.repartitionByRange(F.col("id").asc_nulls_last())
-                   .sortWithinPartitions(F.col("id").asc_nulls_last())
-                   .withColumn("n", F.monotonically_increasing_id()), "caps")
-    # equal vectors of a label go on as one with a count
-    known = rows.filter("label IS NOT NULL AND vector IS NOT NULL")
-    first = written(known.groupBy("label", "vector").agg(F.min("n").alias("first"), F.count("*").alias("copies")),
-                    "caps")
-    rows = written(rows.join(first, ["label", "vector"], "left").select("n", "id", "first"), "caps")
-    size = first.count()
-    words = max(16, int(np.ceil((SPREAD * max(size, 1)) ** (1 / BLOCKS))))
-    vectors = first.withColumnRenamed("first", "n")
-    # more books of more words pass fewer of the pairs at the threshold: a code more each time the
-    # table grows fourfold makes up for it
-    found = links(vectors, words, threshold, codes=CODES + int(np.log2(max(1, size / 50_000)) / 2))
-    alone = (first.filter("copies > 1").mapInArrow(_only_usable, first.schema)
-             .select("first", (F.col("copies") - 1).alias("links")))
-    count = (found.filter("b IS NULL").select(F.col("a").alias("first"), "links").unionAll(alone)
-             .groupBy("first").agg(F.sum("links").alias("n_links")))
-    part = components(found.filter("b IS NOT NULL").select("a", "b"))
-    # without links a vector that has copies is named by the first of them, if they can link at all
-    part = count.select("first").join(part.withColumnRenamed("node", "first"), "first", "left").select(
-        "first", F.coalesce("component", "first").alias("n"))
-    part = part.join(rows.select("n", F.col("id").alias("name")), "n").drop("n")
-    out = rows.join(count, "first", "left").join(part, "first", "left")
-    own = F.coalesce("name", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                      own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))
+    with scratch(table.sparkSession):
+        rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
+                            F.col(vector_col).alias("vector"))
+        # rows are numbered in order of the id, so the smallest number has the smallest id
+        rows = written(rows.repartitionByRange(F.col("id").asc_nulls_last())
+                       .sortWithinPartitions(F.col("id").asc_nulls_last())
+                       .withColumn("n", F.monotonically_increasing_id()), "caps")
+        # equal vectors of a label go on as one with a count
+        known = rows.filter("label IS NOT NULL AND vector IS NOT NULL")
+        first = written(known.groupBy("label", "vector").agg(F.min("n").alias("first"), F.count("*").alias("copies")),
+                        "caps")
+        rows = written(rows.join(first, ["label", "vector"], "left").select("n", "id", "first"), "caps")
+        size = first.count()
+        words = max(16, int(np.ceil((SPREAD * max(size, 1)) ** (1 / BLOCKS))))
+        vectors = first.withColumnRenamed("first", "n")
+        # more books of more words pass fewer of the pairs at the threshold: a code more each time the
+        # table grows fourfold makes up for it
+        found = links(vectors, words, threshold, codes=CODES + int(np.log2(max(1, size / 50_000)) / 2))
+        alone = (first.filter("copies > 1").mapInArrow(_only_usable, first.schema)
+                 .select("first", (F.col("copies") - 1).alias("links")))
+        count = (found.filter("b IS NULL").select(F.col("a").alias("first"), "links").unionAll(alone)
+                 .groupBy("first").agg(F.sum("links").alias("n_links")))
+        part = components(found.filter("b IS NOT NULL").select("a", "b"))
+        # without links a vector that has copies is named by the first of them, if they can link at all
+        part = count.select("first").join(part.withColumnRenamed("node", "first"), "first", "left").select(
+            "first", F.coalesce("component", "first").alias("n"))
+        part = part.join(rows.select("n", F.col("id").alias("name")), "n").drop("n")
+        out = rows.join(count, "first", "left").join(part, "first", "left")
+        own = F.coalesce("name", "id")
+        n_links = F.coalesce("n_links", F.lit(0).cast("long"))
+        out = out.select(F.col("id").alias(id_col), n_links.alias("n_links"), own.alias("component_id"),
+                         F.col("id").eqNullSafe(own).alias("kept"))
+        return written(out, "caps", outer=True)
 
 
 def _only_usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import documents, fresh_name, written
+from tempora.llm.common import documents, fresh_name, scratch, written
 from tempora.session import scratch_path
 
 
@@ -84,7 +84,8 @@ class DigestIndex:
 def mark(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per row of the batch: ``<id_col>, keep_id, group_size, kept, text_sha256``."""
-    groups = written(index.append(batch, id_col, text_col), "digest_marks")
+    with scratch(batch.sparkSession):
+        groups = written(index.append(batch, id_col, text_col), "digest_marks", outer=True)
     rows = batch.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("text_sha256"))
     tie = Window.partitionBy("text_sha256", "id").orderBy("id")
     rows = rows.withColumn("tie", F.row_number().over(tie))
@@ -100,7 +101,8 @@ def deduplicated(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id",
     """The rows of the batch that stay, with all their columns.
 
     Joined on (digest, id), which no group of copies makes hot."""
-    keys = index.append(batch, id_col, text_col).filter("fresh")
+    with scratch(batch.sparkSession):
+        keys = written(index.append(batch, id_col, text_col).filter("fresh"), "digest_marks", outer=True)
     sha, keep = fresh_name(batch, "llm_sha"), fresh_name(batch, "llm_keep")
     keys = keys.select(F.col("text_sha256").alias(sha + "k"), F.col("keep_id").alias(keep))
     named = batch.withColumn(sha, digest(F.col(text_col)))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.common import (blocks_of, byte_slices, components, documents, first_common, first_common_pairs,
-                                fresh_name, group_starts, list_array, mix64, pairs_within, signed,
+                                fresh_name, group_starts, list_array, mix64, pairs_within, scratch, signed,
                                 spanning_edges, utf8, whole_groups, word_hashes, words, written)
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -355,38 +355,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id, th, class_id, n_links, first`` per row.  ``class_id``: the smallest id that links reach,
     the row's own id included; ``first``: the row is the one of its class that stays, or a repetition
     of it (same id and text)."""
-    rows = written(sketches(docs, id_col, text_col), "jaccard")
-    key = ["d1", "d2", "size"]
-    who = F.struct(F.col("id").isNull().alias("none"), "id", "th")
-    classes = (rows.filter("size > 0").groupBy(*key)
-               .agg(F.min(F.struct(who.alias("who"), "sketch")).alias("m"), F.count("*").alias("copies"))
-               .select(*key, "m.who", "m.who.id", "m.who.th", "m.sketch", "copies",
-                       F.monotonically_increasing_id().alias("c")))
-    classes = written(classes, "jaccard")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"),
-                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
-                        F.col(text_col).alias("text"))
-    found = links(classes, texts, threshold)
-    count = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("others"))
-    part = components(found.filter("b IS NOT NULL").select("a", "b"))
-    part = classes.select("c", "who").join(part, F.col("c") == F.col("node"))
-    name = part.groupBy("component").agg(F.min("who").alias("name"))
-    part = part.join(name, "component").select("c", "name")
-    classes = (classes.join(count, F.col("c") == F.col("a"), "left").join(part, "c", "left")
-               .select(*key, F.coalesce("name", "who").alias("name"),
-                       (F.coalesce("others", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links")))
-    out = rows.drop("sketch").join(written(classes, "jaccard"), key, "left")
-    return out.select("id", "th", F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("name.id"))
-                      .alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                      F.coalesce(F.col("name") == who, F.lit(True)).alias("first"))
+    with scratch(docs.sparkSession):
+        rows = written(sketches(docs, id_col, text_col), "jaccard")
+        key = ["d1", "d2", "size"]
+        who = F.struct(F.col("id").isNull().alias("none"), "id", "th")
+        classes = (rows.filter("size > 0").groupBy(*key)
+                   .agg(F.min(F.struct(who.alias("who"), "sketch")).alias("m"), F.count("*").alias("copies"))
+                   .select(*key, "m.who", "m.who.id", "m.who.th", "m.sketch", "copies",
+                           F.monotonically_increasing_id().alias("c")))
+        classes = written(classes, "jaccard")
+        texts = docs.select(F.col(id_col).cast("long").alias("id"),
+                            F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
+                            F.col(text_col).alias("text"))
+        found = links(classes, texts, threshold)
+        count = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("others"))
+        part = components(found.filter("b IS NOT NULL").select("a", "b"))
+        part = classes.select("c", "who").join(part, F.col("c") == F.col("node"))
+        name = part.groupBy("component").agg(F.min("who").alias("name"))
+        part = part.join(name, "component").select("c", "name")
+        classes = (classes.join(count, F.col("c") == F.col("a"), "left").join(part, "c", "left")
+                   .select(*key, F.coalesce("name", "who").alias("name"),
+                           (F.coalesce("others", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links")))
+        out = rows.drop("sketch").join(written(classes, "jaccard"), key, "left")
+        class_id = F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("name.id"))
+        out = out.select("id", "th", class_id.alias("class_id"),
+                         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+                         F.coalesce(F.col("name") == who, F.lit(True)).alias("first"))
+        return written(out, "jaccard", outer=True)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the one with the smallest id, every text without
     words."""
-    keys = written(near_duplicates(docs, id_col, text_col, threshold).filter("first").select("id", "th")
-                   .distinct(), "jaccard")
+    keys = near_duplicates(docs, id_col, text_col, threshold).filter("first").select("id", "th").distinct()
     mine = fresh_name(docs, "llm_th")
     named = docs.withColumn(mine, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     keys = keys.select(F.col("id").alias(mine + "i"), F.col("th").alias(mine + "t"))

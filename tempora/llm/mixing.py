@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import documents, fresh_name, written
+from tempora.llm.common import documents, fresh_name, scratch, written
 
 WEIGHTS, SHARE, CAP, BIN, SEED = (3.0, 1.0, 2.0), 1.5, 2.0, 64, 20240607
 WORD = r"[^\x20\x09-\x0D]+"
@@ -130,26 +130,29 @@ def copies(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
            cap: float = CAP) -> DataFrame:
     """``doc_id, text_key, rep, source, size, source_size, target, copies`` for
     ``rows(doc_id, text_key, source, size)``; ``rep`` numbers rows equal in all four from 1."""
-    # equal rows become one row with a count, then as many numbered items: no window over them
-    items = (rows.groupBy("doc_id", "text_key", "source", "size").agg(F.count("*").alias("m"))
-             .withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m")))).drop("m"))
-    src = written(targets(rows.select("source", "size"), weights, share, cap), "mixing")
-    src = src.withColumnRenamed("source", "src")
-    items = items.join(src, F.col("source").eqNullSafe(F.col("src"))).drop("src")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    items = (items.withColumn("base", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio))
-             .withColumn("u", F.xxhash64(F.lit(SEED), "doc_id", "text_key", "rep", "source")))
-    items = written(items, "mixing")
-    # bins and keys go by (source, u): two items of a source with one u would be a 64-bit collision
-    live = items.filter("p > 0 and size > 0")
-    twins = live.groupBy("source", "u").agg(F.count("*").alias("c"), F.first("p").alias("p"),
-                                            F.first("n").alias("n"), F.sum("size").alias("size"))
-    take = rounded(twins.select("source", "n", "u", "p", "size"))
-    alone = F.when((F.col("size") == 0) & (_uniform(F.col("u")) < F.col("p")), 1).otherwise(0)
-    take = take.select(F.col("source").alias("of"), F.col("u").alias("v"), "take")
-    return (items.join(take, (F.col("u") == F.col("v")) & F.col("source").eqNullSafe(F.col("of")), "left")
-            .select("doc_id", "text_key", "rep", "source", "size", "source_size", "target",
-                    (F.col("base") + F.coalesce("take", alone)).cast("long").alias("copies")))
+    with scratch(rows.sparkSession):
+        rows = written(rows, "mixing")
+        # equal rows become one row with a count, then as many numbered items: no window over them
+        items = (rows.groupBy("doc_id", "text_key", "source", "size").agg(F.count("*").alias("m"))
+                 .withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m")))).drop("m"))
+        src = written(targets(rows.select("source", "size"), weights, share, cap), "mixing")
+        src = src.withColumnRenamed("source", "src")
+        items = items.join(src, F.col("source").eqNullSafe(F.col("src"))).drop("src")
+        ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        items = (items.withColumn("base", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio))
+                 .withColumn("u", F.xxhash64(F.lit(SEED), "doc_id", "text_key", "rep", "source")))
+        items = written(items, "mixing")
+        # bins and keys go by (source, u): two items of a source with one u would be a 64-bit collision
+        live = items.filter("p > 0 and size > 0")
+        twins = live.groupBy("source", "u").agg(F.count("*").alias("c"), F.first("p").alias("p"),
+                                                F.first("n").alias("n"), F.sum("size").alias("size"))
+        take = rounded(twins.select("source", "n", "u", "p", "size"))
+        alone = F.when((F.col("size") == 0) & (_uniform(F.col("u")) < F.col("p")), 1).otherwise(0)
+        take = take.select(F.col("source").alias("of"), F.col("u").alias("v"), "take")
+        out = items.join(take, (F.col("u") == F.col("v")) & F.col("source").eqNullSafe(F.col("of")), "left")
+        out = out.select("doc_id", "text_key", "rep", "source", "size", "source_size", "target",
+                         (F.col("base") + F.coalesce("take", alone)).cast("long").alias("copies"))
+        return written(out, "mixing", outer=True)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -163,8 +166,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The mix itself: every row of ``docs`` as often as it is taken, columns as they were."""
     got = (copies(_rows(docs, id_col, text_col, source_col))
            .groupBy("doc_id", "text_key", "source")
-           .agg(F.sort_array(F.collect_list(F.struct("rep", "copies"))).alias("c")))
-    got = written(got.filter("exists(c, x -> x.copies > 0)"), "mixing")
+           .agg(F.sort_array(F.collect_list(F.struct("rep", "copies"))).alias("c"))
+           .filter("exists(c, x -> x.copies > 0)"))
     key, rep, take = (fresh_name(docs, f"llm_{x}") for x in ("key", "rep", "take"))
     got = got.select(F.col("doc_id").alias(key + "d"), F.col("text_key").alias(key + "t"),
                      F.col("source").alias(key + "s"), F.col("c").alias(take))
@@ -181,6 +184,6 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows(documents(spark, sf_dir), "doc_id", "text", "source")
-    return copies(written(rows, "mixing")).select(
+    return copies(rows).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
         "copies")

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import documents, written
+from tempora.llm.common import documents, scratch, written
 from tempora.llm.exact_dedup import digest
 
 SHARDS, OVERHEAD, PIECES = 24, 8, 20_000
@@ -158,36 +158,37 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
     """``<id_col>, size, text_crc32, shard, slot`` for every row."""
     text = F.col(text_col)
     raw = F.coalesce(text, F.lit("")).cast("binary")
-    rows = written(docs.select(F.col(id_col).alias("id"), F.octet_length(raw).cast("long").alias("n"),
-                               F.crc32(raw).alias("crc"), digest(text).alias("digest"))
-                   .withColumn("size", F.col("n") + OVERHEAD).drop("n"), "sharding")
-    spark = docs.sparkSession
-    groups = _numbered(written(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "sharding"),
-                       "digest")
-    counts = sorted(groups.groupBy("pid").count().collect())  # a row per partition
-    n, firsts = 0, []
-    for pid, c in counts:
-        firsts.append((pid, n))
-        n += c
-    first = spark.createDataFrame(firsts, "pid long, first long")
-    groups = written(groups.join(F.broadcast(first), "pid").select(
-        "digest", "bytes", (F.col("first") + F.col("nth")).alias("g")), "sharding")
-    cuts = minimax_cuts(groups, n, shards, pieces)[1] if n else []
-    shard = F.lit(0)
-    for c in cuts:
-        shard = shard + (F.col("g") >= F.lit(c)).cast("int")
-    placed = written(rows.join(groups.select("digest", shard.alias("shard")), "digest"), "sharding")
-    placed = _numbered(placed, "shard", "digest", "id")
-    parts = sorted(placed.groupBy("shard", "pid").agg(F.count("*").alias("c"), F.min("nth").alias("m"))
-                   .collect())  # partitions + shards rows at most
-    offsets, seen = [], {}
-    for s, pid, c, m in parts:
-        offsets.append((s, pid, seen.get(s, 0) - m))
-        seen[s] = seen.get(s, 0) + c
-    offset = spark.createDataFrame(offsets, "shard int, pid long, shift long")
-    return placed.join(F.broadcast(offset), ["shard", "pid"]).select(
-        F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard",
-        (F.col("nth") + F.col("shift")).alias("slot"))
+    with scratch(docs.sparkSession):
+        rows = written(docs.select(F.col(id_col).alias("id"), F.octet_length(raw).cast("long").alias("n"),
+                                   F.crc32(raw).alias("crc"), digest(text).alias("digest"))
+                       .withColumn("size", F.col("n") + OVERHEAD).drop("n"), "sharding")
+        spark = docs.sparkSession
+        groups = _numbered(written(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "sharding"),
+                           "digest")
+        counts = sorted(groups.groupBy("pid").count().collect())  # a row per partition
+        n, firsts = 0, []
+        for pid, c in counts:
+            firsts.append((pid, n))
+            n += c
+        first = spark.createDataFrame(firsts, "pid long, first long")
+        groups = written(groups.join(F.broadcast(first), "pid").select(
+            "digest", "bytes", (F.col("first") + F.col("nth")).alias("g")), "sharding")
+        cuts = minimax_cuts(groups, n, shards, pieces)[1] if n else []
+        shard = F.lit(0)
+        for c in cuts:
+            shard = shard + (F.col("g") >= F.lit(c)).cast("int")
+        placed = written(rows.join(groups.select("digest", shard.alias("shard")), "digest"), "sharding")
+        placed = _numbered(placed, "shard", "digest", "id")
+        parts = sorted(placed.groupBy("shard", "pid").agg(F.count("*").alias("c"), F.min("nth").alias("m"))
+                       .collect())  # partitions + shards rows at most
+        offsets, seen = [], {}
+        for s, pid, c, m in parts:
+            offsets.append((s, pid, seen.get(s, 0) - m))
+            seen[s] = seen.get(s, 0) + c
+        offset = spark.createDataFrame(offsets, "shard int, pid long, shift long")
+        return written(placed.join(F.broadcast(offset), ["shard", "pid"]).select(
+            F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard",
+            (F.col("nth") + F.col("shift")).alias("slot")), "sharding", outer=True)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

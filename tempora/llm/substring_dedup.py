@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm.anchors import covered, repeated, rows_of, with_runs
+from tempora.llm.anchors import covered, rows_of, with_runs
 from tempora.llm.common import (binary_array, byte_slices, documents, utf8, word_hashes, words)
 
 WINDOW, GRAM, DEPTH = 35, 6, 128
@@ -153,8 +153,7 @@ def _cut(texts: pa.Array, doc: np.ndarray, first: np.ndarray, after: np.ndarray)
 def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``id, th, text, runs``: each row with the ranges of words that repeated windows cover."""
-    rows = rows_of(docs, id_col, text_col)
-    return with_runs(rows, repeated(rows, window, gram, _words, _cut, matched(window)))
+    return with_runs(rows_of(docs, id_col, text_col), window, gram, _words, _cut, matched(window))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.anchors import covered, cut_bytes, repeated, rows_of, with_runs
+from tempora.llm.anchors import covered, cut_bytes, rows_of, with_runs
 from tempora.llm.common import BASE, byte_slices, documents, inverse, powers, prefix_hashes, utf8
 
 WINDOW, GRAM = 200, 32
@@ -168,8 +168,7 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``id, th, text, runs``: each row with the byte ranges that repeated windows cover."""
-    rows = rows_of(docs, id_col, text_col)
-    return with_runs(rows, repeated(rows, window, gram, _bytes, cut_bytes, matched(window)))
+    return with_runs(rows_of(docs, id_col, text_col), window, gram, _bytes, cut_bytes, matched(window))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
