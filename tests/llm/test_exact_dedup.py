@@ -1,7 +1,7 @@
 import hashlib
 from collections import defaultdict
 
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm.exact_dedup import DigestIndex, deduplicated, mark
 

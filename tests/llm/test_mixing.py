@@ -2,7 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm.mixing import copies, mixed, op9_mixing, targets
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm import embedding_dedup, jaccard_join
 

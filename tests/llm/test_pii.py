@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm.pii import feistel, luhn, op7_pii, pseudonym, pseudonymise, pseudonymised
 

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm import anchors, substring_dedup, suffix_dedup
 

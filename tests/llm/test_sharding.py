@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm.sharding import Runs, minimax_cuts, op4_sharding, sharded
 

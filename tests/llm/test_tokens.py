@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import EDGES
+from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm.sentencepiece import MODEL, Vocabulary, decode, decode_ids, encode, encode_texts, op8_sentencepiece
 
