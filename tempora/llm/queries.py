@@ -19,7 +19,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
     "op2_jaccard_join": jaccard_join.OP2_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_embedding_dedup": embedding_dedup.OP5_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
 }

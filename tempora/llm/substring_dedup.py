@@ -193,3 +193,22 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 34], ' ')) AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d) u),
+r AS (SELECT doc_id, s FROM k JOIN (SELECT k FROM k GROUP BY k HAVING count(*) > 1) t USING (k)),
+i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 35 THEN 0 ELSE 1 END AS new
+      FROM r),
+g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM i),
+runs AS (SELECT doc_id, min(s) AS a, max(s) + 35 AS b FROM g GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS z FROM runs),
+kept AS (SELECT doc_id, sum(b - a) AS n_removed,
+                list_concat(flatten(list(w[z:a - 1] ORDER BY a)), any_value(w)[max(b):]) AS w
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(coalesce(kept.w, d.w), ' ')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -202,3 +202,22 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+OP1_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS s FROM d) u),
+r AS (SELECT doc_id, s FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) t USING (k)),
+i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS new
+      FROM r),
+g AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM i),
+runs AS (SELECT doc_id, min(s) AS a, max(s) + 200 AS b FROM g GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM runs),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+                string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
