@@ -302,14 +302,15 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         links = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"),
                                                       F.least("a", "b").alias("b")).distinct(), "cc")
         mark = None
-        for _ in range(rounds):
+        for _ in range(rounds if links.limit(1).count() else 0):
             links = written(star(star(links, True), False), "cc")
             now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
             if tuple(now) == mark:
                 break
             mark = tuple(now)
         else:
-            raise RuntimeError(f"components did not settle in {rounds} rounds")
+            if mark is not None:
+                raise RuntimeError(f"components did not settle in {rounds} rounds")
         links = written(links, "cc", outer=True)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
