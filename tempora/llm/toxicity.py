@@ -246,7 +246,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 4, batch: int = 64,
     return net
 
 
-def score_texts(texts: pa.Array, net: Network, at_once: int = 8192) -> np.ndarray:
+def score_texts(texts: pa.Array, net: Network, at_once: int = 4096) -> np.ndarray:
     t = Text(texts)
     out = np.full(len(texts), -np.inf)
     inputs = net.inputs(t)
@@ -289,7 +289,7 @@ def scored(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_co
                            T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text", 2 << 20):
+        for batch in byte_slices(batches, "text", 1 << 20):
             score = score_texts(batch.column("text"), net) if net else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score, pa.float64())],
                                              names=schema.names)
@@ -300,7 +300,7 @@ def scored(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_co
 def accepted(docs: DataFrame, net: Network | None, text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below ``limit``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, text_col, 2 << 20):
+        for batch in byte_slices(batches, text_col, 1 << 20):
             score = score_texts(batch.column(text_col), net) if net else np.zeros(batch.num_rows)
             yield batch.filter(pa.array(score < limit))
 
