@@ -5,7 +5,9 @@ tokens with the smallest hash in the window.  Equal windows have equal anchors a
 windows with different anchors never need to meet.  Consecutive windows with one anchor make a span,
 about 2 / (window - gram) spans a token.
 
-The spans of all documents are counted by anchor, then those with a shared anchor by content.  A span
+Spans that a document holds several times (as "la la la ..." does) go on as one with a count, and as
+the range that they cover.  The spans of all documents are counted by anchor, then those with a shared
+anchor by content.  A span
 whose content stands elsewhere too is repeated throughout, without a look at its text.  Of the
 different spans of an anchor one each goes, with its text, to the task that compares the windows of
 that anchor; anchors with more than ``GROUP`` different spans (a third of all documents may share
@@ -15,6 +17,7 @@ a line) are compared by the hashes of their single windows instead, counted with
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +78,38 @@ Cutter = Callable[[pa.Array, np.ndarray, np.ndarray, np.ndarray], pa.Array]
 Matcher = Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
+def _within(doc: np.ndarray, key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the spans of a few documents: (the first of each kind in its document, how many of its kind its
+    document has)."""
+    order = np.lexsort((content, key, doc))
+    new = np.ones(len(order), bool)
+    for x in (doc, key, content):
+        new[1:] &= x[order][1:] == x[order][:-1]
+    new[1:] = ~new[1:]
+    kind = np.cumsum(new) - 1
+    many = np.empty(len(order), np.int64)
+    many[order] = np.bincount(kind)[kind] if len(order) else 0
+    return np.sort(order[new]), many
+
+
+def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, document) of the unions of ranges that overlap or touch; both ends ascend."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])
+    last = np.append(new[1:], True) if len(doc) else new
+    return begin[new], end[last], doc[new]
+
+
+def _span_rows(batch: pa.RecordBatch, doc: np.ndarray, loc: np.ndarray, key: np.ndarray | None,
+               content: np.ndarray | None, many: np.ndarray | None, end: np.ndarray | None) -> pa.RecordBatch:
+    take, none = pa.array(doc), pa.nulls(len(doc), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [none if key is None else signed(key), none if content is None else signed(content),
+         batch.column("id").take(take), batch.column("th").take(take), pa.array(loc, pa.int64()),
+         none if many is None else pa.array(many, pa.int64()), none if end is None else pa.array(end, pa.int64())],
+        names=["a", "h", "id", "th", "loc", "n", "e"])
+
+
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, th, text``: the hash tells apart rows that repeat an id with another text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -94,17 +129,20 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
         for batch in byte_slices(batches, "text", 1 << 20):
             values, offsets = tokens(batch.column("text"))
             doc, anchor, low, high, key, content = spans(values, offsets, window, gram)
+            first, many = _within(doc, key, content)
+            again = many > 1
+            begin, end, of = _merged(doc[again], low[again], high[again] + window)
             loc = ((low - offsets[doc]) << 2 * _BITS) | ((anchor - low) << _BITS) | (high - low)
-            take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays(
-                [signed(key), signed(content), batch.column("id").take(take), batch.column("th").take(take),
-                 pa.array(loc, pa.int64())], names=["a", "h", "id", "th", "loc"])
+            yield _span_rows(batch, doc[first], loc[first], key[first], content[first], many[first], None)
+            yield _span_rows(batch, of, begin - offsets[of], None, None, None, end - offsets[of])
 
     kind = rows.schema["id"].dataType.simpleString()
-    every = written(rows.mapInArrow(find, f"a long, h long, id {kind}, th int, loc long"), "spans")
-    shared = written(every.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a"), "spans")
-    live = written(every.join(shared, "a"), "spans")
-    kinds = written(live.groupBy("a", "h").agg(F.count("*").alias("c"),
+    every = written(rows.mapInArrow(find, f"a long, h long, id {kind}, th int, loc long, n long, e long"),
+                    "spans")
+    counted = every.filter("e IS NULL").drop("e")
+    shared = written(counted.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").select("a"), "spans")
+    live = written(counted.join(shared, "a"), "spans")
+    kinds = written(live.groupBy("a", "h").agg(F.sum("n").alias("c"),
                                                F.min(F.struct("id", "th", "loc")).alias("m")), "spans")
     many = written(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "spans")
     members = kinds.join(many, "a").select("a", "c", "kinds", "m.*")
@@ -153,7 +191,8 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
     span = F.col("loc").bitwiseAND(F.lit((1 << _BITS) - 1))
     found.append(live.join(whole, ["a", "h"])
                  .select("id", "th", low.alias("s"), (low + span + window).alias("e")))
-    return (found[0].unionAll(found[1]).unionAll(found[2])
+    found.append(every.filter("e IS NOT NULL").select("id", "th", F.col("loc").alias("s"), "e"))
+    return (reduce(DataFrame.unionAll, found)
             .groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("runs")))
 
 

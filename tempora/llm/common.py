@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -70,6 +71,15 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str,
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on for tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +128,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str],
             held, n = rest.to_batches(), rest.num_rows
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+    release()
 
 
 def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
