@@ -144,6 +144,10 @@ def _stack(column: pa.Array, dim: int) -> np.ndarray:
 def decoded(vectors: DataFrame, words: int, filters: int = FILTERS, codes: int = CODES) -> DataFrame:
     """``n, label, copies, dim, vector, codes`` of the vectors that can link: ``codes`` are the filters
     that the vector exceeds, ascending."""
+    # the lists of filters are most of what is shuffled: 32 bits a filter where they are enough
+    small = codes * words ** BLOCKS < 1 << 31
+    code_type, code_name = (pa.int32(), "int") if small else (pa.int64(), "long")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books: dict[int, list[ProductCode]] = {}
         for batch in batches:
@@ -157,7 +161,7 @@ def decoded(vectors: DataFrame, words: int, filters: int = FILTERS, codes: int =
                 for a in range(0, same.num_rows, step):
                     part = same.slice(a, step)
                     row, code = decode_all(books[dim], _unit(_stack(part.column("vector"), dim)))
-                    lists = list_array(pa.array(code, pa.int64()), np.bincount(row, minlength=part.num_rows))
+                    lists = list_array(pa.array(code.astype(code_type.to_pandas_dtype())), np.bincount(row, minlength=part.num_rows))
                     yield pa.RecordBatch.from_arrays(
                         [part.column("n"), part.column("label"), part.column("copies"),
                          pa.array(np.full(part.num_rows, dim), pa.int32()), part.column("vector"), lists],
@@ -165,7 +169,7 @@ def decoded(vectors: DataFrame, words: int, filters: int = FILTERS, codes: int =
 
     kind = vectors.schema["vector"].dataType.simpleString()
     return vectors.select("n", "label", "copies", "vector").mapInArrow(
-        run, f"n long, label long, copies long, dim int, vector {kind}, codes array<long>")
+        run, f"n long, label long, copies long, dim int, vector {kind}, codes array<{code_name}>")
 
 
 def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
