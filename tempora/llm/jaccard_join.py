@@ -8,7 +8,7 @@ threshold share one child of each shared node on average, dissimilar ones soon n
 levels the buckets of up to ``BUCKET`` sets are compared by brute force.  A larger one whose sets are
 alike (their mean similarity is ``ALIKE`` or more) gains nothing from splits; it is dealt as pairs of
 blocks to as many tasks.  Other large ones are split ``DEPTH`` levels further, down to ``DEEPEST``.  A
-pair at the threshold is missed by all twelve runs with a chance under 1 in 10,000, and of 1 in 600 if
+pair at the threshold is missed by all sixteen runs with a chance of about 1 in a million, and of 1 in 5,000 if
 all its buckets had to be split once more; above the threshold both chances fall quickly.
 
 Within a bucket, pairs whose min-hashes agree in far fewer coordinates than the threshold are left
@@ -35,7 +35,7 @@ from tempora.llm.common import (blocks_of, byte_slices, components, documents, f
                                 spanning_edges, utf8, whole_groups, word_hashes, words, written)
 
 SHINGLE, THRESHOLD = 5, 0.8
-COORDINATES, RUNS, DEPTH, DEEPEST, BUCKET = 128, 12, 4, 12, 512
+COORDINATES, RUNS, DEPTH, DEEPEST, BUCKET = 128, 16, 4, 12, 512
 PROBES, ALIKE, SMALL = 8, 0.4, 32
 #: Below this share of equal min-hashes a pair isn't compared: 4.5 standard deviations under 0.8.
 HOPE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / COORDINATES) ** 0.5
