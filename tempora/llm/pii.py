@@ -10,7 +10,8 @@ Kinds: e-mail addresses (the local part, letter for letter and digit for digit;
 phone numbers of the North American plan and international ones (+ and country code stay), payment
 cards (first digit stays, the Luhn digit is computed anew), social security numbers, IBANs (country
 stays, check digits computed anew), IPv4 addresses and calendar dates (three orders).  Separators and
-widths stay as written.  Numbers that don't validate are left alone.
+widths stay as written.  Numbers that don't validate are left alone; a North American number with +1 or
+its area code in parentheses is one by its shape, bare groups of digits are if the plan has such numbers.
 
 Defined results: a null text stays null and an empty one empty, with no findings; overlapping
 candidates go to the kind listed first; repeated rows are treated alike; whole texts are read and
@@ -220,7 +221,12 @@ def pseudonym(kind: str, text: str, key: bytes = KEY, back: bool = False) -> str
         head = len(digits) - 10
         def nanp(d: str) -> bool:
             return d[head] >= "2" and d[head + 3] >= "2" and d[head + 1:head + 3] != "11"
-        return _number(text, digits, head, key, kind, back, nanp) if nanp(digits) else None
+        if nanp(digits):
+            return _number(text, digits, head, key, kind, back, nanp)
+        # written out in full it is a phone number by its shape; those out of the plan keep among themselves
+        if text[0] == "+" or "(" in text:
+            return _number(text, digits, head, key, kind, back, lambda d: not nanp(d))
+        return None
     if kind == "abroad":
         if not 8 <= len(digits) <= 15:
             return None

@@ -82,3 +82,35 @@ def test_query_finds_what_stands_there(spark):
         want = sorted(m.span() for k, p in kinds.items() for m in re.finditer(p, text[r.doc_id])
                       if (k != "card" or luhn(m[0])) and (k != "phone" or m[0][4] >= "2" and m[0][5:7] != "11"))
         assert got == want and len(r.text) == len(text[r.doc_id])
+
+
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (171) 555-2028", "+1 (911) 555-0100", "(017) 555-7713",
+                                   "1 (415) 155-0100", "+1 017-555-7713", "+1.211.555.0100"])
+def test_phones_written_in_full_need_no_valid_area_code(value):
+    text = f"call {value}, or {value}."
+    new, found = pseudonymised(text, KEY)
+    assert [(text[a:b], k) for a, b, k in found] == [(value, "phone")] * 2
+    shown = new[found[0][0]:found[0][1]]
+    assert shown != value and new == text.replace(value, shown)
+    assert re.sub("[0-9]", "0", shown) == re.sub("[0-9]", "0", value)
+    assert [k for *_, k in pseudonymised(new, KEY)[1]] == ["phone"] * 2
+    assert pseudonymised(new, KEY, back=True)[0] == text
+    bare = re.sub(r"^[^0-9]*(1[^0-9]+)?", "", value).replace(") ", "-")
+    assert pseudonymised(bare, KEY) == (bare, [])  # bare groups of digits need one
+
+
+def test_phones_of_all_area_codes_stay_apart():
+    got = {pseudonym("phone", f"+1 ({a:03d}) 555-0100", KEY) for a in range(1000)}
+    assert len(got) == 1000 and None not in got
+
+
+def test_query_finds_all_phones_written_in_full(spark):
+    sf, shape = "/root/testdata/sf0.1", re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    n = 0
+    for r in op7_pii(spark, sf).collect():
+        want = [m.span() for m in shape.finditer(text[r.doc_id])]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "phone"] == want
+        assert not {m[0] for m in shape.finditer(text[r.doc_id])} & {m[0] for m in shape.finditer(r.text)}
+        n += len(want)
+    assert n > 100
