@@ -7,9 +7,11 @@ average) and sends each set to the child named by its token there.  Two sets of
 threshold share one child of each shared node on average, dissimilar ones soon none.  After ``DEPTH``
 levels the buckets of up to ``BUCKET`` sets are compared by brute force.  A larger one whose sets are
 alike (their mean similarity is ``ALIKE`` or more) gains nothing from splits; it is dealt as pairs of
-blocks to as many tasks.  Other large ones are split ``DEPTH`` levels further, down to ``DEEPEST``.  A
-pair at the threshold is missed by all sixteen runs with a chance of about 1 in a million, and of 1 in 5,000 if
-all its buckets had to be split once more; above the threshold both chances fall quickly.
+blocks to as many tasks.  Other large ones are split ``DEPTH`` levels further, down to ``DEEPEST``, in
+``AGAIN`` runs of their own each: as many as keep the chance to miss a pair under ``MISS`` even if all
+its buckets are split to the end (``miss_chance``, averaged over the min-hashes, which all runs share).
+A pair at 0.8 is missed with a chance of 2.1 in 100,000, of 5.9 if all its buckets had to be split
+once more and of 8.9 if twice; at 0.82 these are 0.4, 1.4 and 2.0.
 
 Within a bucket, pairs whose min-hashes agree in far fewer coordinates than the threshold are left
 out, and only sets that have a partner go on, with their shingles, to the exact comparison.  A pair
@@ -24,6 +26,8 @@ repeat an id are told apart by their text; whole texts are read; an empty table
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +40,29 @@ from tempora.llm.common import (blocks_of, byte_slices, components, documents, f
 
 SHINGLE, THRESHOLD = 5, 0.8
 COORDINATES, RUNS, DEPTH, DEEPEST, BUCKET = 128, 16, 4, 12, 512
-PROBES, ALIKE, SMALL = 8, 0.4, 32
+PROBES, ALIKE, SMALL, MISS = 8, 0.4, 32, 1e-4
 #: Below this share of equal min-hashes a pair isn't compared: 4.5 standard deviations under 0.8.
 HOPE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / COORDINATES) ** 0.5
 
+
+def miss_chance(similarity: float, depth: int, again: int, runs: int = RUNS) -> float:
+    """That a pair isn't compared if all its buckets are split to ``depth``, in ``again`` runs each time."""
+    equal = np.arange(COORDINATES + 1)
+    one, two = equal / COORDINATES, equal * (equal - 1) / (COORDINATES * (COORDINATES - 1))
+    lost, more = np.zeros(len(equal)), 1 / THRESHOLD - 1  # lost: by a node, given the equal min-hashes
+    for level in range(depth):
+        if level and level % DEPTH == 0:
+            lost = lost ** again
+        lost = ((1 - more) * (1 - one + one * lost)
+                + more * (1 - 2 * one + two + 2 * (one - two) * lost + two * lost ** 2))
+    chance = np.array([comb(COORDINATES, k) * similarity ** k * (1 - similarity) ** (COORDINATES - k)
+                       for k in equal.tolist()])
+    return float(chance @ np.where(equal < int(HOPE * COORDINATES), 1, lost ** runs))
+
+
+#: Runs in a bucket that is split.
+AGAIN = next(k for k in count(1) if miss_chance(THRESHOLD, DEEPEST, k) <= MISS)
+
 _ODD = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -86,6 +109,12 @@ def roots(n: int, runs: int = RUNS) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(n), runs), np.tile(start, n)
 
 
+def reruns(row: np.ndarray, path: np.ndarray, times: int = AGAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Sets ``row`` at nodes ``path``, to the roots of ``times`` runs below each."""
+    start = mix64(np.arange(1, times + 1, dtype=np.uint64))
+    return np.repeat(row, times), mix64((path[:, None] ^ start).ravel())
+
+
 def descend(sketch: np.ndarray, row: np.ndarray, path: np.ndarray, levels: int = DEPTH
             ) -> tuple[np.ndarray, np.ndarray]:
     """Split further: sets ``row`` at nodes ``path``, to the nodes ``levels`` below."""
@@ -140,13 +169,13 @@ def _sketch(column: pa.Array) -> np.ndarray:
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(c, sketch) to the nodes of all runs; with a column ``path``, from there on."""
+    """(c, sketch) to the nodes of all runs; with a column ``path``, from there on in runs of their own."""
     for whole in batches:
         for a in range(0, whole.num_rows, 4096):
             batch = whole.slice(a, 4096)
             sketch = _sketch(batch.column("sketch"))
             if "path" in batch.schema.names:
-                row, path = np.arange(len(sketch)), batch.column("path").to_numpy().view(np.uint64)
+                row, path = reruns(np.arange(len(sketch)), batch.column("path").to_numpy().view(np.uint64))
             else:
                 row, path = roots(len(sketch))
             row, path = descend(sketch, row, path)

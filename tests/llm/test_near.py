@@ -72,6 +72,42 @@ def test_large_buckets_are_split_and_lose_no_link(spark, docs, monkeypatch):
     assert result(jaccard_join.near_duplicates(docs(rows))) == brute(rows)[0]
 
 
+def test_split_buckets_of_unlike_sets_keep_their_near_copies(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ALIKE", 2)
+    monkeypatch.setattr(jaccard_join.buckets, "__defaults__", (1,))  # all buckets are split to the end
+    line = " ".join(f"all{i}" for i in range(27))  # 23 of the 45 shingles of every text: a similarity of 0.34
+    rows = []
+    for g in range(1000):  # 40 common shingles of 50 in a pair
+        own = " ".join(f"g{g}w{i}" for i in range(17))
+        rows += [(2 * g + k, f"{line} {own} " + " ".join(f"g{g}k{k}w{i}" for i in range(5))) for k in (0, 1)]
+    got = {r.id: (r.class_id, r.n_links) for r in jaccard_join.near_duplicates(docs(rows)).collect()}
+    assert {i: v for i, v in got.items() if v != (i - i % 2, 1)} == {}
+
+
+def test_chance_to_miss_a_pair():
+    rng = np.random.default_rng(5)
+    lost = {4: 0, 8: 0, 12: 0}
+    n = 2000
+    for _ in range(2):  # pairs whose min-hashes are equal with a chance of 0.8 each
+        a = rng.integers(0, 2 ** 32, (n, 128), dtype=np.uint32)
+        b = np.where(rng.random((n, 128)) < 0.8, a, a + np.uint32(1))
+        row, path = jaccard_join.roots(n)
+        row, path = row.astype(np.int32), path.copy()
+        for depth in lost:
+            if depth > 4:
+                row, path = jaccard_join.reruns(row, path)
+            mine, other = jaccard_join.descend(a, row, path), jaccard_join.descend(b, row, path)
+            # nodes are told apart by the pair, too
+            key = [jaccard_join.mix64(p ^ jaccard_join.mix64(r.astype(np.uint64))) for r, p in (mine, other)]
+            met = np.isin(key[0], key[1])
+            row, path = mine[0][met], mine[1][met]  # a node that one of them alone is at is lost for good
+            lost[depth] += n - len(np.unique(row))
+    assert max(lost.values()) <= 3  # of 4,000; one run in a split bucket loses 6 and 40
+    chances = [jaccard_join.miss_chance(0.8, d, jaccard_join.AGAIN) for d in lost]
+    assert sorted(chances) == chances and chances[-1] <= jaccard_join.MISS
+    assert jaccard_join.miss_chance(0.8, 12, 1) > 0.01
+
+
 def test_edges(spark, docs):
     df = docs(EDGES, "id th class_id n_links c path")
     assert result(jaccard_join.near_duplicates(df)) == brute(EDGES)[0]
