@@ -39,11 +39,11 @@ _CANDIDATE = re.compile(r"""
     (?P<email>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9]))
   | (?P<ipv4>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]|[A-Za-z_]))
-  | (?P<date>(?<![\w./-])(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4})(?![\w/-]|\.[0-9]))
+  | (?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2})|(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4})(?![\w/-]|\.[0-9])))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
   | (?P<phone>(?<![\w+])(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?!\w))
   | (?P<abroad>(?<![\w+])\+(?!1[\x20.(-])[1-9][0-9]{0,2}(?:[\x20-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}(?![\w]|\.[0-9]))
-  | (?P<card>(?<![\w.-])[3-6][0-9]{3}(?:[\x20-]?[0-9]{1,6}){2,4}(?![\w-]|\.[0-9]))
+  | (?P<card>(?<![\w.-])[2-6][0-9]{3}(?:[\x20-]?[0-9]{1,6}){2,4}(?![\w-]|\.[0-9]))
 """, re.VERBOSE | re.ASCII)
 
 
@@ -231,10 +231,13 @@ def pseudonym(kind: str, text: str, key: bytes = KEY, back: bool = False) -> str
         if not 8 <= len(digits) <= 15:
             return None
         return _number(text, digits, 3, key, kind, back, lambda d: True)
-    if not (13 <= len(digits) <= 19 and luhn(digits)):
+    def issued(d: str) -> bool:  # of the cards that start with 2 only a series of 16 digits
+        return d[0] != "2" or len(digits) == 16 and "2221" <= d[:4] <= "2720"
+    if not (13 <= len(digits) <= 19 and luhn(digits) and issued(digits)):
         return None
     body, n = digits[1:-1], len(digits) - 2
-    got = Domain([10] * n, key, f"card{n}{digits[0]}").permuted(int(body), lambda _: True, back)
+    got = Domain([10] * n, key, f"card{n}{digits[0]}").permuted(
+        int(body), lambda v: issued(digits[0] + str(v).zfill(n)), back)
     new = digits[0] + str(got).zfill(n)
     return _refill(text, new + next(c for c in "0123456789" if luhn(new + c)))
 

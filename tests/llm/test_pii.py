@@ -114,3 +114,20 @@ def test_query_finds_all_phones_written_in_full(spark):
         assert not {m[0] for m in shape.finditer(text[r.doc_id])} & {m[0] for m in shape.finditer(r.text)}
         n += len(want)
     assert n > 100
+
+
+@pytest.mark.parametrize("kind,value,after", [("date", "2024-01-15", "T10:00"), ("date", "2024-01-15", "T10:00:00.5Z"),
+                                              ("card", "2223 0031 2200 3222", ""), ("card", "2223003122003222", "")])
+def test_dates_of_timestamps_and_cards_of_the_2_series(kind, value, after):
+    text = f"at {value}{after}, then {value}{after}"
+    new, found = pseudonymised(text, KEY)
+    assert [(text[a:b], k) for a, b, k in found] == [(value, kind)] * 2
+    shown = new[found[0][0]:found[0][1]]
+    assert shown != value and new == text.replace(value, shown)
+    assert pseudonymised(new, KEY, back=True)[0] == text
+    assert kind != "card" or luhn(shown.replace(" ", "")) and "2221" <= shown[:4] <= "2720"
+
+
+@pytest.mark.parametrize("text", ["2024-01-15Tx", "2024-13-15T10:00", "2220000000000000", "2721000000000004"])
+def test_other_timestamps_and_cards_stay(text):
+    assert pseudonymised(text, KEY) == (text, [])
