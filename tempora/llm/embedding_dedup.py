@@ -59,8 +59,8 @@ class ProductCode:
         low, high = 0.0, float(np.mean(sum(d.max(axis=1) for d in dots)))
         while True:  # from the top, so that no list is long
             self.threshold = high - (high - low) / 16
-            if len(self._decoded(dots)[0]) > filters * len(probe):
-                break
+            if self.threshold < 1e-6 or len(self._decoded(dots)[0]) > filters * len(probe):
+                break  # in one or two coordinates few words may pass any threshold above 0
             high = self.threshold
         low = self.threshold
         for _ in range(12):

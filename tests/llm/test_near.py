@@ -203,3 +203,17 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**dict.fromkeys(range(51), 0), **dict.fromkeys(range(100, 160), 100)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("words", [16, 95, 97])
+def test_vectors_of_one_component_share_filters(words):
+    row, code = embedding_dedup.ProductCode(1, words).decode(np.array([[1.0], [-1.0]]))
+    of = [set(code[row == i].tolist()) for i in (0, 1)]
+    assert of[0] and of[1] and not of[0] & of[1]
+
+
+def test_one_component(spark):
+    df = spark.createDataFrame([(1, [2.0], 1), (2, [-1.0], 1), (3, [0.5], 1), (4, [0.0], 1), (5, [1.0], 2)],
+                               "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False), (4, 0, 4, True), (5, 0, 5, True)]
