@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tempora.llm import (embedding_dedup, exact_dedup, jaccard_join, mixing, pii, sentencepiece,
-                         sharding, substring_dedup, suffix_dedup, toxicity)
+                         sharding, substring_dedup, suffix_dedup, toxicity, whitening)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_whitening": whitening.op11_whitening,
 }
 
 ORACLE = {
