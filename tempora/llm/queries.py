@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tempora.llm import (embedding_dedup, exact_dedup, jaccard_join, mixing, periodic_runs, pii,
-                         sentencepiece, sharding, substring_dedup, suffix_dedup, toxicity, whitening)
+                         quality, sentencepiece, sharding, substring_dedup, suffix_dedup, toxicity, whitening)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_whitening": whitening.op11_whitening,
+    "op12_quality": quality.op12_quality,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
