@@ -87,6 +87,32 @@ def register_sensors(dim: DataFrame, sightings: DataFrame) -> DataFrame:
     return dim.select("id", "sensor_sn", "device_id", "type", "location").unionByName(added)
 
 
+def changed_devices(dim: DataFrame, sightings: DataFrame) -> DataFrame:
+    """Known sensors whose first sighting names another device, with that device: the reference's
+    ON CONFLICT (sensor_SN) DO UPDATE SET device_ID.  A sighting without a device changes it to null."""
+    first = first_sightings(sightings).select("sensor_sn", F.col("device_id").alias("_device"))
+    return (dim.join(first, "sensor_sn").filter(~F.col("device_id").eqNullSafe(F.col("_device")))
+            .select("id", "sensor_sn", F.col("_device").alias("device_id"), "type", "location"))
+
+
+def upsert_changes(dim: DataFrame, sightings: DataFrame, on_conflict: str = "keep") -> DataFrame:
+    """The rows that a batch of sightings adds to the dimension or replaces in it, and no others.
+
+    ``on_conflict``: 'keep' leaves known sensors as they are (the reference's cached path), 'update' gives them
+    the device of the batch's first sighting (its insert path)."""
+    if on_conflict not in ("keep", "update"):
+        raise ValueError(on_conflict)
+    added = new_sensors(dim, sightings)
+    return added if on_conflict == "keep" else added.unionByName(changed_devices(dim, sightings))
+
+
+def latest(segments: DataFrame) -> DataFrame:
+    """The dimension from its segments: of each serial the row of the highest revision."""
+    row = F.struct("id", "device_id", "type", "location")
+    return (segments.groupBy("sensor_sn").agg(F.max_by(row, "rev").alias("r"))
+            .select("r.id", "sensor_sn", "r.device_id", "r.type", "r.location"))
+
+
 def resolve(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Attach sensor ids to readings (serial → id).  The dimension is joined
     by key; Spark broadcasts it only when its measured size allows."""

@@ -116,17 +116,25 @@ def _data_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | None,
-            as_of: datetime, older_than, chunk_interval=DEFAULT_CHUNK) -> list:
+            as_of: datetime, older_than, chunk_interval=None) -> list:
     """Rewrite every chunk that ended more than ``older_than`` before
     ``as_of`` with the segment/order layout (K7), unless it is unchanged
     since its last compaction: each compacted chunk keeps the list of its
     files beside them.  Returns the chunks rewritten.
 
     The rewritten rows are checkpointed to the shared folder before the
-    chunks they were read from are overwritten.  Tables with directories
-    below the chunks (the ingest's batches) are refused: their readers and
-    replays go by those directories.
+    chunks they were read from are overwritten.  The chunk interval is the one kept with the table;
+    one that differs is an error, as its rows would get other chunks.  Refused are tables with directories
+    below the chunks and those of a streaming file sink, whose readers go by the sink's own list of
+    files: a store (``sources.versioned``) compacts under running streams.
     """
+    known = known_interval(spark, path)
+    if known is not None and chunk_interval is not None and \
+            known != int(timefns.parse_width(chunk_interval).total_seconds()):
+        raise ValueError(f"{path} is chunked by {known} s, not {chunk_interval}")
+    chunk_interval = f"{known} seconds" if known is not None else chunk_interval or DEFAULT_CHUNK
+    if "_spark_metadata" in list_dirs(spark, path):
+        raise ValueError(f"{path} belongs to a streaming sink; it can't be compacted in place")
     cutoff = as_of - timefns.parse_width(older_than)
     width = timefns.parse_width(chunk_interval)
     last_old = (timefns.bucket_floor(cutoff, width) - width).date()
@@ -152,7 +160,7 @@ def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | Non
 
 
 def compact_table(spark: SparkSession, table: str, path: str, as_of: datetime,
-                  chunk_interval=DEFAULT_CHUNK) -> list:
+                  chunk_interval=None) -> list:
     """K7 with the reference's per-table policy (segment, order, age)."""
     segment_by, time_col, older_than = COMPRESSION[table]
     return compact(spark, path, time_col, segment_by, as_of, older_than, chunk_interval)

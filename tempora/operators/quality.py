@@ -5,6 +5,7 @@ NOT NULL, varchar(n), UNIQUE, FOREIGN KEY and ``default now()``:
 * ``apply_defaults`` fills NULLs of defaulted columns;
 * ``split`` returns (accepted rows, rejected rows + reason) for an ingest
   path - a quarantine instead of a failed transaction;
+* ``UniqueIngest`` appends batches to a versioned table and keeps a column's values unique across them;
 * ``violations`` reports the count per check as a table.
 
 Row checks are column expressions (one pass); UNIQUE is a partial
@@ -20,6 +21,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tempora.session import checkpointed
+from tempora.sources.versioned import Conflict, Store
+
 
 @dataclass
 class Constraints:
@@ -71,6 +75,70 @@ def split(df: DataFrame, c: Constraints) -> tuple[DataFrame, DataFrame]:
     return accepted, rejected
 
 
+class UniqueIngest:
+    """Appends batches under all declared constraints, UNIQUE included: the first row of a key is taken, every later
+    one - of the same batch or of another - is rejected with its reason.
+
+    The keys taken so far are a table of the same store, in folders sorted by key; accepted rows, new
+    keys and rejected rows are one commit, so a batch that runs again or two loaders side by side can't
+    take a key twice.  Within a batch the first row of a key is a partial aggregate and rows are told
+    apart by a number of their own, so a key that a third of all rows share is no hot group.  A null key is
+    no duplicate, as in SQL."""
+
+    def __init__(self, store: Store, constraints: Constraints, order: Sequence[str]):
+        if len(constraints.unique) != 1:
+            raise ValueError("exactly one UNIQUE column: with more, which row is first depends on all of them")
+        self.store, self.rules, self.order = store, constraints, list(order)
+        self.table, self.key = constraints.table, constraints.unique[0]
+
+    def append(self, rows: DataFrame, batch: int) -> int | None:
+        """One batch; the version it made, or None if it was taken before."""
+        store, keys = self.store, f"{self.table}_keys"
+        if store.committed(self.table, batch):
+            return None
+        # numbered and kept: both outcomes are read from the same rows
+        numbered = checkpointed(rows.withColumn("_row", F.monotonically_increasing_id()))
+        good, bad = split(numbered, self.rules)
+        first = F.min_by(F.struct(*[F.col(c) for c in numbered.columns]),
+                         F.struct(*[F.col(c) for c in self.order], F.col("_row"))).alias("r")
+        chosen = good.filter(F.col(self.key).isNotNull()).groupBy(self.key).agg(first).select("r.*")
+        while True:
+            state = store.state()
+            held = state.parts(keys)
+            fresh = chosen
+            if held:
+                fresh = chosen.join(store.frame(keys, held, state), self.key, "left_anti")
+            fresh = checkpointed(fresh)
+            taken = fresh.unionByName(good.filter(F.col(self.key).isNull()).select(*fresh.columns))
+            double = good.join(taken.select("_row"), "_row", "left_anti").withColumn(
+                "reason", F.lit(f"unique:{self.key}"))
+            commit = store.begin()
+            commit.add(self.table, taken.drop("_row"))
+            commit.add(f"{self.table}_rejected", bad.unionByName(double.select(*bad.columns)).drop("_row"))
+            n = fresh.count()
+            new = fresh.select(self.key)
+            old = held[len(held) - _tail(held, n):]
+            if old:  # keys of like number are merged, so folders stay few
+                new = new.unionByName(store.frame(keys, old, state))
+                commit.remove(old)
+            commit.add(keys, new.repartition(self.key).sortWithinPartitions(self.key),
+                       n + sum(p.rows for p in old))
+            commit.expect(keys, {None}, held)
+            try:
+                return commit.commit(self.table, batch)
+            except Conflict:  # another loader has taken keys meanwhile
+                continue
+
+
+def _tail(parts: list, rows: int) -> int:
+    """How many of the newest folders have at most twice the rows that came after them."""
+    n = 0
+    while n < len(parts) and parts[-1 - n].rows <= 2 * rows:
+        rows += parts[-1 - n].rows
+        n += 1
+    return n
+
+
 def violations(df: DataFrame, c: Constraints) -> DataFrame:
     """(table, check, violations) for every declared check, zero included."""
     parts: list[DataFrame] = []

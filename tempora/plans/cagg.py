@@ -16,17 +16,22 @@ Two runners share one spec:
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, time, timedelta, timezone
+from functools import reduce
+from operator import and_, or_
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tempora.functions import aggs, timefns
 from tempora.operators import layout
-from tempora.session import checkpointed, delete_path, exists
+from tempora.session import checkpointed, delete_path, exists, list_dirs, read_text, write_text
 
 
 @dataclass(frozen=True)
@@ -68,6 +73,29 @@ def _ceil(t: datetime, width, tz: str | None) -> datetime:
     return _floor(t + timefns.parse_width(width), width, tz)
 
 
+def _dates(rows: DataFrame, day: Column) -> list[date]:
+    """The distinct dates of some rows: at most one per day of history goes to the driver."""
+    got = rows.select(day.alias("d")).distinct().collect()
+    return sorted(r["d"] for r in got if r["d"] is not None)
+
+
+def _stretches(dates: list[date], most: int = 100) -> list[tuple[date, date]]:
+    """Runs of consecutive dates; of more than ``most`` the shortest gaps are closed."""
+    gaps = sorted(range(1, len(dates)), key=lambda i: dates[i - 1] - dates[i])[:most - 1]
+    cuts = [0, *sorted(i for i in gaps if (dates[i] - dates[i - 1]).days > 1), len(dates)]
+    return [(dates[a], dates[b - 1]) for a, b in zip(cuts, cuts[1:])]
+
+
+def _on(dates: list[date], most: int = 1000) -> Column:
+    """Partition predicate of those dates (their span, if they are more than ``most``)."""
+    d = F.col("bucket_date")
+    if not dates:
+        return F.lit(False)
+    if len(dates) <= most:
+        return d.isin(dates)
+    return (d >= F.lit(dates[0])) & (d <= F.lit(dates[-1]))
+
+
 @dataclass
 class ContinuousAggregate:
     name: str
@@ -114,8 +142,20 @@ class ContinuousAggregate:
 
     def create(self, raw: DataFrame) -> None:
         """CREATE MATERIALIZED VIEW .. WITH DATA: full materialisation."""
-        (self._clustered(self.compute(raw)).write.mode("overwrite").option("compression", "zstd")
+        self._write_new(self.compute(raw))
+
+    def _write_new(self, rows: DataFrame) -> None:
+        (self._clustered(rows).write.mode("overwrite").option("compression", "zstd")
          .partitionBy("bucket_date").parquet(self.path))
+        # without a row there is no file that would tell the columns
+        schema = StructType([StructField(f.name, f.dataType, True) for f in rows.schema.fields])
+        write_text(rows.sparkSession, f"{self.path}/_columns", schema.json())
+
+    def _table(self, spark: SparkSession) -> DataFrame:
+        """The materialised rows with their ``bucket_date``."""
+        columns = read_text(spark, f"{self.path}/_columns")
+        reader = spark.read.schema(StructType.fromJson(json.loads(columns))) if columns else spark.read
+        return reader.parquet(self.path)
 
     def refresh(self, raw: DataFrame, as_of: datetime) -> tuple[datetime | None, datetime]:
         spark = raw.sparkSession
@@ -132,81 +172,116 @@ class ContinuousAggregate:
         in_window = b < timefns.ntz_literal(hi)
         if lo is not None:
             in_window = in_window & (b >= timefns.ntz_literal(lo))
-        table = spark.read.parquet(self.path).filter(touched)
-        days = checkpointed(table.select("bucket_date").distinct())
+        table = self._table(spark).filter(touched)
+        dates = _dates(table, F.col("bucket_date"))
         kept = table.filter(~in_window)
-        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), days)
+        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), dates)
         return lo, hi
 
-    def refresh_changed(self, raw: DataFrame, changed: DataFrame,
-                        as_of: datetime) -> tuple[datetime | None, datetime]:
+    # -- invalidation log --------------------------------------------------
+    @property
+    def _log(self) -> str:
+        return f"{self.path}/_invalidated"  # readers skip names with a leading underscore
+
+    def invalidate(self, changed: DataFrame, batch: int | None = None) -> None:
+        """Note the buckets that ``changed`` rows fall into, until a refresh covers them.
+
+        One folder of distinct buckets for each call; ``batch`` names it, so that a batch noted
+        twice is noted once."""
+        rows = changed if self.where is None else changed.filter(self.where())
+        b = timefns.bucket(self.time_col, self.width, self.tz)
+        name = f"new-{uuid.uuid4().hex}" if batch is None else f"batch-{batch}"
+        (rows.select(b.alias(self.bucket_name)).filter(F.col(self.bucket_name).isNotNull()).distinct()
+         .write.mode("overwrite").parquet(f"{self._log}/{name}"))
+
+    def invalidated(self, spark: SparkSession) -> DataFrame | None:
+        """The noted buckets that no refresh has covered yet; None if nothing was ever noted."""
+        names = list_dirs(spark, self._log)
+        return self._entries(spark, names) if names else None
+
+    def _entries(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        return spark.read.parquet(*[f"{self._log}/{n}" for n in names]).distinct()
+
+    def refresh_changed(self, raw: DataFrame, changed: DataFrame | None, as_of: datetime,
+                        batch: int | None = None) -> tuple[datetime | None, datetime]:
         """Refresh driven by invalidation: recompute only the buckets inside
-        the policy window that received rows since the last refresh
-        (``changed`` - e.g. the ingest's newest ``batch_id`` partitions).
+        the policy window that received rows since a refresh covered them.
 
-        Equivalent to ``refresh`` when every other bucket's rows are
-        unchanged, but its cost follows the new data, not the history - the
-        point for policies whose window is unbounded.
+        ``changed`` (e.g. the ingest's newest batch) is noted first.  Buckets the
+        window doesn't cover - those not closed at ``as_of`` - stay noted for a later run.
+        Equivalent to ``refresh`` when every other bucket's rows are unchanged, but its
+        cost follows the new data, not the history - the point for policies whose window
+        is unbounded.  A run that dies before its end is repeated by the next one.
         """
         spark = raw.sparkSession
+        if changed is not None:
+            self.invalidate(changed, batch)
         lo, hi = self.window(as_of)
-        if lo is not None and lo >= hi:
+        names = list_dirs(spark, self._log)
+        if not names or (lo is not None and lo >= hi):
             return lo, hi
-        rows = changed if self.where is None else changed.filter(self.where())
-        t = F.col(self.time_col)
-        rows = rows.filter(t < timefns.ntz_literal(hi))
+        noted = F.col(self.bucket_name)
+        covered = noted < timefns.ntz_literal(hi)
         if lo is not None:
-            rows = rows.filter(t >= timefns.ntz_literal(lo))
-        b = timefns.bucket(self.time_col, self.width, self.tz)
-        # Invalidated buckets: at most one row per bucket of the window.
-        inval = checkpointed(rows.select(b.alias("_b")).distinct())
-        bounds = inval.agg(F.min("_b").alias("lo"), F.max("_b").alias("hi")).first()
-        if bounds["lo"] is None:
-            return lo, hi
-        # Read raw rows only from the invalidated span (pushed into the scan),
-        # then keep those whose bucket was invalidated.  The engine broadcasts
-        # the buckets if their measured size allows.
-        span_hi = bounds["hi"] + timefns.parse_width(self.width) + timedelta(hours=3)
-        cand = raw.filter((t >= timefns.ntz_literal(bounds["lo"] - timedelta(hours=3)))
-                          & (t < timefns.ntz_literal(span_hi)))
-        cand = cand.withColumn("_b", b).join(inval, "_b", "left_semi").drop("_b")
-        self._replace(spark, self.compute(cand), inval.withColumnRenamed("_b", self.bucket_name),
-                      [self.bucket_name])
+            covered = covered & (noted >= timefns.ntz_literal(lo))
+        entries = checkpointed(self._entries(spark, names))
+        due = entries.filter(covered)
+        dates = _dates(due, F.to_date(self.bucket_name))
+        if dates:
+            t = F.col(self.time_col)
+            width = timefns.parse_width(self.width) + timedelta(hours=3)  # a change of the clock
+            ranges = [(datetime.combine(a, time()) - timedelta(hours=3),
+                       datetime.combine(z, time()) + timedelta(days=1) + width)
+                      for a, z in _stretches(dates)]
+            spans = [(t >= timefns.ntz_literal(a)) & (t < timefns.ntz_literal(z)) for a, z in ranges]
+            if self.raw_chunk_interval and "chunk" in raw.columns:
+                spans = [s & layout.chunk_range_filter(a, z, self.raw_chunk_interval)
+                         for s, (a, z) in zip(spans, ranges)]
+            # raw rows of the dates of noted buckets only, in the scan; of those the noted buckets
+            cand = raw.filter(reduce(or_, spans)).withColumn(
+                "_b", timefns.bucket(self.time_col, self.width, self.tz))
+            cand = cand.join(due.withColumnRenamed(self.bucket_name, "_b"), "_b", "left_semi").drop("_b")
+            self._replace(spark, self.compute(cand), due, [self.bucket_name], dates)
+        left = entries.filter(~covered)
+        left.write.parquet(f"{self._log}/open-{uuid.uuid4().hex}")
+        for name in names:  # what was noted meanwhile is not among them
+            delete_path(spark, f"{self._log}/{name}")
         return lo, hi
 
-    def run_policy(self, raw: DataFrame, changed: DataFrame,
-                   as_of: datetime) -> tuple[datetime | None, datetime]:
+    def run_policy(self, raw: DataFrame, changed: DataFrame | None, as_of: datetime,
+                   batch: int | None = None) -> tuple[datetime | None, datetime]:
         """What the schedule runs: a bounded window is recomputed, an
-        unbounded one only where rows have changed."""
+        unbounded one only where rows have changed (see ``refresh_changed``)."""
         if self.policy.start_offset is None:
-            return self.refresh_changed(raw, changed, as_of)
+            return self.refresh_changed(raw, changed, as_of, batch)
         return self.refresh(raw, as_of)
 
     def _replace(self, spark: SparkSession, fresh: DataFrame, gone: DataFrame,
-                 keys: list[str]) -> None:
-        """Replace the rows whose ``keys`` are in ``gone`` by ``fresh``, and
-        rewrite only the dates of either.  Dates and buckets stay DataFrames;
-        the dates prune the scan of the table by its partitions."""
-        days = checkpointed(gone.select(F.to_date(self.bucket_name).alias("bucket_date")).distinct())
-        old = spark.read.parquet(self.path).join(days, "bucket_date", "left_semi")
-        kept = old.join(gone.select(*keys), keys, "left_anti")
-        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), days)
-
-    def _overwrite_dates(self, spark: SparkSession, rows: DataFrame, days: DataFrame) -> None:
+                 keys: list[str], dates: list[date]) -> None:
+        """Replace the rows whose ``keys`` are in ``gone`` by ``fresh``, and rewrite only
+        the ``dates`` of either: they are literals, so the scan skips all other partitions
+        (but that of rows without a time).  Null keys are equal to each other."""
+        old = self._table(spark).filter(_on(dates) | F.col("bucket_date").isNull())
+        names = {k: f"_gone_{i}" for i, k in enumerate(keys)}
+        marks = gone.select(*[F.col(k).alias(n) for k, n in names.items()])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+        kept = old.join(marks, same, "left_anti")
+        self._overwrite_dates(spark, kept.unionByName(fresh.select(*kept.columns)), dates)
+
+    def _overwrite_dates(self, spark: SparkSession, rows: DataFrame, dates: list[date]) -> None:
         # The table is both read and overwritten: cut the lineage first.
         staged = checkpointed(self._clustered(rows))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy("bucket_date").parquet(self.path))
         # A rewritten date whose buckets all vanished is not replaced by a
         # dynamic overwrite; remove those (rare) directories one by one.
-        emptied = days.join(staged.select("bucket_date").distinct(), "bucket_date", "left_anti")
-        for d in emptied.toLocalIterator():
-            delete_path(spark, f"{self.path}/bucket_date={d[0].isoformat()}")
+        for d in sorted(set(dates) - set(_dates(staged, F.col("bucket_date")))):
+            delete_path(spark, f"{self.path}/bucket_date={d.isoformat()}")
 
     def read(self, spark: SparkSession, after: datetime | None = None) -> DataFrame:
         """The materialised rows; ``after`` keeps buckets later than it and
         prunes the ``bucket_date`` partitions that cannot hold them."""
-        df = spark.read.parquet(self.path)
+        df = self._table(spark)
         if after is not None:
             df = df.filter((F.col("bucket_date") >= F.lit(after.date()))
                            & (F.col(self.bucket_name) > timefns.ntz_literal(after)))
@@ -247,10 +322,10 @@ class ContinuousAggregate:
             return
         rows = checkpointed(fresh.withColumn("bucket_date", F.to_date(F.col(self.bucket_name))))
         if not exists(spark, self.path):
-            self._clustered(rows).write.option("compression", "zstd").partitionBy(
-                "bucket_date").parquet(self.path)
+            self._write_new(rows)
             return
-        self._replace(spark, rows, rows, [self.bucket_name, *self.keys])
+        self._replace(spark, rows, rows, [self.bucket_name, *self.keys],
+                      _dates(rows, F.col("bucket_date")))
 
     def stream(self, raw_stream: DataFrame, checkpoint: str, output_mode: str = "append",
                trigger: dict | None = None, lateness=None):

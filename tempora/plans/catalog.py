@@ -660,13 +660,14 @@ def csv_load(spark, sf_dir):
     """Metrics exported as gzip CSV with a header, loaded once into a
     typed table (a second load is skipped by the guard)."""
     from tempora.sources import csv as csv_source
+    from tempora.sources.versioned import Store
 
     base = scratch_path(spark, "csv")
     csv_source.write_csv(tables.metrics(spark, sf_dir), f"{base}/metrics_csv")
-    csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
-    csv_source.load_once(spark, f"{base}/metrics_csv", f"{base}/metrics", schemas.METRICS)
-    return spark.read.parquet(f"{base}/metrics").withColumn(
-        "created", timefns.instant_to_ntz("created"))
+    store = Store(spark, f"{base}/tables")
+    csv_source.load_once(store, f"{base}/metrics_csv", "metrics", schemas.METRICS)
+    csv_source.load_once(store, f"{base}/metrics_csv", "metrics", schemas.METRICS)
+    return store.read("metrics").withColumn("created", timefns.instant_to_ntz("created"))
 
 
 # ------------------------------------------------ constraint checks (K9)

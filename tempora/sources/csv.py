@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.session import exists
+from tempora.session import delete_path
+from tempora.sources.versioned import Conflict, Store
 
 
 # Text form of timestamps in the CSV files (microsecond precision).
@@ -23,15 +24,25 @@ def read_csv(spark: SparkSession, path: str, schema, header: bool = True,
     return df.repartition(repartition) if repartition else df
 
 
-def load_once(spark: SparkSession, csv_path: str, table_path: str, schema,
-              header: bool = True) -> bool:
-    """Append the CSV into ``table_path`` only when that table is empty or
-    missing.  Returns True when rows were loaded."""
-    if exists(spark, table_path) and not spark.read.parquet(table_path).limit(1).isEmpty():
+def load_once(store: Store, csv_path: str, table: str, schema, header: bool = True) -> bool:
+    """Load the CSV into ``table`` of the store unless it holds rows already.  True when this call loaded them.
+
+    The rows are seen all at once, by a commit that only one loader can make: of two at the same
+    time one comes out empty-handed, and what a crashed one has written nobody reads."""
+    spark = store.spark
+    state = store.state()
+    if state.parts(table) and not store.frame(table, state.parts(table), state).limit(1).isEmpty():
         return False
-    rows = read_csv(spark, csv_path, schema, header)
+    commit = store.begin()
     # even parts of the advisory size, however large the load
-    rows.hint("rebalance").write.mode("append").option("compression", "zstd").parquet(table_path)
+    part = commit.add(table, read_csv(spark, csv_path, schema, header).hint("rebalance"))
+    commit.expect(table, {None}, state.parts(table))
+    try:
+        commit.commit()
+    except Conflict:
+        for p in part:
+            delete_path(spark, f"{store.root}/{p.folder}")
+        return False
     return True
 
 

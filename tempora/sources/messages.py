@@ -23,11 +23,15 @@ hub partition: user_id % 4; sequence number: first event_id; offset:
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.functions import timefns
 from tempora.schemas import ENVELOPE, TICK_EVENT
+from tempora.session import exists, read_text, write_text
 
 TEMPS_TYPES = ["click", "purchase", "view"]
 
@@ -71,8 +75,8 @@ def iot_envelopes(ev: DataFrame) -> DataFrame:
 
     junk = ev.filter(F.col("event_type") == "error")
     kj = _k(junk)
-    junk_body = F.when(kj % 2 == 0, F.lit("invalid json {")).otherwise(
-        F.format_string('{"unix_time": %d, "unknown_field": "data"}', timefns.epoch_seconds("ts")))
+    junk_body = F.when(kj % 2 == 0, F.lit("<not JSON>")).otherwise(
+        F.format_string('{"unix_time": %d, "humidity": 40}', timefns.epoch_seconds("ts")))
     junk_msgs = junk.select(junk_body.alias("body"), "user_id", F.col("event_id").alias("seq"),
                             "ts")
 
@@ -139,6 +143,55 @@ def read_envelopes(spark: SparkSession, path: str, fmt: str = "json",
     return df
 
 
+def resolve_positions(spark: SparkSession, path: str, positions, checkpoint: str, fmt: str = "parquet") -> dict:
+    """S5 by partition: where each partition of a landed stream starts, as sequence numbers to start after.
+
+    ``positions``: 'earliest', 'latest', or a mapping of partition to either of them or to a sequence number,
+    with '*' for the partitions it doesn't name (earliest, if it has none).  'latest' is the last number landed
+    when the stream starts for the first time; the outcome is kept beside the stream's checkpoint, so a restart
+    starts from the same numbers and not from what is latest then."""
+    kept = read_text(spark, f"{checkpoint}/_start_positions")
+    if kept is not None:
+        return json.loads(kept)
+    wanted = dict(positions) if isinstance(positions, Mapping) else {"*": positions}
+    rest = wanted.pop("*", "earliest")
+    out = {p: None if v == "earliest" else v for p, v in wanted.items()}
+    if "latest" in [*out.values(), rest]:
+        landed = spark.read.schema(ENVELOPE).format(fmt).load(path) if exists(spark, path) else None
+        ends = {} if landed is None else {  # one row per partition of the hub
+            r["partition"]: r["last"] for r in landed.groupBy("partition").agg(F.max("seq").alias("last")).collect()}
+        out = {p: ends.get(p) if v == "latest" else v for p, v in out.items()}
+        if rest == "latest":
+            out = {**ends, **out}
+    write_text(spark, f"{checkpoint}/_start_positions", json.dumps(out))
+    return out
+
+
+def from_positions(envelopes: DataFrame, positions: Mapping) -> DataFrame:
+    """Messages after the sequence number of their partition; None and partitions not named: all."""
+    started = {p: int(n) for p, n in positions.items() if n is not None}
+    if not started:
+        return envelopes
+    partition = F.col("partition")
+    later = ~partition.isin(*started) | partition.isNull()
+    for p, n in started.items():  # one term per partition of the hub; the scan sees them
+        later = later | ((partition == p) & (F.col("seq") > n))
+    return envelopes.filter(later)
+
+
+def read_from(spark: SparkSession, path: str, positions, checkpoint: str, fmt: str = "parquet",
+              max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = 1 << 30) -> DataFrame:
+    """A landed envelope stream that starts each partition at its own position and takes a
+    bounded part of a backlog at a time, by files if their number is given, else by bytes."""
+    resolved = resolve_positions(spark, path, positions, checkpoint, fmt)
+    r = spark.readStream.format(fmt).schema(ENVELOPE).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return from_positions(r.load(path), resolved)
+
+
 def read_envelopes_kafka(spark: SparkSession, servers: str, topic: str, ignore_past=None,
                          has_checkpoint: bool = False,
                          max_offsets_per_trigger: int | None = None) -> DataFrame:

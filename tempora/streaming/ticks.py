@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tempora.functions import timefns
 from tempora.operators import layout
 from tempora.schemas import TICK_EVENT
+from tempora.sources.versioned import Store
 
 
 def parse_frames(frames: DataFrame, col: str = "frame") -> DataFrame:
@@ -39,3 +40,18 @@ def start(ticks_stream: DataFrame, path: str, checkpoint: str, trigger: dict | N
          .option("checkpointLocation", checkpoint).partitionBy("chunk"))
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     return w.start(path)
+
+
+def start_versioned(ticks_stream: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None,
+                    chunk_interval=layout.DEFAULT_CHUNK, table: str = "stocks_real_time"):
+    """Append price rows to a table of a versioned store, a commit per micro-batch; the table
+    can be compacted (``store.compact_table``) while the stream runs."""
+    def write(batch: DataFrame, number: int) -> None:
+        if store.committed(table, number):
+            return
+        commit = store.begin()
+        commit.add_chunked(table, price_rows(batch), "time", None, chunk_interval)
+        commit.commit(table, number)
+
+    w = ticks_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

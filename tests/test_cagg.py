@@ -138,3 +138,94 @@ def test_a_merge_repeated_changes_nothing(spark, workdir):
     assert _as_set(agg.read(spark)) == want and len(want) == agg.read(spark).count()
     agg.refresh(_readings(spark, _base(5)), datetime(2024, 1, 10, 4))  # the same table
     assert _as_set(agg.read(spark)) == want
+
+
+def _kwh_rows(spark, rows):
+    return spark.createDataFrame(rows, "created timestamp_ntz, type_id int, value double")
+
+
+@pytest.mark.parametrize("name", ["kwh_hour_by_hour", "kwh_day_by_day"])
+def test_buckets_that_close_after_their_batch_are_covered_later(spark, workdir, name):
+    """Rows of 10:05 and 10:30 arrive before a run at 11:00, when their bucket is open; the next run
+    at 13:30 is told of newer rows only, and must cover that bucket nevertheless."""
+    a = cagg.define(name, f"{workdir}/{name}")
+    a.create(_kwh_rows(spark, []))
+    first = [(datetime(2024, 1, 10, 10, 5), 5, 10.0), (datetime(2024, 1, 10, 10, 30), 5, 16.0)]
+    second = [(datetime(2024, 1, 10, 12, 5), 5, 20.0), (datetime(2024, 1, 10, 12, 20), 5, 21.5)]
+    third = [(datetime(2024, 1, 12, 3, 5), 5, 30.0), (datetime(2024, 1, 10, 10, 45), 5, 17.0)]
+    rows: list = []
+    for n, (new, now) in enumerate([(first, datetime(2024, 1, 10, 11)), (second, datetime(2024, 1, 10, 13, 30)),
+                                    (third, datetime(2024, 1, 14, 12))]):
+        rows += new
+        a.run_policy(_kwh_rows(spark, rows), _kwh_rows(spark, new), now, batch=n)
+        full = cagg.define(name, f"{workdir}/{name}_{n}")
+        full.create(_kwh_rows(spark, rows))
+        hi = a.window(now)[1]
+        assert _as_set(a.read(spark)) == _as_set(full.read(spark).filter(F.col("time") < F.lit(hi))), n
+    assert a.invalidated(spark).count() == 0
+
+
+def test_a_run_that_dies_is_repeated_by_the_next(spark, workdir, monkeypatch):
+    a = cagg.define("kwh_hour_by_hour", f"{workdir}/dies")
+    a.create(_kwh_rows(spark, []))
+    rows = [(datetime(2024, 1, 10, 10, 5), 5, 10.0), (datetime(2024, 1, 10, 10, 30), 5, 16.0)]
+    real = cagg.ContinuousAggregate._overwrite_dates
+    monkeypatch.setattr(cagg.ContinuousAggregate, "_overwrite_dates",
+                        lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        a.run_policy(_kwh_rows(spark, rows), _kwh_rows(spark, rows), datetime(2024, 1, 10, 14), batch=0)
+    monkeypatch.setattr(cagg.ContinuousAggregate, "_overwrite_dates", real)
+    a.run_policy(_kwh_rows(spark, rows), None, datetime(2024, 1, 10, 14))
+    assert [r["value"] for r in a.read(spark).collect()] == [6.0]
+    a.run_policy(_kwh_rows(spark, rows), None, datetime(2024, 1, 10, 15))  # nothing noted, nothing done
+    assert a.read(spark).count() == 1
+
+
+def test_merging_rows_with_null_keys_twice_changes_nothing(spark, workdir):
+    a = cagg.define("sensor_temp_1h", f"{workdir}/nullkeys")
+    rows = _readings(spark, [(datetime(2024, 1, 10, 1), None, 1.0), (datetime(2024, 1, 10, 1), 2, 1.0),
+                             (None, None, 5.0), (None, 3, 6.0)])
+    fresh = a.compute(rows).drop("bucket_date")
+    a.merge(fresh)
+    a.merge(fresh)
+    a.merge(fresh.filter("sensor_id IS NULL"))
+    assert _as_set(a.read(spark).select("sensor_id", "reading_count").orderBy("sensor_id").fillna(-1)) == [
+        (-1, 1), (-1, 1), (2, 1), (3, 1)]
+
+
+def test_a_merge_scans_the_dates_of_its_rows_only(spark, workdir):
+    a = cagg.define("sensor_temp_1h", f"{workdir}/pruned")
+    days = [(datetime(2024, 1, d, h), 1, 1.0) for d in range(1, 31) for h in (1, 5)]
+    a.create(_readings(spark, days))
+    table = spark.read.parquet(a.path).filter(cagg._on([datetime(2024, 1, 3).date(), datetime(2024, 1, 9).date()]))
+    assert len({f.split("bucket_date=")[1][:10] for f in table.inputFiles()}) == 30  # listed, but
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket_date" in plan and "2024-01-03" in plan.replace("19725", "2024-01-03")
+    seen = []
+    real = cagg.ContinuousAggregate._overwrite_dates
+
+    def spy(self, spark_, rows, dates):
+        seen.append((dates, rows._jdf.queryExecution().executedPlan().toString()))
+        real(self, spark_, rows, dates)
+
+    cagg.ContinuousAggregate._overwrite_dates = spy
+    try:
+        a.merge(a.compute(_readings(spark, [(datetime(2024, 1, 3, 1), 1, 2.0), (datetime(2024, 1, 9, 7), 1, 2.0)]))
+                .drop("bucket_date"))
+        changed = _readings(spark, [(datetime(2024, 1, 20, 1), 1, 9.0)])
+        raw = _readings(spark, days).unionByName(changed)
+        raw.write.parquet(f"{workdir}/rawtable")
+        a.refresh_changed(spark.read.parquet(f"{workdir}/rawtable"), changed, datetime(2024, 1, 21))
+    finally:
+        cagg.ContinuousAggregate._overwrite_dates = real
+    assert [d.day for d in seen[0][0]] == [3, 9] and [d.day for d in seen[1][0]] == [20]
+    for _, plan in seen:
+        assert "PartitionFilters: [(bucket_date" in plan or "PartitionFilters: [((bucket_date" in plan \
+            or "PartitionFilters: [bucket_date" in plan or "IN (" in plan, plan
+    assert "GreaterThanOrEqual(time" in seen[1][1] or "time" in seen[1][1].split("PushedFilters")[-1]
+
+
+def test_stretches_of_dates():
+    d = [datetime(2024, 1, x).date() for x in (1, 2, 3, 7, 9, 10, 20)]
+    assert [(a.day, b.day) for a, b in cagg._stretches(d)] == [(1, 3), (7, 7), (9, 10), (20, 20)]
+    assert [(a.day, b.day) for a, b in cagg._stretches(d, most=2)] == [(1, 10), (20, 20)]

@@ -114,3 +114,43 @@ def test_tables_with_batches_below_chunks_are_not_compacted_in_place(spark, work
     with pytest.raises(ValueError, match="below its chunks"):
         layout.compact_table(spark, "sensor_data", f"{workdir}/sensor_data", datetime(2024, 6, 1))
     assert spark.read.parquet(f"{workdir}/sensor_data").count() == 1
+
+
+def test_compaction_keeps_the_tables_own_interval(spark, workdir):
+    """A daily table compacted without naming its interval: same rows, one folder a day."""
+    rows = [(datetime(2024, 1, d, h), d % 3, 1.0) for d in range(1, 11) for h in (1, 2)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, sensor_id int, temperature double")
+    path = f"{workdir}/sensor_data"
+    layout.write_chunked(df, path, "time", "sensor_id", chunk_interval="1 day")
+    done = layout.compact_table(spark, "sensor_data", path, datetime(2024, 2, 1))
+    assert len(done) == 10 and spark.read.parquet(path).count() == 20
+    assert layout.read_chunked(spark, path, "time", datetime(2024, 1, 3), datetime(2024, 1, 5)).count() == 4
+    with pytest.raises(ValueError, match="chunked by"):
+        layout.compact_table(spark, "sensor_data", path, datetime(2024, 2, 1), "7 days")
+
+
+def test_tables_of_a_streaming_sink_are_not_compacted_in_place(spark, workdir):
+    from tempora.sources import messages
+    from tempora.streaming import ticks
+
+    spark.createDataFrame([('{"event": "price", "timestamp": 1600000000, "symbol": "x", "price": 1.0}',)],
+                          "value string").write.text(f"{workdir}/in")
+    ticks.start(messages.read_ticks(spark, f"{workdir}/in"), f"{workdir}/ticks", f"{workdir}/ck",
+                {"availableNow": True}).awaitTermination(120)
+    with pytest.raises(ValueError, match="streaming sink"):
+        layout.compact_table(spark, "stocks_real_time", f"{workdir}/ticks", datetime(2024, 2, 1))
+    assert spark.read.parquet(f"{workdir}/ticks").count() == 1
+
+
+def test_devices_of_known_sensors(spark):
+    dim = spark.createDataFrame([(1, "a", "d1", "temperature", "unknown"), (2, "b", None, "temperature", "hall"),
+                                 (3, "c", "d3", "x", "y")], SENSORS)
+    seen = _sightings(spark, [("a", "d9", "2024-01-01 00:00:02", 2), ("a", "d1", "2024-01-01 00:00:05", 3),
+                              ("b", "d2", "2024-01-01 00:00:00", 1), ("c", "d3", "2024-01-01 00:00:00", 1),
+                              ("n", "d4", "2024-01-01 00:00:00", 1)])
+    got = sorted(tuple(r) for r in dims.upsert_changes(dim, seen, "update").collect())
+    assert got == [(1, "a", "d9", "temperature", "unknown"), (2, "b", "d2", "temperature", "hall"),
+                   (4, "n", "d4", "temperature", "unknown")]
+    assert [r["sensor_sn"] for r in dims.upsert_changes(dim, seen).collect()] == ["n"]
+    with pytest.raises(ValueError):
+        dims.upsert_changes(dim, seen, "replace")

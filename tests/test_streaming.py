@@ -5,9 +5,8 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tempora.operators import dims
 from tempora.plans import cagg
-from tempora.sources import messages, tables
+from tempora.sources import messages, tables, versioned
 from tempora.streaming import ingest, iot
 from tempora.streaming import ticks as tick_ingest
 
@@ -95,7 +94,7 @@ def test_batch_of_five_and_empty_batch(spark, workdir):
              f"device-{i}".encode(), "0", 100 + i, 1 + i, datetime(2023, 11, 14)) for i in range(5)]
     tbl = ingest.IngestTables(f"{workdir}/t")
     ingest.process_batch(tbl, spark.createDataFrame([], ENVELOPE), 0)
-    assert ingest.list_dirs(spark, tbl.root) == []          # nothing written for an empty batch
+    assert tbl.store(spark).state().version == -1           # nothing written for an empty batch
     ingest.process_batch(tbl, spark.createDataFrame(rows, ENVELOPE), 1)
     got = sorted((r["sensor_id"], r["temperature"]) for r in tbl.read(spark, "sensor_data").collect())
     assert got == [(i + 1, 20.0 + i) for i in range(5)]
@@ -159,62 +158,185 @@ def test_streaming_late_rows_follow_the_watermark(spark, workdir):
     assert got[t0 + timedelta(hours=4)] == 2          # the late row inside the delay counted
 
 
-def test_failed_batch_is_retried_without_duplicates(spark, workdir):
-    """K2 'failed write → batch kept for retry': the first attempt dies after
-    writing part of its output; the restarted query re-runs the same batch id
-    and the per-batch overwrite leaves exactly one copy."""
+def _batch(spark, serials, seq, device=b"gate"):
+    from datetime import datetime
+
+    from tempora.schemas import ENVELOPE
+
+    body = '{"temps": {' + ", ".join(f'"{s}": 1.0' for s in serials) + "}}"
+    return spark.createDataFrame(
+        [(body, device, "0", seq, seq, datetime(2024, 1, 3, 23, 59, 59))], ENVELOPE)
+
+
+def test_failed_batch_is_retried_without_duplicates(spark, workdir, monkeypatch):
+    """K2 'failed write → batch kept for retry': an attempt that dies after any number of its
+    writes leaves nothing that a reader sees in any table; the restarted query runs the batch again."""
     ev = tables.events(spark, SF_SMALL)
     env = messages.iot_envelopes(ev)
     env.coalesce(1).write.parquet(f"{workdir}/landing")
     tbl = ingest.IngestTables(f"{workdir}/tables")
     ck = f"{workdir}/ck"
-
-    def crash_after_readings(df, batch_id):
-        parsed = iot.parse(df)
-        readings = iot.readings(parsed)
-        current = tbl.sensors(spark)
-        dim = current.unionByName(dims.new_sensors(current, readings))
-        ingest._write_chunked(dims.resolve(readings, dim).select("time", "sensor_id", "temperature"),
-                              tbl.path("sensor_data"), batch_id)
-        raise RuntimeError("executor lost")
-
     src = spark.readStream.schema(env.schema).parquet(f"{workdir}/landing")
-    q = (src.writeStream.foreachBatch(crash_after_readings).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    try:
-        q.awaitTermination(300)
-    except Exception:  # noqa: BLE001 - the simulated failure
-        pass
-    partial = tbl.read(spark, "sensor_data").count()
-    assert partial > 0                              # the failed attempt left output behind
+    real = versioned.Commit._folder
+    for survive in range(6):  # sensors, sensor_data, device_status, quarantine, progress, counters
+        done = []
+
+        def dying(self, table):
+            if len(done) == survive:
+                raise RuntimeError("executor lost")
+            done.append(table)
+            return real(self, table)
+
+        monkeypatch.setattr(versioned.Commit, "_folder", dying)
+        q = ingest.start(spark, src, tbl, ck, trigger={"availableNow": True}, progress_minutes=1e-9)
+        try:
+            q.awaitTermination(300)
+        except Exception:  # noqa: BLE001 - the simulated failure
+            pass
+        assert q.exception() is not None and len(done) == survive
+        monkeypatch.setattr(versioned.Commit, "_folder", real)
+        assert tbl.store(spark).state().parts("sensor_data") == []
     q2 = ingest.start(spark, src, tbl, ck, trigger={"availableNow": True})
     q2.awaitTermination(300)
-    assert tbl.read(spark, "sensor_data").count() == iot.readings(iot.parse(env)).count() == partial
+    assert tbl.read(spark, "sensor_data").count() == iot.readings(iot.parse(env)).count()
     assert tbl.read(spark, "device_status").count() == iot.device_status(iot.parse(env)).count()
+    assert tbl.store(spark).vacuum(older_than_seconds=0) > 0  # what the attempts left behind
+    assert tbl.read(spark, "sensor_data").count() == iot.readings(iot.parse(env)).count()
+
+
+def test_batches_that_run_again_change_nothing(spark, workdir):
+    tbl = ingest.IngestTables(f"{workdir}/tables")
+    ingest.process_batch(tbl, _batch(spark, ["a", "b"], 1), 0)
+    for _ in range(2):
+        ingest.process_batch(tbl, _batch(spark, ["b", "c"], 2), 1)
+        assert sorted((r["id"], r["sensor_sn"]) for r in tbl.sensors(spark).collect()) == [
+            (1, "a"), (2, "b"), (3, "c")]
+        assert sorted(r["sensor_id"] for r in tbl.read(spark, "sensor_data").collect()) == [1, 2, 2, 3]
+    # a reader of the first version sees the first batch in every table
+    assert tbl.read(spark, "sensor_data", version=0).count() == 2
+    assert tbl.read(spark, "sensors", version=0).count() == 2
+    assert tbl.read(spark, "ingest_counters", version=0).count() == 1
+
+
+def test_device_of_a_known_sensor(spark, workdir):
+    for how, device in (("keep", "one"), ("update", "two")):
+        tbl = ingest.IngestTables(f"{workdir}/{how}")
+        ingest.process_batch(tbl, _batch(spark, ["a", "b"], 1, b"one"), 0, how)
+        ingest.process_batch(tbl, _batch(spark, ["b", "c"], 2, b"two"), 1, how)
+        got = sorted((r["id"], r["sensor_sn"], r["device_id"]) for r in tbl.sensors(spark).collect())
+        assert got == [(1, "a", "one"), (2, "b", device), (3, "c", "two")]
+        assert sorted(r["sensor_id"] for r in tbl.read(spark, "sensor_data").collect()) == [1, 2, 2, 3]
+
+
+def test_segments_of_the_dimension_stay_few_and_small_ones_are_not_rewritten_for_ever(spark, workdir):
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    store = tbl.store(spark)
+    ingest.process_batch(tbl, _batch(spark, [f"s{i:03d}" for i in range(400)], 1), 0)
+    big = store.state().parts("sensors")
+    for n in range(1, 8):
+        ingest.process_batch(tbl, _batch(spark, [f"n{n}", "s001"], n + 1), n)
+    parts = store.state().parts("sensors")
+    assert big[0] in parts and len(parts) <= 4  # 400 rows were written once
+    dim = tbl.sensors(spark)
+    assert dim.count() == 407 and dim.agg(F.max("id")).first()[0] == 407
+    ingest.process_batch(tbl, _batch(spark, ["s002"], 99), 99)  # nothing new: no segment
+    assert store.state().parts("sensors") == parts
+
+
+def test_positions_are_written_when_due_and_at_the_end(spark, workdir):
+    now = [0.0]
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    keeper = ingest.ProgressKeeper(spark, tbl, ingest.progress_interval_seconds("0.5"), clock=lambda: now[0])
+    ingest.process_batch(tbl, _batch(spark, ["a"], 1), 0, progress=keeper)
+    ingest.process_batch(tbl, _batch(spark, ["b"], 5), 1, progress=keeper)
+    assert tbl.store(spark).state().parts("stream_progress") == []  # 30 s aren't over
+    now[0] = 31.0
+    ingest.process_batch(tbl, _batch(spark, ["c"], 7), 2, progress=keeper)
+    assert [r["sequence_number"] for r in ingest.latest_progress(spark, tbl).collect()] == [7]
+    ingest.process_batch(tbl, _batch(spark, ["d"], 9), 3, progress=keeper)
+    assert [r["sequence_number"] for r in ingest.latest_progress(spark, tbl).collect()] == [7]
+    assert keeper.flush() == 1 and keeper.flush() == 0
+    assert [r["sequence_number"] for r in ingest.latest_progress(spark, tbl).collect()] == [9]
+
+
+def test_stop_drains_and_writes_positions(spark, workdir):
+    landing = f"{workdir}/landing"
+    _batch(spark, ["a"], 1).write.parquet(f"{landing}/0")
+    src = (spark.readStream.schema(_batch(spark, ["a"], 1).schema).option("recursiveFileLookup", "true")
+           .parquet(landing))
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    job = ingest.start(spark, src, tbl, f"{workdir}/ck", {"processingTime": "1 second"}, progress_minutes=30)
+    job.processAllAvailable()
+    for n in range(1, 4):
+        _batch(spark, [f"x{n}"], n + 1).write.parquet(f"{landing}/{n}")
+    assert tbl.store(spark).state().parts("stream_progress") == []
+    job.stop()
+    assert not job.isActive
+    assert tbl.read(spark, "sensor_data").count() == 4  # what had arrived was taken
+    assert [r["sequence_number"] for r in ingest.latest_progress(spark, tbl).collect()] == [4]
+
+
+def test_many_progress_folders_are_folded(spark, workdir):
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    for n in range(ingest.PROGRESS_FOLDERS + 3):
+        keeper = ingest.ProgressKeeper(spark, tbl, 0)
+        keeper.note([{"partition": str(n % 3), "offset": n, "sequence_number": n, "timestamp": "t"}])
+        keeper.flush()
+    assert len(tbl.store(spark).state().parts("stream_progress")) <= 4
+    got = sorted((r["partition"], r["sequence_number"]) for r in ingest.latest_progress(spark, tbl).collect())
+    assert got == [("0", 18), ("1", 16), ("2", 17)]
 
 
-def test_a_half_written_snapshot_is_not_a_snapshot(spark, workdir):
-    """A crash while the dimension is written leaves a folder without its
-    commit mark; the batch runs again, without loss or duplicates."""
-    import os
+def test_compaction_beside_a_running_ingest(spark, workdir):
     from datetime import datetime
 
     from tempora.schemas import ENVELOPE
-    from tempora.streaming import ingest
-
-    tables = ingest.IngestTables(f"{workdir}/tables")
-
-    def batch(serials, seq):
-        body = '{"temps": {' + ", ".join(f'"{s}": 1.0' for s in serials) + "}}"
-        return spark.createDataFrame(
-            [(body, b"gate", "0", seq, seq, datetime(2024, 1, 3, 23, 59, 59))], ENVELOPE)
-
-    ingest.process_batch(tables, batch(["a", "b"], 1), 0)
-    os.makedirs(f"{workdir}/tables/sensors/batch_id=1")
-    for _ in range(2):  # the failed batch, and once more
-        ingest.process_batch(tables, batch(["b", "c"], 2), 1)
-        dim = tables.sensors(spark).collect()
-        assert sorted((r["id"], r["sensor_sn"]) for r in dim) == [(1, "a"), (2, "b"), (3, "c")]
-        rows = tables.read(spark, "sensor_data").collect()
-        assert sorted(r["sensor_id"] for r in rows) == [1, 2, 2, 3]
-        assert {r["time"] for r in rows} == {datetime(2024, 1, 3, 23, 59, 59)}
+
+    def day(d, seq):
+        return spark.createDataFrame([('{"temps": {"a": 1.0, "b": 2.0}, "unix_time": %d}' % (
+            1704067200 + 86400 * d + seq), b"gate", "0", seq, seq, datetime(2024, 1, 1))], ENVELOPE)
+
+    tbl = ingest.IngestTables(f"{workdir}/t")
+    for n in range(6):
+        ingest.process_batch(tbl, day(n % 2 * 10, n), n)
+    store = tbl.store(spark)
+    reader = tbl.read(spark, "sensor_data")  # bound to the version at hand
+    before = sorted(reader.collect())
+    assert len(store.state().parts("sensor_data")) == 6
+    chunks = tbl.compact(spark, datetime(2024, 1, 20))
+    assert [len(c) for c in chunks.values()] == [2, 0] or chunks == {"sensor_data": chunks["sensor_data"]}
+    assert len(store.state().parts("sensor_data")) == 2
+    assert sorted(reader.collect()) == sorted(tbl.read(spark, "sensor_data").collect()) == before
+    assert tbl.compact(spark, datetime(2024, 1, 20)).get("sensor_data") == []  # nothing to do
+    ingest.process_batch(tbl, day(0, 77), 6)  # the stream goes on; its chunk is compacted again
+    assert len(tbl.compact(spark, datetime(2024, 1, 20))["sensor_data"]) == 1
+    assert tbl.read(spark, "sensor_data").count() == len(before) + 2
+    assert store.vacuum(keep_versions=1, older_than_seconds=0) >= 6
+    assert tbl.read(spark, "sensor_data").count() == len(before) + 2
+
+
+def test_compaction_of_a_tick_table_under_its_stream(spark, workdir):
+    from tempora.sources.versioned import Store
+
+    frames = messages.tick_frames(tables.events(spark, SF_SMALL))
+    land = f"{workdir}/frames"
+    parts = frames.select(F.col("frame").alias("value")).randomSplit([0.3, 0.3, 0.4], seed=3)
+    store = Store(spark, f"{workdir}/ticks")
+    total = tables.events(spark, SF_SMALL).count()
+    last = tables.latest_time(tables.events(spark, SF_SMALL), "ts")
+    seen = 0
+    for i, p in enumerate(parts):
+        p.write.mode("append").text(land)
+        src = messages.read_ticks(spark, land)
+        tick_ingest.start_versioned(src, store, f"{workdir}/ck", {"availableNow": True}).awaitTermination(300)
+        before = store.read("stocks_real_time").count()
+        assert before > seen
+        assert store.compact_table("stocks_real_time", last)
+        assert store.read("stocks_real_time").count() == before
+        assert store.compact_table("stocks_real_time", last) == []
+        seen = before
+    assert seen == total
+    by_chunk = {}
+    for p in store.state().parts("stocks_real_time"):
+        by_chunk.setdefault(p.chunk, []).append(p.compacted)
+    assert sum(v == [True] for v in by_chunk.values()) >= len(by_chunk) - 1
