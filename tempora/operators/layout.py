@@ -79,15 +79,29 @@ def clustered(df: DataFrame, time_col: str, segment_by: str | None,
     return dealt.sortWithinPartitions(*order)
 
 
+def segment_options(segment_by: str | None, row_group_bytes: int | None = None) -> dict[str, str]:
+    """Writer options by which a predicate on the segment column skips row groups: rows sorted by segment give
+    narrow minima and maxima, and a Bloom filter per row group tells of the rest (files of small batches, which
+    hold values from everywhere) whether a segment is in it."""
+    out = {}
+    if segment_by:
+        out[f"parquet.bloom.filter.enabled#{segment_by}"] = "true"
+        out[f"parquet.bloom.filter.adaptive.enabled#{segment_by}"] = "true"  # sized by the values at hand
+    if row_group_bytes:
+        out["parquet.block.size"] = str(row_group_bytes)
+    return out
+
+
 def write_chunked(df: DataFrame, path: str, time_col: str, segment_by: str | None = None,
                      chunk_interval=DEFAULT_CHUNK, mode: str = "append",
-                     max_records_per_file: int = 5_000_000) -> None:
+                     max_records_per_file: int = 5_000_000, row_group_bytes: int | None = None) -> None:
     """Append (or overwrite) rows into a chunked table at ``path``."""
     remember_interval(df.sparkSession, path, chunk_interval) if mode == "append" else None
     (clustered(df, time_col, segment_by, chunk_interval)
      .write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .option("compression", "zstd")
+     .options(**segment_options(segment_by, row_group_bytes))
      .partitionBy("chunk")
      .parquet(path))
     if mode != "append":
@@ -153,7 +167,8 @@ def compact(spark: SparkSession, path: str, time_col: str, segment_by: str | Non
     rows = spark.read.option("basePath", path).parquet(*parts).drop("chunk")
     staged = checkpointed(clustered(rows, time_col, segment_by, chunk_interval))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd").partitionBy("chunk").parquet(path))
+     .option("compression", "zstd").options(**segment_options(segment_by))
+     .partitionBy("chunk").parquet(path))
     for folder in parts:
         write_text(spark, f"{folder}/_compacted", "\n".join(_data_files(spark, folder)))
     return chunks

@@ -136,9 +136,10 @@ class ContinuousAggregate:
 
     # -- batch runner ------------------------------------------------------
     def _clustered(self, df: DataFrame) -> DataFrame:
-        """Range-partition on (date, bucket, keys): few files per date, and a
-        date or key holding most rows is still split across tasks."""
-        return df.repartitionByRange("bucket_date", self.bucket_name, *self.keys)
+        """Range-partition and sort on (date, keys, bucket): few files per date, a date or key holding
+        most rows is still split across tasks, and a key's buckets stand in few row groups of a date."""
+        order = ["bucket_date", *self.keys, self.bucket_name]
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def create(self, raw: DataFrame) -> None:
         """CREATE MATERIALIZED VIEW .. WITH DATA: full materialisation."""

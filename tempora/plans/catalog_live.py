@@ -119,6 +119,22 @@ def ingest_one_commit(spark, sf_dir):
             .crossJoin(out.read(spark, "ingest_counters", v).agg(F.sum("messages").alias("messages_at_first"))))
 
 
+@register("segment_history", f"""
+SELECT time, temperature FROM (SELECT CAST(ts AS TIMESTAMP) AS time, CAST(user_id % 5 AS INTEGER) AS sensor_id,
+                                      value / 25.0 AS temperature FROM events) r
+WHERE sensor_id = 1 AND time >= {AS_OF} - INTERVAL 30 DAY""")
+def segment_history(spark, sf_dir):
+    """One sensor's last month from a table in segment order: chunks are chosen in the log, row groups by the
+    segment's minima, maxima and Bloom filters."""
+    store = Store(spark, scratch_path(spark, "live", "segments"))
+    commit = store.begin()
+    commit.add_chunked("stat_readings", tables.stat_readings(spark, sf_dir), "time", "sensor_id")
+    commit.commit()
+    since = as_of(spark, sf_dir) - timedelta(days=30)
+    df = store.read("stat_readings", time_col="time", lo=since)
+    return df.filter("sensor_id = 1").select("time", "temperature")
+
+
 # ------------------------------------------------ dimension upsert, unique keys
 
 @register("sensor_upsert", f"""

@@ -157,7 +157,8 @@ def resolve_positions(spark: SparkSession, path: str, positions, checkpoint: str
     rest = wanted.pop("*", "earliest")
     out = {p: None if v == "earliest" else v for p, v in wanted.items()}
     if "latest" in [*out.values(), rest]:
-        landed = spark.read.schema(ENVELOPE).format(fmt).load(path) if exists(spark, path) else None
+        landed = (spark.read.schema(ENVELOPE).format(fmt).option("recursiveFileLookup", "true").load(path)
+                  if exists(spark, path) else None)
         ends = {} if landed is None else {  # one row per partition of the hub
             r["partition"]: r["last"] for r in landed.groupBy("partition").agg(F.max("seq").alias("last")).collect()}
         out = {p: ends.get(p) if v == "latest" else v for p, v in out.items()}

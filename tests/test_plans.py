@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tempora.operators import layout
 
 
 def executed(spark, name):
@@ -44,17 +46,65 @@ def test_aggregate_runs_before_the_dimension_join(spark):
     assert "HashAggregate(keys=[sensor_id]" in plan[join_at:]   # below the join
 
 
-def test_no_broadcast_hint_on_growing_sides(spark):
-    import inspect
+@pytest.mark.parametrize("name", ["readings_last_hour", "sensor_avg_24h", "temp_series", "fk_orphans", "device_sensors",
+                                  "readings_fk_split"])
+def test_no_side_is_broadcast_without_a_size_that_allows_it(spark, name):
+    """With the size limits at nothing no join broadcasts: none is told to by a hint."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = executed(spark, name)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "Broadcast" not in plan, plan
 
-    from tempora.operators import dims
-    from tempora.plans import cagg, reports
-    from tempora.streaming import ingest, iot
 
-    for mod in (reports, iot, ingest, cagg):
-        assert "F.broadcast(" not in inspect.getsource(mod)
-    for mod in (cagg, dims):
-        source = inspect.getsource(mod)
-        assert ".collect()" not in source and "collect_set" not in source and "isin(days" not in source
-    # one row per range partition, a fixed number
-    assert inspect.getsource(dims).count("F.broadcast(") == 1
+def _rows_scanned(df):
+    """Rows that the scans of an executed query read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.collectToPython()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        for i in range(node.children().size()):
+            todo.append(node.children().apply(i))
+    return found
+
+
+def test_a_segment_is_read_from_few_row_groups(spark, workdir):
+    """R16's predicate on a segment-ordered chunk reads a small share of the rows: the row groups of
+    other sensors are skipped."""
+    from datetime import datetime
+
+    n = 400_000
+    rows = spark.range(n).select(
+        F.timestamp_seconds(1_704_067_200 + F.col("id") % 80_000).cast("timestamp_ntz").alias("time"),
+        (F.col("id") % 100).cast("int").alias("sensor_id"), F.rand(1).alias("temperature"))
+    layout.write_chunked(rows, f"{workdir}/t", "time", "sensor_id", row_group_bytes=64 << 10)
+    one = layout.read_chunked(spark, f"{workdir}/t", "time", lo=datetime(2024, 1, 1)).filter("sensor_id = 7")
+    read = _rows_scanned(one)
+    assert one.count() == n // 100 <= read <= n // 10, read
+
+
+def test_a_bloom_filter_skips_files_of_small_batches(spark, workdir):
+    """Batches in the order they arrived hold sensors from everywhere, so minima and maxima say nothing: the
+    filter tells which of them have the sensor asked for."""
+    from tempora.sources.versioned import Store
+
+    store = Store(spark, f"{workdir}/s")
+    for b in range(6):
+        commit = store.begin()
+        commit.add_chunked("t", spark.range(2000).select(
+            F.timestamp_seconds(1_704_067_200 + F.col("id")).cast("timestamp_ntz").alias("time"),
+            F.format_string("sn-%06d", F.col("id") * 6 + b).alias("sensor_sn")), "time", "sensor_sn")
+        commit.commit()
+    one = store.read("t").filter(F.col("sensor_sn") == "sn-006001")
+    assert _rows_scanned(one) <= 2000 and one.count() == 1

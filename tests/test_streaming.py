@@ -340,3 +340,33 @@ def test_compaction_of_a_tick_table_under_its_stream(spark, workdir):
     for p in store.state().parts("stocks_real_time"):
         by_chunk.setdefault(p.chunk, []).append(p.compacted)
     assert sum(v == [True] for v in by_chunk.values()) >= len(by_chunk) - 1
+
+
+def test_partitions_start_where_they_are_told(spark, workdir):
+    from datetime import datetime
+
+    from tempora.schemas import ENVELOPE
+
+    def land(name, rows):
+        spark.createDataFrame([("{}", None, p, n, n, datetime(2024, 1, 1)) for p, n in rows],
+                              ENVELOPE).write.parquet(f"{workdir}/in/{name}")
+
+    def seen(positions, ck):
+        src = messages.read_from(spark, f"{workdir}/in", positions, ck, max_files_per_trigger=1)
+        q = (src.select("partition", "seq").writeStream.format("parquet").option("checkpointLocation", f"{ck}/q")
+             .trigger(availableNow=True).start(f"{ck}/out"))
+        q.awaitTermination(120)
+        return sorted((tuple(r) for r in spark.read.parquet(f"{ck}/out").collect()), key=str)
+
+    land("a", [(p, n) for p in ("0", "1", "2", None) for n in (1, 2, 3)])
+    mixed = {"0": 1, "1": "latest"}
+    first = {(p, n) for p, n in seen(mixed, f"{workdir}/x")}
+    assert first == {("0", 2), ("0", 3)} | {(p, n) for p in ("2", None) for n in (1, 2, 3)}
+    assert seen("latest", f"{workdir}/y") == [(None, 1), (None, 2), (None, 3)]  # no partition, no position
+    land("b", [("0", 4), ("1", 4), ("9", 1)])
+    # a restart keeps what 'latest' was at the first start
+    assert {r for r in seen(mixed, f"{workdir}/x")} - first == {("0", 4), ("1", 4), ("9", 1)}
+    assert set(seen("latest", f"{workdir}/y")) == {(None, 1), (None, 2), (None, 3), ("0", 4), ("1", 4), ("9", 1)}
+    assert len(seen("earliest", f"{workdir}/z")) == 15
+    # positions that the ingestion stored are a mapping too
+    assert messages.resolve_positions(spark, f"{workdir}/none", {"5": 7, "*": "latest"}, f"{workdir}/n") == {"5": 7}
