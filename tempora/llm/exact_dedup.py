@@ -3,7 +3,9 @@
 The index is a Parquet table, bucketed and sorted by the SHA-256 of the text, one row per distinct
 text.  A batch of documents is grouped by digest (partial sums first, so a text that fills a third
 of the batch costs one row per task), the groups go through a sort-merge anti-join against the
-index, and what is new is appended in the index's own buckets.
+index, and what is new is appended in the index's own buckets with the name of its batch.  A batch that runs again after
+a failure finds its own rows by that name: they are still its own.  A small file beside the table keeps where it is and
+how many buckets it has; ``compact`` writes it anew with as many as its size asks for, one sorted file each.
 
 Defined results: a null text counts as empty; of equal texts in one batch the row with the largest
 id stays (nulls last); rows that repeat an id together with the text are ties, of which exactly one
@@ -14,13 +16,20 @@ the input never clash with the operator's, which works on its own projection.
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora.llm.common import documents, fresh_name, scratch, written
-from tempora.session import scratch_path
+from tempora.session import delete_path, hadoop_fs, list_dirs, read_text, scratch_path, write_text
+
+#: Rows that a bucket of a compacted index has at most, and appends after which it is compacted.
+BUCKET_ROWS, APPENDS = 4_000_000, 16
+BUCKETS = 64
+_COLUMNS = "text_sha256 string, keep_id long, group_size long, batch string"
 
 
 def digest(text: Column) -> Column:
@@ -29,80 +38,137 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Table ``text_sha256, keep_id, group_size``, bucketed and sorted by ``text_sha256``."""
+    """Table ``text_sha256, keep_id, group_size, batch``, bucketed and sorted by ``text_sha256``, below ``path``."""
 
-    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int):
-        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
+    def __init__(self, spark: SparkSession, path: str, folder: str, buckets: int):
+        self.spark, self.path, self.folder, self.buckets = spark, path, folder, buckets
+        self.name = f"digest_index_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {self.name} ({_COLUMNS}) USING parquet CLUSTERED BY (text_sha256) "
+                  f"SORTED BY (text_sha256) INTO {buckets} BUCKETS LOCATION '{path}/{folder}'")
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str | None = None, buckets: int = 64) -> DigestIndex:
-        """A new empty index below the shared folder; ``buckets`` is fixed for its life."""
-        name = f"digest_index_{uuid.uuid4().hex}"
-        index = cls(spark, name, path or scratch_path(spark, "digest_index"), buckets)
-        empty = spark.createDataFrame([], "text_sha256 string, keep_id long, group_size long")
-        index._save(empty)
+    def create(cls, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS) -> DigestIndex:
+        """A new empty index below the shared folder."""
+        index = cls(spark, path or scratch_path(spark, "digest_index"), uuid.uuid4().hex, buckets)
+        index._point()
         return index
 
     @classmethod
-    def attach(cls, spark: SparkSession, path: str, buckets: int = 64) -> DigestIndex:
-        """Register an index that an earlier application wrote to ``path``."""
-        name = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {name} (text_sha256 string, keep_id long, group_size long) "
-                  f"USING parquet CLUSTERED BY (text_sha256) SORTED BY (text_sha256) "
-                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
-        return cls(spark, name, path, buckets)
+    def attach(cls, spark: SparkSession, path: str, buckets: int | None = None) -> DigestIndex:
+        """An index that an earlier application wrote to ``path``.  The number of buckets is kept with it; a
+        different one would read other digests than were written there, so it is refused."""
+        kept = read_text(spark, f"{path}/_index")
+        if kept is None:
+            raise ValueError(f"there is no digest index in {path}")
+        where = json.loads(kept)
+        if buckets is not None and buckets != where["buckets"]:
+            raise ValueError(f"the index in {path} has {where['buckets']} buckets, not {buckets}")
+        return cls(spark, path, where["folder"], where["buckets"])
+
+    def _point(self) -> None:
+        write_text(self.spark, f"{self.path}/_index", json.dumps({"folder": self.folder, "buckets": self.buckets}))
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        """Forget the table and delete its files; what was computed from it must have been written before."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_path(self.spark, self.path)
 
     def _save(self, rows: DataFrame) -> None:
-        (rows.write.format("parquet").mode("append").option("path", self.path)
+        (rows.select("text_sha256", "keep_id", "group_size", "batch").write.format("parquet").mode("append")
          .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
+        self.spark.catalog.refreshTable(self.name)
 
-    def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+    def _files(self) -> int:
+        fs, p = hadoop_fs(self.spark, f"{self.path}/{self.folder}")
+        return sum(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(p)) if fs.exists(p) else 0
+
+    def append(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               name: str | None = None) -> DataFrame:
+        """Add the batch's new texts; returns the table of its groups: ``text_sha256, keep_id, group_size, fresh``.
 
-    def append(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Add the batch's new texts; returns the table of its groups:
-        ``text_sha256, keep_id, group_size, fresh``."""
-        groups = (batch.select(F.col(id_col).cast("long").alias("id"),
-                               digest(F.col(text_col)).alias("text_sha256"))
-                  .groupBy("text_sha256")
-                  .agg(F.max("id").alias("own"), F.count("*").alias("group_size")))
-        groups = written(groups, "digest_groups")
+        ``name``: of the batch, the same when it runs again (by default no batch ever runs again)."""
+        rows = batch.select(F.col(id_col).cast("long").alias("id"), digest(F.col(text_col)).alias("text_sha256"))
+        return self._append(rows, F.max("id").alias("own"), name).select(
+            "text_sha256", "keep_id", "group_size", "fresh")
+
+    def _append(self, rows: DataFrame, own: Column, name: str | None) -> DataFrame:
+        """The groups of ``rows(id, text_sha256, ...)`` with the aggregate ``own``, whose id stays."""
+        name = name or uuid.uuid4().hex
+        groups = written(rows.groupBy("text_sha256").agg(own, F.max("id").alias("top"), F.count("*").alias("group_size")),
+                         "digest_groups")
         # one row per digest from here on: dealt to the index's buckets, no key is hot
         fresh = (groups.repartition(self.buckets, "text_sha256")
                  .join(self.table().hint("merge"), "text_sha256", "left_anti")
-                 .select("text_sha256", F.col("own").alias("keep_id"), "group_size"))
+                 .select("text_sha256", F.col("top").alias("keep_id"), "group_size", F.lit(name).alias("batch")))
         fresh = written(fresh, "digest_fresh")
-        self.spark.catalog.refreshTable(self.name)
         self._save(fresh.repartition(self.buckets, "text_sha256"))
-        brought = self.table().select("text_sha256", "keep_id")
-        new = fresh.select("text_sha256", F.lit(True).alias("fresh"))
-        return (groups.join(brought, "text_sha256").join(new, "text_sha256", "left")
-                .select("text_sha256", "keep_id", "group_size",
-                        F.coalesce("fresh", F.lit(False)).alias("fresh")))
-
-
-def mark(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+        if self._files() > APPENDS * self.buckets:
+            self.compact()
+        brought = self.table().select("text_sha256", "keep_id", (F.col("batch") == name).alias("fresh"))
+        return groups.join(brought, "text_sha256").drop("top")
+
+    def compact(self, rows_per_bucket: int = BUCKET_ROWS) -> None:
+        """Write the index anew: a sorted file per bucket, and twice as many buckets as long as one has too many rows.
+        Readers go by the file that names the folder, which is written last."""
+        buckets = self.buckets
+        rows = self.table().count()
+        while rows > buckets * rows_per_bucket:
+            buckets *= 2
+        old, old_name = self.folder, self.name
+        fresh = DigestIndex(self.spark, self.path, uuid.uuid4().hex, buckets)
+        fresh._save(self.table().repartition(buckets, "text_sha256"))
+        self.name, self.folder, self.buckets = fresh.name, fresh.folder, buckets
+        self._point()
+        self.spark.sql(f"DROP TABLE IF EXISTS {old_name}")
+        for folder in list_dirs(self.spark, self.path):  # and what a crashed compaction left
+            if folder == old or folder != self.folder:
+                delete_path(self.spark, f"{self.path}/{folder}")
+
+
+def mark(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
+         name: str | None = None) -> DataFrame:
     """One row per row of the batch: ``<id_col>, keep_id, group_size, kept, text_sha256``."""
-    with scratch(batch.sparkSession):
-        groups = written(index.append(batch, id_col, text_col), "digest_marks", outer=True)
-    rows = batch.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("text_sha256"))
-    tie = Window.partitionBy("text_sha256", "id").orderBy("id")
-    rows = rows.withColumn("tie", F.row_number().over(tie))
-    # a hot digest is split by the engine's skew join: the groups have one row per digest
-    return (rows.join(groups, "text_sha256")
-            .select(F.col("id").alias(id_col), "keep_id", "group_size",
-                    (F.col("fresh") & F.col("id").eqNullSafe(F.col("keep_id"))
-                     & (F.col("tie") == 1)).alias("kept"), "text_sha256"))
-
-
-def deduplicated(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+    return mark_batches([batch], index, id_col, text_col, [name])
+
+
+def mark_batches(batches: list[DataFrame], index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
+                 names: list[str | None] | None = None) -> DataFrame:
+    """``mark`` of batches that arrive one after the other; ``group_size`` counts the rows of all of them."""
+    spark = batches[0].sparkSession
+    with scratch(spark):
+        parts, groups = [], []
+        for batch, name in zip(batches, names or [None] * len(batches)):
+            # numbered as they are written: of rows that repeat an id and a text the lowest number stays
+            rows = written(batch.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("text_sha256"),
+                                        F.monotonically_increasing_id().alias("row")), "digest_rows")
+            own = F.max(F.struct(F.col("id").cast("long").alias("id"), (-F.col("row")).alias("row"))).alias("own")
+            found = index._append(rows.select(F.col("id"), "text_sha256", "row"), own, name)
+            groups.append(written(found, "digest_marks"))
+            # a hot digest is split by the engine's skew join: the groups have one row per digest
+            parts.append(rows.join(groups[-1].select("text_sha256", "keep_id", "fresh", "own"), "text_sha256").select(
+                F.col("id"), "keep_id", (F.col("fresh") & (F.col("row") == -F.col("own.row"))).alias("kept"),
+                "text_sha256"))
+        marked = reduce(DataFrame.unionAll, parts)
+        if len(groups) == 1:
+            sizes = groups[0].select("text_sha256", "group_size")
+        else:
+            sizes = (reduce(DataFrame.unionAll, [g.select("text_sha256", "group_size") for g in groups])
+                     .groupBy("text_sha256").agg(F.sum("group_size").alias("group_size")))
+        out = marked.join(sizes, "text_sha256").select(F.col("id").alias(id_col), "keep_id", "group_size", "kept",
+                                                       "text_sha256")
+        return written(out, "digest_marks", outer=True)
+
+
+def deduplicated(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
+                 name: str | None = None) -> DataFrame:
     """The rows of the batch that stay, with all their columns.
 
     Joined on (digest, id), which no group of copies makes hot."""
     with scratch(batch.sparkSession):
-        keys = written(index.append(batch, id_col, text_col).filter("fresh"), "digest_marks", outer=True)
+        keys = written(index.append(batch, id_col, text_col, name).filter("fresh"), "digest_marks", outer=True)
     sha, keep = fresh_name(batch, "llm_sha"), fresh_name(batch, "llm_keep")
     keys = keys.select(F.col("text_sha256").alias(sha + "k"), F.col("keep_id").alias(keep))
     named = batch.withColumn(sha, digest(F.col(text_col)))
@@ -112,7 +178,16 @@ def deduplicated(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id",
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mark(documents(spark, sf_dir), DigestIndex.create(spark))
+    """The table in two batches, the larger ids first, so that of equal texts the largest id is in the index when the
+    others come: what the second batch repeats of the first the anti-join removes."""
+    docs = documents(spark, sf_dir)
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    index = DigestIndex.create(spark)
+    try:
+        upper = F.coalesce(F.col("doc_id") > F.lit(middle), F.lit(False))
+        return mark_batches([docs.filter(upper), docs.filter(~upper)], index)
+    finally:
+        index.drop()
 
 
 OP3_SQL = """

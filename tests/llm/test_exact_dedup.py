@@ -1,9 +1,11 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from llm_data import EDGES, docs  # noqa: F401
 
-from tempora.llm.exact_dedup import DigestIndex, deduplicated, mark
+from tempora.llm import exact_dedup
+from tempora.llm.exact_dedup import DigestIndex, deduplicated, mark, mark_batches
 
 
 def test_marks_equal_brute_force(spark, docs):
@@ -31,8 +33,68 @@ def test_second_batch_loses_to_the_index(spark, docs):
     assert not second[9].kept and second[9].keep_id == 1
     assert not second[10].kept and second[11].kept
     assert index.table().count() == 3
-    again = DigestIndex.attach(spark, index.path, 4)
-    assert sorted(r.keep_id for r in again.table().collect()) == [1, 2, 11]
+    again = DigestIndex.attach(spark, index.path)
+    assert again.buckets == 4 and sorted(r.keep_id for r in again.table().collect()) == [1, 2, 11]
+    third = {r.doc_id: r.kept for r in mark(docs([(12, "x"), (13, "new")]), again).collect()}
+    assert third == {12: False, 13: True}
+
+
+def test_a_batch_that_runs_again_keeps_what_it_kept(spark, docs):
+    """The first attempt dies after its digests were appended: the second gives the same result."""
+    index = DigestIndex.create(spark, buckets=4)
+    mark(docs([(1, "x")]), index, name="zero")
+    batch = docs([(5, "x"), (6, "y"), (7, "y"), (8, "z"), (8, "z")])
+    runs = [sorted(tuple(r) for r in mark(batch, index, name="one").collect()) for _ in range(3)]
+    assert runs[0] == runs[1] == runs[2] and sum(r[3] for r in runs[0]) == 2
+    for _ in range(2):
+        assert sorted(r.text for r in deduplicated(batch, index, name="one").collect()) == ["y", "z"]
+    assert index.table().count() == 3
+    assert not any(r.kept for r in mark(batch, index, name="another").collect())
+
+
+def test_another_number_of_buckets_is_refused(spark, docs):
+    index = DigestIndex.create(spark, buckets=8)
+    mark(docs([(i, f"t{i}") for i in range(50)]), index)
+    with pytest.raises(ValueError, match="8 buckets"):
+        DigestIndex.attach(spark, index.path, 4)
+    with pytest.raises(ValueError, match="no digest index"):
+        DigestIndex.attach(spark, index.path + "x")
+
+
+def test_compaction_keeps_the_digests_and_sorts_each_bucket_into_one_file(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "APPENDS", 3)
+    index = DigestIndex.create(spark, buckets=2)
+    for n in range(5):
+        mark(docs([(100 * n + i, f"t{i + 7 * n}") for i in range(20)]), index, name=str(n))
+    assert index._files() <= 3 * 2 and index.table().count() == 48
+    index.compact(rows_per_bucket=10)
+    assert index.buckets == 8 and index._files() <= 8
+    again = DigestIndex.attach(spark, index.path)
+    assert again.buckets == 8 and again.table().count() == 48
+    assert not any(r.kept for r in mark(docs([(9, "t3")]), again).collect())
+    path = index.path
+    index.drop()
+    with pytest.raises(ValueError):
+        DigestIndex.attach(spark, path)
+
+
+def test_batches_of_one_table(spark, docs):
+    rows = [(i, f"text {i * i % 17}") for i in range(60)] + [(None, "text 1"), (None, None), (3, "text 9")]
+    upper = docs(rows).filter("doc_id > 30")
+    lower = docs(rows).filter("doc_id IS NULL OR doc_id <= 30")
+    one = by_row(mark(docs(rows), DigestIndex.create(spark)))
+    assert by_row(mark_batches([upper, lower], DigestIndex.create(spark))) == one
+
+
+def by_row(marked):
+    return sorted((tuple(r) for r in marked.collect()), key=repr)
+
+
+def test_the_query_leaves_no_table_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    out = exact_dedup.op3_exact_dedup(spark, "/root/testdata/sf0.001")
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
 
 
 def test_survivors_keep_their_columns(spark, docs):
