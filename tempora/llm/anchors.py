@@ -28,7 +28,7 @@ from tempora.llm.common import (BASE, binary_array, byte_slices, inverse, mix64,
                                 scratch, signed, utf8, whole_groups, written)
 
 GROUP = 4096
-_BITS = 10  # of each of the two lengths in ``loc``
+_BITS = 16  # of each of the two lengths in ``loc``; the rest is for places of up to 2**31 tokens
 
 
 def spans(values: np.ndarray, offsets: np.ndarray, window: int, gram: int
@@ -125,6 +125,9 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
              group: int = GROUP) -> DataFrame:
     """``id, th, runs`` for ``rows(id, th, text)``: the token ranges covered by windows that start
     elsewhere too."""
+    if window - gram >= 1 << _BITS:
+        raise ValueError(f"windows of {window} tokens are too long: places in a span have {_BITS} bits")
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", 1 << 20):
             values, offsets = tokens(batch.column("text"))
@@ -193,7 +196,8 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
                  .select("id", "th", low.alias("s"), (low + span + window).alias("e")))
     found.append(every.filter("e IS NOT NULL").select("id", "th", F.col("loc").alias("s"), "e"))
     return (reduce(DataFrame.unionAll, found)
-            .groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("runs")))
+            # equal rows have equal runs: each once, so that n of them don't get n times n
+            .groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("runs")))
 
 
 def _pieces(members: DataFrame, rows: DataFrame, window: int, cut: Cutter) -> DataFrame:

@@ -166,3 +166,34 @@ def test_cut_points_are_spans():
     assert seen == [*range(0, 171), *range(210, 471)]
     assert ((anchor >= high) & (anchor <= low + 25)).all()
     assert isinstance(pa.array(doc), pa.Array)
+
+
+def test_wide_windows(spark, docs):
+    """Windows of more bytes or words than ten bits count, in a passage that two texts share."""
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    texts = ["x" * 50 + shared + "y" * 40, "".join(rng.choice("klmn ") for _ in range(700)) + shared]
+    for window in (200, 1000, 1300, 2500):
+        got = suffix_dedup.without_repeats(docs(list(enumerate(texts))), window=window).collect()
+        want = brute(texts, window, bytes, bytes)
+        assert [r.n_removed for r in sorted(got, key=lambda r: r.doc_id)] == [w[1] for w in want], window
+    words = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(600)) for _ in range(3)]
+    texts = [words[0] + " " + words[1], words[2] + " " + words[1]]
+    for window in (35, 100, 300):
+        got = substring_dedup.without_repeats(docs(list(enumerate(texts))), window=window).collect()
+        want = by_words(texts, window)
+        assert [r.n_removed for r in sorted(got, key=lambda r: r.doc_id)] == [w[1] for w in want], window
+    with pytest.raises(ValueError, match="too long"):
+        suffix_dedup.without_repeats(docs(list(enumerate(texts))), window=70_000)
+
+
+def test_equal_rows_get_their_runs_once(spark, docs):
+    """1,500 equal rows: every row has the runs of one row, not those of all of them."""
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    rows = docs([(7, text)] * 1500)
+    found = suffix_dedup.repeated_bytes(rows).selectExpr("max(size(runs)) AS n").first().n
+    assert 0 < found < 100
+    out = suffix_dedup.without_repeats(rows)
+    assert [tuple(r) for r in out.select("doc_id", "n_removed").distinct().collect()] == [(7, 2000)]
+    assert out.count() == 1500
