@@ -267,7 +267,10 @@ def links(vectors: DataFrame, words: int, threshold: float = THRESHOLD, filters:
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
-    """``<id_col>, n_links, component_id, kept`` for every row."""
+    """``<id_col>, n_links, component_id, kept`` for every row.  Thresholds below ``THRESHOLD`` are refused: the
+    filters of a vector are too few for pairs further apart."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"the filters are made for cosines of {THRESHOLD} or more")
     with scratch(table.sparkSession):
         rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
                             F.col(vector_col).alias("vector"))

@@ -383,7 +383,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = THRESHOLD) -> DataFrame:
     """``id, th, class_id, n_links, first`` per row.  ``class_id``: the smallest id that links reach,
     the row's own id included; ``first``: the row is the one of its class that stays, or a repetition
-    of it (same id and text)."""
+    of it (same id and text).  Thresholds below ``THRESHOLD`` are refused: the number of runs, the
+    branching and the candidate cut would lose their pairs."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"the paths and the candidate cut are made for similarities of {THRESHOLD} or more")
     with scratch(docs.sparkSession):
         rows = written(sketches(docs, id_col, text_col), "jaccard")
         key = ["d1", "d2", "size"]
