@@ -119,11 +119,13 @@ def _split(groups: DataFrame, runs: Runs | None, picked: np.ndarray, n: int, pie
         # narrower than the longest of them, so that every round splits something
         width = max(1, min(-(-sum(b - a for a, b in spans) // max(1, pieces - len(spans))),
                            max(b - a for a, b in spans) // 2))
+        # the steps of ``width`` groups that a span meets, so that the join goes by the step's number;
+        # at most PIECES of them and two more per span: a bounded side
         of = groups.sparkSession.createDataFrame(
-            [(i, a, b) for i, (a, b) in enumerate(_merged(spans))], "r int, a long, b long")
-        # at most PIECES rows: a bounded side
-        got = groups.join(F.broadcast(of), (F.col("g") >= F.col("a")) & (F.col("g") < F.col("b")))
-        got = got.groupBy(F.floor(F.col("g") / width).alias("k"), "r")
+            [(k, i, a, b) for i, (a, b) in enumerate(_merged(spans)) for k in range(a // width, (b - 1) // width + 1)],
+            "k long, r int, a long, b long")
+        got = groups.withColumn("k", F.floor(F.col("g") / width)).join(F.broadcast(of), "k")
+        got = got.filter((F.col("g") >= F.col("a")) & (F.col("g") < F.col("b"))).groupBy("k", "r")
     rows = got.agg(F.min("g").alias("a"), F.max("g").alias("b"), F.sum("bytes").alias("s")).collect()
     new = sorted((x.a, x.b + 1, x.s) for x in rows)
     if runs is not None:
