@@ -42,16 +42,9 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
 
 
-_AS_OF: dict = {}
-
-
 def as_of(spark: SparkSession, sf_dir: str):
-    """Latest event time of the given tables (read once per session and
-    folder: the registered inputs are immutable)."""
-    key = (tables.session_key(spark), sf_dir)
-    if key not in _AS_OF:
-        _AS_OF[key] = tables.latest_time(tables.events(spark, sf_dir), "ts")
-    return _AS_OF[key]
+    """Latest event time of the given tables: one scalar aggregate, part of each query that needs it."""
+    return tables.latest_time(tables.events(spark, sf_dir), "ts")
 
 
 # Parameters of the registered reports (stand-ins for the reference's

@@ -126,12 +126,20 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+_OWN_DIRS: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the shared folder, unique to this call."""
+    """A fresh path below the shared folder, unique to this call; deleted when the application ends."""
     import uuid
 
-    base = shared_dir(spark)
-    return "/".join([base, "tempora", *parts, uuid.uuid4().hex])
+    own = f"{shared_dir(spark)}/tempora/{spark.sparkContext.applicationId}"
+    if own not in _OWN_DIRS:
+        fs, p = hadoop_fs(spark, own)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)  # needs the folder to be there
+        _OWN_DIRS.add(own)
+    return "/".join([own, *parts, uuid.uuid4().hex])
 
 
 def local_path(path: str) -> str:
