@@ -6,7 +6,8 @@ the vocabulary crosses such a cut (checked when it is loaded), so the best path
 its words.  The distinct words of a batch are taken by length: words of one length are a matrix, the
 hashes of all substrings of one length come from prefix sums and probe the sorted hashes of the
 pieces of that length, and one pass over the positions keeps, for all words at once, the best score
-and the length of the last piece.  Of equal scores the longer last piece wins.
+and the length of the last piece.  Of equal scores the longer last piece wins.  Long words (text of a language
+without spaces) are cut once more, where no piece that occurs in them goes across.
 
 The scores are those of the model file.  A file of merge ("BPE") kind orders its pieces by rank, and
 the path of the largest sum of its scores is not the result of its merges; see the README.
@@ -32,6 +33,7 @@ from tempora.llm.common import (BASE, binary_array, byte_slices, documents, inve
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 CELLS = 1 << 21  # substrings that one step of the Viterbi holds
+LONG = 48  # characters above which a word is cut where no piece goes across, so that its parts advance together
 
 
 class Vocabulary:
@@ -123,6 +125,26 @@ def _spans(length: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - first, length) + np.arange(length.sum())
 
 
+def uncrossed(prefix: np.ndarray, first: np.ndarray, length: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Places within the words first[i] .. first[i] + length[i] - 1 that no piece found there goes across: every path
+    passes them, so the words can be cut there."""
+    out = []
+    back = powers(inverse(BASE), len(prefix))
+    for a, n in zip(first.tolist(), length.tolist()):
+        crossed = np.zeros(n + 1, np.int32)
+        for k, (keys, _, _) in vocabulary.tables.items():
+            if 1 < k <= n:
+                h = (prefix[a + k:a + n + 1] - prefix[a:a + n + 1 - k]) * back[a:a + n + 1 - k]
+                at = np.searchsorted(keys, h)
+                at[at == len(keys)] = 0
+                hit = np.flatnonzero(keys[at] == h)  # from place hit on: goes across hit + 1 .. hit + k - 1
+                np.add.at(crossed, hit + 1, 1)
+                np.add.at(crossed, hit + k, -1)
+        free = np.flatnonzero(np.cumsum(crossed[:-1]) == 0)
+        out.append(a + free[free > 0])
+    return np.concatenate(out)
+
+
 def encode_texts(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids on end, number of ids of each text)."""
     data, offsets = utf8(texts)
@@ -151,6 +173,10 @@ def encode_texts(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     first = np.flatnonzero(start)
     length = np.diff(np.append(first, len(cp)))
     prefix = prefix_hashes(np.where(known, cp, cp + np.uint32(0x110000)).astype(np.uint64))
+    if length.max() > LONG:
+        start[uncrossed(prefix, first[length > LONG], length[length > LONG], vocabulary)] = True
+        first = np.flatnonzero(start)
+        length = np.diff(np.append(first, len(cp)))
     word = (prefix[first + length] - prefix[first]) * powers(inverse(BASE), len(prefix))[first]
     word = word + length.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
     _, example, of = np.unique(word, return_index=True, return_inverse=True)
@@ -202,7 +228,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", 1 << 20):
             ids, per = encode_texts(batch.column("text"), vocabulary)
             out = [batch.column("id"), list_array(pa.array(ids, pa.int32()), per),
                    pa.array(per, pa.int64())]

@@ -20,7 +20,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_registration():
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "jaccard_join", "mixing", "sentencepiece"]
 
 

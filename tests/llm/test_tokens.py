@@ -36,6 +36,33 @@ def test_words_equal_the_plain_search(vocabulary):
         assert [model.id_to_piece(int(i)) for i in ids[a:b]] == brute("▁" + w, scores)
 
 
+def test_text_without_spaces_equals_the_plain_search(vocabulary):
+    import random
+    import time
+
+    import sentencepiece as sp
+
+    model = sp.SentencePieceProcessor(model_file=MODEL)
+    scores = {model.id_to_piece(i): model.get_score(i) for i in range(model.get_piece_size())
+              if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (47, 48, 49, 333, 2000)]
+    words += ["的一是不了人我在有他这为之大来以个中上们" * 40, "ab" * 500, "naïveßtraße" * 60]
+    words = [w for w in words if all(c in scores for c in w)]
+    ids, per = encode_texts(pa.array(words), vocabulary)
+    at = np.concatenate([[0], np.cumsum(per)])
+    for w, a, b in zip(words, at, at[1:]):
+        assert [model.id_to_piece(int(i)) for i in ids[a:b]] == brute("▁" + w, scores)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80_000))
+    spaced = " ".join(text[i:i + 6] for i in range(0, len(text), 6))
+    spent = []
+    for t in (spaced, text):
+        start = time.process_time()
+        encode_texts(pa.array([t]), vocabulary)
+        spent.append(time.process_time() - start)
+    assert spent[1] < 10 * max(spent[0], 0.02), spent
+
+
 def test_paths_equal_the_librarys_best_one(vocabulary, spark):
     """The same pieces and scores in the library's lattice: its best path."""
     import sentencepiece as sp
