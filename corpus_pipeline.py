@@ -20,7 +20,11 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id stays."""
-    return exact_dedup.deduplicated(docs, exact_dedup.DigestIndex.create(spark))
+    index = exact_dedup.DigestIndex.create(spark)
+    try:
+        return exact_dedup.deduplicated(docs, index)  # the digests that stay are written by then
+    finally:
+        index.drop()
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
