@@ -108,3 +108,76 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == y for r, y in test]) > 0.96
     assert np.mean([r.predicted for r, y in test if y]) > 0.7
     assert np.mean([r.predicted for r, y in test if not y]) < 0.02
+
+
+def plain_score(text, net):
+    """The score of a text by loops over its windows, words, characters and gates."""
+    import math
+    import re
+
+    from tempora.llm.common import BASE
+
+    full = (1 << 64) - 1
+
+    def mix(x):
+        for _ in range(2):
+            x ^= x >> 32
+            x = x * 0xD6E8FEB86659FD93 & full
+        return x ^ x >> 32
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
+
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", raw)
+    p = {k: v.astype(float).tolist() for k, v in net.p.items() if k not in ("words", "grams")}
+    vectors = []
+    for w in words:
+        key = mix(sum((b + 1) * pow(BASE, i, 1 << 64) for i, b in enumerate(w)) & full)
+        row = 1 + key % (tox.WORDS - 1)
+        row = row if net.known[row] else 0
+        chars = [0, *[b + 1 for b in w], 0]
+        grams = [mix((chars[i] << 18) + (chars[i + 1] << 9) + chars[i + 2]) % tox.GRAMS for i in range(len(w))]
+        mean = [sum(float(net.p["grams"][g][k]) for g in grams) / len(grams) for k in range(tox.GRAM_DIM)]
+        vectors.append([float(v) for v in net.p["words"][row]] + mean)
+    if not words:
+        return 0.0
+    h_dim, best = tox.HIDDEN, -math.inf
+    starts = range(0, max(1, len(words) - tox.WINDOW + tox.STRIDE), tox.STRIDE)
+    for s in starts:
+        window = vectors[s:s + tox.WINDOW]
+        states = {}
+        for side in "fb":
+            h, out = [0.0] * h_dim, [None] * len(window)
+            order = range(len(window)) if side == "f" else range(len(window) - 1, -1, -1)
+            for t in order:
+                x = [p["b" + side][j] + sum(window[t][i] * p["W" + side][i][j] for i in range(len(window[t])))
+                     for j in range(3 * h_dim)]
+                u = [sum(h[i] * p["U" + side][i][j] for i in range(h_dim)) for j in range(3 * h_dim)]
+                new = []
+                for j in range(h_dim):
+                    z, r = sigmoid(x[j] + u[j]), sigmoid(x[h_dim + j] + u[h_dim + j])
+                    c = math.tanh(x[2 * h_dim + j] + r * u[2 * h_dim + j])
+                    new.append(c + z * (h[j] - c))
+                h = new
+                out[t] = h
+            states[side] = out
+        both = [states["f"][t] + states["b"][t] for t in range(len(window))]
+        e = []
+        for v in both:
+            a = [math.tanh(sum(v[i] * p["A"][i][j] for i in range(2 * h_dim))) for j in range(tox.ATTENTION)]
+            e.append(sum(x * y for x, y in zip(a, p["v"])))
+        w = [math.exp(x - max(e)) for x in e]
+        pooled = [sum(wt * v[i] for wt, v in zip(w, both)) / sum(w) for i in range(2 * h_dim)]
+        best = max(best, sum(x * y for x, y in zip(pooled, p["o"])) + p["c"][0])
+    return sigmoid(best)
+
+
+def test_scores_equal_plain_loops():
+    texts, labels = synthetic(120, 5)
+    net = tox.train(texts, labels, steps=40)
+    some = [*texts[:25], "", None, "...", "Ünïcode ÄÖ 123 scum!", " ".join(texts[:9]), "a" * 300]
+    got = tox.score_texts(pa.array(some, pa.string()), net)
+    for t, g in zip(some, got):
+        assert g == pytest.approx(plain_score(t, net), abs=2e-5), t
+    assert max(got) - min(got) > 0.2
