@@ -28,6 +28,8 @@ from tempora.session import checkpointed
 # Fixed values the reference writes for a new sensor.
 NEW_SENSOR_TYPE = "temperature"
 NEW_SENSOR_LOCATION = "unknown"
+#: Up to so many new keys are numbered by one task; more are dealt by ranges.
+ONE_TASK = 20_000
 
 
 def with_dense_ids(df: DataFrame, order: Sequence[str], start, id_col: str = "id",
@@ -37,20 +39,25 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], start, id_col: str = "id
     ``start`` is a Column (e.g. a scalar subquery) or an int.
     """
     spark = df.sparkSession
+    kept = checkpointed(df)  # read again below: the upstream plan runs once
+    start_col = start if not isinstance(start, int) else F.lit(start)
+    rows = kept.count()
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None and rows <= ONE_TASK:  # a bounded number of keys: one task numbers them
+        if not rows:
+            return kept.withColumn(id_col, F.lit(0))
+        nth = F.row_number().over(Window.orderBy(*order))
+        return kept.withColumn(id_col, (start_col + nth).cast("int"))
     # Range bounds are sampled per exchange, and two plans over the same keys
     # may hold two exchanges with different bounds.  So the partition number
     # is materialised with the rows, and counts and row numbers both come
-    # from that one table.  (The keys are materialised before, so that the
-    # sampling pass doesn't run the upstream plan again.)
-    ranged = checkpointed(checkpointed(df).repartitionByRange(n, *order)
-                          .withColumn("_pid", F.spark_partition_id()))
+    # from that one table.
+    ranged = checkpointed(kept.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    start_col = start if not isinstance(start, int) else F.lit(start)
     out = local.join(F.broadcast(offsets), "_pid")  # at most n rows
     return out.withColumn(id_col, (start_col + F.col("_off") + F.col("_rn")).cast("int")).drop(
         "_pid", "_rn", "_off")

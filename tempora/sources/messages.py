@@ -180,12 +180,26 @@ def from_positions(envelopes: DataFrame, positions: Mapping) -> DataFrame:
     return envelopes.filter(later)
 
 
+def files_for_rows(spark: SparkSession, path: str, rows: int, fmt: str = "parquet") -> int:
+    """How many landed files hold about ``rows`` messages, by the mean of those that are there (Parquet tells it
+    from the files' footers); one at least."""
+    if not exists(spark, path):
+        return 1
+    landed = spark.read.schema(ENVELOPE).format(fmt).option("recursiveFileLookup", "true").load(path)
+    files = len(landed.inputFiles())
+    return max(1, rows * files // max(1, landed.count())) if files else 1
+
+
 def read_from(spark: SparkSession, path: str, positions, checkpoint: str, fmt: str = "parquet",
-              max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = 1 << 30) -> DataFrame:
-    """A landed envelope stream that starts each partition at its own position and takes a
-    bounded part of a backlog at a time, by files if their number is given, else by bytes."""
+              max_rows_per_trigger: int | None = None, max_files_per_trigger: int | None = None,
+              max_bytes_per_trigger: int | None = 1 << 30) -> DataFrame:
+    """A landed envelope stream that starts each partition at its own position and takes a
+    bounded part of a backlog at a time: by messages (as whole files, see ``files_for_rows``) or files if their
+    number is given, else by bytes."""
     resolved = resolve_positions(spark, path, positions, checkpoint, fmt)
     r = spark.readStream.format(fmt).schema(ENVELOPE).option("recursiveFileLookup", "true")
+    if max_rows_per_trigger:
+        max_files_per_trigger = files_for_rows(spark, path, max_rows_per_trigger, fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     elif max_bytes_per_trigger:

@@ -55,7 +55,7 @@ def test_null_temps_still_routes_to_temps_and_rejects(spark):
     assert reasons(spark, [{"unix_time": 1700000000, "temps": None}]) == ["empty_temps"]
 
 
-@pytest.mark.parametrize("body", ["invalid json", "invalid json {"])
+@pytest.mark.parametrize("body", ["no JSON at all", '{"temps": '])
 def test_invalid_json_rejected_stream_continues(spark, body):
     good = {"unix_time": 1700000000, "temps": {"a": 1.0}}
     p = parse(spark, [body, good])
@@ -146,7 +146,7 @@ def test_status_extra_key_kept_in_payload(spark):
 @pytest.mark.parametrize("body,reason", [
     ({"unix_time": 1700000000, "status": {}}, "empty_status"),
     ({"unix_time": 1700000000}, "unknown_format"),
-    ({"unix_time": 1700000000, "unknown_field": "data"}, "unknown_format"),
+    ({"unix_time": 1700000000, "humidity": 40}, "unknown_format"),
     ({"unix_time": 1700000000, "status": dict(FULL_STATUS, gitVersion="v" * 65)},
      "too_long:gitVersion"),
     ({"unix_time": 1700000000, "status": dict(FULL_STATUS, eventCategory="e" * 51)},

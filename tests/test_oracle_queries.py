@@ -30,7 +30,8 @@ def test_query_matches_oracle(spark, name):
 
 #: Reports whose last ORDER BY is total, so that the order itself is part of the result (O1-O3).
 ORDERED = {"candle_10min_symbol", "candle_1h_symbol", "candle_recent", "candle_recent_1h",
-           "tick_stream_to_candle", "kwh_hour_profile", "sensor_list", "agg_1h_one_sensor"}
+           "tick_stream_to_candle", "kwh_hour_profile", "sensor_list", "agg_1h_one_sensor",
+           "agg_recent_10min"}
 
 
 def test_ordered_reports_are_registered():

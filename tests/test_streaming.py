@@ -370,3 +370,16 @@ def test_partitions_start_where_they_are_told(spark, workdir):
     assert len(seen("earliest", f"{workdir}/z")) == 15
     # positions that the ingestion stored are a mapping too
     assert messages.resolve_positions(spark, f"{workdir}/none", {"5": 7, "*": "latest"}, f"{workdir}/n") == {"5": 7}
+
+
+def test_a_trigger_takes_about_so_many_messages(spark, workdir):
+    for n in range(8):
+        _batch(spark, [f"s{n}"], n + 1).unionByName(_batch(spark, ["t"], n + 100)).coalesce(1).write.parquet(f"{workdir}/in/{n}")
+    assert messages.files_for_rows(spark, f"{workdir}/in", 5) == 2
+    assert messages.files_for_rows(spark, f"{workdir}/in", 1) == 1
+    assert messages.files_for_rows(spark, f"{workdir}/none", 2) == 1
+    src = messages.read_from(spark, f"{workdir}/in", "earliest", f"{workdir}/ck", max_rows_per_trigger=4)
+    sizes = []
+    src.writeStream.foreachBatch(lambda df, _: sizes.append(df.count())).option(
+        "checkpointLocation", f"{workdir}/ck/q").trigger(availableNow=True).start().awaitTermination(120)
+    assert sum(sizes) == 16 and len(sizes) >= 4 and max(sizes) <= 4
