@@ -5,13 +5,14 @@ tokens with the smallest hash in the window.  Equal windows have equal anchors a
 windows with different anchors never need to meet.  Consecutive windows with one anchor make a span,
 about 2 / (window - gram) spans a token.
 
-Spans that a document holds several times (as "la la la ..." does) go on as one with a count, and as
+Spans that a document holds several times (as "la la la ..." does) are compared token by token where they stand
+and go on as one with a count, and as
 the range that they cover.  The spans of all documents are counted by anchor, then those with a shared
-anchor by content.  A span
-whose content stands elsewhere too is repeated throughout, without a look at its text.  Of the
-different spans of an anchor one each goes, with its text, to the task that compares the windows of
-that anchor; anchors with more than ``GROUP`` different spans (a third of all documents may share
-a line) are compared by the hashes of their single windows instead, counted with partial sums.
+anchor by content, which makes kinds.  Of each kind that stands once its span goes, with its text, to the task that compares the
+windows of that anchor; of a kind that stands several times two go there as witnesses: only if the comparison finds
+all of their windows repeated is the kind repeated wherever it stands.  If witnesses differ, a hash has lied, and
+all spans of that kind are compared by their text.  Anchors with more than ``GROUP`` kinds (a third of all documents may share
+a line) are compared by two hashes of their single windows instead, counted with partial sums.
 """
 
 from __future__ import annotations
@@ -31,6 +32,32 @@ GROUP = 4096
 _BITS = 16  # of each of the two lengths in ``loc``; the rest is for places of up to 2**31 tokens
 
 
+_PRIME, _PRIME_BASE = (1 << 31) - 1, 1_103_515_247
+_PRIME_POWERS: dict[int, np.ndarray] = {}
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo the prime, kept between calls."""
+    have = _PRIME_POWERS.get(base)
+    if have is None or len(have) < n:
+        p, k = np.ones(1 << max(16, n.bit_length()), np.uint64), 1
+        while k < len(p):
+            p[k:2 * k] = p[:k] * np.uint64(pow(base, k, _PRIME)) % np.uint64(_PRIME)
+            k *= 2
+        _PRIME_POWERS[base] = have = p
+    return have[:n]
+
+
+def prime_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of slices modulo a prime: texts that collide modulo 2**64 under every base (those in the order
+    of Thue and Morse) don't here."""
+    prime, n = np.uint64(_PRIME), len(values)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum(values % prime * _prime_powers(_PRIME_BASE, n) % prime, out=prefix[1:])  # below 2**64 up to 2**33 tokens
+    back = _prime_powers(pow(_PRIME_BASE, -1, _PRIME), n + 1)[start]
+    return (prefix[end] - prefix[start]) % prime * back % prime
+
+
 def spans(values: np.ndarray, offsets: np.ndarray, window: int, gram: int
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, anchor, first window, last window, anchor hash, content hash) of the spans of
@@ -67,6 +94,7 @@ def spans(values: np.ndarray, offsets: np.ndarray, window: int, gram: int
     last = np.append(first[1:], len(start)) - 1
     doc, anchor, low, high = of[first], at[first], start[first], start[last]
     content = (prefix[high + window] - prefix[low]) * back[low]
+    content ^= mix64(prime_hashes(values, low, high + window))
     content = mix64(content ^ mix64(((anchor - low) << 20 | (high - low)).astype(np.uint64)))
     return doc, anchor, low, high, h[anchor], content
 
@@ -78,18 +106,39 @@ Cutter = Callable[[pa.Array, np.ndarray, np.ndarray, np.ndarray], pa.Array]
 Matcher = Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def _within(doc: np.ndarray, key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the spans of a few documents: (the first of each kind in its document, how many of its kind its
-    document has)."""
+def _within(doc: np.ndarray, key: np.ndarray, content: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the spans of a few documents: (the first of each kind in its document, the last of it; how many of its kind
+    its document has and which is the first of it, for every span)."""
     order = np.lexsort((content, key, doc))
     new = np.ones(len(order), bool)
     for x in (doc, key, content):
         new[1:] &= x[order][1:] == x[order][:-1]
     new[1:] = ~new[1:]
     kind = np.cumsum(new) - 1
-    many = np.empty(len(order), np.int64)
-    many[order] = np.bincount(kind)[kind] if len(order) else 0
-    return np.sort(order[new]), many
+    at = np.flatnonzero(new)
+    first, last = order[at], order[np.append(at[1:], len(order)) - 1] if len(order) else order
+    many, of = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    if len(order):
+        many[order], of[order] = np.bincount(kind)[kind], first[kind]
+    by = np.argsort(first)
+    return first[by], last[by], many, of
+
+
+def _unlike(values: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray, at_once: int = 1 << 20) -> np.ndarray:
+    """Which of the slices of ``length`` tokens from a and from b on differ in any token."""
+    out = np.zeros(len(a), bool)
+    start = 0
+    ends = np.cumsum(length)
+    while start < len(a):  # about ``at_once`` tokens at a time
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + at_once)))
+        n = length[start:stop]
+        row = np.repeat(np.arange(len(n)), n)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        differ = values[a[start:stop][row] + step] != values[b[start:stop][row] + step]
+        out[start + np.unique(row[differ])] = True
+        start = stop
+    return out
 
 
 def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,14 +149,15 @@ def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return begin[new], end[last], doc[new]
 
 
-def _span_rows(batch: pa.RecordBatch, doc: np.ndarray, loc: np.ndarray, key: np.ndarray | None,
+def _span_rows(batch: pa.RecordBatch, doc: np.ndarray, loc: np.ndarray, loc2: np.ndarray | None, key: np.ndarray | None,
                content: np.ndarray | None, many: np.ndarray | None, end: np.ndarray | None) -> pa.RecordBatch:
     take, none = pa.array(doc), pa.nulls(len(doc), pa.int64())
     return pa.RecordBatch.from_arrays(
         [none if key is None else signed(key), none if content is None else signed(content),
          batch.column("id").take(take), batch.column("th").take(take), pa.array(loc, pa.int64()),
+         none if loc2 is None else pa.array(loc2, pa.int64()),
          none if many is None else pa.array(many, pa.int64()), none if end is None else pa.array(end, pa.int64())],
-        names=["a", "h", "id", "th", "loc", "n", "e"])
+        names=["a", "h", "id", "th", "loc", "loc2", "n", "e"])
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -132,39 +182,56 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
         for batch in byte_slices(batches, "text", 1 << 20):
             values, offsets = tokens(batch.column("text"))
             doc, anchor, low, high, key, content = spans(values, offsets, window, gram)
-            first, many = _within(doc, key, content)
+            first, last, many, of = _within(doc, key, content)
+            # spans of a kind that differ from its first one become kinds of their own
+            check = np.flatnonzero(of != np.arange(len(of)))
+            lie = check[_unlike(values, low[check], low[of[check]], high[check] - low[check] + window)]
+            if len(lie):
+                content[lie] = mix64(content[lie] ^ mix64(lie.astype(np.uint64) + np.uint64(1)))
+                first, last, many, of = _within(doc, key, content)
             again = many > 1
-            begin, end, of = _merged(doc[again], low[again], high[again] + window)
+            begin, end, where = _merged(doc[again], low[again], high[again] + window)
             loc = ((low - offsets[doc]) << 2 * _BITS) | ((anchor - low) << _BITS) | (high - low)
-            yield _span_rows(batch, doc[first], loc[first], key[first], content[first], many[first], None)
-            yield _span_rows(batch, of, begin - offsets[of], None, None, None, end - offsets[of])
+            yield _span_rows(batch, doc[first], loc[first], loc[last], key[first], content[first], many[first], None)
+            yield _span_rows(batch, where, begin - offsets[where], None, None, None, None, end - offsets[where])
 
     kind = rows.schema["id"].dataType.simpleString()
-    every = written(rows.mapInArrow(find, f"a long, h long, id {kind}, th int, loc long, n long, e long"),
+    every = written(rows.mapInArrow(find, f"a long, h long, id {kind}, th int, loc long, loc2 long, n long, e long"),
                     "spans")
     counted = every.filter("e IS NULL").drop("e")
     shared = written(counted.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").select("a"), "spans")
     live = written(counted.join(shared, "a"), "spans")
-    kinds = written(live.groupBy("a", "h").agg(F.sum("n").alias("c"),
-                                               F.min(F.struct("id", "th", "loc")).alias("m")), "spans")
-    many = written(kinds.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "spans")
-    members = kinds.join(many, "a").select("a", "c", "kinds", "m.*")
+    who = F.struct("id", "th", "loc", "loc2")
+    kinds = written(live.groupBy("a", "h").agg(F.sum("n").alias("c"), F.min(who).alias("m"), F.max(who).alias("x")),
+                    "spans")
+    # witnesses: two rows, or two places of one row; rows that repeat id and text need none
+    rows_differ = ~(F.col("m.id").eqNullSafe(F.col("x.id")) & (F.col("m.th") == F.col("x.th")))
+    one = F.struct("m.id", "m.th", "m.loc")
+    two = (F.when(rows_differ, F.struct("x.id", "x.th", "x.loc"))
+           .when(F.col("m.loc") != F.col("m.loc2"), F.struct("m.id", "m.th", F.col("m.loc2").alias("loc"))))
+    pair = F.when(F.col("c") > 1, two)
+    per = kinds.groupBy("a").agg(F.count("*").alias("kinds"), F.max(pair.isNotNull()).alias("doubt"))
+    members = (kinds.join(per.filter("kinds > 1 OR doubt"), "a")
+               .select("a", "h", "c", "kinds", F.explode(F.filter(F.array(one, pair), lambda w: w.isNotNull())).alias("w"))
+               .select("a", "h", "c", "kinds", "w.*"))
     pieces = _pieces(members, rows, window, cut)
 
-    small = pieces.filter(F.col("kinds") <= group).repartition("a").sortWithinPartitions("a")
     runs = f"id {kind}, th int, s long, e long"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["a"], 4096):
             row, first, last = match(table)
             alone = table.column("c").to_numpy()[row] == 1
+            sure = row[~alone & (first == 0) & (last == table.column("n").to_numpy()[row] - 1)]
             row, first, last = row[alone], first[alone], last[alone]
             at = table.column("low").to_numpy()[row]
-            part = table.select(["id", "th"]).take(pa.array(row)).combine_chunks()
-            for batch in part.to_batches():
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("th"), pa.array(at + first, pa.int64()),
-                     pa.array(at + last + window, pa.int64())], names=["id", "th", "s", "e"])
+            for take, s, e in ((row, at + first, at + last + window), (sure, None, None)):
+                part = table.select(["a", "h", "id", "th"]).take(pa.array(take)).combine_chunks()
+                for batch in part.to_batches():
+                    no = pa.nulls(batch.num_rows, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns, no if s is None else pa.array(s, pa.int64()),
+                         no if e is None else pa.array(e, pa.int64())], names=["a", "h", "id", "th", "s", "e"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "piece", 1 << 18):
@@ -174,25 +241,44 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
             w = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             at = offsets[row] + w
             h = []
-            for base in (BASE, 0xD1342543DE82EF95):
-                prefix = prefix_hashes(values + np.uint64(1), base)
-                h.append(signed((prefix[at + window] - prefix[at]) * powers(inverse(base), len(prefix))[at]))
+            for b in (BASE, 0xD1342543DE82EF95):
+                prefix = prefix_hashes(values + np.uint64(1), b)
+                h.append(signed((prefix[at + window] - prefix[at]) * powers(inverse(b), len(prefix))[at]))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [*h, *[batch.column(c).take(take) for c in ("id", "th", "c")],
                  pa.array(batch.column("low").to_numpy()[row] + w, pa.int64())],
                 names=["h1", "h2", "id", "th", "c", "s"])
 
+    def compared_in(some: DataFrame) -> DataFrame:
+        return written(some.repartition("a").sortWithinPartitions("a")
+                       .mapInArrow(compare, "a long, h long, " + runs), "spans")
+
+    compared = compared_in(pieces.filter(F.col("kinds") <= group))
+    # kinds that stand several times: told by witnesses, by one row that repeats, or by hashes of windows
+    sure = compared.filter("s IS NULL").select("a", "h").distinct().withColumn("sure", F.lit(True))
+    several = kinds.filter("c > 1").select("a", "h", pair.isNotNull().alias("doubt")).join(
+        per.select("a", "kinds"), "a").join(sure, ["a", "h"], "left")
+    several = written(several, "spans")
+    lie = several.filter(F.col("doubt") & (F.col("kinds") <= group) & F.col("sure").isNull()).select("a", "h")
+    if lie.limit(1).count():  # witnesses differ: all spans of their kinds go by their text
+        lie = written(lie, "spans")
+        these = lie.select("a").distinct()
+        each = live.join(lie, ["a", "h"]).join(per.select("a", "kinds"), "a").select(
+            "a", "h", F.lit(1).cast("long").alias("c"), "kinds", "id", "th", "loc")
+        rest = members.join(lie, ["a", "h"], "left_anti").join(these, "a", "left_semi")
+        compared = compared.join(these, "a", "left_anti").unionByName(
+            compared_in(_pieces(rest.unionByName(each.select(rest.columns)), rows, window, cut)))
+        several = several.join(lie, ["a", "h"], "left_anti")
     large = written(pieces.filter(F.col("kinds") > group).mapInArrow(
         windows, f"h1 long, h2 long, id {kind}, th int, c long, s long"), "spans")
     again = written(large.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1"), "spans")
-    found = [small.mapInArrow(compare, runs),
+    found = [compared.filter("s IS NOT NULL").drop("a", "h"),
              large.filter("c = 1").join(again, ["h1", "h2"])
              .select("id", "th", "s", (F.col("s") + window).alias("e"))]
-    whole = written(kinds.filter("c > 1").select("a", "h"), "spans")
     low = F.shiftright("loc", 2 * _BITS)
     span = F.col("loc").bitwiseAND(F.lit((1 << _BITS) - 1))
-    found.append(live.join(whole, ["a", "h"])
+    found.append(live.join(several.select("a", "h"), ["a", "h"])
                  .select("id", "th", low.alias("s"), (low + span + window).alias("e")))
     found.append(every.filter("e IS NOT NULL").select("id", "th", F.col("loc").alias("s"), "e"))
     return (reduce(DataFrame.unionAll, found)
@@ -201,9 +287,9 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
 
 
 def _pieces(members: DataFrame, rows: DataFrame, window: int, cut: Cutter) -> DataFrame:
-    """``a, c, kinds, id, th, low, n, left, piece``: the tokens of each span; ``n`` windows from token
+    """``a, h, c, kinds, id, th, low, n, left, piece``: the tokens of each span; ``n`` windows from token
     ``low`` of the document on, the anchor ``left`` tokens into the piece."""
-    of = members.groupBy("id", "th").agg(F.collect_list(F.struct("loc", "a", "c", "kinds")).alias("spans"))
+    of = members.groupBy("id", "th").agg(F.collect_list(F.struct("loc", "a", "h", "c", "kinds")).alias("spans"))
     of = of.select(F.col("id").alias("oid"), F.col("th").alias("oth"), "spans")
     text = rows.join(of, _same("", "o")).select("id", "th", "text", "spans")
 
@@ -211,7 +297,7 @@ def _pieces(members: DataFrame, rows: DataFrame, window: int, cut: Cutter) -> Da
         for batch in byte_slices(batches, "text", 1 << 20):
             lists = batch.column("spans")
             doc = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            loc, a, c, kinds = lists.flatten().flatten()
+            loc, a, h, c, kinds = lists.flatten().flatten()
             loc = loc.to_numpy()
             low = loc >> 2 * _BITS
             left = (loc >> _BITS) & ((1 << _BITS) - 1)
@@ -219,12 +305,12 @@ def _pieces(members: DataFrame, rows: DataFrame, window: int, cut: Cutter) -> Da
             take = pa.array(doc)
             piece = cut(batch.column("text"), doc, low, low + n - 1 + window)
             yield pa.RecordBatch.from_arrays(
-                [a, c, kinds, batch.column("id").take(take), batch.column("th").take(take),
+                [a, h, c, kinds, batch.column("id").take(take), batch.column("th").take(take),
                  pa.array(low, pa.int64()), pa.array(n, pa.int32()), pa.array(left, pa.int32()), piece],
-                names=["a", "c", "kinds", "id", "th", "low", "n", "left", "piece"])
+                names=["a", "h", "c", "kinds", "id", "th", "low", "n", "left", "piece"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = text.mapInArrow(run, f"a long, c long, kinds long, id {kind}, th int, low long, n int, left int, "
+    got = text.mapInArrow(run, f"a long, h long, c long, kinds long, id {kind}, th int, low long, n int, left int, "
                                "piece binary")
     return written(got, "spans")
 

@@ -2,7 +2,7 @@
 
 The pieces of ``tempora.llm.anchors`` are dealt to shards by the hash of their anchor, so that equal
 windows are in one shard.  Each shard is indexed: words get numbers, the pieces on end are sorted by
-their first ``DEPTH`` words (prefix doubling; no pattern is longer), and the last column goes into a
+their first ``DEPTH`` words or twice the window (prefix doubling; no pattern is longer), and the last column goes into a
 wavelet matrix of packed bits with counts per 64.  The pieces then stream through their shard's index,
 all side by side: backward search adds a word in front of every pattern at a time and gives up where
 fewer than two occurrences are left, which yields the longest repeated stretch before each end (the
@@ -12,7 +12,8 @@ the search jumps on behind them.  After a success the next pattern covers twice
 Words are runs of other bytes than x20 and x09 to x0D, unchanged.  Removed is every word covered by a
 window of ``WINDOW`` words that also starts anywhere else, in the same text or another one, judged on
 the input.  Defined results: a null text has no words; texts under ``WINDOW`` words keep everything;
-repeated rows are texts of their own, so each loses what the other has; all texts are read whole.
+repeated rows are texts of their own, so each loses what the other has; all texts are read whole, however
+long; an empty table gives no rows.  Of the table the id and the text are read, so that no other column's name can clash.
 """
 
 from __future__ import annotations
@@ -31,12 +32,12 @@ WINDOW, GRAM, DEPTH = 35, 6, 128
 
 
 class FMIndex:
-    """Index of sequences of numbers >= 1, each followed by 0; finds patterns of up to ``DEPTH`` - 1."""
+    """Index of sequences of numbers >= 1, each followed by 0; finds patterns of up to ``depth`` - 1."""
 
-    def __init__(self, text: np.ndarray):
+    def __init__(self, text: np.ndarray, depth: int = DEPTH):
         n = len(text)
         order, rank, step = np.argsort(text, kind="stable"), text, 1
-        while step < DEPTH:
+        while step < depth:
             after = np.zeros(n, np.int64)
             after[:-step] = rank[step:] + 1 if step < n else 0
             key = rank.astype(np.int64) * (n + int(text.max(initial=0)) + 3) + after
@@ -118,20 +119,22 @@ def repeated_windows(index: FMIndex, text: np.ndarray, start: np.ndarray, n: np.
 def matched(window: int) -> Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of windows of single pieces that stand in the shard twice or more."""
     def match(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, offsets = _words(table.column("piece").chunk(0))
-        number = np.unique(h, return_inverse=True)[1] + 1
+        data, ends = utf8(table.column("piece").chunk(0))
+        start, end, _ = words(data, ends)
+        offsets = np.searchsorted(start, ends)
+        # equal words, compared as bytes, get one number
+        number = binary_array(data, start, end).dictionary_encode().indices.to_numpy().astype(np.int64) + 1
         many = np.diff(offsets)
         text = np.zeros(len(number) + len(many), np.int64)
         place = np.arange(len(number)) + np.repeat(np.arange(len(many)), many)
         text[place] = number
-        start = offsets[:-1] + np.arange(len(many))
-        ask = np.flatnonzero(table.column("c").to_numpy() == 1)
-        n = table.column("n").to_numpy().astype(np.int64)[ask]
-        marks = repeated_windows(FMIndex(text), text, start[ask], n, window)
+        at = offsets[:-1] + np.arange(len(many))
+        n = table.column("n").to_numpy().astype(np.int64)
+        marks = repeated_windows(FMIndex(text, max(DEPTH, 2 * window)), text, at, n, window)
         flat = np.diff(marks.astype(np.int8), axis=1, prepend=0)
         row, first = np.nonzero(flat == 1)
         _, after = np.nonzero(flat == -1)
-        return ask[row], first, after - 1
+        return row, first, after - 1
 
     return match
 

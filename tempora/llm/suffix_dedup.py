@@ -15,7 +15,8 @@ are then read byte by byte; if a hash has lied, the sort is done again with anot
 Removed is every byte covered by a window that also starts anywhere else, in the same text or another
 one, judged on the input.  Defined results: a null text counts as empty; texts under ``WINDOW`` bytes
 keep everything; repeated rows are texts of their own, so each loses what the other has; all texts
-are read whole, as UTF-8 bytes; matches never go across texts.
+are read whole, however long, as UTF-8 bytes; matches never go across texts; an empty table gives no rows.
+Of the table the id and the text are read, so that no other column's name can clash.
 """
 
 from __future__ import annotations
@@ -117,13 +118,15 @@ def suffix_order(data: np.ndarray, at: np.ndarray, length: np.ndarray, group: np
                  ) -> tuple[np.ndarray, np.ndarray]:
     """(order within groups, agreement of each place with the one before), verified."""
     base = BASE
-    while True:
+    for _ in range(4):
         s = Suffixes(data, at, length, base)
         order = s.sorted_in(group)
         agree = s.agreements(order, group)
         if agree is not None:
             return order, agree
         base = (base * 0xD1342543DE82EF95 + 2) % (1 << 64) | 1
+    # texts made for it (over a thousand bytes, so not within windows of 200) collide under every base
+    raise RuntimeError("suffixes of different text have equal hashes under four bases")
 
 
 def matched(window: int) -> Callable[[pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]]:

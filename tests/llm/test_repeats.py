@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_data import EDGES, docs  # noqa: F401
 
@@ -197,3 +198,63 @@ def test_equal_rows_get_their_runs_once(spark, docs):
     out = suffix_dedup.without_repeats(rows)
     assert [tuple(r) for r in out.select("doc_id", "n_removed").distinct().collect()] == [(7, 2000)]
     assert out.count() == 1500
+
+
+def thue_words(n, a="aa", b="bb"):
+    return [a if bin(i).count("1") % 2 == 0 else b for i in range(n)]
+
+
+def test_texts_that_collide_modulo_every_power_of_two(spark, docs):
+    """Two words in the order of Thue and Morse, and with the words exchanged, have equal polynomial hashes for every
+    base; behind a common beginning, which holds the anchor, their spans would be of one kind."""
+    rng = random.Random(8)
+    head = [f"h{rng.randrange(10 ** 6)}" for _ in range(700)]
+    one, other = head + thue_words(2048), head + thue_words(2048, "bb", "aa")
+    window = len(one)
+    for texts in ([" ".join(one), " ".join(other)], [" ".join(one), " ".join(other), " ".join(one)],
+                  [" ".join([*one, "x", *other])]):
+        got = substring_dedup.without_repeats(docs(list(enumerate(texts))), window=window).orderBy("doc_id").collect()
+        assert [r.n_removed for r in got] == [w[1] for w in by_words(texts, window)]
+
+
+def test_witnesses_that_differ_are_noticed(spark, docs):
+    """Under hashes that take capitals for small letters, texts that differ in capitals are of one kind; the text itself
+    decides all the same, in both operators."""
+    rng = random.Random(10)
+
+    def lying_words(texts):
+        return substring_dedup._words(pc.utf8_lower(texts.cast(pa.string())))
+
+    def lying_bytes(texts):
+        return suffix_dedup._bytes(pc.utf8_lower(texts.cast(pa.string())))
+
+    body = [f"w{rng.randrange(900)}" for _ in range(150)]
+    loud = body[:]
+    loud[75] = loud[75].upper()
+    tail = [f"t{rng.randrange(900)}" for _ in range(60)]
+    texts = [" ".join(body), " ".join(loud), " ".join([*tail, *body[:60], *tail[:10]])]
+    for tokens, cut, matched, window, gram, brute_force, n in (
+            (lying_words, substring_dedup._cut, substring_dedup.matched, 35, 6, by_words, 1),
+            (lying_bytes, anchors.cut_bytes, suffix_dedup.matched, 150, 32, by_bytes, 1)):
+        rows = anchors.rows_of(docs(list(enumerate(texts))), "doc_id", "text")
+        got = anchors.with_runs(rows, window, gram, tokens, cut, matched(window)).collect()
+        sizes = {r.id: len({p for run in r.runs or [] for p in range(run.s, run.e)}) for r in got}
+        assert [sizes[i] for i in range(3)] == [w[n] for w in brute_force(texts, window)]
+        assert 0 < sizes[0] < len(texts[0])
+
+
+def test_copies_are_confirmed_by_the_sort_and_the_index(spark, docs, monkeypatch):
+    """Rows that a comparison doesn't confirm aren't removed: without it exact copies stay."""
+    rng = random.Random(9)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(300))
+    df = docs([(1, text), (2, text), (3, "y" + text)])
+
+    def blind(window):
+        return lambda table: (np.empty(0, np.int64),) * 3
+
+    for module, name in ((suffix_dedup, "n_removed"), (substring_dedup, "n_removed")):
+        seen = module.without_repeats(df).select(name).collect()
+        assert all(r[0] > 0 for r in seen)
+        monkeypatch.setattr(module, "matched", blind)
+        assert all(r[0] == 0 for r in module.without_repeats(df).select(name).collect())
+        monkeypatch.undo()
