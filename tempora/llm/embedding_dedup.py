@@ -17,7 +17,7 @@ leave a task as a spanning forest.
 Defined results: vectors that are null, empty or zero, hold null or non-finite components, or have no
 label link with nothing and are their own component; vectors of different length don't link; rows
 that repeat a vec_id are told apart by number and link as equal vectors do; cosines are taken in
-double precision; an empty table gives an empty result.
+double precision; an empty table gives an empty result.  Further columns aren't looked at.
 """
 
 from __future__ import annotations

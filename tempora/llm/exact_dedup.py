@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,25 +89,22 @@ class DigestIndex:
         """Add the batch's new texts; returns the table of its groups: ``text_sha256, keep_id, group_size, fresh``.
 
         ``name``: of the batch, the same when it runs again (by default no batch ever runs again)."""
-        rows = batch.select(F.col(id_col).cast("long").alias("id"), digest(F.col(text_col)).alias("text_sha256"))
-        return self._append(rows, F.max("id").alias("own"), name).select(
-            "text_sha256", "keep_id", "group_size", "fresh")
-
-    def _append(self, rows: DataFrame, own: Column, name: str | None) -> DataFrame:
-        """The groups of ``rows(id, text_sha256, ...)`` with the aggregate ``own``, whose id stays."""
         name = name or uuid.uuid4().hex
-        groups = written(rows.groupBy("text_sha256").agg(own, F.max("id").alias("top"), F.count("*").alias("group_size")),
+        groups = written(batch.select(F.col(id_col).cast("long").alias("id"), digest(F.col(text_col)).alias("text_sha256"))
+                         .groupBy("text_sha256").agg(F.max("id").alias("own"), F.count("*").alias("group_size")),
                          "digest_groups")
-        # one row per digest from here on: dealt to the index's buckets, no key is hot
+        self.add(groups.select("text_sha256", F.col("own").alias("keep_id"), "group_size"), name)
+        return (groups.drop("own").join(self.table().drop("group_size"), "text_sha256")
+                .select("text_sha256", "keep_id", "group_size", (F.col("batch") == name).alias("fresh")))
+
+    def add(self, groups: DataFrame, name: str) -> None:
+        """Append those of ``groups(text_sha256, keep_id, group_size)``, one per digest, that the index lacks."""
+        # one row per digest: dealt to the index's buckets, no key is hot
         fresh = (groups.repartition(self.buckets, "text_sha256")
-                 .join(self.table().hint("merge"), "text_sha256", "left_anti")
-                 .select("text_sha256", F.col("top").alias("keep_id"), "group_size", F.lit(name).alias("batch")))
-        fresh = written(fresh, "digest_fresh")
-        self._save(fresh.repartition(self.buckets, "text_sha256"))
+                 .join(self.table().hint("merge"), "text_sha256", "left_anti"))
+        self._save(fresh.withColumn("batch", F.lit(name)))
         if self._files() > APPENDS * self.buckets:
             self.compact()
-        brought = self.table().select("text_sha256", "keep_id", (F.col("batch") == name).alias("fresh"))
-        return groups.join(brought, "text_sha256").drop("top")
 
     def compact(self, rows_per_bucket: int = BUCKET_ROWS) -> None:
         """Write the index anew: a sorted file per bucket, and twice as many buckets as long as one has too many rows.
@@ -131,35 +127,40 @@ class DigestIndex:
 def mark(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
          name: str | None = None) -> DataFrame:
     """One row per row of the batch: ``<id_col>, keep_id, group_size, kept, text_sha256``."""
-    return mark_batches([batch], index, id_col, text_col, [name])
+    return mark_batches(batch, F.lit(0), [name or uuid.uuid4().hex], index, id_col, text_col)
+
 
+def mark_batches(rows: DataFrame, nth: Column, names: list[str], index: DigestIndex, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """``mark`` of rows that arrive in batches, ``nth`` telling the batch of a row by its place in ``names``;
+    ``group_size`` counts the rows of all of them.
 
-def mark_batches(batches: list[DataFrame], index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
-                 names: list[str | None] | None = None) -> DataFrame:
-    """``mark`` of batches that arrive one after the other; ``group_size`` counts the rows of all of them."""
-    spark = batches[0].sparkSession
+    The digests are taken and grouped once for all batches, which then go to the index one after the other."""
+    spark = rows.sparkSession
     with scratch(spark):
-        parts, groups = [], []
-        for batch, name in zip(batches, names or [None] * len(batches)):
-            # numbered as they are written: of rows that repeat an id and a text the lowest number stays
-            rows = written(batch.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("text_sha256"),
-                                        F.monotonically_increasing_id().alias("row")), "digest_rows")
-            own = F.max(F.struct(F.col("id").cast("long").alias("id"), (-F.col("row")).alias("row"))).alias("own")
-            found = index._append(rows.select(F.col("id"), "text_sha256", "row"), own, name)
-            groups.append(written(found, "digest_marks"))
-            # a hot digest is split by the engine's skew join: the groups have one row per digest
-            parts.append(rows.join(groups[-1].select("text_sha256", "keep_id", "fresh", "own"), "text_sha256").select(
-                F.col("id"), "keep_id", (F.col("fresh") & (F.col("row") == -F.col("own.row"))).alias("kept"),
-                "text_sha256"))
-        marked = reduce(DataFrame.unionAll, parts)
-        if len(groups) == 1:
-            sizes = groups[0].select("text_sha256", "group_size")
-        else:
-            sizes = (reduce(DataFrame.unionAll, [g.select("text_sha256", "group_size") for g in groups])
-                     .groupBy("text_sha256").agg(F.sum("group_size").alias("group_size")))
-        out = marked.join(sizes, "text_sha256").select(F.col("id").alias(id_col), "keep_id", "group_size", "kept",
-                                                       "text_sha256")
-        return written(out, "digest_marks", outer=True)
+        # numbered as they are written: of rows that repeat an id and a text the lowest number stays
+        rows = written(rows.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("text_sha256"),
+                                   nth.cast("int").alias("nth"), F.monotonically_increasing_id().alias("row")),
+                       "digest_rows")
+        who = F.struct(F.col("id").cast("long").alias("id"), (-F.col("row")).alias("row"))
+        of = [F.col("nth") == k for k in range(len(names))]
+        groups = written(rows.groupBy("text_sha256").agg(
+            F.count("*").alias("group_size"), *[F.max(F.when(b, who)).alias(f"own{k}") for k, b in enumerate(of)],
+            *[F.count(F.when(b, 1)).alias(f"n{k}") for k, b in enumerate(of)]), "digest_groups")
+        for k, name in enumerate(names):
+            index.add(groups.filter(f"n{k} > 0").select("text_sha256", F.col(f"own{k}.id").alias("keep_id"),
+                                                        F.col(f"n{k}").alias("group_size")), name)
+        # the row that stays: of the batch that brought the text, its own one
+        stays = F.coalesce(*[F.when(F.col("batch") == name, -F.col(f"own{k}.row")) for k, name in enumerate(names)],
+                           F.lit(-1).cast("long"))
+        keys = groups.select("text_sha256", F.col("group_size").alias("size"),
+                             *[f"own{k}" for k in range(len(names))])
+        keys = written(keys.join(index.table().drop("group_size"), "text_sha256").select(
+            "text_sha256", "keep_id", F.col("size").alias("group_size"), stays.alias("stays")), "digest_marks")
+        # a hot digest is split by the engine's skew join: the keys have one row per digest
+        return written(rows.join(keys, "text_sha256").select(
+            F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("stays")).alias("kept"),
+            "text_sha256"), "digest_marks", outer=True)
 
 
 def deduplicated(batch: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
@@ -184,8 +185,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
     index = DigestIndex.create(spark)
     try:
-        upper = F.coalesce(F.col("doc_id") > F.lit(middle), F.lit(False))
-        return mark_batches([docs.filter(upper), docs.filter(~upper)], index)
+        lower = F.when(F.col("doc_id") > F.lit(middle), 0).otherwise(1)
+        return mark_batches(docs, lower, ["upper", "lower"], index)
     finally:
         index.drop()
 

@@ -20,7 +20,8 @@ out.  Texts with equal sets are one node with a count from the start.
 
 Defined results: words are runs of other bytes than x20 and x09 to x0D; a text of one to four words
 has them all as its only shingle; null texts and texts without words link with nothing; rows that
-repeat an id are told apart by their text; whole texts are read; an empty table gives an empty result.
+repeat an id are told apart by their text; whole texts are read; an empty table gives an empty result.  Columns
+that the work adds are named apart from those of the input.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ Defined results: a null text has size 0; a null source is a source of its own, o
 document of size 0 moves no words and its copies are rounded by its own hash; repeated rows are
 documents of their own; no source gets more than ``CAP`` times its words, nor any document more
 than ``CAP`` copies; an empty table gives an empty result.  The same rows give the same mix.
+Columns that ``mixed`` adds on its way are named apart from those of the input.
 """
 
 from __future__ import annotations
@@ -187,3 +188,35 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies(rows).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
         "copies")
+
+
+def mixing_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every document of the mix: ``doc_id, size, source_size, target`` (to six decimals), ``bounded``
+    (whole copies, next to the fractional number, at most two) and ``near`` (its source's words miss the target by
+    no more than its largest document)."""
+    rows = copies(_rows(documents(spark, sf_dir), "doc_id", "text", "source"))
+    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    taken = rows.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("words"),
+                                       F.max("size").alias("largest")).withColumnRenamed("source", "of")
+    near = F.abs(F.col("words") - F.col("target")) <= F.col("largest")
+    bounded = F.col("copies").between(F.floor(share - 1e-9), F.least(F.ceil(share + 1e-9), F.lit(int(CAP))))
+    return rows.join(taken, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), bounded.alias("bounded"),
+        near.alias("near"))
+
+
+LAW_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT source, source_size, [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w
+      FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY 2 * source_size / w, source NULLS LAST) AS k FROM w),
+l AS (SELECT *, ((SELECT 1.5 * sum(source_size) FROM r) - coalesce((SELECT 2.0 * sum(source_size) FROM r b WHERE b.k < r.k), 0))
+                / (SELECT sum(w) FROM r b WHERE b.k >= r.k) AS level FROM r),
+t AS (SELECT source, source_size,
+             coalesce(least(w * (SELECT arg_min(level, k) FROM l WHERE level * w <= 2 * source_size), 2.0 * source_size),
+                      2.0 * source_size) AS target FROM l)
+SELECT doc_id, size, source_size, round(target, 6) AS target, true AS bounded, true AS near
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+"""

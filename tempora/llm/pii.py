@@ -14,8 +14,8 @@ widths stay as written.  Numbers that don't validate are left alone; a North Ame
 its area code in parentheses is one by its shape, bare groups of digits are if the plan has such numbers.
 
 Defined results: a null text stays null and an empty one empty, with no findings; overlapping
-candidates go to the kind listed first; repeated rows are treated alike; whole texts are read and
-positions count code points of the input.
+candidates go to the kind listed first; repeated rows are treated alike; whole texts are read, however long, and
+positions count code points of the input; an empty table gives no rows; further columns aren't looked at.
 """
 
 from __future__ import annotations

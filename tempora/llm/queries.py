@@ -19,6 +19,9 @@ QUERIES = {
     "op11_whitening": whitening.op11_whitening,
     "op12_quality": quality.op12_quality,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
+    # what SQL can say of two results that it can't compute
+    "sharding_law": sharding.sharding_law,
+    "mixing_law": mixing.mixing_law,
 }
 
 ORACLE = {
@@ -27,4 +30,6 @@ ORACLE = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_embedding_dedup": embedding_dedup.OP5_SQL,
     "op6_substring_dedup": substring_dedup.OP6_SQL,
+    "sharding_law": sharding.LAW_SQL,
+    "mixing_law": mixing.LAW_SQL,
 }

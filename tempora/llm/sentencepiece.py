@@ -14,7 +14,8 @@ the path of the largest sum of its scores is not the result of its merges; see t
 
 Defined results: a null or empty text has no ids; an unknown character becomes the pieces of its
 UTF-8 bytes, and so does U+2581 itself, so that decoding gives every text back; bytes that are no
-UTF-8 survive as byte pieces; a null list of ids decodes to null.  Texts are encoded whole.
+UTF-8 survive as byte pieces; a null list of ids decodes to null.  Texts are encoded whole,
+however long; an empty table gives no rows; further columns aren't looked at.
 """
 
 from __future__ import annotations

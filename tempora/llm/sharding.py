@@ -11,7 +11,7 @@ capacity, each cut goes where it leaves the remaining shards most equal.
 Defined results: the size of a row is its UTF-8 bytes plus ``OVERHEAD``; a null text has no bytes and
 is in one group with the empty ones; a group larger than an equal share sets the capacity; with
 fewer groups than shards some shards stay empty; repeated rows get slots of their own; slots count
-from 0 without gaps in each shard, by digest and id; an empty table gives an empty result.
+from 0 without gaps in each shard, by digest and id; an empty table gives an empty result.  Further columns aren't looked at.
 """
 
 from __future__ import annotations
@@ -197,3 +197,30 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(documents(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def sharding_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every shard: ``shard, rows, bytes`` of the whole table are told by ``total_rows, total_bytes``;
+    ``together`` (no text of it is in another shard), ``gapless`` (slots from 0), ``even`` (no larger than an equal
+    share and one group of equal texts)."""
+    rows = documents(spark, sf_dir).select("doc_id", digest(F.col("text")).alias("digest"))
+    placed = sharded(documents(spark, sf_dir)).join(
+        rows.groupBy("doc_id").agg(F.min("digest").alias("digest")), "doc_id")
+    groups = placed.groupBy("digest").agg(F.sum("size").alias("bytes"), F.min("shard").alias("a"), F.max("shard").alias("z"))
+    whole = groups.agg(F.sum("bytes").alias("total"), F.max("bytes").alias("largest"))
+    apart = groups.filter("a <> z").select(F.explode(F.array("a", "z")).alias("shard")).distinct().withColumn(
+        "apart", F.lit(True))
+    per = placed.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"),
+                                      F.max("slot").alias("last"), F.countDistinct("slot").alias("slots"))
+    even = F.col("bytes") <= F.ceil(whole.select("total").scalar() / SHARDS) + whole.select("largest").scalar()
+    return per.join(apart, "shard", "left").select(
+        "shard", F.coalesce(~F.col("apart"), F.lit(True)).alias("together"),
+        ((F.col("last") == F.col("rows") - 1) & (F.col("slots") == F.col("rows"))).alias("gapless"), even.alias("even"),
+        placed.agg(F.count("*")).scalar().alias("total_rows"), whole.select("total").scalar().alias("total_bytes"))
+
+
+LAW_SQL = """
+SELECT CAST(s.shard AS INTEGER) AS shard, true AS together, true AS gapless, true AS even, total_rows, total_bytes
+FROM unnest(range(0, 24)) AS s(shard),
+     (SELECT count(*) AS total_rows, CAST(sum(strlen(coalesce(text, '')) + 8) AS BIGINT) AS total_bytes FROM documents) t
+"""

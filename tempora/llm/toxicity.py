@@ -14,7 +14,8 @@ in fewer than ``SELDOM`` of its texts share one embedding and differ by their ch
 
 Defined results: a text without words scores 0, null texts too; a null id counts as empty text in the
 crc32; repeated rows get equal scores; contradicting labels of one id count as toxic; without a
-labelled row of both classes every score is 0.  The features come from the text alone.
+labelled row of both classes every score is 0.  The features come from the text alone.  Texts are scored whole,
+however long; an empty table gives no rows; further columns aren't looked at.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from llm_data import EDGES, docs  # noqa: F401
 
 from tempora.llm import exact_dedup
@@ -80,10 +81,13 @@ def test_compaction_keeps_the_digests_and_sorts_each_bucket_into_one_file(spark,
 
 def test_batches_of_one_table(spark, docs):
     rows = [(i, f"text {i * i % 17}") for i in range(60)] + [(None, "text 1"), (None, None), (3, "text 9")]
-    upper = docs(rows).filter("doc_id > 30")
-    lower = docs(rows).filter("doc_id IS NULL OR doc_id <= 30")
     one = by_row(mark(docs(rows), DigestIndex.create(spark)))
-    assert by_row(mark_batches([upper, lower], DigestIndex.create(spark))) == one
+    lower = F.when(F.col("doc_id") > 30, 0).otherwise(1)
+    index = DigestIndex.create(spark, buckets=4)
+    assert by_row(mark_batches(docs(rows), lower, ["a", "b"], index)) == one
+    assert by_row(mark_batches(docs(rows), lower, ["a", "b"], index)) == one  # both again
+    third = F.when(F.col("doc_id") > 40, 0).when(F.col("doc_id") > 20, 1).otherwise(2)
+    assert by_row(mark_batches(docs(rows), third, ["a", "b", "c"], DigestIndex.create(spark))) == one
 
 
 def by_row(marked):

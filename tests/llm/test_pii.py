@@ -131,3 +131,15 @@ def test_dates_of_timestamps_and_cards_of_the_2_series(kind, value, after):
 @pytest.mark.parametrize("text", ["2024-01-15Tx", "2024-13-15T10:00", "2220000000000000", "2721000000000004"])
 def test_other_timestamps_and_cards_stay(text):
     assert pseudonymised(text, KEY) == (text, [])
+
+
+def test_very_long_text(spark, docs):
+    """Findings near both ends of a text of a million characters."""
+    middle = "lorem ipsum " * 80_000
+    text = "jo.42@mail8.example.com " + middle + "+1 (415) 555-0100"
+    row = pseudonymise(docs([(1, text)]), KEY).first()
+    assert [(s.start, s.end, s.kind) for s in row.spans] == [
+        (0, 23, "email"), (len(text) - 17, len(text), "phone")] and row.n_found == 2
+    assert len(row.text) == len(text) and row.text[24:-17] == middle
+    again = pseudonymise(docs([(1, text)], "spans n_found id"), KEY).first()
+    assert again.text == row.text

@@ -181,3 +181,14 @@ def test_scores_equal_plain_loops():
     for t, g in zip(some, got):
         assert g == pytest.approx(plain_score(t, net), abs=2e-5), t
     assert max(got) - min(got) > 0.2
+
+
+def test_very_long_text_scores_as_its_worst_window(spark, docs):  # noqa: F811
+    texts, labels = synthetic(200, 9)
+    net = tox.train(texts, labels, steps=60)
+    calm = " ".join(f"w{i % 300}" for i in range(40_000))
+    at = calm.index(" ", len(calm) // 2)
+    loud = calm[:at] + " scum idiot! Moron" * 6 + calm[at:]
+    got = {r.doc_id: r.score for r in tox.scored(docs([(1, calm), (2, loud), (2, loud)]), net).collect()}
+    assert got[2] > got[1] and got[2] >= max(tox.score_texts(pa.array(["scum idiot! Moron " * 6]), net)) * 0.5
+    assert tox.scored(docs([(1, calm)]).limit(0), net).count() == 0
