@@ -74,10 +74,11 @@ def counter_delta(name: str, value: str, time: str, ties: Iterable[str] = ()) ->
                    F.rint((z.final - a.final) * F.lit(100.0)) / F.lit(100.0))
 
 
-def _moments(name: str, value: str) -> tuple[str, dict[str, Column], dict[str, Column]]:
+def _moments(value: str) -> tuple[str, dict[str, Column], dict[str, Column]]:
     """State (n, mean, squared deviations).  Two states meet by their means' distance, which loses
-    nothing where the mean is large; a group has the old state and the new one, so its list is short."""
-    s = f"{name}_s"
+    nothing where the mean is large; a group has the old state and the new one, so its list is short.
+    Mean and deviation of a value share one state."""
+    s = f"{value}_moments"
     v = F.col(value).cast("double")
     partial = F.struct(F.count(v).alias("n"), F.coalesce(F.avg(v), F.lit(0.0)).alias("mean"),
                        F.coalesce(F.var_pop(v) * F.count(v), F.lit(0.0)).alias("m2"))
@@ -94,13 +95,13 @@ def _moments(name: str, value: str) -> tuple[str, dict[str, Column], dict[str, C
 
 
 def average(name: str, value: str) -> Measure:
-    s, partial, merge = _moments(name, value)
+    s, partial, merge = _moments(value)
     return Measure(name, partial, merge, F.when(F.col(f"{s}.n") > 0, F.col(f"{s}.mean")))
 
 
 def deviation(name: str, value: str) -> Measure:
     """Sample standard deviation; null for one row."""
-    s, partial, merge = _moments(name, value)
+    s, partial, merge = _moments(value)
     return Measure(name, partial, merge,
                    F.when(F.col(f"{s}.n") > 1, F.sqrt(F.col(f"{s}.m2") / (F.col(f"{s}.n") - 1))))
 
