@@ -46,8 +46,10 @@ class DigestIndex:
                   f"SORTED BY (text_sha256) INTO {buckets} BUCKETS LOCATION '{path}/{folder}'")
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS) -> DigestIndex:
-        """A new empty index below the shared folder."""
+    def create(cls, spark: SparkSession, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """A new empty index below the shared folder; by default with as many buckets as a shuffle has
+        partitions, ``BUCKETS`` at least: then a task writes one bucket."""
+        buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         index = cls(spark, path or scratch_path(spark, "digest_index"), uuid.uuid4().hex, buckets)
         index._point()
         return index
