@@ -155,7 +155,7 @@ def _span_rows(batch: pa.RecordBatch, doc: np.ndarray, loc: np.ndarray, loc2: np
     return pa.RecordBatch.from_arrays(
         [none if key is None else signed(key), none if content is None else signed(content),
          batch.column("id").take(take), batch.column("th").take(take), pa.array(loc, pa.int64()),
-         none if loc2 is None else pa.array(loc2, pa.int64()),
+         none if loc2 is None else pa.array(loc2, pa.int64(), mask=many < 2),
          none if many is None else pa.array(many, pa.int64()), none if end is None else pa.array(end, pa.int64())],
         names=["a", "h", "id", "th", "loc", "loc2", "n", "e"])
 
@@ -201,14 +201,14 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
     counted = every.filter("e IS NULL").drop("e")
     shared = written(counted.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").select("a"), "spans")
     live = written(counted.join(shared, "a"), "spans")
-    who = F.struct("id", "th", "loc", "loc2")
-    kinds = written(live.groupBy("a", "h").agg(F.sum("n").alias("c"), F.min(who).alias("m"), F.max(who).alias("x")),
-                    "spans")
+    kinds = written(live.groupBy("a", "h").agg(
+        F.sum("n").alias("c"), F.min(F.struct("id", "th", "loc", "loc2")).alias("m"),
+        F.max(F.struct("id", "th", "loc")).alias("x")), "spans")
     # witnesses: two rows, or two places of one row; rows that repeat id and text need none
     rows_differ = ~(F.col("m.id").eqNullSafe(F.col("x.id")) & (F.col("m.th") == F.col("x.th")))
     one = F.struct("m.id", "m.th", "m.loc")
     two = (F.when(rows_differ, F.struct("x.id", "x.th", "x.loc"))
-           .when(F.col("m.loc") != F.col("m.loc2"), F.struct("m.id", "m.th", F.col("m.loc2").alias("loc"))))
+           .when(F.col("m.loc2").isNotNull(), F.struct("m.id", "m.th", F.col("m.loc2").alias("loc"))))
     pair = F.when(F.col("c") > 1, two)
     per = kinds.groupBy("a").agg(F.count("*").alias("kinds"), F.max(pair.isNotNull()).alias("doubt"))
     members = (kinds.join(per.filter("kinds > 1 OR doubt"), "a")
