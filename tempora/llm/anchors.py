@@ -22,6 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -214,24 +215,21 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
     members = (kinds.join(per.filter("kinds > 1 OR doubt"), "a")
                .select("a", "h", "c", "kinds", F.explode(F.filter(F.array(one, pair), lambda w: w.isNotNull())).alias("w"))
                .select("a", "h", "c", "kinds", "w.*"))
-    pieces = _pieces(members, rows, window, cut)
-
     runs = f"id {kind}, th int, s long, e long"
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["a"], 4096):
-            row, first, last = match(table)
-            alone = table.column("c").to_numpy()[row] == 1
-            sure = row[~alone & (first == 0) & (last == table.column("n").to_numpy()[row] - 1)]
-            row, first, last = row[alone], first[alone], last[alone]
-            at = table.column("low").to_numpy()[row]
-            for take, s, e in ((row, at + first, at + last + window), (sure, None, None)):
-                part = table.select(["a", "h", "id", "th"]).take(pa.array(take)).combine_chunks()
-                for batch in part.to_batches():
-                    no = pa.nulls(batch.num_rows, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns, no if s is None else pa.array(s, pa.int64()),
-                         no if e is None else pa.array(e, pa.int64())], names=["a", "h", "id", "th", "s", "e"])
+    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        row, first, last = match(table)
+        alone = table.column("c").to_numpy()[row] == 1
+        sure = row[~alone & (first == 0) & (last == table.column("n").to_numpy()[row] - 1)]
+        row, first, last = row[alone], first[alone], last[alone]
+        at = table.column("low").to_numpy()[row]
+        for take, s, e in ((row, at + first, at + last + window), (sure, None, None)):
+            part = table.select(["a", "h", "id", "th"]).take(pa.array(take)).combine_chunks()
+            for batch in part.to_batches():
+                no = pa.nulls(batch.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, no if s is None else pa.array(s, pa.int64()),
+                     no if e is None else pa.array(e, pa.int64()), no, no, no], names=names)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "piece", 1 << 18):
@@ -244,19 +242,31 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
             for b in (BASE, 0xD1342543DE82EF95):
                 prefix = prefix_hashes(values + np.uint64(1), b)
                 h.append(signed((prefix[at + window] - prefix[at]) * powers(inverse(b), len(prefix))[at]))
-            take = pa.array(row)
+            take, no = pa.array(row), pa.nulls(len(row), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*h, *[batch.column(c).take(take) for c in ("id", "th", "c")],
-                 pa.array(batch.column("low").to_numpy()[row] + w, pa.int64())],
-                names=["h1", "h2", "id", "th", "c", "s"])
+                [no, no, *[batch.column(c).take(take) for c in ("id", "th")],
+                 pa.array(batch.column("low").to_numpy()[row] + w, pa.int64()), no, *h, batch.column("c").take(take)],
+                names=names)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["a"], 4096):
+            wide = pc.greater(table.column("kinds"), group)
+            few = table.filter(pc.invert(wide)).combine_chunks()
+            if few.num_rows:
+                yield from compare(few)
+            yield from windows(table.filter(wide).to_batches())
+
+    names = ["a", "h", "id", "th", "s", "e", "h1", "h2", "c"]
 
     def compared_in(some: DataFrame) -> DataFrame:
-        return written(some.repartition("a").sortWithinPartitions("a")
-                       .mapInArrow(compare, "a long, h long, " + runs), "spans")
+        # anchors of many kinds are dealt to many tasks; their text goes through one shuffle and no table
+        salt = F.when(F.col("kinds") > group, F.pmod(F.hash("id", "low"), F.lit(1024))).otherwise(0)
+        return written(some.repartition("a", salt).sortWithinPartitions("a").mapInArrow(
+            both, f"a long, h long, {runs}, h1 long, h2 long, c long"), "spans")
 
-    compared = compared_in(pieces.filter(F.col("kinds") <= group))
+    compared = compared_in(_pieces(members, rows, window, cut))
     # kinds that stand several times: told by witnesses, by one row that repeats, or by hashes of windows
-    sure = compared.filter("s IS NULL").select("a", "h").distinct().withColumn("sure", F.lit(True))
+    sure = compared.filter("s IS NULL AND h1 IS NULL").select("a", "h").distinct().withColumn("sure", F.lit(True))
     several = kinds.filter("c > 1").select("a", "h", pair.isNotNull().alias("doubt")).join(
         per.select("a", "kinds"), "a").join(sure, ["a", "h"], "left")
     several = written(several, "spans")
@@ -267,13 +277,12 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
         each = live.join(lie, ["a", "h"]).join(per.select("a", "kinds"), "a").select(
             "a", "h", F.lit(1).cast("long").alias("c"), "kinds", "id", "th", "loc")
         rest = members.join(lie, ["a", "h"], "left_anti").join(these, "a", "left_semi")
-        compared = compared.join(these, "a", "left_anti").unionByName(
+        compared = compared.join(these, "a", "left_anti").unionByName(  # (rows of windows have no anchor)
             compared_in(_pieces(rest.unionByName(each.select(rest.columns)), rows, window, cut)))
         several = several.join(lie, ["a", "h"], "left_anti")
-    large = written(pieces.filter(F.col("kinds") > group).mapInArrow(
-        windows, f"h1 long, h2 long, id {kind}, th int, c long, s long"), "spans")
+    large = compared.filter("h1 IS NOT NULL").select("h1", "h2", "id", "th", "c", "s")
     again = written(large.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1"), "spans")
-    found = [compared.filter("s IS NOT NULL").drop("a", "h"),
+    found = [compared.filter("s IS NOT NULL AND h1 IS NULL").select("id", "th", "s", "e"),
              large.filter("c = 1").join(again, ["h1", "h2"])
              .select("id", "th", "s", (F.col("s") + window).alias("e"))]
     low = F.shiftright("loc", 2 * _BITS)
@@ -312,7 +321,7 @@ def _pieces(members: DataFrame, rows: DataFrame, window: int, cut: Cutter) -> Da
     kind = rows.schema["id"].dataType.simpleString()
     got = text.mapInArrow(run, f"a long, h long, c long, kinds long, id {kind}, th int, low long, n int, left int, "
                                "piece binary")
-    return written(got, "spans")
+    return got
 
 
 def cut_bytes(texts: pa.Array, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
