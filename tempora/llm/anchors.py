@@ -197,11 +197,14 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
             yield _span_rows(batch, where, begin - offsets[where], None, None, None, None, end - offsets[where])
 
     kind = rows.schema["id"].dataType.simpleString()
-    every = written(rows.mapInArrow(find, f"a long, h long, id {kind}, th int, loc long, loc2 long, n long, e long"),
-                    "spans")
-    counted = every.filter("e IS NULL").drop("e")
-    shared = written(counted.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").select("a"), "spans")
-    live = written(counted.join(shared, "a"), "spans")
+    with scratch(rows.sparkSession):  # the spans of anchors that stand once aren't kept beyond this
+        every = written(rows.mapInArrow(
+            find, f"a long, h long, id {kind}, th int, loc long, loc2 long, n long, e long"), "spans")
+        counted = every.filter("e IS NULL").drop("e")
+        shared = written(counted.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").select("a"), "spans")
+        live = written(counted.join(shared, "a"), "spans", outer=True)
+        inner = written(every.filter("e IS NOT NULL").select("id", "th", F.col("loc").alias("s"), "e"), "spans",
+                        outer=True)
     kinds = written(live.groupBy("a", "h").agg(
         F.sum("n").alias("c"), F.min(F.struct("id", "th", "loc", "loc2")).alias("m"),
         F.max(F.struct("id", "th", "loc")).alias("x")), "spans")
@@ -289,7 +292,7 @@ def repeated(rows: DataFrame, window: int, gram: int, tokens: Tokens, cut: Cutte
     span = F.col("loc").bitwiseAND(F.lit((1 << _BITS) - 1))
     found.append(live.join(several.select("a", "h"), ["a", "h"])
                  .select("id", "th", low.alias("s"), (low + span + window).alias("e")))
-    found.append(every.filter("e IS NOT NULL").select("id", "th", F.col("loc").alias("s"), "e"))
+    found.append(inner)
     return (reduce(DataFrame.unionAll, found)
             # equal rows have equal runs: each once, so that n of them don't get n times n
             .groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("runs")))
