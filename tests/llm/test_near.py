@@ -217,3 +217,12 @@ def test_one_component(spark):
                                "vec_id long, embedding array<double>, label int")
     got = sorted(tuple(r) for r in embedding_dedup.near_duplicates(df).collect())
     assert got == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False), (4, 0, 4, True), (5, 0, 5, True)]
+
+
+def test_thresholds_that_the_search_is_not_made_for_are_refused():
+    from tempora.llm import embedding_dedup, jaccard_join
+
+    with pytest.raises(ValueError, match="0.8"):
+        jaccard_join.near_duplicates(None, threshold=0.5)
+    with pytest.raises(ValueError, match="0.93"):
+        embedding_dedup.near_duplicates(None, threshold=0.9)
