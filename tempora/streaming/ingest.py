@@ -183,13 +183,23 @@ def _newest(progress: DataFrame) -> DataFrame:
     return progress.groupBy("partition").agg(last.alias("l")).select("partition", "l.*")
 
 
+def dealt(envelope: DataFrame) -> DataFrame:
+    """A micro-batch dealt evenly over tasks.  Landed files hold few row groups, and those of one kind of message stand
+    together; parsing is most of a batch's work, and what is kept of it is read by every table's write."""
+    spark = envelope.sparkSession
+    return envelope.repartition(max(2 * spark.sparkContext.defaultParallelism,
+                                    int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def counted_parse(envelope: DataFrame) -> tuple[DataFrame, Observation, Observation]:
     """Parse a micro-batch with its counters attached.  Spark gathers
     them while the rows flow (observed metrics), in the same pass that fills
-    the persisted parse - no extra scan."""
+    the persisted parse - no extra scan.  Kept are the columns that the tables and the positions need."""
     messages = Observation("messages")
-    observed = envelope.observe(messages, F.count(F.lit(1)).alias("messages"))
-    parsed = iot.parse(observed).persist()
+    # Counted between routing and status checks, where a row is a message: there Spark ends one generated method and
+    # begins the next.  Both in one are beyond the size that the JVM compiles (8,000 bytes), and run interpreted.
+    observed = iot.routed(dealt(envelope)).observe(messages, F.count(F.lit(1)).alias("messages"))
+    parsed = iot.expanded(observed).drop("_v", "route", "device_id_raw").persist()
     kinds = Observation("kinds")
     kind = F.col("kind")
     parsed.observe(
@@ -210,10 +220,7 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int, on_c
     state = store.state()
     if state.writers.get(WRITER, -1) >= batch_id:  # a replay of a batch that was committed
         return
-    # the micro-batch is read for the parse and for its progress: keep it
-    envelope = envelope.persist()
     if envelope.isEmpty():  # an empty batch writes nothing and records no progress
-        envelope.unpersist()
         return
     parsed, messages, kinds = counted_parse(envelope)
     commit = store.begin()
@@ -235,7 +242,8 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int, on_c
         commit.add_chunked("sensor_data", resolved.select("time", "sensor_id", "temperature"), "time")
         commit.add_chunked("device_status", iot.device_status(parsed), "time")
         commit.add("quarantine", iot.quarantine(parsed))
-        records = iot.progress(envelope).collect()  # one row per partition of the hub
+        # every message has a row in the parse; one record per partition of the hub
+        records = iot.progress(parsed).collect()
         if progress is None:
             _add_progress(store, commit, [tuple(r[c] for c in _PROGRESS.names) for r in records])
         else:
@@ -245,7 +253,6 @@ def process_batch(tables: IngestTables, envelope: DataFrame, batch_id: int, on_c
         _commit(commit, WRITER, batch_id)
     finally:
         parsed.unpersist()
-        envelope.unpersist()
 
 
 class _Flush(StreamingQueryListener):

@@ -77,6 +77,11 @@ def _epoch_from(t: Column, v: Column) -> Column:
 
 
 def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
+    """Envelope → the routed rows of its messages (see ``routed`` and ``expanded``)."""
+    return expanded(routed(envelope, now))
+
+
+def routed(envelope: DataFrame, now: Column | None = None) -> DataFrame:
     """Envelope → one row per message with route, device, time and the
     parsed body (as a variant).
 
@@ -109,12 +114,16 @@ def parse(envelope: DataFrame, now: Column | None = None) -> DataFrame:
              .when(F.col("_has_temps"), F.lit("temps"))
              .when(F.col("_has_status"), F.lit("status"))
              .otherwise(F.lit("unknown_format")))
-    s5 = s4.select("*", route.alias("route")).drop(
+    return s4.select("*", route.alias("route")).drop(
         "_ut_t", "_epoch", "_is_obj", "_has_temps", "_has_status")
-    return _routed(_with_status_checks(s5))
 
 
-def _routed(parsed: DataFrame) -> DataFrame:
+def expanded(parsed: DataFrame) -> DataFrame:
+    """Routed messages with their status checked, as the rows that the outputs are made of."""
+    return _by_kind(_with_status_checks(parsed))
+
+
+def _by_kind(parsed: DataFrame) -> DataFrame:
     """Expand each message into its routed rows with ``inline``: one row per
     sensor entry of a temps message, else one row whose ``kind`` is the
     route; a status row carries the status object as ``payload``.

@@ -1,11 +1,13 @@
 """Structured Streaming runners driven by file sources with availableNow."""
 
-from datetime import timedelta
+import re
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tempora.plans import cagg
+from tempora.schemas import ENVELOPE
 from tempora.sources import messages, tables, versioned
 from tempora.streaming import ingest, iot
 from tempora.streaming import ticks as tick_ingest
@@ -383,3 +385,35 @@ def test_a_trigger_takes_about_so_many_messages(spark, workdir):
     src.writeStream.foreachBatch(lambda df, _: sizes.append(df.count())).option(
         "checkpointLocation", f"{workdir}/ck/q").trigger(availableNow=True).start().awaitTermination(120)
     assert sum(sizes) == 16 and len(sizes) >= 4 and max(sizes) <= 4
+
+
+def test_batch_is_dealt_evenly_and_parsed_by_compiled_methods(spark, capsys):
+    """A batch that arrives in one partition, one kind of message after the other, is parsed by all cores, in
+    methods that the JVM compiles; nothing but what the tables need is kept."""
+    bodies = ['{"unix_time": 1700000000, "temps": {"a%d": 1.5, "b%d": 2}}' % (i, i) for i in range(600)]
+    bodies += ['{"unix_time": 1700000000, "status": {"messageCounter": %d}}' % i for i in range(200)] + ["{"] * 100
+    env = spark.createDataFrame([(b, bytearray(b"d"), str(n % 3), n * 10, n, datetime(2024, 1, 1))
+                                 for n, b in enumerate(bodies)], ENVELOPE).coalesce(1)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parsed, messages, kinds = ingest.counted_parse(env)
+        parsed.unpersist()
+        capsys.readouterr()
+        parsed.select("*").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+    assert messages.get == {"messages": 900}
+    assert kinds.get == {"sensor_entries": 1200, "status_messages": 200, "rejected": 100}
+    parsed, _, _ = ingest.counted_parse(env)
+    try:
+        assert not {"_v", "route", "device_id_raw"} & set(parsed.columns)
+        shares = [r["n"] for r in parsed.select("seq").distinct().join(
+            parsed.select("seq", F.spark_partition_id().alias("p")).distinct(), "seq").groupBy("p").agg(
+            F.count(F.lit(1)).alias("n")).collect()]
+        assert len(shares) >= 2 * spark.sparkContext.defaultParallelism and max(shares) < 2 * 900 / len(shares)
+        assert sorted(iot.progress(parsed).collect()) == sorted(iot.progress(env).collect())
+    finally:
+        parsed.unpersist()
